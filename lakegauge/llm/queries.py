@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, simple8b
+from . import byte_bpe, minhash_fss, simple8b
 from .workspace import prepare, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -23,6 +23,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.BytePairs(spark, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", PATTERN).round_trip(docs)
 
 
+def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_fss.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in sorted(globals().items(), key=lambda x: int(x[0][2:].split("_")[0]) if x[0].startswith("op") else 0) if name.startswith("op")]
 
