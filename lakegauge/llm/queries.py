@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, minhash_fss, simple8b
+from . import byte_bpe, fm_index, minhash_fss, simple8b
 from .workspace import prepare, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -27,6 +27,12 @@ def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_fss.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
 
 
+def op8_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = fm_index.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in sorted(globals().items(), key=lambda x: int(x[0][2:].split("_")[0]) if x[0].startswith("op") else 0) if name.startswith("op")]
 
