@@ -3,6 +3,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -108,8 +109,19 @@ def test_pieces_of_every_character_below_u0250():
     encoder = simple8b.PieceEncoder(open(JSON, encoding="utf-8").read())
     for make in ("a{0}b", " {0} c", "{0}{0}9", "\n{0}x"):
         texts = [make.format(chr(c)) for c in range(1, 0x250)]
-        simple = np.array([not 0x1C <= c <= 0x1F for c in range(1, 0x250)])
-        ids, count = encoder.encode(texts, simple, 2)
+        ids, count = encoder.encode(pa.array(texts), 2)
         want = [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
         stop = np.cumsum(count)
         assert [ids[a:b].tolist() for a, b in zip(stop - count, stop)] == want
+
+
+plain = Tokenizer.from_file(JSON)
+pieces = simple8b.PieceEncoder(open(JSON, encoding="utf-8").read())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("ab 1\n\t'\xa0\x85strevlmdé.-", max_size=25) | st.text(max_size=20), max_size=6))
+def test_pieces_equal_the_library(texts):
+    ids, count = pieces.encode(pa.array(texts, pa.string()), 2)
+    stop = np.cumsum(count)
+    assert [ids[a:b].tolist() for a, b in zip(stop - count, stop)] == [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
