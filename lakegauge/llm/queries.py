@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, fm_index, minhash_fss, simple8b
+from . import byte_bpe, fm_index, language_id, minhash_fss, sentence_spans, simple8b
 from .workspace import prepare, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -33,6 +34,19 @@ def op8_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = sentence_spans.remove_repeats(docs)
+    return found.select("doc_id", "n_sentences", "n_removed", "removed_bytes", F.expr("n_removed > 0").alias("has_repeat"), "text")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held = language_id.held_out()
+    model = language_id.fit(docs.where(~held))
+    return language_id.predict(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in sorted(globals().items(), key=lambda x: int(x[0][2:].split("_")[0]) if x[0].startswith("op") else 0) if name.startswith("op")]
 
