@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fm_index, language_id, minhash_fss, sentence_spans, simple8b
-from .workspace import prepare, table
+from . import arc_warc, byte_bpe, fm_index, language_id, minhash_fss, sentence_spans, simple8b
+from .workspace import Workspace, prepare, table
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = "/opt/tokenizers"
@@ -47,6 +47,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
 
 
+def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "warc")
+    return arc_warc.read_archives(spark, arc_warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"), work))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in sorted(globals().items(), key=lambda x: int(x[0][2:].split("_")[0]) if x[0].startswith("op") else 0) if name.startswith("op")]
 
