@@ -1,8 +1,69 @@
-"""Corpus pipeline; see STAGES."""
+"""A corpus pipeline of the training-data operators: language, near-duplicates, repeats, benchmarks, tokens.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written and read again as
+the next stage's docs. All but the last return the columns of documents.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakegauge.llm import byte_bpe, fm_index, language_id, minhash_fss, queries, sentence_spans
+from lakegauge.llm.workspace import Workspace, prepare, small
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language, those without letters, go."""
+    prepare(spark)
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    found = language_id.predict(docs, model)
+    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, that with the smallest doc_id; rows that repeat it stay with it."""
+    found = minhash_fss.near_duplicates(docs.select("doc_id", "text"), percent=85)
+    work = Workspace(spark, "near-duplicates")
+    gone = work.write(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    kept = docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    return kept
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sentences that repeat an earlier passage are cut; a document of which nothing is left goes."""
+    found = sentence_spans.remove_repeats(docs)
+    left = found.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    cut = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", cut).select(*docs.columns)
+
+
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by benchmark items go."""
+    items = queries.table(spark, sf_dir, "benchmark", "item_id", "text")
+    return fm_index.contamination(docs, items).where(~F.col("contaminated")).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of each document's ids and of the text they decode to."""
+    pairs = byte_bpe.BytePairs(spark, f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken", queries.PATTERN)
+    return pairs.round_trip(docs.select("doc_id", "text"))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeats", repeats),
+    ("benchmarks", benchmarks),
+    ("tokens", tokens),
+]
+
+#: SQL has no sketches, kernels or merges; tests/llm hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows for the documents in sf_dir."""
+    work = Workspace(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = work.write(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
