@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_warc, byte_bpe, fm_index, language_id, minhash_fss, sentence_spans, simple8b
+from . import arc_warc, byte_bpe, fm_index, language_id, media_chunks, minhash_fss, sentence_spans, simple8b
 from .workspace import Workspace, prepare, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -13,6 +13,10 @@ TOKENIZERS = "/opt/tokenizers"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def op1_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_chunks.of_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op2_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     _, blocks = simple8b.write_ids(spark, docs, f"{TOKENIZERS}/byte_bpe_50k.json", end=2)
