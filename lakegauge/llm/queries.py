@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_warc, byte_bpe, fm_index, language_id, media_chunks, minhash_fss, sentence_spans, simple8b
+from . import arc_warc, byte_bpe, fm_index, hpy_lm, language_id, media_chunks, minhash_fss, sentence_spans, simple8b
 from .workspace import Workspace, prepare, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -56,6 +56,13 @@ def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc_warc.read_archives(spark, arc_warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"), work))
 
 
+def op10_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held = hpy_lm.held_out()
+    model = hpy_lm.train(docs.where(~held))
+    return hpy_lm.score(docs.select("doc_id", held.alias("held_out"), "text"), model, ["doc_id", "held_out"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in sorted(globals().items(), key=lambda x: int(x[0][2:].split("_")[0]) if x[0].startswith("op") else 0) if name.startswith("op")]
 
