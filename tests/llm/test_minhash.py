@@ -56,6 +56,11 @@ def test_groups_of_near_copies(spark):
             words[rng.randrange(len(words))] = f"x{rng.random()}"
         rows.append((1000 - i, " ".join(words)))
     rows += [(2000 + i, " ".join(base[: 150 + i * 5])) for i in range(30)]
+    for i in range(120):  # some of these link to few others, most to none
+        words = list(base)
+        for _ in range(rng.randrange(4, 16)):
+            words[rng.randrange(len(words))] = f"y{rng.random()}"
+        rows.append((3000 + i, " ".join(words)))
     compare(spark, rows)
 
 
