@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_warc, byte_bpe, fm_index, hpy_lm, language_id, media_chunks, minhash_fss, sentence_spans, simple8b
+from . import arc_warc, byte_bpe, fm_index, hpy_lm, language_id, license_scan, media_chunks, minhash_fss, sentence_spans, simple8b
 from .workspace import Workspace, prepare, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -23,6 +23,11 @@ def op2_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read_ids(blocks, digest=True)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = F.expr("concat(source, '/p', doc_id div 4096, '/d', doc_id div 256, '/', doc_id, '.txt')")
+    return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "source", "text").select("doc_id", place.alias("path"), "text"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return byte_bpe.BytePairs(spark, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", PATTERN).round_trip(docs)
@@ -77,4 +82,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    files = "SELECT doc_id, source || '/p' || (doc_id // 4096) || '/d' || (doc_id // 256) || '/' || doc_id || '.txt' AS path, text FROM documents"
+    return {"op3_license_scan": license_scan.oracle(files, "doc_id")}
