@@ -97,11 +97,15 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model |
     """A model from the labelled rows; None if there are none. The driver holds the bounded sample only."""
     rows = labelled.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0) & (F.octet_length(text) <= SAMPLE_BYTES)).select(F.col(lang).alias("lang"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
     languages = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    chosen = {}
+    for language in sorted(languages):  # hashes only, so that little goes to the driver from each partition
+        own = rows.where(F.col("lang") == language).select("place").distinct().orderBy("place").limit(PER_LANGUAGE)
+        chosen |= {(language, r[0]): None for r in own.collect()}
+    found = rows.where(F.col("lang").isin(languages) & F.col("place").isin([p for _, p in chosen])).groupBy("lang", "place").agg(F.min("text").alias("text"))
     texts, labels = [], []
-    for language in sorted(languages):
-        for r in rows.where(F.col("lang") == language).dropDuplicates(["place"]).orderBy("place").limit(PER_LANGUAGE).collect():
-            if any(map(str.isalpha, r["text"])):
-                texts.append(r["text"]), labels.append(language)
+    for r in sorted(found.collect(), key=lambda r: (r["lang"], r["place"])):
+        if (r["lang"], r["place"]) in chosen and any(map(str.isalpha, r["text"])):
+            texts.append(r["text"]), labels.append(r["lang"])
     return Model(texts, labels) if texts else None
 
 
