@@ -44,7 +44,7 @@ def shorten(text: Column, n: int = 30) -> Column:
 
 def id_list(text: Column) -> Column:
     """Trimmed, non-empty ids of comma-separated text."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def key_hash(*columns: str) -> Column:

@@ -67,7 +67,7 @@ def rollup_refresh_touched(spark, sf):
 def golden(spark, sf) -> DataFrame:
     """Orders with their lines as nested reports of a device."""
     line = F.struct(
-        F.lit(21.5).alias("AmbTemp"), (F.col("l_extendedprice") / 7).alias("Average"), F.lit(2400).cast("bigint").alias("CpuAvgFreq"), F.lit(90).cast("bigint").alias("CpuMax"), F.lit(0).cast("bigint").alias("CpuPwrSavLim"),
+        F.lit(21.5).alias("AmbTemp"), F.sqrt("l_extendedprice").alias("Average"), F.lit(2400).cast("bigint").alias("CpuAvgFreq"), F.lit(90).cast("bigint").alias("CpuMax"), F.lit(0).cast("bigint").alias("CpuPwrSavLim"),
         F.lit(50).cast("bigint").alias("CpuUtil"), F.col("l_quantity").cast("bigint").alias("CpuWatts"), F.lit(5).cast("bigint").alias("GpuWatts"), F.col("l_tax").alias("Minimum"), (F.col("l_extendedprice") + 1).alias("Peak"),
         scalar.iso(F.col("l_shipdate")).alias("Time"), F.lit(True).alias("is_fresh"),
     )
@@ -79,7 +79,7 @@ def golden(spark, sf) -> DataFrame:
     return orders.select(*(v.alias(c) for c, v in text.items()), data.alias("data"), inventory.alias("inventory_data"))
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS report_id, CAST(any_value(o_custkey) AS VARCHAR) AS device_id, any_value(o_orderpriority) AS report_type, round(avg(l_extendedprice / 7), 2) AS avg_metric_value, round(max(l_extendedprice / 7), 2) AS max_metric_value, round(min(l_extendedprice / 7), 2) AS min_metric_value,
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS report_id, CAST(any_value(o_custkey) AS VARCHAR) AS device_id, any_value(o_orderpriority) AS report_type, round(avg(sqrt(l_extendedprice)), 2) AS avg_metric_value, round(max(sqrt(l_extendedprice)), 2) AS max_metric_value, round(min(sqrt(l_extendedprice)), 2) AS min_metric_value,
 CAST(max(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS max_cpu_watts, round(max(l_extendedprice + 1), 2) AS max_peak_power, CAST(any_value(o_custkey) % 4 AS INTEGER) AS socket_count,
 '[{"model":"x","speed":2400,"total_cores":8}]' AS cpu_inventory, 'power_metric' AS metric_id, strftime(max(l_shipdate), '%Y-%m-%dT%H:%M:%SZ') AS metric_time, epoch(date_trunc('second', max(l_shipdate))) AS datetime, epoch(date_trunc('second', max(l_shipdate))) + 60 AS "timeRangeEnd", strftime(max(l_shipdate), '%Y-%m-%d') AS location_date
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
@@ -88,9 +88,9 @@ def batch_refined_rows(spark, sf):
     return rows.select("report_id", "device_id", "report_type", "avg_metric_value", "max_metric_value", "min_metric_value", "max_cpu_watts", "max_peak_power", "socket_count", "cpu_inventory", "metric_id", "metric_time", "datetime", "timeRangeEnd", "location_date")
 
 
-@query("SELECT l_orderkey, round(avg(l_extendedprice / 7), 2) AS \"Average\", min(l_tax) AS \"Minimum\", max(l_discount) AS \"Maximum\", count(*) AS n_readings FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, round(avg(sqrt(l_extendedprice)), 2) AS \"Average\", min(l_tax) AS \"Minimum\", max(l_discount) AS \"Maximum\", count(*) AS n_readings FROM lineitem GROUP BY 1")
 def power_detail_aggregate(spark, sf):
-    lines = read(spark, sf, "lineitem").withColumn("watts", F.col("l_extendedprice") / 7)
+    lines = read(spark, sf, "lineitem").withColumn("watts", F.sqrt("l_extendedprice"))
     found = telemetry.power_detail(lines, ["l_orderkey"], "l_shipdate", "watts", "l_tax", "l_discount", "l_linenumber")
     return found.select("l_orderkey", "Average", "Minimum", "Maximum", F.size("PowerDetail").cast("bigint").alias("n_readings"))
 

@@ -463,7 +463,7 @@ def json_extract_props(spark, sf):
 def array_map_functions(spark, sf):
     items = F.array("o_orderstatus", "o_orderpriority", F.lit("z"))
     pairs = F.create_map(F.lit("a"), F.col("o_orderpriority"))
-    ids = F.transform(F.split("o_orderpriority", "-"), F.trim)
+    ids = F.transform(F.split("o_orderpriority", "-"), lambda x: F.trim(x))
     return read(spark, sf, "orders").select("o_orderkey", F.element_at(items, 2).alias("second"), F.element_at(items, -1).alias("last"), F.size(F.split(F.try_element_at(pairs, F.lit("a")), "-")).cast("bigint").alias("n"), F.element_at(ids, 1).alias("head"))
 
 

@@ -38,7 +38,7 @@ def test_power_detail_of_three_readings(spark):
 
 
 def test_late_rows_are_dropped_by_windows(spark, tmp_path):
-    for i, t in enumerate(["2026-01-10 00:00:00", "2026-01-12 00:00:00", "2026-01-12 06:00:00", "2026-01-01 00:00:00", "2026-01-20 00:00:00", "2026-01-21 00:00:00"]):
+    for i, t in enumerate(["2026-01-10 00:00:00", "2026-01-12 00:00:00", "2026-01-12 06:00:00", "2026-01-01 00:00:00", "2026-01-20 00:00:00", "2026-01-22 00:00:00"]):
         spark.createDataFrame([(t, 1.0)], "t string, v double").selectExpr("cast(t as timestamp) t", "v").coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
     stream = spark.readStream.schema("t timestamp, v double").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
     windows = jobs.by_window(stream, "t", "1 day", [], [F.count("*").alias("n")], late="1 hour")
