@@ -127,7 +127,7 @@ def write_media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     objects = work.write(rows.groupBy("sha").agg(F.min("doc").alias("doc"), F.first("digests").alias("digests")), "objects")
     places = objects.select("doc", "sha", F.posexplode("digests").alias("seq", "digest"))
     shared = work.write(places.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc", "sha", "seq")).alias("first")).where("n > 1").drop("n"), "shared")
-    marks = places.join(shared, "digest").groupBy("sha").agg(F.collect_list(F.struct("seq", (F.struct("doc", "sha", "seq") == F.col("first")).alias("here"))).alias("shared"))
+    marks = places.join(small(shared), "digest").groupBy("sha").agg(F.collect_list(F.struct("seq", (F.struct("doc", "sha", "seq") == F.col("first")).alias("here"))).alias("shared"))
     marks = work.write(marks, "marks")
     own = objects.select("doc", "sha").join(marks, "sha", "left").groupBy("doc").agg(F.collect_list(F.struct("sha", "shared")).alias("own"))
     own = work.write(own, "own")
