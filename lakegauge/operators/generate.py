@@ -66,3 +66,49 @@ def ramp(df: DataFrame, by: str, order: str, low: float, high: float, to: str =
     w, whole = Window.partitionBy(by).orderBy(order), Window.partitionBy(by)
     at = F.try_divide((F.row_number().over(w) - 1).cast("double"), F.count("*").over(whole) - 1)
     return df.withColumn(to, F.lit(low) + (high - low) * F.coalesce(at, F.lit(0.0)))
+
+
+def registry(spark: SparkSession, platforms: int, applications: int, per_application: int) -> DataFrame:
+    """Devices of every application of every platform, numbered throughout."""
+    p, a, d = (spark.range(n).withColumnRenamed("id", c) for n, c in ((platforms, "p"), (applications, "a"), (per_application, "d")))
+    grid = d.crossJoin(F.broadcast(p)).crossJoin(F.broadcast(a))
+    number = (F.col("p") * applications + F.col("a")) * per_application + F.col("d")
+    return grid.select(F.format_string("DEV-%07d", number).alias("device_id"), F.format_string("PC-%03d", "p").alias("platform_customer_id"), F.format_string("AC-%03d-%02d", "p", "a").alias("application_customer_id"), F.format_string("LOC-%02d", number % 20).alias("location_id"))
+
+
+def role_load(role, hour):
+    """The share of full load of a role at an hour of the day."""
+    office, night = hour.between(8, 18), hour.between(0, 5)
+    return F.when(role == "database", F.when(office, 0.75).otherwise(0.45)).when(role == "compute", F.when(night, 0.85).otherwise(0.6)).when(role == "storage", F.lit(0.35)).otherwise(F.when(office, 0.65).otherwise(0.25))
+
+
+def ml_telemetry(spark: SparkSession, n: int, hours: int, start: str = "2026-01-01", anomalies: float = 0.05) -> DataFrame:
+    """Hourly rows in which load drives power, power temperature, and temperature the fans; anomalies break the chain."""
+    at = F.lit(start).cast("timestamp") + F.make_interval(hours=F.col("h"))
+    grid = devices(spark, n).crossJoin(F.broadcast(spark.range(hours).withColumnRenamed("id", "h"))).withColumn("metric_time", at)
+    noise = lambda i: uniform(i, "device_id", "h") - 0.5
+    odd = uniform(9, "device_id", "h") < anomalies
+    cpu = F.greatest(F.lit(0.0), F.least(F.lit(100.0), role_load(F.col("tags"), F.hour("metric_time")) * 100 + 12 * noise(1)))
+    watts = 120 + 2.2 * F.col("cpu_utilization") + 10 * noise(2) + F.when(F.col("is_anomaly"), 180).otherwise(0)
+    heat = 22 + F.col("avg_metric_value") / 8 + 2 * noise(3)
+    fan = 1500 + 45 * (F.col("cpu_temperature") - 30) + 100 * noise(4) - F.when(F.col("is_anomaly"), 600).otherwise(0)
+    rows = grid.withColumn("is_anomaly", odd).withColumn("cpu_utilization", F.round(cpu, 3)).withColumn("avg_metric_value", F.round(watts, 3)).withColumn("cpu_temperature", F.round(heat, 3)).withColumn("fan_speed_rpm", F.round(fan, 1))
+    return rows.withColumns({
+        "max_metric_value": F.col("avg_metric_value") * 1.15, "min_metric_value": F.col("avg_metric_value") * 0.85, "amb_temp": F.round(22 + 3 * noise(5), 2), "memory_utilization": F.round(40 + 0.4 * F.col("cpu_utilization") + 8 * noise(6), 3),
+        "disk_utilization": F.round(30 + 30 * uniform(7, "device_id"), 3), "socket_count": F.lit(2) + F.pmod("device_number", F.lit(3)), "last_boot_time": F.lit(start).cast("timestamp") - F.make_interval(days=(1 + F.pmod("device_number", F.lit(90))).cast("int")),
+        "last_maintenance_date": F.lit(start).cast("timestamp") - F.make_interval(days=(10 + F.pmod("device_number", F.lit(200))).cast("int")),
+    }).drop("h", "device_number")
+
+
+def nested_records(spark: SparkSession, n: int, readings_each: int = 12) -> DataFrame:
+    """JSON records of devices with their readings, some with faults, as a stream source would hold them."""
+    reading = F.transform(F.sequence(F.lit(0), F.lit(readings_each - 1)), lambda i: F.struct((F.lit(100.0) + i).alias("Average"), F.concat(F.lit("2026-01-01T00:"), F.lpad((i * 5).cast("string"), 2, "0"), F.lit(":00Z")).alias("Time")))
+    sockets = F.when(F.col("device_number") % 10 == 3, F.lit("bad")).otherwise((F.lit(1) + F.pmod("device_number", F.lit(4))).cast("string"))
+    body = F.struct(F.when(F.col("device_number") % 10 != 7, F.col("device_id")).alias("device_id"), F.struct(reading.alias("PowerDetail")).alias("data"), F.struct(sockets.alias("socket_count")).alias("inventory_data"))
+    return devices(spark, n).select("device_number", F.to_json(body).alias("value"))
+
+
+def inventory(text):
+    """Hardware of 'key: value' lines as (model, cores, memory); null where a line is missing."""
+    find = lambda key: F.nullif(F.trim(F.regexp_extract(text, rf"(?m)^\s*{key}\s*:\s*(.*)$", 1)), F.lit(""))
+    return F.struct(find("Model").alias("model"), F.regexp_extract(find("Cores"), r"(\d+)", 1).try_cast("int").alias("cores"), F.regexp_extract(find("Memory"), r"(\d+)", 1).try_cast("int").alias("memory_gb"))

@@ -186,3 +186,50 @@ def add_partition_columns(df: DataFrame, now: Column) -> DataFrame:
     times = [F.col(c).try_cast("timestamp") for c in ("metric_time", "window_start", "event_date", "created_at") if c in df.columns]
     at = F.coalesce(*times, now)
     return df.withColumns({"metric_time": at, "partition_date": F.date_format(at, "yyyy-MM-dd")})
+
+
+# stream projection, hot path and exports ----------------------------------------------------------
+
+
+def refine_daily(flat: DataFrame, inserted: Column, device: str = "device_id", time: str = "event_time", value: str = "value") -> DataFrame:
+    """36 columns for each device and day of exploded readings; identity is the first by time that is not null."""
+    day = F.to_date(time)
+    rest = [c for c in (*DIMENSIONS, "socket_count") if c != device]
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(time))) if c in flat.columns else F.lit(None).cast("string")
+    grouped = flat.groupBy(device, day.alias("day")).agg(F.avg(value).alias("avg"), F.max(value).alias("max"), F.min(value).alias("min"), *(first(c).alias(c) for c in rest if c in flat.columns))
+    null = lambda kind: F.lit(None).cast(kind)
+    kinds = {"status": "boolean", "socket_count": "int"}
+    identity = [F.col(c) if c in grouped.columns else null(kinds.get(c, "string")).alias(c) for c in rest if c != "socket_count"]
+    date, at = F.date_format("day", "yyyy-MM-dd"), scalar.epoch(F.col("day").cast("timestamp"))
+    return grouped.select(
+        device, *identity, F.col("avg").alias("MetricValue"), F.lit("power_metrics").alias("metric_id"), null("string").alias("cpu_inventory"), null("string").alias("memory_inventory"), null("int").alias("pcie_devices_count"),
+        (F.col("socket_count").cast("int") if "socket_count" in grouped.columns else null("int")).alias("socket_count"), F.round("avg", 2).alias("avg_metric_value"), F.round("max", 2).alias("max_metric_value"), F.round("min", 2).alias("min_metric_value"),
+        date.alias("metric_time"), at.alias("datetime"), (at + 60).alias("timeRangeEnd"), null("double").alias("amb_temp"), scalar.epoch(inserted).alias("Insertiontime"), F.lit(0.5).alias("co2_factor"), F.lit(1.2).alias("energy_cost_factor"),
+        date.alias("max_metric_time"), date.alias("location_date"), date.alias("inventory_date"),
+    )
+
+
+def hot_rows(results: DataFrame, registry: DataFrame, key: str, sensors: dict[str, float]) -> DataFrame:
+    """Successful poll results with the registry's hierarchy ids and defaults for missing sensors."""
+    ids = registry.select(key, "platform_customer_id", "application_customer_id")
+    good = results.where(F.col("status") == "success").join(ids, key, "left")
+    return good.withColumns({c: F.coalesce(F.col(c), F.lit(d)) for c, d in sensors.items()}).drop("status")
+
+
+def messages(readings: DataFrame, registry: DataFrame, n: int, key: str, order: Sequence[Column], time: str, value: str, defaults: dict[str, str]) -> DataFrame:
+    """key and value (JSON) of one message for each device: its registry attributes and its latest n readings in time order."""
+    latest = first_rows(readings, n, [key], order)
+    detail = power_detail(latest, [key], time, value, value, value)
+    whole = hydrate(detail, registry, key, defaults)
+    return whole.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(key, *defaults, "Average", "Minimum", "Maximum", "PowerDetail")).alias("value"))
+
+
+def points(hours: int) -> int:
+    """Readings of so many hours."""
+    return hours * 12
+
+
+def unregistered(requests: DataFrame, registry: DataFrame, key: str) -> DataFrame:
+    """Requests to register a device that none has; of several for one id the first text wins."""
+    fresh = requests.join(registry.select(key), key, "left_anti")
+    return one_per_key(fresh.withColumn("_o", F.lit(0)), [key], ["_o", *[c for c in fresh.columns if c != key]]).drop("_o")
