@@ -9,7 +9,7 @@ SLOTS, WEEK = 288, 2016
 
 
 def profile(spark: SparkSession) -> DataFrame:
-    """The day's 288 slots with their base value."""
+    """The day's 288 slots with their base value; its numbers are fixed values."""
     slot = F.col("id")
     return spark.range(SLOTS).select(slot.alias("slot_index"), (F.lit(220.0) + 45 * F.sin(slot / 14.0) + 0.85 * (slot % 17)).alias("base_value"))
 

@@ -46,6 +46,7 @@ def hydrate(df: DataFrame, registry: DataFrame, key: str, defaults: dict[str, st
 
 # classification and repair -------------------------------------------------------------------
 
+#: The faults that a repair may mend.
 RECOVERABLE = ("INVALID_SCHEMA", "INVALID_SOCKET_COUNT")
 
 
@@ -91,6 +92,7 @@ def recovery_metadata(df: DataFrame, at: Column) -> Column:
 
 # refined rows ------------------------------------------------------------------------------------
 
+#: The identity columns of a report, in the order of the refined row.
 DIMENSIONS = ("device_id", "report_id", "application_customer_id", "platform_customer_id", "status", "report_type", "error_reason", "model", "tags", "location_state", "location_country", "processor_vendor", "server_generation", "location_id", "location_name", "location_city", "server_name")
 
 

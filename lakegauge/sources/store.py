@@ -135,10 +135,10 @@ class Store:
         update: matched rows are replaced, else they stay. newer_only: a column by which a matched
         row is replaced only if the new value is not less.
         """
-        source = self.latest(source, order)
+        given, source = source, self.latest(source, order)
         if not self.exists():
             return self.create(source)
-        touched = self._touched(source)
+        touched = self._touched(given)  # of the rows as given: no key needs to be shuffled to see their partitions
         target = self._of(touched, source)
         if not update:
             fresh = source.join(target.select(*self.key), self.key, "left_anti")
