@@ -9,9 +9,9 @@ Documents with equal shingle sets become one class first. Classes meet in BANDS
 ROWS coordinates (a pair at 0.85 misses all with probability 2e-6). In a bucket, every class is
 verified against the bucket's least class and HUBS further ones; a bucket whose classes still
 have several components then verifies each class outside the least class's component against the
-classes of other components that it can reach: shingles that no other such class has bound the
-similarity of a pair exactly. So no link inside a bucket is lost, and neither linked classes nor
-heavily edited ones make all their pairs. Verification intersects the full sets of 64-bit shingle hashes.
+classes of other components that it can reach: the parities of a set's numbers in ODD_BITS bins
+bound the difference of two sets from below. So no link inside a bucket is lost, and neither
+linked classes nor heavily edited ones make all their pairs. Verification intersects the full sets of 64-bit shingle hashes.
 
 Defined results: a null or wordless text has no shingles and no links; documents of fewer than
 five words have their whole sequence as one shingle; rows that share a doc_id count as one
@@ -32,6 +32,8 @@ SHINGLE = 5
 BANDS, ROWS = 28, 6
 COORDINATES = BANDS * ROWS
 HUBS = 8
+#: Bins of the parities that bound how far two sets differ.
+ODD_BITS = 512
 
 
 def shingles(words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -115,15 +117,16 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, shingles): the distinct 64-bit hashes in ascending order, as bytes."""
+    """(node, shingles, odd): the distinct 64-bit hashes in ascending order, as bytes, and the parities of their numbers in ODD_BITS bins."""
 
     def run(batches):
         for part in arrowtext.slices(batches, text):
             words = Words(*arrowtext.column(part.column(part.schema.get_field_index(text))), arrowtext.SPACE)
-            sets = [s.tobytes() for s in distinct_sets(*shingles(words), words.rows)]
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(doc_id)), pa.array(sets, pa.binary())], ["node", "shingles"])
+            sets = distinct_sets(*shingles(words), words.rows)
+            odd = [np.packbits(np.bincount((mix(s) % U(ODD_BITS)).astype(np.int64), minlength=ODD_BITS) & 1).view(np.int64) for s in sets]
+            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(doc_id)), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(odd, pa.list_(pa.int64()))], ["node", "shingles", "odd"])
 
-    return docs.select(doc_id, text).mapInArrow(run, "node long, shingles binary")
+    return docs.select(doc_id, text).mapInArrow(run, "node long, shingles binary, odd array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -145,26 +148,6 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def own_shingles(sets: DataFrame) -> DataFrame:
-    """(node, own, common) for sets of hashes: how many no other set has, and how many are in others too; null for a node of several sets."""
-
-    def run(batches):
-        for batch in batches:
-            flat = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
-            size = [len(x) for x in flat]
-            for lo in range(0, len(flat), 256):
-                part = np.concatenate(flat[lo : lo + 256])
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy()[lo : lo + 256], size[lo : lo + 256])), pa.array(part)], ["node", "shingle"])
-
-    n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    places = sets.select("node", "shingles").repartition(n).mapInArrow(run, "node long, shingle long")
-    once = places.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("own"))
-    size = sets.groupBy("node").agg(F.count("*").alias("sets"), F.max(F.octet_length("shingles") / 8).cast("long").alias("size"))
-    whole = F.col("sets") == 1
-    own = F.when(whole, F.coalesce("own", F.lit(0)))
-    return size.join(once, "node", "left").select("node", own.alias("own"), F.when(whole, F.col("size") - F.coalesce("own", F.lit(0))).alias("common"))
-
-
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     work = Workspace(docs.sparkSession, "minhash")
@@ -206,13 +189,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     held = work.write(labelled(held, "hub", "hub_label"), "held")
     split = held.where("label <> hub_label").select("band").distinct()
     held = work.write(held.join(split, "band", "left_semi"), "open")
-    bounds = work.write(own_shingles(shingle_sets.join(held.select("node").distinct(), "node")), "bounds")
-    held = work.write(held.join(bounds, "node"), "bounded")
-    outside = held.where("label <> hub_label").select("band", "node", "label", "common", "own")
-    against = held.select("band", F.col("node").alias("other"), F.col("label").alias("other_label"), F.expr("label <> hub_label").alias("both"), F.col("common").alias("other_common"), F.col("own").alias("other_own"))
-    # shared <= the smaller part that others have too; union >= the greater such part and all own shingles
-    reach = F.expr(f"100 * least(common, other_common) >= {percent} * (greatest(common, other_common) + own + other_own)")
-    on = (outside.band == against.band) & (outside.label != against.other_label) & (~against.both | (outside.node < against.other)) & F.coalesce(reach, F.lit(True))
+    bounds = shingle_sets.select("node", F.expr("octet_length(shingles) div 8").alias("size"), "odd")
+    held = work.write(held.join(bounds, "node").join(sets.select("node", "bands"), "node"), "bounded")
+    outside = held.where("label <> hub_label").select("band", "node", "label", "size", "odd", "bands")
+    against = held.select("band", F.col("node").alias("other"), F.col("label").alias("other_label"), F.expr("label <> hub_label").alias("both"), F.col("size").alias("other_size"), F.col("odd").alias("other_odd"), F.col("bands").alias("other_bands"))
+    # sets differ in at least as many shingles as their parities differ in bits
+    differ = sum((F.bit_count(F.get("odd", F.lit(i)).bitwiseXOR(F.get("other_odd", F.lit(i)))) for i in range(ODD_BITS // 64)), F.lit(0))
+    on = (outside.band == against.band) & (outside.label != against.other_label) & (~against.both | (outside.node < against.other))
+    on &= (100 - percent) * (F.col("size") + F.col("other_size")) >= (100 + percent) * differ
+    on &= outside.band == F.array_min(F.array_intersect("bands", "other_bands"))  # a pair once, in the first bucket that both are in
     rest = outside.join(against, on)
     rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     fresh = work.write(rest.join(tried.union(work.read("tried-1", tried.schema)), ["a", "b"], "left_anti"), "tried-2")
