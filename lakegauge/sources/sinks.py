@@ -80,3 +80,24 @@ def split_days(df: DataFrame, time: str, share: float = 0.8, label: str | None =
     keyed = df.withColumn("_day", F.to_date(time))
     first = keyed.join(F.broadcast(train), "_day", "left_semi").drop("_day")
     return first.drop(label) if label else first, keyed.join(F.broadcast(train), "_day", "left_anti").drop("_day")
+
+
+def kafka(stream: DataFrame, servers: str, topic: str, checkpoint: str):
+    """A stream's key and value to a topic; needs the connector on the class path."""
+    options = {"kafka.bootstrap.servers": servers, "topic": topic, "checkpointLocation": checkpoint}
+    return stream.select("key", "value").writeStream.format("kafka").options(**options).start()
+
+
+def json_folder(stream: DataFrame, path: str, checkpoint: str):
+    """A stream's key and value as JSON files, exactly once by the sink's own log."""
+    return stream.select("key", "value").writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def tsv(df: DataFrame, path: str) -> None:
+    """Tab-separated text for bulk loaders; null is \\N."""
+    df.write.mode("overwrite").options(sep="\t", nullValue="\\N", timestampFormat="yyyy-MM-dd HH:mm:ss").csv(path)
+
+
+def predictions(df: DataFrame, path: str, run: str) -> None:
+    """A run's predictions in a folder of its own, which a repeat overwrites."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/run={run}")

@@ -79,3 +79,15 @@ def test_files_and_silos(spark, tmp_path):
     assert state.load() == {"completed": ["a"], "rows": 3}
     state.reset()
     assert state.load()["rows"] == 0
+
+
+def test_text_and_json_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("a", None), ("b", "x\ty")], "key string, value string")
+    sinks.tsv(df, f"{tmp_path}/t")
+    assert {tuple(r) for r in spark.read.options(sep="\t", nullValue="\\N").schema("key string, value string").csv(f"{tmp_path}/t").collect()} == {("a", None), ("b", "x\ty")}
+    sinks.predictions(df, f"{tmp_path}/p", "1"), sinks.predictions(df, f"{tmp_path}/p", "1")
+    assert spark.read.parquet(f"{tmp_path}/p").count() == 2
+    df.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("key string, value string").parquet(f"{tmp_path}/in")
+    sinks.json_folder(stream, f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination()
+    assert spark.read.json(f"{tmp_path}/out").count() == 2
