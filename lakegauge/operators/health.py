@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, first_number, ratio
+from ..session import ship
 
 MANDATORY = ("metric_time", "last_boot_time")
 
@@ -120,6 +121,7 @@ class IsolationForest:
     def score(self, df: DataFrame, to: str = "anomaly_score") -> DataFrame:
         """df with 0.5 - 2^(-depth / mean depth): below 0 is unlike the sample; null features give null."""
         own = self
+        ship(df.sparkSession)
 
         @F.pandas_udf("double")
         def scored(x: pd.DataFrame) -> pd.Series:

@@ -1,8 +1,19 @@
 """A session with the settings that this library expects."""
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it, besides what the cluster's own path holds."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def build(app: str = "lakegauge", master: str | None = None, **conf: str) -> SparkSession:
     """UTC times, adaptive execution with skew handling; a cluster's own settings stay unless given here."""
     builder = SparkSession.builder.appName(app)
