@@ -12,8 +12,14 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
+#: Rows of whole documents that go to a Python worker at a time: some MB, where Spark's default makes it ten times that.
+BATCH_ROWS = 1000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Python workers find this package where the driver found it, besides what the cluster's own path holds."""
+    """Python workers find this package where the driver found it, besides what the cluster's own path holds; batches are bounded."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
@@ -57,6 +63,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def without(docs: DataFrame, *made: str) -> DataFrame:
+    """docs without columns that have the name of one that an operator makes; the operator's column takes its place."""
+    names = {m.lower() for m in made}
+    return docs.drop(*(c for c in docs.columns if c.lower() in names))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
