@@ -9,7 +9,8 @@ position, and the spans of words found are merged in the document.
 
 Words are compared by 64-bit hashes. Defined results: null or empty text has no words; an item of
 fewer words than the window is one phrase, one without words has none; items with equal phrases
-all count; rows that repeat are judged each; extra columns pass through.
+all count; rows that repeat are judged each; extra columns
+pass through, but for ones named as those made here.
 """
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import arrowtext
 from .arrowtext import U, Words
-from .workspace import Workspace, prepare
+from .workspace import Workspace, prepare, without
 
 WINDOW = 13
 SAMPLE = 8
@@ -207,6 +208,7 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text
     Each pass over the documents takes a block of items of bounded size; with several blocks, the
     result of a pass is a table that the next one reads.
     """
+    docs = without(docs, "n_words", "spans", "items")
     spark, names = docs.sparkSession, docs.columns
     prepare(spark)
     work, marks = Workspace(spark, "fm-index"), ["n_words", "spans", "items"]
@@ -244,7 +246,7 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs with n_words, n_hit, n_items, items_sha256 and contaminated: a twentieth of the words or more are hit."""
-    found = find_spans(docs, benchmark, **options)
+    found = find_spans(without(docs, "n_hit", "n_items", "items_sha256", "contaminated"), benchmark, **options)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
     return (
         found.withColumn("n_hit", n_hit)

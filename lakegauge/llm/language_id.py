@@ -10,7 +10,7 @@ Fitting uses a bounded sample of the labelled training rows, at most PER_LANGUAG
 language, chosen by a hash of the text alone; scoring covers every whole text.
 
 Defined results: null text and text without letters is UNKNOWN with score 0; without any labelled
-rows all texts are UNKNOWN; equal texts have equal results; extra columns pass through.
+rows all texts are UNKNOWN; equal texts have equal results; extra columns pass through, but for ones named as those made here.
 """
 
 import numpy as np
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import arrowtext
 from .arrowtext import U
-from .workspace import prepare
+from .workspace import prepare, without
 
 UNKNOWN = "und"
 LENGTHS = (1, 2, 3)
@@ -111,7 +111,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model |
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """docs with lang_pred and score, the softmax weight of the best language."""
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, without(docs, "lang_pred", "score")
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)  # BUCKETS times LANGUAGES numbers at most
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "lang_pred string, score double"])

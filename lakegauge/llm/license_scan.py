@@ -11,7 +11,7 @@ Only the template terms' counts come to the driver. A line is scored only if so
 are in no template that the bound cosine^2 <= in / (in + out) lets it reach the threshold.
 
 Defined results: null or empty text has no lines; a null path has no directory; rows that share a
-path are one file each and inherit alike; extra columns pass through; equal scores take the least name.
+path are one file each and inherit alike; extra columns pass through, but for ones named as those made here; equal scores take the least name.
 """
 
 import math
@@ -19,7 +19,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import Workspace, small
+from .workspace import Workspace, small, without
 
 #: The usual short notices of common licences.
 TEMPLATES = {
@@ -74,6 +74,7 @@ def own_licences(found: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
 def scan(files: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """files with own_licence, own_score, licence, origin (own, inherited or none) and from_directory."""
     work = Workspace(files.sparkSession, "licences")
+    files = without(files, "own_licence", "own_score", "licence", "origin", "from_directory", "_row", "_path", "_p", "_r", "_own", "_first", "_last", "_folder", "_near")
     names = [c for c in files.columns if c != text]
     keyed = files.withColumn("_row", F.xxhash64(path, text))
     found = lines(keyed, path, text)
