@@ -8,20 +8,20 @@ counts that character whole. Decoding looks ids up in the byte table and joins b
 characters that tokens split come back whole.
 
 Defined results: null text is empty and has no ids; ids that the table lacks raise; bytes that
-are not UTF-8 decode to U+FFFD in decoded text; repeated rows and extra columns are kept as they are.
+are not UTF-8 decode to U+FFFD in decoded text; repeated rows and
+extra columns are kept as they are, but for columns named as those made here.
 """
 
 import base64
 import hashlib
 import json
-import os
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import arrowtext, workspace
+from .pieces import encoder
 
 
 def byte_characters() -> list[str]:
@@ -55,16 +55,6 @@ def model_json(ranks: dict[bytes, int], pattern: str) -> str:
     })
 
 
-@cache
-def load_tokenizer(text: str):
-    """A tokenizer from its JSON, once in each worker, on one thread: Spark's tasks are the parallel part."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    os.environ["RAYON_NUM_THREADS"] = "1"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_str(text)
-
-
 class ByteTable:
     """The bytes of each id in one blob."""
 
@@ -88,22 +78,6 @@ class ByteTable:
         return self.blob[at], end
 
 
-def strings(array) -> list[str]:
-    """Python strings of an Arrow column; null is empty, bytes that are not UTF-8 are U+FFFD."""
-    try:
-        return [x or "" for x in array.to_pylist()]
-    except UnicodeDecodeError:
-        return [(x or b"").decode("utf-8", "replace") for x in array.cast(pa.binary()).to_pylist()]
-
-
-def encode_slice(tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of the texts in a row, and each text's number of them."""
-    found = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-    count = np.fromiter(map(len, found), np.int64, len(found))
-    ids = np.fromiter((i for x in found for i in x), np.uint32, int(count.sum()))
-    return ids, count
-
-
 def character_offsets(data: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last-plus-one character of each token of one text, from its bytes and the tokens' byte ends."""
     begins = (data & 0xC0) != 0x80
@@ -125,12 +99,13 @@ class BytePairs:
     def encode(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """docs with ids, char_start and char_end (arrays of int, one entry a token)."""
         model, tokens = self.model, self.tokens
+        docs = workspace.without(docs, "ids", "char_start", "char_end")
         schema = f"{_ddl(docs)}, ids array<int>, char_start array<int>, char_end array<int>"
 
         def run(batches):
-            tokenizer, table = load_tokenizer(model.value), ByteTable(tokens.value)
-            for part in arrowtext.slices(batches, text):
-                ids, count = encode_slice(tokenizer, strings(part.column(part.schema.get_field_index(text))))
+            pieces, table = encoder(model.value), ByteTable(tokens.value)
+            for part in arrowtext.slices(batches, text, 1 << 19):
+                ids, count = pieces.encode(part.column(part.schema.get_field_index(text)))
                 at = np.concatenate([[0], np.cumsum(count)])
                 pairs = []
                 for lo, hi in zip(at, at[1:]):
@@ -143,7 +118,7 @@ class BytePairs:
 
     def decode(self, docs: DataFrame, ids: str = "ids", to: str = "decoded") -> DataFrame:
         """docs with the text of an array column of ids; a null array is null."""
-        tokens = self.tokens
+        tokens, docs = self.tokens, workspace.without(docs, to)
 
         def run(batches):
             table = ByteTable(tokens.value)
@@ -156,13 +131,14 @@ class BytePairs:
     def round_trip(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """docs with n_tokens, ids_sha256 (ids as little-endian 32-bit) and decoded_sha256 (bytes made from the ids)."""
         model, tokens = self.model, self.tokens
+        docs = workspace.without(docs, "n_tokens", "ids_sha256", "decoded_sha256")
         keep = [c for c in docs.columns if c != text]
         schema = ", ".join([*([_ddl(docs.select(*keep))] if keep else []), "n_tokens long, ids_sha256 string, decoded_sha256 string"])
 
         def run(batches):
-            tokenizer, table = load_tokenizer(model.value), ByteTable(tokens.value)
-            for part in arrowtext.slices(batches, text):
-                ids, count = encode_slice(tokenizer, strings(part.column(part.schema.get_field_index(text))))
+            pieces, table = encoder(model.value), ByteTable(tokens.value)
+            for part in arrowtext.slices(batches, text, 1 << 19):
+                ids, count = pieces.encode(part.column(part.schema.get_field_index(text)))
                 data, end = table.decode(ids)
                 at = np.concatenate([[0], np.cumsum(count)])
                 cut = np.concatenate([[0], end])[at]

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import arc_warc, byte_bpe, fm_index, hpy_lm, language_id, license_scan, media_chunks, minhash_fss, sentence_spans, simple8b
+from .pieces import PATTERN
 from .workspace import Workspace, prepare, table
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = "/opt/tokenizers"
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def op1_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
