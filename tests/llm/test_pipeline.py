@@ -54,6 +54,7 @@ def test_run_applies_all_stages(spark):
 def test_empty_and_wider_documents(spark, documents):
     for _, f in corpus_pipeline.STAGES:
         assert f(spark, documents.limit(0), SF).collect() == []
-    wide = documents.withColumn("kept", F.lit("x")).withColumn("node", F.lit(1))
+    made = ("kept", "node", "n_words", "spans", "items", "score", "lang_pred", "cuts", "_cuts", "n_removed", "ids", "contaminated", "_l")
+    wide = documents.select("*", *(F.lit(i).alias(c) for i, c in enumerate(made)))
     for name, f in corpus_pipeline.STAGES[:-1]:
         assert set(f(spark, wide, SF).columns) == set(wide.columns), name
