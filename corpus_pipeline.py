@@ -48,11 +48,22 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pairs.round_trip(docs.select("doc_id", "text"))
 
 
+def apart(stage):
+    """A stage under which columns beyond those of documents have names that no operator makes."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        more = {c: f"_document_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "lang", "source", "n_chars")}
+        found = stage(spark, docs.withColumnsRenamed(more), sf_dir)
+        return found.withColumnsRenamed({v: k for k, v in more.items()})
+
+    return run
+
+
 STAGES = [
-    ("language", language),
-    ("near_duplicates", near_duplicates),
-    ("repeats", repeats),
-    ("benchmarks", benchmarks),
+    ("language", apart(language)),
+    ("near_duplicates", apart(near_duplicates)),
+    ("repeats", apart(repeats)),
+    ("benchmarks", apart(benchmarks)),
     ("tokens", tokens),
 ]
 
