@@ -9,7 +9,8 @@ the end. Stock phrases of fewer words stay. Runs inside one document repeat as t
 Defined results: null text stays null, text without repeats stays as it is; a document of one
 sentence with enough words is one run; rows that share a doc_id and text are ordered by nothing
 but their equal text, so each keeps what the first keeps; removed sentences go with the white
-space behind them; rows with null doc_id come after all others.
+space behind them; rows with null doc_id come after all others; extra columns pass through, but for ones named as
+those made here.
 """
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import arrowtext
 from .arrowtext import U, Words
-from .workspace import Workspace, small
+from .workspace import Workspace, without
 
 RUN = 2
 MIN_WORDS = 20
@@ -74,6 +75,7 @@ def _runs(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with text cut, n_sentences, n_removed and removed_bytes."""
     work = Workspace(docs.sparkSession, "sentences")
+    docs = without(docs, "n_sentences", "n_removed", "removed_bytes", "_doc", "_digest", "_cuts")
     named = docs.select(F.coalesce(F.col(doc_id), F.lit(2**63 - 1)).alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("digest"))
     runs = _runs(named)
     first = F.min(F.struct("doc", "digest", "place"))
@@ -82,8 +84,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # both sides of this join are fresh, so Spark may split the partition of a frequent run
     covered = runs.join(repeated, ["one", "two"])
     covered = covered.where(F.struct("doc", "digest", "place") != F.col("first")).select("doc", "digest", "place", "length")
-    per_doc = covered.groupBy("doc", "digest").agg(F.collect_set(F.struct("place", "length")).alias("_cuts"))
-    cuts = small(work.write(per_doc, "cuts"), 200_000)
+    per_doc = covered.groupBy("doc", "digest").agg(F.collect_set(F.shiftleft(F.col("place").cast("long"), 32) + F.col("length")).alias("_cuts"))
+    cuts = work.write(per_doc, "cuts")
     names = docs.columns
     keyed = docs.withColumn("_doc", F.coalesce(F.col(doc_id), F.lit(2**63 - 1))).withColumn("_digest", F.xxhash64(text))
     joined = keyed.join(cuts, (F.col("_doc") == cuts.doc) & (F.col("_digest") == cuts.digest), "left").select(*(keyed[c] for c in names), "_cuts")
@@ -99,8 +101,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             first = np.concatenate([[0], np.cumsum(s.per_doc)])
             for r, cuts in enumerate(part.column(part.schema.get_field_index("_cuts")).to_pylist()):
                 for c in cuts or ():
-                    gone[first[r] + c["place"]] += 1
-                    gone[first[r] + c["place"] + c["length"]] -= 1
+                    place, length = c >> 32, c & 0xFFFFFFFF
+                    gone[first[r] + place] += 1
+                    gone[first[r] + place + length] -= 1
             gone = np.cumsum(gone[:-1]) > 0
             removed = np.bincount(s.doc, gone, minlength=s.words.rows).astype(np.int64)
             raw, texts = data.tobytes(), column.to_pylist()
