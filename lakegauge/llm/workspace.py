@@ -60,7 +60,7 @@ class Workspace:
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df, marked for broadcast if it has at most so many rows; a shuffle join beyond."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def without(docs: DataFrame, *made: str) -> DataFrame:
