@@ -23,6 +23,9 @@ from pyspark.sql import DataFrame
 from . import arrowtext, workspace
 from .pieces import encoder
 
+#: Pieces that a worker remembers here, beside the merges' own table.
+REMEMBERED = 500_000
+
 
 def byte_characters() -> list[str]:
     """One printable character for each byte: itself where it prints, else one from U+0100 on in order."""
@@ -103,7 +106,7 @@ class BytePairs:
         schema = f"{_ddl(docs)}, ids array<int>, char_start array<int>, char_end array<int>"
 
         def run(batches):
-            pieces, table = encoder(model.value), ByteTable(tokens.value)
+            pieces, table = encoder(model.value, REMEMBERED), ByteTable(tokens.value)
             for part in arrowtext.slices(batches, text, 1 << 19):
                 ids, count = pieces.encode(part.column(part.schema.get_field_index(text)))
                 at = np.concatenate([[0], np.cumsum(count)])
@@ -136,7 +139,7 @@ class BytePairs:
         schema = ", ".join([*([_ddl(docs.select(*keep))] if keep else []), "n_tokens long, ids_sha256 string, decoded_sha256 string"])
 
         def run(batches):
-            pieces, table = encoder(model.value), ByteTable(tokens.value)
+            pieces, table = encoder(model.value, REMEMBERED), ByteTable(tokens.value)
             for part in arrowtext.slices(batches, text, 1 << 19):
                 ids, count = pieces.encode(part.column(part.schema.get_field_index(text)))
                 data, end = table.decode(ids)

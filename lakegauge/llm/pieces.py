@@ -87,10 +87,10 @@ def _kinds() -> np.ndarray:
 class PieceEncoder:
     """Ids of whole texts by a byte-level tokenizers file; each distinct piece between the pattern's cuts goes to the library once.
 
-    Pieces are known by 64-bit hashes in an open table; a worker remembers REMEMBERED of them.
+    Pieces are known by 64-bit hashes in an open table; a worker remembers so many of them.
     """
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, remembered: int = REMEMBERED):
         self.tokenizer = load_tokenizer(model)
         own = json.loads(model)
         self.special = [t["content"].encode() for t in own["added_tokens"]]
@@ -99,7 +99,7 @@ class PieceEncoder:
         cut = len(steps) == 2 and steps[0].get("type") == "Split" and steps[0]["pattern"] == {"Regex": PATTERN} and steps[0]["behavior"] == "Isolated" and steps[1]["type"] == "ByteLevel" and not steps[1]["use_regex"]
         #: Texts of other files, or with characters that two Unicode versions might class differently, go to the library whole.
         self.plain = (cut or level.get("type") == "ByteLevel" and level.get("use_regex")) and not level.get("add_prefix_space") and not own["normalizer"]
-        self.bits = int(2 * REMEMBERED - 1).bit_length()
+        self.remembered, self.bits = remembered, int(2 * remembered - 1).bit_length()
         self.table, self.value = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int32)
         self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
         self.room, self.known, self.filled = (0, 0), 0, 0
@@ -122,7 +122,7 @@ class PieceEncoder:
         return out
 
     def _remember(self, hashes: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
-        take = min(len(hashes), REMEMBERED - self.known)
+        take = min(len(hashes), self.remembered - self.known)
         if take <= 0:
             return
         hashes, size = hashes[:take], size[:take]
@@ -208,5 +208,5 @@ def simple_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 @cache
-def encoder(model: str) -> PieceEncoder:
-    return PieceEncoder(model)
+def encoder(model: str, remembered: int = REMEMBERED) -> PieceEncoder:
+    return PieceEncoder(model, remembered)
