@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sentences that repeat an earlier passage are cut; a document of which nothing is left goes."""
-    found = sentence_spans.remove_repeats(docs)
+    found = sentence_spans.remove_repeats(docs, every_run=True)
     left = found.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
     cut = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", cut).select(*docs.columns)

@@ -45,7 +45,7 @@ def op8_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    found = sentence_spans.remove_repeats(docs)
+    found = sentence_spans.remove_repeats(docs, every_run=True)
     return found.select("doc_id", "n_sentences", "n_removed", "removed_bytes", F.expr("n_removed > 0").alias("has_repeat"), "text")
 
 

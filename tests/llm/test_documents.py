@@ -80,3 +80,41 @@ def test_language_of_odd_rows(spark):
     none = language_id.predict(docs, language_id.fit(docs.where("lang is null"))).collect()
     assert {(r["lang_pred"], r["score"]) for r in none} == {("und", 0.0)}
     assert language_id.predict(docs.limit(0), language_id.fit(docs)).collect() == []
+
+
+def every(rows):
+    """Texts without each sentence that lies in a run of RUN sentences and MIN_WORDS words or more, or is of over 50 words, that stands earlier too; all runs are tried."""
+    runs, found = {}, {}
+    for i, text in rows:
+        own = sentences(text)
+        for a in range(len(own)):
+            for b in range(a + 1, len(own) + 1):
+                words = tuple(w for s in own[a:b] for w in s[1])
+                if len(words) > 50 or len(words) >= MIN_WORDS and b - a >= min(RUN, len(own)):
+                    runs.setdefault(words, []).append((i, a, b))
+    gone = {i: set() for i, _ in rows}
+    for places in runs.values():
+        for i, a, b in sorted(places)[1:]:
+            gone[i].update(range(a, b))
+    for i, text in rows:
+        own = sentences(text)
+        ends = [s[0] for s in own[1:]] + [len(text.encode())]
+        found[i] = b"".join(text.encode()[s[0] : e] for k, (s, e) in enumerate(zip(own, ends)) if k not in gone[i]).decode()
+    return found
+
+
+def test_every_run_of_a_passage_is_found(spark):
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    sentence = lambda n: " ".join(word() for _ in range(n)) + "."
+    passages = [[sentence(n) for n in sizes] for sizes in ([60], [50], [51], [30, 3], [3, 30, 3], [9, 4, 9], [9, 9], [5, 5, 5, 5, 5, 5, 2, 1], [25, 25, 4, 4])]
+    rows = []
+    for i in range(120):
+        parts = [sentence(rng.randrange(1, 15)) for _ in range(rng.randrange(3))] + rng.choice(passages) + [sentence(rng.randrange(1, 15)) for _ in range(rng.randrange(3))]
+        rows.append((i, " ".join(parts)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = every(rows)
+    got = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeats(docs, every_run=True).collect()}
+    assert got == want
+    assert got != {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeats(docs).collect()}
+    assert sentence_spans.remove_repeats(docs.limit(0), every_run=True).collect() == []
