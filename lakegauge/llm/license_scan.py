@@ -1,14 +1,14 @@
 """Licences of files: TF-IDF cosine of their lines to templates, and inheritance by directory. DataFrame functions only.
 
 Every line of a file is a set of terms (ASCII letters lower-cased, cut at all but letters and
-digits). A term's weight is ln((1 + lines) / (1 + lines with it)) + 1 over all lines of all files;
-a term of no template weighs as one in no line. The best template at THRESHOLD or more, ties by
+digits). A term's weight is ln((1 + lines) / (1 + lines with it)) + 1 over all lines of all files. The best template at THRESHOLD or more, ties by
 name, is the line's licence; the best line's is the file's own. A file whose first or last line with
 terms is a licence line declares its own for its directory (of several the least path counts). A file
 without a licence of its own has that of the nearest directory above it with a licence file.
 
-Only the template terms' counts come to the driver. A line is scored only if so few of its terms
-are in no template that the bound cosine^2 <= in / (in + out) lets it reach the threshold.
+Only the template terms' counts come to the driver. No weight is under 1, so a line is scored only
+if it reaches the threshold with 1 for each of its terms that are in no template; then those terms'
+counts are joined.
 
 Defined results: null or empty text has no lines; a null path has no directory; rows that share a
 path are one file each and inherit alike; extra columns pass through, but for ones named as those made here; equal scores take the least name.
@@ -51,24 +51,34 @@ def lines(files: DataFrame, path: str, text: str) -> DataFrame:
     return files.select(F.col(path).alias("_path"), "_row", line).select("_path", "_row", "place", terms.alias("terms")).where(F.size("terms") > 0)
 
 
-def own_licences(found: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def own_licences(found: DataFrame, work: Workspace, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Lines with licence and score, those at the threshold only; found are the lines of all files."""
     by = {name: terms_of(t) for name, t in templates.items()}
     vocabulary = sorted({t for own in by.values() for t in own})
-    inside = F.array_intersect("terms", F.array(*map(F.lit, vocabulary)))
-    hits = found.select(F.explode(F.concat(inside, F.array(F.lit("")))).alias("term"))  # the empty term counts lines
-    seen = {r[0]: r[1] for r in hits.groupBy("term").count().collect()}  # one row for each template term
+    hits = found.select(F.explode(F.concat("terms", F.array(F.lit("")))).alias("term"))  # the empty term counts lines
+    counts = work.write(hits.groupBy("term").count(), "terms")
+    seen = {r[0]: r[1] for r in counts.where(F.col("term").isin("", *vocabulary)).collect()}  # one row for each template term
     n = seen.get("", 0)
     weight = {t: math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for t in vocabulary}
-    most = math.log(1 + n) + 1
     lookup = F.create_map(*[F.lit(x) for t in vocabulary for x in (t, weight[t] ** 2)])
     squares = lambda terms: F.aggregate(terms, F.lit(0.0), lambda s, t: s + F.element_at(lookup, t))
-    sized = found.withColumn("_in", inside).withColumn("_out", F.size("terms") - F.size("_in"))
-    near = sized.where(F.size("_in") * (1 - threshold**2) >= F.col("_out") * threshold**2)
-    norm = F.sqrt(squares("_in") + F.col("_out") * F.lit(most**2))
-    scores = [F.struct((-F.round(squares(F.array_intersect("_in", F.array(*map(F.lit, own)))) / (norm * F.lit(math.sqrt(sum(weight[t] ** 2 for t in own)))), 6)).alias("s"), F.lit(name).alias("licence")) for name, own in sorted(by.items())]
-    best = near.withColumn("_best", F.array_min(F.array(*scores)))
-    return best.select("_path", "_row", "place", F.col("_best.licence").alias("licence"), (-F.col("_best.s")).alias("score")).where(F.col("score") >= threshold)
+
+    def scored(rows, outside):
+        """rows with their best licence, at the threshold; outside is the sum of squares of the terms in no template."""
+        norm = F.sqrt(squares("_in") + outside)
+        scores = [F.struct((-F.round(squares(F.array_intersect("_in", F.array(*map(F.lit, own)))) / (norm * F.lit(math.sqrt(sum(weight[t] ** 2 for t in own)))), 6)).alias("s"), F.lit(name).alias("licence")) for name, own in sorted(by.items())]
+        return rows.withColumn("_best", F.array_min(F.array(*scores))).where(-F.col("_best.s") >= threshold)
+
+    known = F.array(*map(F.lit, vocabulary))
+    sized = found.withColumn("_in", F.array_intersect("terms", known)).withColumn("_out", F.array_except("terms", known))
+    sized = sized.where(F.size("_in") > 0)
+    near = work.write(scored(sized, F.size("_out").cast("double")).select("_path", "_row", "place", "_in", "_out").dropDuplicates(["_path", "_row", "place"]), "near")
+    wanted = small(near.select(F.explode("_out").alias("term")).distinct())
+    square = F.pow(F.log(F.lit(1.0 + n) / (1 + F.col("count"))) + 1, F.lit(2))
+    weighed = small(work.write(counts.join(wanted, "term", "left_semi").select("term", square.alias("square")), "weights"))
+    outer = near.select("_path", "_row", "place", "_in", F.explode_outer("_out").alias("term")).join(weighed, "term", "left")
+    lines_ = outer.groupBy("_path", "_row", "place").agg(F.first("_in").alias("_in"), F.coalesce(F.sum("square"), F.lit(0.0)).alias("_square"))
+    return scored(lines_, F.col("_square")).select("_path", "_row", "place", F.col("_best.licence").alias("licence"), (-F.col("_best.s")).alias("score"))
 
 
 def scan(files: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -78,7 +88,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", templates: di
     names = [c for c in files.columns if c != text]
     keyed = files.withColumn("_row", F.xxhash64(path, text))
     found = lines(keyed, path, text)
-    scored = work.write(own_licences(found, templates, threshold), "lines")
+    scored = work.write(own_licences(found, work, templates, threshold), "lines")
     first = F.min(F.struct((-F.col("score")).alias("s"), "licence", "place"))
     own = scored.groupBy("_path", "_row").agg(first.alias("_own"), F.min("place").alias("_first"), F.max("place").alias("_last"))
     own = work.write(own, "own")

@@ -1,3 +1,5 @@
+import math
+
 import duckdb
 from lakegauge.llm import license_scan, queries
 
@@ -38,3 +40,19 @@ def test_nearest_directory_and_odd_rows(spark):
     assert license_scan.scan(files.limit(0)).collect() == []
     extra = files.withColumn("licences", files.path).withColumn("score", files.doc_id).withColumn("directory", files.path)
     assert license_scan.scan(extra).count() == len(rows)
+
+
+def test_every_term_has_its_own_weight(spark):
+    notices = ["All rights reserved, as it was.", "Licensed under CC BY-NC 4.0, as it was for the rest on it.", "Released under the MIT License for all, as it was."]
+    prose = [(i, f"p/{i}", f"it was a day{i} as it is for the rest on all") for i in range(400)]
+    files = spark.createDataFrame(prose + [(1000 + i, f"n/{i}.txt", t) for i, t in enumerate(notices)], "doc_id long, path string, text string")
+    found = {r["doc_id"]: r for r in license_scan.scan(files).collect()}
+    texts = prose + [(1000 + i, "", t) for i, t in enumerate(notices)]
+    sets = {i: set(license_scan.terms_of(t)) for i, _, t in texts}
+    weight = lambda term: math.log((1 + len(texts)) / (1 + sum(term in s for s in sets.values()))) + 1
+    norm = lambda s: math.sqrt(sum(weight(x) ** 2 for x in s))
+    for i, name in zip((1000, 1001, 1002), ("Proprietary", "CC-BY-NC-4.0", "MIT")):
+        own = set(license_scan.terms_of(license_scan.TEMPLATES[name]))
+        score = sum(weight(x) ** 2 for x in own & sets[i]) / (norm(own) * norm(sets[i]))
+        assert found[i]["own_licence"] == name and abs(found[i]["own_score"] - score) < 2e-6
+    assert all(found[i]["origin"] == "none" for i in range(400))
