@@ -20,11 +20,10 @@ def files(spark: SparkSession, path: str, schema: str, kind: str = "parquet", pe
 
 
 def parse(stream: DataFrame, schema: str, value: str = "value") -> DataFrame:
-    """raw, parsed and error_type of JSON records. Broken JSON is INVALID_SCHEMA and keeps its text in raw."""
-    broken = F.from_json(F.col(value).cast("string"), f"{schema}, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
-    rows = stream.withColumn("raw", F.col(value).cast("string")).withColumn("_p", broken)
-    whole = F.when(F.col("_p").isNotNull() & F.col("_p._broken").isNull(), F.col("_p"))
-    rows = rows.withColumn("parsed", whole).drop("_p")
+    """raw, parsed and error_type of JSON records. What is no JSON object is INVALID_SCHEMA and keeps its text in raw; a field of another type than declared is null."""
+    rows = stream.withColumn("raw", F.col(value).cast("string"))
+    sound = F.try_parse_json("raw").isNotNull() & F.ltrim("raw").startswith("{")
+    rows = rows.withColumn("parsed", F.when(sound, F.from_json("raw", schema)))
     return rows.withColumn("error_type", error_type("parsed"))
 
 

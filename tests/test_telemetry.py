@@ -100,3 +100,13 @@ def test_generators_do_not_depend_on_partitions(spark):
     a = generate.readings(spark, 30, 10)
     assert a.exceptAll(generate.readings(spark, 30, 10).repartition(7)).count() == 0
     assert generate.daily_file(spark, 3, "2026-01-02").select("device_id", "metric_time").distinct().count() == 3 * 2016
+
+
+def test_stream_parse_tells_wrong_types_from_broken_json(spark):
+    from lakegauge.plans import pipelines
+
+    rows = spark.range(16).selectExpr("id AS event_id", "id AS user_id").withColumn("value", F.expr(pipelines._RAW)).withColumn("want", F.expr(pipelines._CLASS))
+    found = jobs.parse(rows, pipelines._RECORD).collect()
+    assert len(found) == 16 and all(r["error_type"] == r["want"] for r in found)
+    odd = spark.createDataFrame([("5",), ('"x"',), ("[]",), (None,), (" ",)], "value string")
+    assert {r["error_type"] for r in jobs.parse(odd, pipelines._RECORD).collect()} == {"INVALID_SCHEMA"}
