@@ -4,6 +4,7 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written a
 the next stage's docs. All but the last return the columns of documents.
 """
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of each document's ids and of the text they decode to."""
-    pairs = byte_bpe.BytePairs(spark, f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken", queries.PATTERN)
+    pairs = byte_bpe.BytePairs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return pairs.round_trip(docs.select("doc_id", "text"))
 
 

@@ -9,6 +9,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 1 << 19
 U = np.uint64
@@ -42,30 +43,79 @@ def keys(seed: int, n: int) -> np.ndarray:
 
 
 BYTE_KEY = keys(1, 256)
-STEP = U(0xD1342543DE82EF95)
+LANES = keys(2, 4)
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = U(pow(int(STEP), -1, 1 << 64))
-    out = []
-    for factor in (STEP, inverse):
-        x = np.full(n, factor, dtype=U)
-        x[0] = 1
-        out.append(np.multiply.accumulate(x))
-    return out[0], out[1]
+#: Spans of more bytes than this are hashed one by one by a library; shorter ones eight bytes at a time, all together.
+LONG = 64
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], U)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lanes: int = 1) -> list[np.ndarray]:
+    """64-bit hashes of data[start:end] for each pair, as many independent ones as lanes.
+
+    Every eight bytes are mixed into what went before, so no structure of a text, such as one sequence
+    and its complement, makes two spans meet more often than chance.
+    """
+    size = (end - start).astype(np.int64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    out = [mix(size.astype(U) * BYTE_KEY[0] + LANES[k]) for k in range(lanes)]
+    left, at = np.flatnonzero((size > 0) & (size <= LONG)), 0
+    while len(left):
+        chunk = eight[start[left] + at] & _KEEP[np.minimum(size[left] - at, 8)]
+        for h in out:
+            h[left] = mix(h[left] ^ chunk) + BYTE_KEY[1]
+        at += 8
+        left = left[size[left] > at]
+    for i in np.flatnonzero(size > LONG):
+        span = data[start[i] : end[i]].tobytes()
+        for k, h in enumerate(out):
+            h[i] = xxhash.xxh3_64_intdigest(span, seed=int(LANES[k]))
+    return out
+
+
+#: Polynomials of runs are taken modulo this prime, for products modulo a power of two have runs that always meet.
+PRIME = U(2**61 - 1)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(20, int(n).bit_length()))
+def _modulo(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> U(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, from halves of 31 bits."""
+    low = U(2**31 - 1)
+    a1, a0, b1, b0 = a >> U(31), a & low, b >> U(31), b & low
+    middle = a0 * b1 + a1 * b0
+    return _modulo(a1 * b1 * U(2) + (middle >> U(30)) + ((middle & U(2**30 - 1)) << U(31)) + a0 * b0)
+
+
+@cache
+def _powers(n: int, lane: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a lane's base and of its inverse, 0 to n - 1; n is a power of two."""
+    out, p = [], int(PRIME)
+    base = int(LANES[lane]) % p
+    for step in (base, pow(base, p - 2, p)):
+        x = np.ones(1, U)
+        while len(x) < n:
+            x = np.concatenate([x, _times(x, U(pow(step, len(x), p)))])
+        out.append(x)
+    return out[0], out[1]
 
 
-def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for each pair: a polynomial from prefix sums, then mixed with the length."""
-    up, down = powers(len(values) + 1)
-    prefix = np.zeros(len(values) + 1, dtype=U)
-    np.cumsum(values * up[: len(values)], out=prefix[1:])
-    return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(U) * BYTE_KEY[0])
+def run_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, lanes: int = 1) -> list[np.ndarray]:
+    """64-bit hashes of the runs values[start:end] of 64-bit values, by polynomials over prefix sums modulo a prime."""
+    out, n = [], 1 << max(16, len(values).bit_length())
+    size = mix((end - start).astype(U) + BYTE_KEY[2])
+    for lane in range(lanes):
+        up, down = _powers(n, lane)
+        term = _times(_modulo(mix(values ^ LANES[lane])), up[: len(values)])
+        low, high = (np.concatenate([np.zeros(1, U), np.cumsum(x, dtype=U)]) for x in (term & U(2**31 - 1), term >> U(31)))
+        whole = _modulo(_modulo(low[end] - low[start]) + _times(_modulo(high[end] - high[start]), U(2**31)))
+        out.append(mix(_times(whole, down[start]) ^ size))
+    return out
 
 
 def column(array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +161,7 @@ class Words:
         self.first = np.searchsorted(self.start, offsets[:-1])
         self.count = np.diff(self.first, append=len(self.start))
         self.doc = np.repeat(np.arange(self.rows), self.count)
-        self.hash = span_hashes(BYTE_KEY[self.data], self.start, self.end) if n else np.zeros(0, U)
+        self.hash = span_hashes(self.data, self.start, self.end)[0] if n else np.zeros(0, U)
 
 
 def fold(hashes: np.ndarray, width: int, seed: int) -> np.ndarray:

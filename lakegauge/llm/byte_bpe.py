@@ -15,13 +15,14 @@ extra columns are kept as they are, but for columns named as those made here.
 import base64
 import hashlib
 import json
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import arrowtext, workspace
-from .pieces import encoder
+from .pieces import PieceEncoder
 
 #: Pieces that a worker remembers here, beside the merges' own table.
 REMEMBERED = 500_000
@@ -34,9 +35,13 @@ def byte_characters() -> list[str]:
     return [chr(b if b in prints else next(spare)) for b in range(256)]
 
 
+def parse_ranks(content: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    with open(path, "rb") as file:
+        return parse_ranks(file.read())
 
 
 def model_json(ranks: dict[bytes, int], pattern: str) -> str:
@@ -90,23 +95,35 @@ def character_offsets(data: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np
     return seen[start] - inside, seen[end]
 
 
+@cache
+def byte_table(content: bytes) -> ByteTable:
+    return ByteTable({rank: token for token, rank in parse_ranks(content).items()})
+
+
+@cache
+def ranked_encoder(content: bytes, pattern: str) -> PieceEncoder:
+    return PieceEncoder(model_json(parse_ranks(content), pattern), REMEMBERED)
+
+
 class BytePairs:
-    """encode, decode and round_trip over DataFrames, for one rank file and pattern."""
+    """encode, decode and round_trip over DataFrames, for one rank file and pattern.
+
+    Tasks get the rank file's bytes and make the merges and the byte table once in each worker.
+    """
 
     def __init__(self, spark, rank_file: str, pattern: str):
         workspace.prepare(spark)
-        ranks = read_ranks(rank_file)
-        self.model = spark.sparkContext.broadcast(model_json(ranks, pattern))  # of the vocabulary's size
-        self.tokens = spark.sparkContext.broadcast({r: t for t, r in ranks.items()})
+        with open(rank_file, "rb") as file:
+            self.ranks, self.pattern = spark.sparkContext.broadcast(file.read()), pattern  # of the vocabulary's size
 
     def encode(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """docs with ids, char_start and char_end (arrays of int, one entry a token)."""
-        model, tokens = self.model, self.tokens
+        ranks, pattern = self.ranks, self.pattern
         docs = workspace.without(docs, "ids", "char_start", "char_end")
         schema = f"{_ddl(docs)}, ids array<int>, char_start array<int>, char_end array<int>"
 
         def run(batches):
-            pieces, table = encoder(model.value, REMEMBERED), ByteTable(tokens.value)
+            pieces, table = ranked_encoder(ranks.value, pattern), byte_table(ranks.value)
             for part in arrowtext.slices(batches, text, 1 << 19):
                 ids, count = pieces.encode(part.column(part.schema.get_field_index(text)))
                 at = np.concatenate([[0], np.cumsum(count)])
@@ -121,10 +138,10 @@ class BytePairs:
 
     def decode(self, docs: DataFrame, ids: str = "ids", to: str = "decoded") -> DataFrame:
         """docs with the text of an array column of ids; a null array is null."""
-        tokens, docs = self.tokens, workspace.without(docs, to)
+        ranks, docs = self.ranks, workspace.without(docs, to)
 
         def run(batches):
-            table = ByteTable(tokens.value)
+            table = byte_table(ranks.value)
             for batch in batches:
                 texts = [None if x is None else table.decode(np.array(x, np.int64))[0].tobytes().decode("utf-8", "replace") for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, to])
@@ -133,13 +150,13 @@ class BytePairs:
 
     def round_trip(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """docs with n_tokens, ids_sha256 (ids as little-endian 32-bit) and decoded_sha256 (bytes made from the ids)."""
-        model, tokens = self.model, self.tokens
+        ranks, pattern = self.ranks, self.pattern
         docs = workspace.without(docs, "n_tokens", "ids_sha256", "decoded_sha256")
         keep = [c for c in docs.columns if c != text]
         schema = ", ".join([*([_ddl(docs.select(*keep))] if keep else []), "n_tokens long, ids_sha256 string, decoded_sha256 string"])
 
         def run(batches):
-            pieces, table = encoder(model.value, REMEMBERED), ByteTable(tokens.value)
+            pieces, table = ranked_encoder(ranks.value, pattern), byte_table(ranks.value)
             for part in arrowtext.slices(batches, text, 1 << 19):
                 ids, count = pieces.encode(part.column(part.schema.get_field_index(text)))
                 data, end = table.decode(ids)

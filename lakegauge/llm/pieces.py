@@ -11,17 +11,19 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 
 from . import arrowtext
 
 U = np.uint64
 
-#: The pattern that these files share, a fixed value.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The pattern that the public files share.
+PATTERN = public_tokenizers.PATTERN
 
 #: Pieces that a worker remembers, some 60 bytes each; others are encoded in every slice where they occur.
 REMEMBERED = 2_000_000
 
+
 @cache
 def load_tokenizer(text: str):
     """A tokenizer from its JSON, once in each worker, on one thread: Spark's tasks are the parallel part."""
@@ -87,7 +89,8 @@ def _kinds() -> np.ndarray:
 class PieceEncoder:
     """Ids of whole texts by a byte-level tokenizers file; each distinct piece between the pattern's cuts goes to the library once.
 
-    Pieces are known by 64-bit hashes in an open table; a worker remembers so many of them.
+    Pieces are found by one 64-bit hash in an open table and known by a second one that must agree too;
+    pieces that agree in the first alone are encoded by themselves. A worker remembers so many of them.
     """
 
     def __init__(self, model: str, remembered: int = REMEMBERED):
@@ -100,7 +103,7 @@ class PieceEncoder:
         #: Texts of other files, or with characters that two Unicode versions might class differently, go to the library whole.
         self.plain = (cut or level.get("type") == "ByteLevel" and level.get("use_regex")) and not level.get("add_prefix_space") and not own["normalizer"]
         self.remembered, self.bits = remembered, int(2 * remembered - 1).bit_length()
-        self.table, self.value = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int32)
+        self.table, self.value, self.check = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int32), np.zeros(0, U)
         self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
         self.room, self.known, self.filled = (0, 0), 0, 0
 
@@ -109,19 +112,32 @@ class PieceEncoder:
         size = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size
 
-    def _lookup(self, hashes: np.ndarray) -> np.ndarray:
+    def _lookup(self, hashes: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The number of each known piece, -1 for others."""
         out = np.full(len(hashes), -1, np.int64)
         place = (hashes >> U(64 - self.bits)).astype(np.int64)
         left = np.arange(len(hashes))
         while len(left):
             key = self.table[place]
             hit = key == hashes[left]
-            out[left[hit]] = self.value[place[hit]]
+            found = self.value[place[hit]]
+            out[left[hit]] = np.where(self.check[found] == check[left[hit]], found, -1)
             more = ~hit & (key != 0)
             left, place = left[more], (place[more] + 1) & (len(self.table) - 1)
         return out
 
-    def _remember(self, hashes: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+    def _held(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether the table has an entry of each hash."""
+        out, left = np.zeros(len(hashes), bool), np.arange(len(hashes))
+        place = (hashes >> U(64 - self.bits)).astype(np.int64)
+        while len(left):
+            key = self.table[place]
+            out[left[key == hashes[left]]] = True
+            more = (key != hashes[left]) & (key != 0)
+            left, place = left[more], (place[more] + 1) & (len(self.table) - 1)
+        return out
+
+    def _remember(self, hashes: np.ndarray, check: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
         take = min(len(hashes), self.remembered - self.known)
         if take <= 0:
             return
@@ -130,10 +146,11 @@ class PieceEncoder:
         if self.known + take > len(self.start):
             more = max(take, len(self.start), 1 << 16)
             self.start, self.size = (np.concatenate([x, np.zeros(more, np.int64)]) for x in (self.start, self.size))
+            self.check = np.concatenate([self.check, np.zeros(more, U)])
         if self.filled + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(flat), len(self.flat), 1 << 18), np.uint32)])
         own = slice(self.known, self.known + take)
-        self.start[own], self.size[own] = self.filled + np.cumsum(size) - size, size
+        self.start[own], self.size[own], self.check[own] = self.filled + np.cumsum(size) - size, size, check[:take]
         self.flat[self.filled : self.filled + len(flat)] = flat
         place, left = (hashes >> U(64 - self.bits)).astype(np.int64), np.arange(take)
         while len(left):
@@ -164,18 +181,27 @@ class PieceEncoder:
             offsets = np.concatenate([[0], np.cumsum(np.where(by_piece, np.diff(offsets), 0))])
         start = piece_starts(data, offsets) if len(data) else np.zeros(0, np.int64)
         stop = np.append(start[1:], len(data))
-        hashes = arrowtext.span_hashes(arrowtext.BYTE_KEY[data], start, stop[: len(start)]) | U(1)
-        place = self._lookup(hashes)
+        hashes, check = arrowtext.span_hashes(data, start, stop[: len(start)], 2)
+        hashes |= U(1)
+        place = self._lookup(hashes, check)
         flat, begin, size = self.flat, self.start, self.size
         missing = np.flatnonzero(place < 0)
         if missing.size:
             fresh, index, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            made, made_size = self._library([raw[start[i] : stop[i]].decode() for i in missing[index]])
-            self._remember(fresh, made, made_size)
+            # the first piece of each hash stands for those that agree in both, unless another piece of the hash is known
+            first, taken = missing[index], self._held(fresh)
+            same = check[missing] == check[first][back]
+            alone = missing[~same]
+            made, made_size = self._library([raw[start[i] : stop[i]].decode() for i in (*first, *alone)])
+            whole_size = int(made_size[: len(first)].sum())
             flat = np.concatenate([self.flat[: self.filled], made])
             begin = np.concatenate([self.start[: self.known], self.filled + np.cumsum(made_size) - made_size])
             size = np.concatenate([self.size[: self.known], made_size])
             place[missing] = self.known + back
+            place[alone] = self.known + len(first) + np.arange(len(alone))
+            free = ~taken
+            kept = np.repeat(free, made_size[: len(first)])
+            self._remember(fresh[free], check[first][free], made[:whole_size][kept], made_size[: len(first)][free])
         count = size[place]
         of = np.searchsorted(offsets, start, side="right") - 1
         number = np.bincount(of, count, minlength=rows).astype(np.int64)

@@ -1,16 +1,18 @@
 """The thin queries of this subpackage's operators, and SQL for those that SQL can express."""
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import arc_warc, byte_bpe, fm_index, hpy_lm, language_id, license_scan, media_chunks, minhash_fss, sentence_spans, simple8b
-from .pieces import PATTERN
+from .pieces import PATTERN  # noqa: F401
 from .workspace import Workspace, prepare, table
 
 #: Where the vocabulary files of public tokenizers are.
-TOKENIZERS = "/opt/tokenizers"
+TOKENIZERS = os.path.dirname(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op1_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +21,7 @@ def op1_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    _, blocks = simple8b.write_ids(spark, docs, f"{TOKENIZERS}/byte_bpe_50k.json", end=2)
+    _, blocks = simple8b.write_ids(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), end=2)
     return simple8b.read_ids(blocks, digest=True)
 
 
@@ -30,7 +32,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return byte_bpe.BytePairs(spark, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", PATTERN).round_trip(docs)
+    return byte_bpe.BytePairs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).round_trip(docs)
 
 
 def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,8 +69,7 @@ class Sentences:
             alone = np.flatnonzero(self.size >= ALONE)
             pairs = np.concatenate([a * (n + 1) + b, begin[inside] * (n + 1) + last[inside], alone * (n + 1) + alone + 1])
             a, b = np.divmod(np.unique(pairs), n + 1)
-        one = arrowtext.span_hashes(self.words.hash, edges[a], edges[b])
-        two = arrowtext.span_hashes(arrowtext.mix(self.words.hash ^ U(0x5851F42D4C957F2D)), edges[a], edges[b])
+        one, two = arrowtext.run_hashes(self.words.hash, edges[a], edges[b], 2)
         return a, b, one, two
 
 

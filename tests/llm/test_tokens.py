@@ -7,7 +7,7 @@ import pyarrow as pa
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lakegauge.llm import byte_bpe, pieces, queries, simple8b
+from lakegauge.llm import arrowtext, byte_bpe, pieces, queries, simple8b
 from tokenizers import Tokenizer
 
 RANKS = f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken"
@@ -127,3 +127,34 @@ def test_pieces_equal_the_library(texts):
     ids, count = encoder.encode(pa.array(texts, pa.string()), 2)
     stop = np.cumsum(count)
     assert [ids[a:b].tolist() for a, b in zip(stop - count, stop)] == [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
+def thue_morse(n):
+    """A word of a and b and its complement: polynomials modulo a power of two take them for equal."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_of_two_letters_keep_their_own_ids(spark):
+    texts = [t for n in (64, 1024, 2048, 4096) for t in thue_morse(n)]
+    check_ids(spark, rows(spark, texts).coalesce(1))
+    docs = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "doc_id long, text string, own string").coalesce(1)
+    for r in byte_bpe.BytePairs(spark, RANKS, queries.PATTERN).round_trip(docs).collect():
+        assert r["ids_sha256"] == hashlib.sha256(np.array(library_cached.encode_ordinary(r["own"]), "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(r["own"].encode()).hexdigest()
+
+
+def test_pieces_that_share_a_hash_keep_their_own_ids(monkeypatch):
+    made = arrowtext.span_hashes
+
+    def few(data, start, end, lanes=1):
+        found = made(data, start, end, lanes)
+        return [found[0] & np.uint64(0xF0000000000000FF), *found[1:]]
+
+    monkeypatch.setattr(arrowtext, "span_hashes", few)
+    weak = pieces.PieceEncoder(open(JSON, encoding="utf-8").read(), 3000)
+    for _ in range(3):
+        texts = [f"word{i} and w{i % 7} of x{i * i}" for i in range(400)]
+        ids, count = weak.encode(pa.array(texts))
+        stop = np.cumsum(count)
+        assert [ids[a:b].tolist() for a, b in zip(stop - count, stop)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
