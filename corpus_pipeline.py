@@ -12,12 +12,24 @@ from lakegauge.llm import byte_bpe, fm_index, language_id, minhash_fss, queries,
 from lakegauge.llm.workspace import Workspace, prepare, small
 
 
+#: A document stays if its best language's score is at least so many times an even share of all languages.
+STANDS_OUT = 1.25
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language, those without letters, go."""
+    """Documents without letters go, and those in which no learned language stands out; a missing lang is filled by the prediction.
+
+    With one learned language there is nothing to tell apart, and without labelled rows no model: then
+    documents with letters stay as they are. Null and empty texts go; rows that repeat are judged alike.
+    """
     prepare(spark)
     model = language_id.fit(docs.where(~language_id.held_out()))
-    found = language_id.predict(docs, model)
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language_id.predict(docs, model).where(F.col("lang_pred") != language_id.UNKNOWN)
+    if len(model.languages) > 1:
+        found = found.where(F.col("score") >= STANDS_OUT / len(model.languages))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,21 +42,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sentences that repeat an earlier passage are cut; a document of which nothing is left goes."""
+    """Sentences that repeat an earlier passage are cut; a document of which only white space is left goes.
+
+    Null and empty texts stay, as nothing is cut from them; of rows that share doc_id and text each keeps what the first keeps.
+    """
     found = sentence_spans.remove_repeats(docs, every_run=True)
-    left = found.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    left = found.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\s]"))
     cut = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", cut).select(*docs.columns)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated by benchmark items go."""
+    """Documents contaminated by benchmark items go; null and empty texts have no words and stay."""
     items = queries.table(spark, sf_dir, "benchmark", "item_id", "text")
     return fm_index.contamination(docs, items).where(~F.col("contaminated")).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of each document's ids and of the text they decode to."""
+    """Token counts and digests of each document's ids and of the text they decode to; null text is empty."""
     pairs = byte_bpe.BytePairs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return pairs.round_trip(docs.select("doc_id", "text"))
 

@@ -120,7 +120,7 @@ class BytePairs:
         """docs with ids, char_start and char_end (arrays of int, one entry a token)."""
         ranks, pattern = self.ranks, self.pattern
         docs = workspace.without(docs, "ids", "char_start", "char_end")
-        schema = f"{_ddl(docs)}, ids array<int>, char_start array<int>, char_end array<int>"
+        schema = f"{workspace.ddl(docs)}, ids array<int>, char_start array<int>, char_end array<int>"
 
         def run(batches):
             pieces, table = ranked_encoder(ranks.value, pattern), byte_table(ranks.value)
@@ -146,14 +146,14 @@ class BytePairs:
                 texts = [None if x is None else table.decode(np.array(x, np.int64))[0].tobytes().decode("utf-8", "replace") for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, to])
 
-        return docs.mapInArrow(run, f"{_ddl(docs)}, `{to}` string")
+        return docs.mapInArrow(run, f"{workspace.ddl(docs)}, `{to}` string")
 
     def round_trip(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """docs with n_tokens, ids_sha256 (ids as little-endian 32-bit) and decoded_sha256 (bytes made from the ids)."""
         ranks, pattern = self.ranks, self.pattern
         docs = workspace.without(docs, "n_tokens", "ids_sha256", "decoded_sha256")
         keep = [c for c in docs.columns if c != text]
-        schema = ", ".join([*([_ddl(docs.select(*keep))] if keep else []), "n_tokens long, ids_sha256 string, decoded_sha256 string"])
+        schema = ", ".join([*([workspace.ddl(docs.select(*keep))] if keep else []), "n_tokens long, ids_sha256 string, decoded_sha256 string"])
 
         def run(batches):
             pieces, table = ranked_encoder(ranks.value, pattern), byte_table(ranks.value)
@@ -170,7 +170,3 @@ class BytePairs:
                     [*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
 
         return docs.mapInArrow(run, schema)
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)

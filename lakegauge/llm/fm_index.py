@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import arrowtext
 from .arrowtext import U, Words
-from .workspace import Workspace, prepare, without
+from .workspace import Workspace, ddl, prepare, without
 
 WINDOW = 13
 SAMPLE = 8
@@ -212,7 +212,7 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text
     spark, names = docs.sparkSession, docs.columns
     prepare(spark)
     work, marks = Workspace(spark, "fm-index"), ["n_words", "spans", "items"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "n_words long, spans array<struct<first:long,last:long>>, items array<string>"])
+    schema = f"{ddl(docs)}, n_words long, spans array<struct<first:long,last:long>>, items array<string>"
     span_type = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
     blocks = _blocks(benchmark, item_id, item_text, block_bytes) or [benchmark.limit(0)]
     for i, block in enumerate(blocks):

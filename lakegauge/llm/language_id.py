@@ -2,35 +2,35 @@
 
 The blended-spectrum presence kernel of two texts is the number of byte n-grams of 1 to 3 bytes
 (letters lower-cased; n-grams hashed to BUCKETS) that both have, over the geometric mean of their
-numbers. LANDMARKS training texts span a Nystrom feature space; in it a ridge regression for each
-language against the rest is solved in closed form. Both fitting and scoring multiply batches of
-presence vectors by one matrix.
+numbers. Training texts, LANDMARKS in all or LEAST a language if that is more, span a Nystrom feature
+space; in it a ridge regression for each language against the rest is solved in closed form. Both
+fitting and scoring multiply batches of presence vectors by one matrix.
 
 Fitting uses a bounded sample of the labelled training rows, at most PER_LANGUAGE for each
-language, chosen by a hash of the text alone; scoring covers every whole text.
+language, chosen by a hash of the text alone; every language and texts of every length take part,
+and a task fits the model from sums over the sample's batches. Scoring covers every whole text.
 
 Defined results: null text and text without letters is UNKNOWN with score 0; without any labelled
-rows all texts are UNKNOWN; equal texts have equal results; extra columns pass through, but for ones named as those made here.
+rows that have letters there is no model and all texts are UNKNOWN; equal texts have equal results
+(of texts with several labels each label learns); extra columns pass through, but for ones named as
+those made here.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import arrowtext
 from .arrowtext import U
-from .workspace import prepare, without
+from .workspace import Workspace, ddl, prepare, without
 
 UNKNOWN = "und"
 LENGTHS = (1, 2, 3)
 BUCKETS = 1 << 13
-LANDMARKS = 192
+LANDMARKS, LEAST = 192, 4
 PER_LANGUAGE = 400
-LANGUAGES = 64
 RIDGE = 1e-2
-#: Landmarks and sampled rows come from texts of at most so many bytes; longer ones add no new n-grams.
-SAMPLE_BYTES = 20_000
 #: Rows of a presence matrix at a time.
 BATCH = 128
 
@@ -61,60 +61,123 @@ def _has_letter(texts: list) -> np.ndarray:
 
 
 class Model:
-    """languages in order; weights: presence vectors (each over its norm) to one score a language."""
-
-    def __init__(self, texts: list[str], labels: list[str]):
-        self.languages = sorted(set(labels))
-        raw = presence(*arrowtext.column(pa.array(texts, pa.string())))
-        unit = raw / np.sqrt(np.maximum(raw.sum(axis=1, keepdims=True), 1))
-        order = np.random.default_rng(7).permutation(len(texts))
-        by = {l: [i for i in order if labels[i] == l] for l in self.languages}
-        share = max(1, LANDMARKS // max(1, len(self.languages)))
-        landmarks = unit[[i for l in self.languages for i in by[l][:share]]].astype(np.float64)
-        values, vectors = np.linalg.eigh(landmarks @ landmarks.T)
-        kept = values > 1e-6 * values.max(initial=1)
-        project = landmarks.T @ (vectors[:, kept] / np.sqrt(values[kept]))
-        features = np.hstack([unit @ project, np.ones((len(texts), 1))])
-        target = np.where(np.array(labels)[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
-        # each language weighs the same
-        weight = np.array([1 / len(by[l]) for l in labels])[:, None]
-        gram = features.T @ (features * weight)
-        ridge = RIDGE * np.trace(gram) / len(gram) * np.eye(len(gram))
-        solved = np.linalg.solve(gram + ridge, features.T @ (target * weight))
-        self.weights = (project @ solved[:-1]).astype(np.float32)
-        self.bias = solved[-1].astype(np.float32)
+    """languages in order; weights and bias: presence vectors (each over its norm) to one score a language."""
+
+    def __init__(self, languages: list[str], weights: np.ndarray, bias: np.ndarray):
+        self.languages, self.weights, self.bias = languages, weights, bias
+
+    def scores(self, array) -> np.ndarray:
+        """A row of scores for each text."""
+        return _unit(array) @ self.weights + self.bias
 
     def predict(self, array) -> tuple[list[str], np.ndarray]:
-        data, offsets = arrowtext.column(array)
-        raw = presence(data, offsets)
-        scores = (raw @ self.weights) / np.sqrt(np.maximum(raw.sum(axis=1, keepdims=True), 1)) + self.bias
+        scores = self.scores(array)
         best = scores.argmax(axis=1)
         odds = np.exp(3 * (scores - scores.max(axis=1, keepdims=True)))
         return [self.languages[b] for b in best], 1 / odds.sum(axis=1, dtype=np.float64)
 
 
+def _unit(array) -> np.ndarray:
+    raw = presence(*arrowtext.column(array))
+    return raw / np.sqrt(np.maximum(raw.sum(axis=1, keepdims=True), 1))
+
+
+def solve(parts) -> Model | None:
+    """The model of (texts, labels) parts; the texts of the first labels of each language, as many as LEAST or its share, must come first."""
+    landmarks, project, sums, counts = [], None, {}, {}
+
+    def add(unit, labels):
+        features = np.hstack([unit.astype(np.float64) @ project, np.ones((len(labels), 1))])
+        for name in sorted(set(labels)):
+            own = features[[x == name for x in labels]]
+            # each language weighs the same, so its sums are kept apart
+            gram, total = sums.get(name, (0.0, 0.0))
+            sums[name], counts[name] = (gram + own.T @ own, total + own.sum(axis=0)), counts.get(name, 0) + len(own)
+
+    held = []
+    for texts, labels, landmark in parts:
+        letters = _has_letter(texts.to_pylist())
+        if not letters.any():
+            continue
+        rows = np.flatnonzero(letters)
+        unit, labels = _unit(texts.take(pa.array(rows))), [labels[r] for r in rows]
+        if project is None and landmark:
+            landmarks.append(unit)
+            held.append((unit, labels))
+            continue
+        if project is None:
+            project = _projection(np.concatenate(landmarks or [unit]))
+            for x in held:
+                add(*x)
+        add(unit, labels)
+    if project is None and landmarks:
+        project = _projection(np.concatenate(landmarks))
+        for x in held:
+            add(*x)
+    if not sums:
+        return None
+    names = sorted(sums)
+    gram = sum(sums[x][0] / counts[x] for x in names)
+    mean = {x: sums[x][1] / counts[x] for x in names}
+    target = np.stack([2 * mean[x] - sum(mean.values()) for x in names], axis=1)
+    solved = np.linalg.solve(gram + RIDGE * np.trace(gram) / len(gram) * np.eye(len(gram)), target)
+    return Model(names, (project @ solved[:-1]).astype(np.float32), solved[-1].astype(np.float32))
+
+
+def _projection(landmarks: np.ndarray) -> np.ndarray:
+    """Presence vectors to the space that the landmarks span, by the inverse root of their kernel."""
+    landmarks = landmarks.astype(np.float64)
+    values, vectors = np.linalg.eigh(landmarks @ landmarks.T)
+    kept = values > 1e-6 * values.max(initial=1)
+    return landmarks.T @ (vectors[:, kept] / np.sqrt(values[kept]))
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
-    """A model from the labelled rows; None if there are none. The driver holds the bounded sample only."""
-    rows = labelled.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0) & (F.octet_length(text) <= SAMPLE_BYTES)).select(F.col(lang).alias("lang"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
-    languages = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    chosen = {}
-    for language in sorted(languages):  # hashes only, so that little goes to the driver from each partition
-        own = rows.where(F.col("lang") == language).select("place").distinct().orderBy("place").limit(PER_LANGUAGE)
-        chosen |= {(language, r[0]): None for r in own.collect()}
-    found = rows.where(F.col("lang").isin(languages) & F.col("place").isin([p for _, p in chosen])).groupBy("lang", "place").agg(F.min("text").alias("text"))
-    texts, labels = [], []
-    for r in sorted(found.collect(), key=lambda r: (r["lang"], r["place"])):
-        if (r["lang"], r["place"]) in chosen and any(map(str.isalpha, r["text"])):
-            texts.append(r["text"]), labels.append(r["lang"])
-    return Model(texts, labels) if texts else None
+    """A model of the labelled rows; None if there are none. A task holds the sums, and the driver the solved weights only."""
+    spark = labelled.sparkSession
+    work = Workspace(spark, "language-id")
+    rows = labelled.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0)).select(F.col(lang).alias("lang"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
+    # Spark cuts each task's rows to the limit before they meet by language
+    ranked = rows.groupBy("lang", "place").agg(F.lit(1).alias("one")).select("lang", "place", F.row_number().over(Window.partitionBy("lang").orderBy("place")).alias("rank"))
+    chosen = work.write(ranked.where(F.col("rank") <= PER_LANGUAGE), "chosen")
+    languages = chosen.where("rank = 1").count()
+    share = max(LEAST, LANDMARKS // max(1, languages))
+    # at most PER_LANGUAGE rows of three numbers for each language, so Spark's estimate of the file tells whether to broadcast it
+    sample = rows.join(chosen, ["lang", "place"]).groupBy("lang", "place", "rank").agg(F.min("text").alias("text"))
+    sample = work.write(sample.select("lang", "text", "rank", (F.col("rank") <= share).alias("landmark")), "sample")
+
+    def run(batches):
+        def parts():
+            for batch in batches:
+                for whole in arrowtext.slices([batch], "text"):
+                    for lo in range(0, whole.num_rows, BATCH):
+                        part = whole.slice(lo, BATCH)
+                        marks = part.column(2).to_pylist()
+                        cut = sum(marks)  # landmarks come first
+                        for x in (part.slice(0, cut), part.slice(cut)):
+                            if x.num_rows:
+                                yield x.column(1), x.column(0).to_pylist(), x.column(2)[0].as_py()
+
+        if model := solve(parts()):
+            yield pa.RecordBatch.from_pylist([{"languages": model.languages, "weights": model.weights.tobytes(), "bias": model.bias.tobytes()}], _SOLVED)
+
+    ordered = sample.repartition(1).sortWithinPartitions(F.desc("landmark"), "lang", "rank").select("lang", "text", "landmark")
+    found = ordered.mapInArrow(run, "languages array<string>, weights binary, bias binary").collect()  # one row: BUCKETS numbers a language
+    if not found:
+        return None
+    r = found[0]
+    return Model(list(r["languages"]), np.frombuffer(r["weights"], np.float32).reshape(BUCKETS, -1), np.frombuffer(r["bias"], np.float32))
+
+
+_SOLVED = pa.schema([("languages", pa.list_(pa.string())), ("weights", pa.binary()), ("bias", pa.binary())])
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """docs with lang_pred and score, the softmax weight of the best language."""
     spark, docs = docs.sparkSession, without(docs, "lang_pred", "score")
     prepare(spark)
-    shared = spark.sparkContext.broadcast(model)  # BUCKETS times LANGUAGES numbers at most
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "lang_pred string, score double"])
+    shared = spark.sparkContext.broadcast(model)  # BUCKETS numbers a language
+    schema = f"{ddl(docs)}, lang_pred string, score double"
 
     def run(batches):
         for whole in arrowtext.slices(batches, text):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import arrowtext
 from .arrowtext import U, Words
-from .workspace import Workspace, without
+from .workspace import Workspace, ddl, without
 
 RUN = 2
 MIN_WORDS = 20
@@ -102,7 +102,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     names = docs.columns
     keyed = docs.withColumn("_doc", F.coalesce(F.col(doc_id), F.lit(2**63 - 1))).withColumn("_digest", F.xxhash64(text))
     joined = keyed.join(cuts, (F.col("_doc") == cuts.doc) & (F.col("_digest") == cuts.digest), "left").select(*(keyed[c] for c in names), "_cuts")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "n_sentences long, n_removed long, removed_bytes long"])
+    schema = f"{ddl(docs)}, n_sentences long, n_removed long, removed_bytes long"
 
     def run(batches):
         for part in arrowtext.slices(batches, text):

@@ -69,6 +69,11 @@ def without(docs: DataFrame, *made: str) -> DataFrame:
     return docs.drop(*(c for c in docs.columns if c.lower() in names))
 
 
+def ddl(df: DataFrame) -> str:
+    """The columns of df as a schema string."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,6 +1,9 @@
+import math
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 from lakegauge.llm import language_id, sentence_spans
 
 SF = "/root/testdata/sf0.01"
@@ -118,3 +121,46 @@ def test_every_run_of_a_passage_is_found(spark):
     assert got == want
     assert got != {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeats(docs).collect()}
     assert sentence_spans.remove_repeats(docs.limit(0), every_run=True).collect() == []
+
+
+def test_more_languages_than_landmarks_and_long_texts(spark):
+    """Seventy languages of two words each, some with long texts only; each is learned."""
+    rng, rows = random.Random(6), []
+    letters = [chr(c) for c in range(0x561, 0x587)] + [chr(c) for c in range(0x430, 0x450)]
+    for n in range(70):
+        own = ["".join(rng.choice(letters) for _ in range(6)) for _ in range(3)]
+        for k in range(8):
+            rows.append((len(rows), " ".join(rng.choice(own) for _ in range(4000 if n % 9 == 0 else 12)), f"l{n:02d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs.where("doc_id % 8 <> 0"))
+    assert len(model.languages) == 70
+    found = language_id.predict(docs.where("doc_id % 8 = 0"), model).collect()
+    assert len(found) == 70 and sum(r["lang"] == r["lang_pred"] for r in found) >= 69
+
+
+def kernel(a, b):
+    """The share of byte n-grams of 1 to 3 bytes that two texts have both, over the geometric mean of their numbers, by bucket."""
+    def grams(t):
+        low = "".join(c.lower() if c.isascii() or 0xC0 <= ord(c) <= 0xDE and ord(c) != 0xD7 else c for c in t).encode()
+        return {((int.from_bytes(low[i : i + k], "big") + (k << 24)) * 0x9E3779B1 & 0xFFFFFFFF) >> 19 for k in (1, 2, 3) for i in range(len(low) - k + 1)}
+
+    x, y = grams(a), grams(b)
+    return len(x & y) / math.sqrt(len(x) * len(y))
+
+
+def test_scores_equal_plain_kernel_ridge_regression(spark):
+    """With every row a landmark the scores are those of ridge regression on the kernel's own feature space."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang is not null and length(text) < 900").select("text", "lang").distinct().orderBy("text").limit(40).collect()]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = language_id.fit(docs)
+    got = model.scores(pa.array([t for t, _ in rows]))
+    k = np.array([[kernel(a, b) for b, _ in rows] for a, _ in rows])
+    values, vectors = np.linalg.eigh(k)
+    kept = values > 1e-6 * values.max()
+    phi = np.hstack([vectors[:, kept] * np.sqrt(values[kept]), np.ones((len(rows), 1))])
+    names = sorted({l for _, l in rows})
+    weight = np.array([1 / sum(x == l for _, x in rows) for _, l in rows])[:, None]
+    target = np.array([[1.0 if l == n else -1.0 for n in names] for _, l in rows])
+    gram = phi.T @ (phi * weight)
+    want = phi @ np.linalg.solve(gram + language_id.RIDGE * np.trace(gram) / len(gram) * np.eye(len(gram)), phi.T @ (target * weight))
+    assert model.languages == names and np.abs(got - want).max() < 2e-3

@@ -58,3 +58,15 @@ def test_empty_and_wider_documents(spark, documents):
     wide = documents.select("*", *(F.lit(i).alias(c) for i, c in enumerate(made)))
     for name, f in corpus_pipeline.STAGES[:-1]:
         assert set(f(spark, wide, SF).columns) == set(wide.columns), name
+
+
+def test_language_stage_goes_by_its_model(spark):
+    letters = "bcdfghjklmnpqrstvwxz"
+    rows = [(i, " ".join(("le la les des une" if i % 2 else "the of and to in").split()[k % 5] for k in range(i, i + 30)), "fr" if i % 2 else "en", "s", 9) for i in range(40)]
+    junk = [(100 + i, "".join(letters[(i * 7 + k * k * 3 + k) % 20] + ("\u0416", "\u00df", "\u4e2d")[k % 3] for k in range(40)), None, "s", 9) for i in range(5)]
+    docs = spark.createDataFrame([*rows, *junk, (200, "the and of to in the", None, "s", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = stage(spark, docs, "language")
+    assert set(range(40)) | {200} <= set(kept) and kept[200]["lang"] == "en"
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert set(stage(spark, unlabelled, "language")) == {r[0] for r in docs.collect()}
+    assert stage(spark, docs.where("doc_id is null"), "language") == {}
