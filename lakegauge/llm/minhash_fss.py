@@ -7,15 +7,19 @@ empty and the estimate concentrates as a sum over independent bins does.
 
 Documents with equal shingle sets become one class first. Classes meet in BANDS buckets of
 ROWS coordinates (a pair at 0.85 misses all with probability 2e-6). In a bucket, every class is
-verified against the bucket's least class and HUBS further ones; a bucket whose classes still
-have several components then verifies each class outside the least class's component against the
-classes of other components that it can reach: the parities of a set's numbers in ODD_BITS bins
-bound the difference of two sets from below. So no link inside a bucket is lost, and neither
-linked classes nor heavily edited ones make all their pairs. Verification intersects the full sets of 64-bit shingle hashes.
+compared with the bucket's least class, and if it is not linked to it with HUBS further ones. What
+a bucket then still has in several components is joined exactly, without pairs of all: by prefix
+filtering (Xiao and others 2008), two sets at the threshold share a shingle among the rarest few of
+each, fewer still of the smaller set, so sets that differ in more than the threshold allows do not
+meet even where they share all the rest. No link inside a bucket is lost, and neither linked
+classes nor unlinked ones make all their pairs. Pairs that can be linked by their sizes and by the
+parities of their numbers in ODD_BITS bins, which bound the difference of two sets from below, are
+confirmed on the full sets of 64-bit shingle hashes.
 
 Defined results: a null or wordless text has no shingles and no links; documents of fewer than
 five words have their whole sequence as one shingle; rows that share a doc_id count as one
-document with the links of all; a null doc_id has a null component and is kept.
+document with the links of all; a null doc_id has the component of its class, or null, and is kept;
+columns beyond doc_id and text are not returned.
 """
 
 import numpy as np
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from . import arrowtext
 from .arrowtext import U, Words, fold, keys, mix
 from .components import components
-from .workspace import Workspace, small
+from .workspace import Workspace
 
 SHINGLE = 5
 BANDS, ROWS = 28, 6
@@ -34,6 +38,8 @@ COORDINATES = BANDS * ROWS
 HUBS = 8
 #: Bins of the parities that bound how far two sets differ.
 ODD_BITS = 512
+#: Bins in which shingles are counted to tell rare ones from frequent ones; the order of a prefix may be any, so a bin may hold several.
+COUNT_BINS = 1 << 18
 
 
 def shingles(words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -117,16 +123,17 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, shingles, odd): the distinct 64-bit hashes in ascending order, as bytes, and the parities of their numbers in ODD_BITS bins."""
+    """(node, size, odd, shingles): the parities of a set's numbers in ODD_BITS bins, and its distinct 64-bit hashes in ascending order, as bytes."""
 
     def run(batches):
         for part in arrowtext.slices(batches, text):
             words = Words(*arrowtext.column(part.column(part.schema.get_field_index(text))), arrowtext.SPACE)
             sets = distinct_sets(*shingles(words), words.rows)
             odd = [np.packbits(np.bincount((mix(s) % U(ODD_BITS)).astype(np.int64), minlength=ODD_BITS) & 1).view(np.int64) for s in sets]
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(doc_id)), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(odd, pa.list_(pa.int64()))], ["node", "shingles", "odd"])
+            own = [pa.array([len(s) for s in sets], pa.int64()), pa.array(odd, pa.list_(pa.int64())), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(doc_id)), *own], ["node", "size", "odd", "shingles"])
 
-    return docs.select(doc_id, text).mapInArrow(run, "node long, shingles binary, odd array<long>")
+    return docs.select(doc_id, text).mapInArrow(run, "node long, size long, odd array<long>, shingles binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -143,69 +150,110 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    # the short figures of both sides first: few pairs need their sets
+    brief = lambda c: sets.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("odd").alias(f"{c}_odd"))
+    sized = pairs.select("a", "b").distinct().join(brief("a"), "a").join(brief("b"), "b")
+    # sets differ in at least as many shingles as their sizes, and as their parities in bits
+    odd = sum((F.bit_count(F.get("a_odd", F.lit(i)).bitwiseXOR(F.get("b_odd", F.lit(i)))) for i in range(ODD_BITS // 64)), F.lit(0))
+    differ = F.greatest(odd, F.abs(F.col("a_size") - F.col("b_size")))
+    likely = sized.where((100 - percent) * (F.col("a_size") + F.col("b_size")) >= (100 + percent) * differ).select("a", "b")
+    left = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of rows of sets (node, label, size, shingles) with other labels among which are all that reach the threshold."""
+
+    def bins(batches):
+        count = np.zeros(COUNT_BINS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                count += np.bincount((np.frombuffer(x.as_buffer(), U) % U(COUNT_BINS)).astype(np.int64), minlength=COUNT_BINS)
+        at = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], ["bin", "n"])
+
+    spark = sets.sparkSession
+    counts = sets.select("shingles").mapInArrow(bins, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()  # COUNT_BINS rows at most
+    weight = np.zeros(COUNT_BINS, np.int64)
+    weight[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
+    shared = spark.sparkContext.broadcast(weight)
+
+    def run(batches):
+        for batch in batches:
+            rows, marks, index = [], [], []
+            for i, x in enumerate(batch.column(3)):
+                own = np.frombuffer(x.as_buffer(), U)
+                own = own[np.lexsort((own, shared.value[(own % U(COUNT_BINS)).astype(np.int64)]))]
+                n = len(own)
+                probe = n - -(-percent * n // 100) + 1
+                least = n - -(-2 * percent * n // (100 + percent)) + 1  # of a set that meets none smaller
+                rows.append(np.full(probe, i))
+                marks.append(own[:probe].view(np.int64))
+                index.append(np.arange(probe) < least)
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(3)), pa.array(np.concatenate(marks)), pa.array(np.concatenate(index))], ["node", "label", "size", "shingle", "least"])
+
+    marks = sets.select("node", "label", "size", "shingles").mapInArrow(run, "node long, label long, size long, shingle long, least boolean")
+    marks = Workspace(spark, "prefixes").write(marks, "marks")
+    shared.unpersist()
+    lower = marks.where("least").select(F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("size").alias("other_size"), "shingle")
+    # the one with fewer shingles, or of as many the lesser one, is found by its least prefix
+    order = (F.col("other_size") < F.col("size")) | ((F.col("other_size") == F.col("size")) & (F.col("other") < F.col("node")))
+    on = (marks["shingle"] == lower["shingle"]) & (F.col("label") != F.col("other_label")) & order & (100 * F.col("other_size") >= percent * F.col("size"))
+    return marks.join(lower, on).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     work = Workspace(docs.sparkSession, "minhash")
     signed = work.write(signatures(docs, doc_id, text), "signed")
-    sets = work.write(signed.where("n_shingles > 0 and doc_id is not null").groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("size"), F.first("bands").alias("bands")), "classes")
+    texts = signed.where("n_shingles > 0 and doc_id is not null")
+    classes = work.write(texts.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("size"), F.first("bands").alias("bands")), "classes")
 
-    bands = sets.select("node", F.explode("bands").alias("band"))
+    bands = classes.select("node", F.explode("bands").alias("band"))
     hubs = [F.min(F.struct(F.xxhash64("node", F.lit(j)), "node"))["node"].alias(f"hub{j}") for j in range(1, HUBS + 1)]
-    buckets = work.write(bands.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("hub"), *hubs).where("n > 1"), "buckets")
-    members = work.write(bands.join(buckets, "band").select("band", "node", "hub", F.when(F.col("n") > 2, F.array(*(f"hub{j}" for j in range(1, HUBS + 1)))).alias("hubs")), "members")
-    members_only = members.select("node").distinct()
+    buckets = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("hub"), *hubs).where("n > 1")
+    several = F.when(F.col("n") > 2, F.array(*(f"hub{j}" for j in range(1, HUBS + 1))))
+    buckets = work.write(buckets.select("band", "hub", several.alias("hubs")), "buckets")
+    members = work.write(bands.join(buckets.select("band", "hub"), "band").select("band", "node", "hub"), "members")
 
     # a class's set comes from the text of the row that names it; other rows of that doc_id must not stand for it
-    named = work.write(sets.join(members_only, "node").select("node"), "named").distinct()
-    wanted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(small(named.withColumnRenamed("node", "doc_id")), "doc_id", "left_semi")
-    shingle_sets = work.write(full_sets(wanted, "doc_id", "text"), "sets", codec="uncompressed")
+    named = members.select("node").distinct().withColumnRenamed("node", "doc_id")
+    wanted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(work.write(named, "named"), "doc_id", "left_semi")
+    sets = work.write(full_sets(wanted, "doc_id", "text"), "sets", codec="uncompressed")
 
-    tried = work.write(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "tried-0")
-    links = work.write(verified(tried, shingle_sets, percent), "links-0")
+    first = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     # one doc_id with several texts is one document: it links its classes
-    texts = signed.where("n_shingles > 0 and doc_id is not null")
-    repeated = texts.groupBy("doc_id").agg(F.min("high").alias("least"), F.max("high").alias("most")).where("least <> most").select("doc_id")
-    several = work.write(texts.join(repeated, "doc_id").join(sets, ["high", "low"]).select("doc_id", "node"), "several")
-    links = work.write(links.union(several.join(several.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").where("a <> node").select("a", F.col("node").alias("b"))), "links-own")
+    repeated = texts.groupBy("doc_id").agg(F.min("high").alias("least"), F.max("high").alias("most"), F.min("low").alias("low"), F.max("low").alias("high")).where("least <> most or low <> high").select("doc_id")
+    own = texts.join(repeated, "doc_id").join(classes.select("high", "low", "node"), ["high", "low"]).select("doc_id", "node")
+    same = own.groupBy("doc_id").agg(F.min("node").alias("a")).join(own, "doc_id").where("a <> node").select("a", F.col("node").alias("b"))
+    links = work.write(verified(first, sets, percent).union(same), "links-0")
     labels = components(links, work, "first")
 
     def labelled(rows: DataFrame, column: str, to: str) -> DataFrame:
         own = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
         return rows.join(own, rows[column] == own["_n"], "left").withColumn(to, F.coalesce("_l", column)).drop("_n", "_l")
 
-    more = labelled(members.where("hubs is not null"), "node", "label").select("node", "label", F.explode("hubs").alias("other")).where("node <> other")
-    more = labelled(more.distinct(), "other", "other_label").where("label <> other_label")
-    ordered = more.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    fresh = work.write(ordered.join(tried, ["a", "b"], "left_anti"), "tried-1")
-    links = work.write(links.union(verified(fresh, shingle_sets, percent)), "links-1")
-    labels = components(links, work, "second")
-
-    held = labelled(members.where("hubs is not null").select("band", "node", "hub"), "node", "label")
-    held = work.write(labelled(held, "hub", "hub_label"), "held")
-    split = held.where("label <> hub_label").select("band").distinct()
-    held = work.write(held.join(split, "band", "left_semi"), "open")
-    bounds = shingle_sets.select("node", F.expr("octet_length(shingles) div 8").alias("size"), "odd")
-    held = work.write(held.join(bounds, "node").join(sets.select("node", "bands"), "node"), "bounded")
-    outside = held.where("label <> hub_label").select("band", "node", "label", "size", "odd", "bands")
-    against = held.select("band", F.col("node").alias("other"), F.col("label").alias("other_label"), F.expr("label <> hub_label").alias("both"), F.col("size").alias("other_size"), F.col("odd").alias("other_odd"), F.col("bands").alias("other_bands"))
-    # sets differ in at least as many shingles as their parities differ in bits
-    differ = sum((F.bit_count(F.get("odd", F.lit(i)).bitwiseXOR(F.get("other_odd", F.lit(i)))) for i in range(ODD_BITS // 64)), F.lit(0))
-    on = (outside.band == against.band) & (outside.label != against.other_label) & (~against.both | (outside.node < against.other))
-    on &= (100 - percent) * (F.col("size") + F.col("other_size")) >= (100 + percent) * differ
-    on &= outside.band == F.array_min(F.array_intersect("bands", "other_bands"))  # a pair once, in the first bucket that both are in
-    rest = outside.join(against, on)
-    rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    fresh = work.write(rest.join(tried.union(work.read("tried-1", tried.schema)), ["a", "b"], "left_anti"), "tried-2")
-    links = work.write(links.union(verified(fresh, shingle_sets, percent)), "links-2")
-    labels = components(links, work, "third")
-
-    named = work.write(labelled(sets.select("high", "low", "size", "node"), "node", "component"), "components")
-    class_of = named.select("high", "low", F.col("size").alias("n_shingles"), "component")
+    def outside() -> DataFrame:
+        """Classes not linked to their bucket's least class."""
+        return labelled(labelled(members, "node", "label"), "hub", "hub_label").where("label <> hub_label").select("band", "node", "label")
+
+    more = outside().join(buckets.where("hubs is not null").select("band", "hubs"), "band").select("node", "label", F.explode("hubs").alias("other")).distinct()
+    more = labelled(more, "other", "other_label").where("label <> other_label").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    fresh = work.write(verified(more, sets, percent), "links-1")
+    if not fresh.isEmpty():
+        links = links.union(fresh)
+        labels = components(links, work, "second")
+
+    open_ = labelled(members.join(outside().select("band").distinct(), "band", "left_semi").select("node").distinct(), "node", "label")
+    pairs = prefix_pairs(sets.join(open_, "node"), percent)
+    fresh = work.write(verified(pairs, sets, percent), "links-2")
+    if not fresh.isEmpty():
+        labels = components(links.union(fresh), work, "third")
+
+    class_of = work.write(labelled(classes.select("high", "low", "size", "node"), "node", "component").select("high", "low", F.col("size").alias("n_shingles"), "component"), "components")
     joined = signed.select("doc_id", "n_shingles", "high", "low").withColumn("high", F.coalesce("high", F.xxhash64("doc_id", F.rand(7)))).join(class_of, ["high", "low", "n_shingles"], "left")
     component = F.coalesce("component", "doc_id")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
