@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import arrowtext
 from .arrowtext import U
-from .workspace import Workspace, ddl, prepare, without
+from .workspace import Workspace, ddl, prepare, small, without
 
 UNKNOWN = "und"
 LENGTHS = (1, 2, 3)
@@ -136,15 +136,18 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model |
     """A model of the labelled rows; None if there are none. A task holds the sums, and the driver the solved weights only."""
     spark = labelled.sparkSession
     work = Workspace(spark, "language-id")
-    rows = labelled.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0)).select(F.col(lang).alias("lang"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
-    # Spark cuts each task's rows to the limit before they meet by language
-    ranked = rows.groupBy("lang", "place").agg(F.lit(1).alias("one")).select("lang", "place", F.row_number().over(Window.partitionBy("lang").orderBy("place")).alias("rank"))
+    place = F.xxhash64(text).bitwiseAND(F.lit((1 << 53) - 1))
+    rows = labelled.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0)).select(F.col(lang).alias("lang"), place.alias("place"), F.col(text).alias("text"))
+    places = work.write(rows.groupBy("lang", "place").agg(F.lit(1).alias("one")).select("lang", "place"), "places")
+    # places are even, so twice the share that is wanted holds the least ones, and few rows of a language meet in its window
+    share = places.groupBy("lang").agg((F.lit(2.0 * PER_LANGUAGE) / F.count("*")).alias("share"))
+    near = places.join(share, "lang").where(F.col("place") <= F.col("share") * float(1 << 53))
+    ranked = near.select("lang", "place", F.row_number().over(Window.partitionBy("lang").orderBy("place")).alias("rank"))
     chosen = work.write(ranked.where(F.col("rank") <= PER_LANGUAGE), "chosen")
     languages = chosen.where("rank = 1").count()
-    share = max(LEAST, LANDMARKS // max(1, languages))
-    # at most PER_LANGUAGE rows of three numbers for each language, so Spark's estimate of the file tells whether to broadcast it
-    sample = rows.join(chosen, ["lang", "place"]).groupBy("lang", "place", "rank").agg(F.min("text").alias("text"))
-    sample = work.write(sample.select("lang", "text", "rank", (F.col("rank") <= share).alias("landmark")), "sample")
+    first = max(LEAST, LANDMARKS // max(1, languages))
+    sample = rows.join(small(chosen), ["lang", "place"]).groupBy("lang", "place", "rank").agg(F.min("text").alias("text"))
+    sample = work.write(sample.select("lang", "text", "rank", (F.col("rank") <= first).alias("landmark")), "sample")
 
     def run(batches):
         def parts():

@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of at most this many may be broadcast, after they have been counted; a row here is a few dozen bytes.
-BROADCAST_ROWS = 1_000_000
+#: Tables of at most so many bytes, as measured, may be broadcast.
+BROADCAST_BYTES = 24 << 20
 
 
 #: Rows of whole documents that go to a Python worker at a time: some MB, where Spark's default makes it ten times that.
@@ -58,9 +58,14 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast if it has at most so many rows; a shuffle join beyond."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df, marked for broadcast if its rows, measured with their texts and arrays, take at most so many bytes; left to Spark's own choice beyond."""
+    size = F.lit(16)
+    for f in df.schema:
+        kind = f.dataType.typeName()
+        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) if kind in ("string", "binary") else F.coalesce(F.octet_length(F.to_json(f.name)), F.lit(0)) if kind in ("array", "map", "struct") else F.lit(16))
+    measured = df.agg(F.sum(size.cast("long"))).collect()[0][0] or 0
+    return F.broadcast(df) if measured <= limit else df
 
 
 def without(docs: DataFrame, *made: str) -> DataFrame:
