@@ -25,7 +25,7 @@ COUNT = np.array([240, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
 WIDTH = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 60])
 ESCAPE = 15
 GROUP = 512
-BLOCK_IDS = 1 << 16
+BLOCK_IDS = 1 << 18
 U = np.uint64
 
 
@@ -118,7 +118,7 @@ def write_ids(spark: SparkSession, docs: DataFrame, model_file: str, end: int, d
 
         shard, block, before = TaskContext.get().partitionId(), 0, 0
         pieces = encoder(model.value)
-        for part in arrowtext.slices(batches, text, 1 << 19):
+        for part in arrowtext.slices(batches, text, 1 << 20):
             column = part.column(part.schema.get_field_index(text))
             ids, count = pieces.encode(column, end)
             names = part.column(part.schema.get_field_index(doc_id)).to_pylist()
