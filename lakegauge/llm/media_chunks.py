@@ -3,15 +3,17 @@
 A payload is a text's UTF-8 bytes and then zeros up to a positive multiple of BLOCK, taken as 8-bit
 samples. A gear hash of WINDOW bytes cuts it where BITS low bits are zero, at MIN bytes at least and
 MAX at most, so equal passages give equal chunks. Chunk digests are deduplicated by Spark joins:
-of equal payloads one object is stored; of a chunk that several places have one copy is stored in
-a table by digest; all other chunks stay in their object's row. An object lists its chunks in
-order, and reading it back joins the shared ones, puts all in order and verifies the SHA-256.
+of equal payloads one object is stored, whatever rows have them; of a chunk that several places
+have one copy is stored in a table by digest; all other chunks stay in their object's row.
 
-The media form of an object is a header (CDC1, the number of chunks, and each chunk's size and
-digest) and the payload.
+The stored form of an object is its head (CDC1, the number of chunks, and the size and SHA-256 of
+each in order) and the chunks behind it. The head is stored as those bytes; reading back takes head
+and chunks from the files, follows the head's list, and verifies every chunk and the whole payload.
+Whole payloads move once, compressed and one of each a task.
 
 Defined results: null text is empty; equal texts have equal values; rows that repeat are stored
-once and returned each; extra columns are not stored.
+once and returned each; null ids are kept and need no more than others; extra columns are not
+stored or returned.
 """
 
 import hashlib
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrowtext
-from .workspace import Workspace, small
+from .workspace import Workspace
 
 BLOCK = 64
 WINDOW, BITS, MIN, MAX = 32, 10, 256, 8192
@@ -73,74 +75,102 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
     return found
 
 
-def _pieces(part, text):
-    data, ends = payloads(*arrowtext.column(part.column(part.schema.get_field_index(text))))
+def _pieces(data: np.ndarray, ends: np.ndarray):
+    """Each payload and its chunks."""
     for start, stop, own in zip(ends[:-1], ends[1:], cut(data, ends)):
         payload = data[start:stop].tobytes()
         yield payload, [payload[a:b] for a, b in zip([0, *own], own)]
 
 
 def index(docs: DataFrame) -> DataFrame:
-    """(doc, n_bytes, sha, sizes, digests) of each row of (doc, text)."""
+    """(doc, n_bytes, sha, digests) of each row of (doc, text)."""
 
     def run(batches):
         for part in arrowtext.slices(batches, "text"):
-            size = np.diff(arrowtext.column(part.column(1))[1])
-            sha, sizes, digests = [], [], []
-            for payload, chunks in _pieces(part, "text"):
+            data, offsets = arrowtext.column(part.column(1))
+            sha, digests = [], []
+            for payload, chunks in _pieces(*payloads(data, offsets)):
                 sha.append(hashlib.sha256(payload).digest())
-                sizes.append([len(c) for c in chunks])
                 digests.append([hashlib.sha256(c).digest() for c in chunks])
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(sha, pa.binary()), pa.array(sizes, pa.list_(pa.int32())), pa.array(digests, pa.list_(pa.binary()))], ["doc", "n_bytes", "sha", "sizes", "digests"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets)), pa.array(sha, pa.binary()), pa.array(digests, pa.list_(pa.binary()))], ["doc", "n_bytes", "sha", "digests"])
 
-    return docs.mapInArrow(run, "doc long, n_bytes long, sha binary, sizes array<int>, digests array<binary>")
+    return docs.mapInArrow(run, "doc long, n_bytes long, sha binary, digests array<binary>")
 
 
-def _store(owners: DataFrame) -> DataFrame:
-    """Rows of objects and of shared chunks, from (text, own: array of (sha, shared: array of (seq, here)))."""
+def _packed(docs: DataFrame) -> DataFrame:
+    """(sha, packed) of each row of (doc, text); packed is the compressed payload."""
 
     def run(batches):
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=6)
         for part in arrowtext.slices(batches, "text"):
+            data, ends = payloads(*arrowtext.column(part.column(1)))
+            own = [data[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(x).digest() for x in own], pa.binary()), pa.array([press.compress(x) for x in own], pa.binary())], ["sha", "packed"])
+
+    return docs.mapInArrow(run, "sha binary, packed binary")
+
+
+def head(chunks: list[bytes], digests: list[bytes]) -> bytes:
+    """What precedes the chunks in the stored form."""
+    return b"CDC1" + struct.pack("<I", len(chunks)) + b"".join(struct.pack("<I", len(c)) + d for c, d in zip(chunks, digests))
+
+
+def media(sha: bytes, chunks: list[bytes]) -> bytes:
+    """The stored form of a payload that is cut into these chunks."""
+    return head(chunks, [hashlib.sha256(c).digest() for c in chunks]) + b"".join(chunks)
+
+
+def parse_head(data: bytes) -> list[tuple[int, bytes]]:
+    """Size and digest of each chunk, in order."""
+    count = int.from_bytes(data[4:8], "little")
+    if data[:4] != b"CDC1" or len(data) != 8 + 36 * count:
+        raise ValueError("not the head of a stored payload")
+    return [(int.from_bytes(data[at : at + 4], "little"), data[at + 4 : at + 36]) for at in range(8, len(data), 36)]
+
+
+def _store(objects: DataFrame) -> DataFrame:
+    """Rows of objects and of shared chunks, from (sha, packed, shared: array of (seq, here))."""
+
+    def run(batches):
+        import zstandard
+
+        press = zstandard.ZstdDecompressor()
+        for part in arrowtext.slices(batches, "packed"):
+            raw = [press.decompress(x.as_py()) for x in part.column(1)]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
             rows = []
-            for own, (payload, chunks) in zip(part.column(1).to_pylist(), _pieces(part, "text")):
-                sha = hashlib.sha256(payload).digest()
-                for entry in own:
-                    if entry["sha"] != sha:
-                        continue  # the doc_id has several texts
-                    shared = {s["seq"]: s["here"] for s in entry["shared"] or ()}
-                    digests = [hashlib.sha256(c).digest() for c in chunks]
-                    rows.append({"kind": "object", "key": sha, "sizes": [len(c) for c in chunks], "shared": sorted(shared), "digests": [digests[s] for s in sorted(shared)], "data": b"".join(c for i, c in enumerate(chunks) if i not in shared)})
-                    rows += [{"kind": "chunk", "key": digests[s], "sizes": None, "shared": None, "digests": None, "data": chunks[s]} for s, here in shared.items() if here]
+            for sha, own, (_, chunks) in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), _pieces(np.frombuffer(b"".join(raw), np.uint8), ends)):
+                shared = {s["seq"]: s["here"] for s in own or ()}
+                digests = [hashlib.sha256(c).digest() for c in chunks]
+                rows.append({"kind": "object", "key": sha, "head": head(chunks, digests), "shared": sorted({digests[s] for s in shared}), "data": b"".join(c for i, c in enumerate(chunks) if i not in shared)})
+                rows += [{"kind": "chunk", "key": digests[s], "data": chunks[s]} for s, here in shared.items() if here]
             yield pa.RecordBatch.from_pylist(rows, _STORE)
 
-    return owners.mapInArrow(run, "kind string, key binary, sizes array<int>, shared array<int>, digests array<binary>, data binary")
+    return objects.mapInArrow(run, "kind string, key binary, head binary, shared array<binary>, data binary")
 
 
-_STORE = pa.schema([("kind", pa.string()), ("key", pa.binary()), ("sizes", pa.list_(pa.int32())), ("shared", pa.list_(pa.int32())), ("digests", pa.list_(pa.binary())), ("data", pa.binary())])
+_STORE = pa.schema([("kind", pa.string()), ("key", pa.binary()), ("head", pa.binary()), ("shared", pa.list_(pa.binary())), ("data", pa.binary())])
 
 
 def write_media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[Workspace, DataFrame, DataFrame]:
     """Store the payloads of docs; returns the folder, the index of all rows and the store."""
     work = Workspace(docs.sparkSession, "media")
-    named = docs.select(F.coalesce(F.col(doc_id), F.lit(-(2**63))).alias("doc"), F.col(text).alias("text"))
+    named = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
     rows = work.write(index(named), "index")
-    objects = work.write(rows.groupBy("sha").agg(F.min("doc").alias("doc"), F.first("digests").alias("digests")), "objects")
-    places = objects.select("doc", "sha", F.posexplode("digests").alias("seq", "digest"))
-    shared = work.write(places.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc", "sha", "seq")).alias("first")).where("n > 1").drop("n"), "shared")
-    marks = places.join(small(shared), "digest").groupBy("sha").agg(F.collect_list(F.struct("seq", (F.struct("doc", "sha", "seq") == F.col("first")).alias("here"))).alias("shared"))
-    marks = work.write(marks, "marks")
-    own = objects.select("doc", "sha").join(marks, "sha", "left").groupBy("doc").agg(F.collect_list(F.struct("sha", "shared")).alias("own"))
-    own = work.write(own, "own")
-    store = _store(named.join(small(own), "doc").select("text", "own"))
+    places = rows.groupBy("sha").agg(F.first("digests").alias("digests")).select("sha", F.posexplode("digests").alias("seq", "digest"))
+    places = places.select("digest", F.struct(F.col("sha"), F.col("seq")).alias("place"))
+    shared = work.write(places.groupBy("digest").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").select("digest", "first"), "shared")
+    marked = places.join(shared, "digest").select("place.sha", F.struct(F.col("place.seq").alias("seq"), (F.col("place") == F.col("first")).alias("here")).alias("mark"))
+    marks = work.write(marked.groupBy("sha").agg(F.collect_list("mark").alias("shared")), "marks")
+    # one payload of each digest leaves a task, so copies do not meet in one
+    objects = _packed(named).groupBy("sha").agg(F.first("packed").alias("packed"))
+    store = _store(objects.join(marks, "sha", "left").select("sha", "packed", "shared"))
     store.write.partitionBy("kind").options(compression="zstd").parquet(f"{work.path}/store")
     return work, rows.select("doc", "n_bytes", "sha"), work.read("store", store.schema)
 
 
-def media(sha: bytes, chunks: list[bytes]) -> bytes:
-    head = b"CDC1" + struct.pack("<I", len(chunks)) + b"".join(struct.pack("<I", len(c)) + hashlib.sha256(c).digest() for c in chunks)
-    return head + b"".join(chunks)
-
-
 def features(payload: bytes, chunks: int) -> str:
     """Mean, spread, entropy and sign changes of the samples."""
     samples = np.frombuffer(payload, np.uint8)
@@ -153,36 +183,39 @@ def features(payload: bytes, chunks: int) -> str:
 
 def read_media(work: Workspace, store: DataFrame) -> DataFrame:
     """(sha, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature) of each stored object."""
-    objects = store.where("kind = 'object'").select("key", "sizes", "shared", "digests", "data")
+    objects = store.where("kind = 'object'").select("key", "head", "shared", "data")
     chunks = store.where("kind = 'chunk'").select(F.col("key").alias("digest"), F.col("data").alias("bytes"))
-    wanted = objects.where(F.size("shared") > 0).select("key", F.explode(F.arrays_zip("shared", "digests")).alias("s")).select("key", F.col("s.shared").alias("seq"), F.col("s.digests").alias("digest"))
-    parts = wanted.join(chunks, "digest").groupBy("key").agg(F.collect_list(F.struct("seq", "bytes")).alias("parts"))
-    none = F.lit(None).cast("array<struct<seq:int,bytes:binary>>")
-    mixed = objects.where(F.size("shared") > 0).join(parts, "key").select("key", "sizes", "data", "parts")
-    whole = objects.where(F.size("shared") == 0).select("key", "sizes", "data", none.alias("parts")).unionByName(mixed)
+    wanted = objects.where(F.size("shared") > 0).select("key", F.explode("shared").alias("digest"))
+    parts = wanted.join(chunks, "digest").groupBy("key").agg(F.collect_list(F.struct("digest", "bytes")).alias("parts"))
+    none = F.lit(None).cast("array<struct<digest:binary,bytes:binary>>")
+    mixed = objects.where(F.size("shared") > 0).join(parts, "key").select("key", "head", "data", "parts")
+    whole = objects.where(F.size("shared") == 0).select("key", "head", "data", none.alias("parts")).unionByName(mixed)
 
     def run(batches):
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):
-                sha, sizes, data, parts = (batch.column(k)[i].as_py() for k in range(4))
-                given = {p["seq"]: p["bytes"] for p in parts or ()}
-                own, at, ordered = memoryview(data), 0, []
-                for seq, size in enumerate(sizes):
-                    if seq in given:
-                        ordered.append(given[seq])
-                    else:
-                        ordered.append(bytes(own[at : at + size]))
+                sha, front, data, parts = (batch.column(k)[i].as_py() for k in range(4))
+                given = {p["digest"]: p["bytes"] for p in parts or ()}
+                at, ordered = 0, []
+                for size, digest in parse_head(front):
+                    chunk = given.get(digest)
+                    if chunk is None:
+                        chunk = data[at : at + size]
                         at += size
+                    if len(chunk) != size or hashlib.sha256(chunk).digest() != digest:
+                        raise ValueError("a stored chunk is not what its list says")
+                    ordered.append(chunk)
                 payload = b"".join(ordered)
                 if hashlib.sha256(payload).digest() != sha or at != len(data):
                     raise ValueError("stored chunks do not make the payload")
-                form = media(sha, ordered)
-                rows.append({"sha": sha, "payload_bytes": len(payload), "payload_sha256": sha.hex(), "tail_crc32": zlib.crc32(payload[-BLOCK:]), "media_bytes": len(form), "media_sha256": hashlib.sha256(form).hexdigest(), "feature": features(payload, len(ordered))})
+                form = hashlib.sha256(front)
+                form.update(payload)
+                rows.append({"sha": sha, "payload_bytes": len(payload), "payload_sha256": sha.hex(), "tail_crc32": zlib.crc32(payload[-BLOCK:]), "media_bytes": len(front) + len(payload), "media_sha256": form.hexdigest(), "feature": features(payload, len(ordered))})
             yield pa.RecordBatch.from_pylist(rows, _FEATURES)
 
     found = whole.mapInArrow(run, "sha binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
-    return work.write(found.dropDuplicates(["sha"]), "features")
+    return work.write(found, "features")
 
 
 _FEATURES = pa.schema([("sha", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
@@ -192,4 +225,4 @@ def of_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """A row of what is read back for each row of docs."""
     work, rows, store = write_media(docs, doc_id, text)
     found = rows.join(read_media(work, store), "sha")
-    return found.select(F.expr(f"nullif(doc, {-(2**63) + 1} - 1)").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return found.select(F.col("doc").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")

@@ -72,3 +72,28 @@ def test_shared_chunks_are_stored_once(spark):
     docs = spark.createDataFrame([(i, f"{i} " * 50 + passage) for i in range(20)], "doc_id long, text string")
     _, _, store = media_chunks.write_media(docs)
     assert sum(len(r["data"]) for r in store.collect()) < 3 * 20000
+
+
+def test_the_stored_form_is_what_the_files_hold(spark):
+    rng = random.Random(5)
+    passage = "".join(chr(97 + rng.randrange(26)) for _ in range(9000))
+    rows = [(-(2**63), "a" + passage), (2**63 - 1, passage + "b"), (None, passage), (None, passage), (None, None), (7, "x" * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    work, _, _ = media_chunks.write_media(docs)
+    stored = spark.read.parquet(f"{work.path}/store").collect()
+    chunks = {bytes(r["key"]): bytes(r["data"]) for r in stored if r["kind"] == "chunk"}
+    forms = {}
+    for r in stored:
+        if r["kind"] == "object":
+            left, own = bytes(r["data"]), b""
+            for size, digest in media_chunks.parse_head(bytes(r["head"])):
+                part = chunks.get(digest, left[:size])
+                left = left if digest in chunks else left[size:]
+                own += part
+            forms[hashlib.sha256(own).hexdigest()] = bytes(r["head"]) + own
+    found = media_chunks.of_documents(docs).collect()
+    assert len(forms) == 5 and len(found) == 6
+    for r in found:
+        form = forms[r["payload_sha256"]]
+        assert (r["media_bytes"], r["media_sha256"]) == (len(form), hashlib.sha256(form).hexdigest())
+    assert sorted((r["doc_id"] for r in found), key=str) == sorted((i for i, _ in rows), key=str)
