@@ -9,7 +9,9 @@ have one copy is stored in a table by digest; all other chunks stay in their obj
 The stored form of an object is its head (CDC1, the number of chunks, and the size and SHA-256 of
 each in order) and the chunks behind it. The head is stored as those bytes; reading back takes head
 and chunks from the files, follows the head's list, and verifies every chunk and the whole payload.
-Whole payloads move once, compressed and one of each a task.
+A payload that occurs once and shares no chunk is stored where its text is read. A Bloom filter of
+fixed size names the others, and perhaps more; those move, compressed and one of each a task, to
+where their marks are. Beyond the filter's size more payloads move, with the same result.
 
 Defined results: null text is empty; equal texts have equal values; rows that repeat are stored
 once and returned each; null ids are kept and need no more than others; extra columns are not
@@ -30,6 +32,8 @@ from .workspace import Workspace
 
 BLOCK = 64
 WINDOW, BITS, MIN, MAX = 32, 10, 256, 8192
+#: Bits of the filter that names payloads which share something.
+FILTER_BITS = 1 << 26
 GEAR = (arrowtext.keys(21, 256) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -97,8 +101,29 @@ def index(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc long, n_bytes long, sha binary, digests array<binary>")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """(sha, packed) of each row of (doc, text); packed is the compressed payload."""
+def _bits(sha: np.ndarray) -> np.ndarray:
+    """The filter's places for digests, rows of 32 bytes: three each."""
+    return (np.ascontiguousarray(sha[:, :24]).view("<u8") % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """The bytes of a Bloom filter of the digests in keys."""
+
+    def run(batches):
+        for batch in batches:
+            raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, 32)
+            yield pa.RecordBatch.from_arrays([pa.array(_bits(raw).ravel())], ["bit"])
+
+    words = keys.mapInArrow(run, "bit long").groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 31 AS INT))")).alias("bits"))
+    found = words.toArrow()  # a row for each 32 bits of the filter at most
+    out = np.zeros(FILTER_BITS // 32, "<u4")
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy().astype("<u4")
+    return out
+
+
+def _first_pass(docs: DataFrame, moving: np.ndarray) -> DataFrame:
+    """Objects of the rows of (doc, text) that the filter does not hold, and the others' payloads, compressed, as moved."""
+    held = docs.sparkSession.sparkContext.broadcast(moving)  # FILTER_BITS
 
     def run(batches):
         import zstandard
@@ -106,10 +131,18 @@ def _packed(docs: DataFrame) -> DataFrame:
         press = zstandard.ZstdCompressor(level=6)
         for part in arrowtext.slices(batches, "text"):
             data, ends = payloads(*arrowtext.column(part.column(1)))
-            own = [data[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(x).digest() for x in own], pa.binary()), pa.array([press.compress(x) for x in own], pa.binary())], ["sha", "packed"])
+            shas = [hashlib.sha256(data[a:b]).digest() for a, b in zip(ends, ends[1:])]
+            bit = _bits(np.frombuffer(b"".join(shas), np.uint8).reshape(-1, 32))
+            move = ((held.value[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1).all(axis=1)
+            rows = []
+            for sha, away, (payload, chunks) in zip(shas, move.tolist(), _pieces(data, ends)):
+                if away:
+                    rows.append({"kind": "moved", "key": sha, "data": press.compress(payload)})
+                else:
+                    rows.append({"kind": "object", "key": sha, "head": head(chunks, [hashlib.sha256(c).digest() for c in chunks]), "shared": [], "data": payload})
+            yield pa.RecordBatch.from_pylist(rows, _STORE)
 
-    return docs.mapInArrow(run, "sha binary, packed binary")
+    return docs.mapInArrow(run, _STORE_DDL)
 
 
 def head(chunks: list[bytes], digests: list[bytes]) -> bytes:
@@ -148,9 +181,10 @@ def _store(objects: DataFrame) -> DataFrame:
                 rows += [{"kind": "chunk", "key": digests[s], "data": chunks[s]} for s, here in shared.items() if here]
             yield pa.RecordBatch.from_pylist(rows, _STORE)
 
-    return objects.mapInArrow(run, "kind string, key binary, head binary, shared array<binary>, data binary")
+    return objects.mapInArrow(run, _STORE_DDL)
 
 
+_STORE_DDL = "kind string, key binary, head binary, shared array<binary>, data binary"
 _STORE = pa.schema([("kind", pa.string()), ("key", pa.binary()), ("head", pa.binary()), ("shared", pa.list_(pa.binary())), ("data", pa.binary())])
 
 
@@ -160,15 +194,22 @@ def write_media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     named = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
     rows = work.write(index(named), "index")
     places = rows.groupBy("sha").agg(F.first("digests").alias("digests")).select("sha", F.posexplode("digests").alias("seq", "digest"))
-    places = places.select("digest", F.struct(F.col("sha"), F.col("seq")).alias("place"))
-    shared = work.write(places.groupBy("digest").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").select("digest", "first"), "shared")
-    marked = places.join(shared, "digest").select("place.sha", F.struct(F.col("place.seq").alias("seq"), (F.col("place") == F.col("first")).alias("here")).alias("mark"))
+    # 16 bytes of a digest tell chunks and objects apart; stored lists have all 32
+    places = places.select(F.substring("digest", 1, 16).alias("digest"), F.substring("sha", 1, 16).alias("object"), "seq", "sha")
+    place = F.struct("object", "seq")
+    shared = work.write(places.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", "first"), "shared")
+    marked = places.join(shared, "digest").select("sha", F.struct("seq", (place == F.col("first")).alias("here")).alias("mark"))
     marks = work.write(marked.groupBy("sha").agg(F.collect_list("mark").alias("shared")), "marks")
+    twice = rows.groupBy("sha").agg(F.count("*").alias("n")).where("n > 1")
+    stored = _first_pass(named, _filter(twice.select("sha").union(marks.select("sha"))))
+    options = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
+    stored.write.partitionBy("kind").options(**options).parquet(f"{work.path}/store")
+    store = work.read("store", stored.schema)
     # one payload of each digest leaves a task, so copies do not meet in one
-    objects = _packed(named).groupBy("sha").agg(F.first("packed").alias("packed"))
-    store = _store(objects.join(marks, "sha", "left").select("sha", "packed", "shared"))
-    store.write.partitionBy("kind").options(compression="zstd").parquet(f"{work.path}/store")
-    return work, rows.select("doc", "n_bytes", "sha"), work.read("store", store.schema)
+    moved = store.where("kind = 'moved'").groupBy(F.col("key").alias("sha")).agg(F.first("data").alias("packed"))
+    rest = _store(moved.join(marks, "sha", "left").select("sha", "packed", "shared"))
+    rest.write.mode("append").partitionBy("kind").options(**options).parquet(f"{work.path}/store")
+    return work, rows.select("doc", "n_bytes", "sha"), work.read("store", stored.schema).where("kind <> 'moved'")
 
 
 def features(payload: bytes, chunks: int) -> str:
@@ -182,7 +223,7 @@ def features(payload: bytes, chunks: int) -> str:
 
 
 def read_media(work: Workspace, store: DataFrame) -> DataFrame:
-    """(sha, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature) of each stored object."""
+    """(sha, payload_bytes, tail_crc32, media_bytes, media_sha, feature) of each stored object; sha is that of the payload read."""
     objects = store.where("kind = 'object'").select("key", "head", "shared", "data")
     chunks = store.where("kind = 'chunk'").select(F.col("key").alias("digest"), F.col("data").alias("bytes"))
     wanted = objects.where(F.size("shared") > 0).select("key", F.explode("shared").alias("digest"))
@@ -211,18 +252,18 @@ def read_media(work: Workspace, store: DataFrame) -> DataFrame:
                     raise ValueError("stored chunks do not make the payload")
                 form = hashlib.sha256(front)
                 form.update(payload)
-                rows.append({"sha": sha, "payload_bytes": len(payload), "payload_sha256": sha.hex(), "tail_crc32": zlib.crc32(payload[-BLOCK:]), "media_bytes": len(front) + len(payload), "media_sha256": form.hexdigest(), "feature": features(payload, len(ordered))})
+                rows.append({"sha": sha, "payload_bytes": len(payload), "tail_crc32": zlib.crc32(payload[-BLOCK:]), "media_bytes": len(front) + len(payload), "media_sha": form.digest(), "feature": features(payload, len(ordered))})
             yield pa.RecordBatch.from_pylist(rows, _FEATURES)
 
-    found = whole.mapInArrow(run, "sha binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    found = whole.mapInArrow(run, "sha binary, payload_bytes long, tail_crc32 long, media_bytes long, media_sha binary, feature string")
     return work.write(found, "features")
 
 
-_FEATURES = pa.schema([("sha", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
+_FEATURES = pa.schema([("sha", pa.binary()), ("payload_bytes", pa.int64()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha", pa.binary()), ("feature", pa.string())])
 
 
 def of_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row of what is read back for each row of docs."""
     work, rows, store = write_media(docs, doc_id, text)
     found = rows.join(read_media(work, store), "sha")
-    return found.select(F.col("doc").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return found.select(F.col("doc").alias("doc_id"), "n_bytes", "payload_bytes", F.lower(F.hex("sha")).alias("payload_sha256"), "tail_crc32", "media_bytes", F.lower(F.hex("media_sha")).alias("media_sha256"), "feature")

@@ -97,3 +97,13 @@ def test_the_stored_form_is_what_the_files_hold(spark):
         form = forms[r["payload_sha256"]]
         assert (r["media_bytes"], r["media_sha256"]) == (len(form), hashlib.sha256(form).hexdigest())
     assert sorted((r["doc_id"] for r in found), key=str) == sorted((i for i, _ in rows), key=str)
+
+
+def test_a_full_filter_moves_more_and_changes_nothing(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = "".join(chr(97 + rng.randrange(26)) for _ in range(5000))
+    docs = spark.createDataFrame([(i, f"{i} " * (i * 40) + (passage if i % 3 == 0 else "")) for i in range(40)] + [(50, "1 " * 40), (51, None)], "doc_id long, text string")
+    wanted = sorted(map(tuple, media_chunks.of_documents(docs).collect()))
+    whole = media_chunks._filter
+    monkeypatch.setattr(media_chunks, "_filter", lambda keys: whole(keys) | np.uint32(0xFFFFFFFF))
+    assert sorted(map(tuple, media_chunks.of_documents(docs).collect())) == wanted
