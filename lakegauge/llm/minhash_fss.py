@@ -136,6 +136,13 @@ def full_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(doc_id, text).mapInArrow(run, "node long, size long, odd array<long>, shingles binary")
 
 
+def may_reach(size: str, odd: str, other_size: str, other_odd: str, percent: int):
+    """Whether two sets can be linked: they differ in at least as many shingles as their sizes do, and as their parities do in bits."""
+    bits = sum((F.bit_count(F.get(odd, F.lit(i)).bitwiseXOR(F.get(other_odd, F.lit(i)))) for i in range(ODD_BITS // 64)), F.lit(0))
+    differ = F.greatest(bits, F.abs(F.col(size) - F.col(other_size)))
+    return (100 - percent) * (F.col(size) + F.col(other_size)) >= (100 + percent) * differ
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of which 100 * intersection >= percent * union, on full sets."""
 
@@ -153,17 +160,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # the short figures of both sides first: few pairs need their sets
     brief = lambda c: sets.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("odd").alias(f"{c}_odd"))
     sized = pairs.select("a", "b").distinct().join(brief("a"), "a").join(brief("b"), "b")
-    # sets differ in at least as many shingles as their sizes, and as their parities in bits
-    odd = sum((F.bit_count(F.get("a_odd", F.lit(i)).bitwiseXOR(F.get("b_odd", F.lit(i)))) for i in range(ODD_BITS // 64)), F.lit(0))
-    differ = F.greatest(odd, F.abs(F.col("a_size") - F.col("b_size")))
-    likely = sized.where((100 - percent) * (F.col("a_size") + F.col("b_size")) >= (100 + percent) * differ).select("a", "b")
+    likely = sized.where(may_reach("a_size", "a_odd", "b_size", "b_odd", percent)).select("a", "b")
     left = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of rows of sets (node, label, size, shingles) with other labels among which are all that reach the threshold."""
+    """Pairs (a, b) of rows of sets (node, label, size, odd, shingles) with other labels among which are all that reach the threshold."""
 
     def bins(batches):
         count = np.zeros(COUNT_BINS, np.int64)
@@ -182,7 +186,7 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows, marks, index = [], [], []
-            for i, x in enumerate(batch.column(3)):
+            for i, x in enumerate(batch.column(4)):
                 own = np.frombuffer(x.as_buffer(), U)
                 own = own[np.lexsort((own, shared.value[(own % U(COUNT_BINS)).astype(np.int64)]))]
                 n = len(own)
@@ -193,15 +197,15 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
                 index.append(np.arange(probe) < least)
             if rows:
                 at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(3)), pa.array(np.concatenate(marks)), pa.array(np.concatenate(index))], ["node", "label", "size", "shingle", "least"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(4)), pa.array(np.concatenate(marks)), pa.array(np.concatenate(index))], ["node", "label", "size", "odd", "shingle", "least"])
 
-    marks = sets.select("node", "label", "size", "shingles").mapInArrow(run, "node long, label long, size long, shingle long, least boolean")
+    marks = sets.select("node", "label", "size", "odd", "shingles").mapInArrow(run, "node long, label long, size long, odd array<long>, shingle long, least boolean")
     marks = Workspace(spark, "prefixes").write(marks, "marks")
     shared.unpersist()
-    lower = marks.where("least").select(F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("size").alias("other_size"), "shingle")
+    lower = marks.where("least").select(F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("size").alias("other_size"), F.col("odd").alias("other_odd"), "shingle")
     # the one with fewer shingles, or of as many the lesser one, is found by its least prefix
     order = (F.col("other_size") < F.col("size")) | ((F.col("other_size") == F.col("size")) & (F.col("other") < F.col("node")))
-    on = (marks["shingle"] == lower["shingle"]) & (F.col("label") != F.col("other_label")) & order & (100 * F.col("other_size") >= percent * F.col("size"))
+    on = (marks["shingle"] == lower["shingle"]) & (F.col("label") != F.col("other_label")) & order & may_reach("size", "odd", "other_size", "other_odd", percent)
     return marks.join(lower, on).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
