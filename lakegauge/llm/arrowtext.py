@@ -145,6 +145,20 @@ def slices(batches, text: str, limit: int = SLICE_BYTES):
             yield batch.slice(lo, hi - lo)
 
 
+def joined(batches, text: str, limit: int):
+    """Record batches of whole rows with about limit bytes of text each: small ones are put together, large ones cut."""
+    held, size = [], 0
+    for part in slices(batches, text, limit):
+        own = pc.sum(pc.binary_length(part.column(part.schema.get_field_index(text)))).as_py() or 0
+        if held and size + own > limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        held.append(part)
+        size += own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 class Words:
     """start, end: byte positions; hash: 64 bits each; doc: row; first, count: by row."""
 

@@ -1,16 +1,16 @@
 """Benchmark decontamination by an FM-index of each training shard.
 
-A shard is a slice of whole documents. Its text is the sequence of word numbers in the benchmark's
+A shard is a run of whole documents, about SHARD_BYTES of text or one longer document. Its text is the sequence of word numbers in the benchmark's
 vocabulary; words that no benchmark item has, and the ends of documents, all are one separator, and
 runs of words shorter than the shortest phrase are left out, as no phrase can lie in them. The
 shard's suffix array gives its Burrows-Wheeler transform, whose ranks a wavelet matrix answers.
-All phrases are searched backward together; each occurrence steps back to a sampled suffix
-position, and the spans of words found are merged in the document.
+All phrases whose words the shard has are searched backward together; each occurrence steps back to
+a sampled suffix position, and the spans of words found are merged in the document.
 
-Words are compared by 64-bit hashes. Defined results: null or empty text has no words; an item of
-fewer words than the window is one phrase, one without words has none; items with equal phrases
-all count; rows that repeat are judged each; extra columns
-pass through, but for ones named as those made here.
+Words are compared by 64-bit hashes, and phrases by 128 bits over those. Defined results: null or
+empty text has no words; an item of fewer words than the window is one phrase, one without words
+has none; items with equal phrases all count; a null item_id is named None; rows that repeat are
+judged each; extra columns pass through, but for ones named as those made here.
 """
 
 import numpy as np
@@ -25,7 +25,8 @@ from .workspace import Workspace, ddl, prepare, without
 WINDOW = 13
 SAMPLE = 8
 #: A pass over the documents searches the phrases of items with at most so many bytes of text.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 
 class WaveletMatrix:
@@ -102,14 +103,14 @@ class FMIndex:
         self.marks = np.concatenate([[0], np.cumsum(sampled)])
         self.samples = order[sampled]
 
-    def search(self, phrases: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last-plus-one suffix of each phrase; rows of phrases end at the right, with zeros before them."""
-        low, high = np.zeros(len(phrases), np.int64), np.full(len(phrases), self.n)
-        for j in range(phrases.shape[1]):
+    def search(self, numbers: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last-plus-one suffix of each phrase numbers[start : start + size]."""
+        low, high = np.zeros(len(start), np.int64), np.full(len(start), self.n)
+        for j in range(int(size.max(initial=0))):
             live = np.flatnonzero((size > j) & (low < high))
             if not len(live):
                 break
-            symbol = phrases[live, phrases.shape[1] - 1 - j] + 1
+            symbol = numbers[start[live] + size[live] - 1 - j].astype(np.int64) + 1
             base = self.first[symbol]
             low[live], high[live] = base + self.wavelet.rank(symbol, low[live]), base + self.wavelet.rank(symbol, high[live])
         return low, np.maximum(low, high)
@@ -129,30 +130,30 @@ class FMIndex:
 
 
 class Phrases:
-    """Windows of the items as rows of vocabulary numbers, and the items of each."""
+    """Windows of the items as runs of vocabulary numbers, and the items of each; some 40 bytes for each word of the items."""
 
     def __init__(self, items: list[tuple[object, str]], window: int):
         words = Words(*arrowtext.column(pa.array([t for _, t in items], pa.string())), arrowtext.NOT_ALNUM)
+        self.names = [str(name) for name, _ in items]
         self.vocabulary = np.unique(words.hash)
-        number = np.searchsorted(self.vocabulary, words.hash) + 1
-        found: dict[bytes, set] = {}
-        for r, (name, _) in enumerate(items):
-            own = number[words.first[r] : words.first[r] + words.count[r]].astype(np.int64)
-            for i in range(max(1, len(own) - window + 1) if len(own) else 0):
-                found.setdefault(own[i : i + window].tobytes(), set()).add(str(name))
-        self.items = [sorted(v) for v in found.values()]
-        rows = [np.frombuffer(k, np.int64) for k in found]
-        self.size = np.array([len(r) for r in rows], np.int64)
-        self.rows = np.zeros((len(rows), int(self.size.max(initial=1))), np.int64)
-        for i, r in enumerate(rows):
-            self.rows[i, -len(r) :] = r
+        self.numbers = (np.searchsorted(self.vocabulary, words.hash) + 1).astype(np.int32)
+        many = np.where(words.count > 0, np.maximum(words.count - window + 1, 1), 0)
+        item = np.repeat(np.arange(words.rows), many)
+        start = np.repeat(words.first, many) + np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many)
+        size = np.minimum(words.count, window)[item]
+        one, two = arrowtext.run_hashes(words.hash, start, start + size, 2)
+        order = np.lexsort((item, two, one))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+        self.start, self.size = start[order[fresh]].astype(np.int32), size[order[fresh]].astype(np.int32)
+        self.item, self.of = item[order].astype(np.int32), np.append(np.flatnonzero(fresh), len(order))
         #: A table by the hashes' top bits to their numbers, so most words are told apart by one look.
         self.bits = max(12, int(len(self.vocabulary) * 16).bit_length())
         top = (self.vocabulary >> U(64 - self.bits)).astype(np.int64)
         self.slot = np.searchsorted(top, np.arange(1 << self.bits), side="left")
         self.deepest = int(np.bincount(top).max(initial=0))
 
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+    def number(self, hashes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(hashes), np.int64)
         if len(self.vocabulary):
             slot = self.slot[(hashes >> U(64 - self.bits)).astype(np.int64)]
@@ -165,9 +166,9 @@ class Phrases:
     def find(self, words: Words) -> tuple[np.ndarray, list[set]]:
         """Which words are hit, and each document's items."""
         hit, items = np.zeros(len(words.hash), bool), [set() for _ in range(words.rows)]
-        if not len(self.rows) or not len(words.hash):
+        if not len(self.start) or not len(words.hash):
             return hit, items
-        number = self.numbers(words.hash)
+        number = self.number(words.hash)
         # runs of vocabulary words inside one document
         starts = np.flatnonzero((number > 0) & np.concatenate([[True], (number[:-1] == 0) | (words.doc[1:] != words.doc[:-1])]))
         stops = np.flatnonzero((number > 0) & np.concatenate([(number[1:] == 0) | (words.doc[1:] != words.doc[:-1]), [True]])) + 1
@@ -180,10 +181,18 @@ class Phrases:
         place = np.arange(end[-1]) - np.repeat(end - length, length) + np.repeat(starts, length)
         text = number[np.minimum(place, len(number) - 1)]
         text[end - 1] = 0
+        # phrases of which the shard lacks a word cannot occur
+        there = np.zeros(len(self.vocabulary) + 1, bool)
+        there[text] = True
+        likely = np.arange(len(self.start))
+        for j in range(int(self.size.max())):
+            likely = likely[there[self.numbers[self.start[likely] + np.minimum(j, self.size[likely] - 1)]]]
+        if not len(likely):
+            return hit, items
         index = FMIndex(text, len(self.vocabulary))
-        low, high = index.search(self.rows, self.size)
+        low, high = index.search(self.numbers, self.start[likely], self.size[likely])
         count = high - low
-        phrase = np.repeat(np.arange(len(count)), count)
+        phrase = np.repeat(likely, count)
         at = index.locate(np.arange(len(phrase)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count))
         first = place[at]
         edge = np.zeros(len(hit) + 1, np.int64)
@@ -191,7 +200,7 @@ class Phrases:
         np.add.at(edge, first + self.size[phrase], -1)
         hit = np.cumsum(edge[:-1]) > 0
         for doc, p in np.unique(np.stack([words.doc[first], phrase], 1), axis=0):
-            items[doc].update(self.items[p])
+            items[doc].update(self.names[i] for i in self.item[self.of[p] : self.of[p + 1]])
         return hit, items
 
 
@@ -220,7 +229,7 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text
         phrases = spark.sparkContext.broadcast(Phrases(rows, window))
 
         def run(batches, phrases=phrases, before=i > 0):
-            for part in arrowtext.slices(batches, text):
+            for part in arrowtext.joined(batches, text, SHARD_BYTES):
                 words = Words(*arrowtext.column(part.column(part.schema.get_field_index(text))), arrowtext.NOT_ALNUM)
                 hit, items = phrases.value.find(words)
                 if before:

@@ -83,6 +83,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: run(f) for f in found}
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: Windows as joined words, met by equality.
+CONTAMINATION = f"""
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS name, coalesce({_WORDS}, []) AS w FROM benchmark),
+phrase AS (SELECT DISTINCT name, least(len(w), 13) AS size, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS words FROM (SELECT name, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+place AS (SELECT r, size, i, array_to_string(w[i : i + size - 1], ' ') AS words FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, (SELECT DISTINCT size FROM phrase) WHERE len(w) >= size)),
+found AS (SELECT r, i, p.size, name FROM place l JOIN phrase p ON l.words = p.words AND l.size = p.size),
+hits AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS k FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT r, name FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""
+
+#: Base32 of 20 bytes: 40 hexadecimal digits, five of which make four characters.
+ARCHIVES = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+first AS (SELECT body, min(page_id) AS first FROM page GROUP BY body),
+hex AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS h, first FROM page JOIN first USING (body))
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(h, 1 + 5 * (j // 4), 5) AS BIGINT) >> (15 - 5 * (j % 4))) & 31) AS INTEGER), 1)), '') AS payload_digest,
+CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM hex
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     files = "SELECT doc_id, source || '/p' || (doc_id // 4096) || '/d' || (doc_id // 256) || '/' || doc_id || '.txt' AS path, text FROM documents"
-    return {"op3_license_scan": license_scan.oracle(files, "doc_id")}
+    return {"op3_license_scan": license_scan.oracle(files, "doc_id"), "op8_fm_index_decontamination": CONTAMINATION, "op9_arc_to_warc": ARCHIVES}

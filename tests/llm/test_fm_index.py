@@ -1,10 +1,11 @@
 import hashlib
 import re
 
+import duckdb
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lakegauge.llm import fm_index
+from lakegauge.llm import fm_index, queries
 
 SF = "/root/testdata/sf0.01"
 
@@ -61,9 +62,22 @@ def test_odd_rows(spark):
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=120), st.lists(st.lists(st.integers(1, 3), min_size=1, max_size=5), min_size=1, max_size=8))
 def test_index_finds_every_place(text, phrases):
     index = fm_index.FMIndex(np.array(text), 3)
-    rows = np.zeros((len(phrases), 5), np.int64)
-    for i, p in enumerate(phrases):
-        rows[i, 5 - len(p) :] = p
-    low, high = index.search(rows, np.array([len(p) for p in phrases]))
+    size = np.array([len(p) for p in phrases])
+    low, high = index.search(np.array([x for p in phrases for x in p]), np.cumsum(size) - size, size)
     for p, a, b in zip(phrases, low, high):
         assert sorted(index.locate(np.arange(a, b))) == [i for i in range(len(text)) if text[i : i + len(p)] == p]
+
+
+def test_a_block_of_items_takes_little_memory():
+    rng = np.random.default_rng(2)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 20000, 400))) for i in range(1000)]
+    phrases = fm_index.Phrases(items, 13)
+    total = sum(x.nbytes for x in vars(phrases).values() if isinstance(x, np.ndarray))
+    assert len(phrases.start) == 1000 * 388 and total < 60 * 400_000
+
+
+def test_query_equals_its_sql(spark):
+    for name in ("documents", "benchmark"):
+        duckdb.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    want = duckdb.sql(queries.oracle_sql()["op8_fm_index_decontamination"])
+    assert sorted(map(tuple, queries.op8_fm_index_decontamination(spark, SF).select(*want.columns).collect())) == sorted(want.fetchall())
