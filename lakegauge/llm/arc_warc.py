@@ -4,20 +4,26 @@ An ARC record is a line of fields and then as many bytes as the line declares. V
 have URL, IP, date, type and length; version 2 lines have URL, IP, date, type, result code,
 checksum, location, offset, file name and length. The converter goes by the declared lengths alone
 and makes for each record a WARC/1.1 record with target URI, IP address, date, type and length, a
-record id from the payload's digest and place, and digests of the payload and block.
+record id from URL, date and payload digest, and digests of payload and block. Content that begins
+with an HTTP response's head is a response whose payload comes after the head, other content a resource.
 
-write_archives stores a WARC record for each page: of equal payloads the one with the smallest
-page_id is a response, all others are revisits without the payload. Archives are gzip files of
-whole records, written by Spark to the shared folder and read back as binary files. A file holds
-FILE_RECORDS records at most.
+write_archives writes ARC files of the pages, reads them, and converts their records: of equal
+payloads the one with the smallest page_id is a response, all others are revisits that keep the HTTP
+head alone and refer to the response by record id, URI and date. Archives are files of about
+FILE_BYTES with a gzip member for each record, written by Spark to the shared folder and read back
+as binary files. Pages have no time of their own; DATE stands for it unless a column is named.
 
 Defined results: null html is an empty payload; a null page_id comes after all others, and equal
 payloads with null page_ids alone are all responses; rows that repeat the smallest page_id are
-responses too; a null or unprintable URL becomes a urn:page; truncated or malformed ARC input raises.
+responses too; a null or unprintable URL becomes a page.invalid one; extra columns are not written;
+truncated or malformed ARC input raises.
 """
 
 import base64
+import gzip
 import hashlib
+import io
+import re
 import uuid
 import zlib
 
@@ -28,10 +34,12 @@ from pyspark.sql import functions as F
 from . import arrowtext
 from .workspace import Workspace, prepare
 
-FILE_RECORDS = 4000
+FILE_BYTES = 4 << 20
 DATE = "20260101000000"
 _FIELDS = {1: ("url", "ip", "date", "type", "length"), 2: ("url", "ip", "date", "type", "result", "checksum", "location", "offset", "file", "length")}
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the namespace of URLs
+_REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_EMPTY_MEMBER = zlib.compressobj(1, zlib.DEFLATED, 31).flush()
 
 
 def digest(data: bytes) -> str:
@@ -76,27 +84,46 @@ def parse_arc(data: bytes):
             yield record | {"version": version, "payload": payload}
 
 
-def to_warc(record: dict, extra: dict[str, str] | None = None, refers: str | None = None) -> bytes:
-    """The WARC record of an ARC record, without the blank lines behind it; with refers, a revisit of that record."""
-    payload, extra = record["payload"], extra or {}
-    date = record["date"]
-    stamp = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
+def http_head(size: int, kind: str = "text/html; charset=utf-8") -> bytes:
+    return f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\nContent-Length: {size}\r\n\r\n".encode()
+
+
+def split_http(content: bytes) -> tuple[bytes, bytes]:
+    """An HTTP response's head, empty if there is none, and what comes after it."""
+    end = content.find(b"\r\n\r\n") + 4 if content.startswith(b"HTTP/") else 0
+    return (content[:end], content[end:]) if end >= 4 else (b"", content)
+
+
+def record_id(url: str, date: str, payload_digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{url} {date} {payload_digest}')}>"
+
+
+def stamp(date: str) -> str:
+    """An ARC date of 14 digits, or fewer, as WARC writes it."""
+    full = date + "00000101000000"[len(date) :] if len(date) >= 4 else DATE
+    return f"{full[:4]}-{full[4:6]}-{full[6:8]}T{full[8:10]}:{full[10:12]}:{full[12:14]}Z"
+
+
+def warc_record(fields: dict[str, str], block: bytes) -> bytes:
+    fields = fields | {"WARC-Block-Digest": f"sha1:{digest(block)}", "Content-Length": str(len(block))}
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n").encode() + block
+
+
+def to_warc(record: dict, first: tuple[str, str] | None = None) -> bytes:
+    """The WARC record of an ARC record, without the blank lines behind it; with first, URL and date of the response of the same payload, a revisit of that."""
+    head, payload = split_http(record["payload"])
     own = digest(payload)
-    kind = "resource" if "result" not in record and not extra.get("Lakegauge-Page-Id") else "response"
     fields = {
-        "WARC-Type": "revisit" if refers is not None else kind,
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(_SPACE, f'{record['url']} {date} {own} {sorted(extra.items())}')}>",
-        "WARC-Date": stamp,
+        "WARC-Type": "revisit" if first else "response" if head else "resource",
+        "WARC-Record-ID": record_id(record["url"], record["date"], own),
+        "WARC-Date": stamp(record["date"]),
         "WARC-Target-URI": record["url"],
         "WARC-IP-Address": record["ip"],
         "WARC-Payload-Digest": f"sha1:{own}",
     }
-    block = payload
-    if refers is not None:
-        block = b""
-        fields |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "Lakegauge-Refers-To-Page-Id": refers}
-    fields |= {"WARC-Block-Digest": f"sha1:{digest(block)}", "Lakegauge-Payload-Length": str(len(payload)), **extra, "Content-Type": record["type"], "Content-Length": str(len(block))}
-    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n").encode() + block
+    if first:
+        fields |= {"WARC-Profile": _REVISIT, "WARC-Refers-To": record_id(*first, own), "WARC-Refers-To-Target-URI": first[0], "WARC-Refers-To-Date": stamp(first[1])}
+    return warc_record(fields | {"Content-Type": "application/http; msgtype=response" if head else record["type"]}, head if first else record["payload"])
 
 
 def parse_warc(data: bytes):
@@ -131,45 +158,106 @@ def convert(archives: DataFrame, content: str = "content") -> DataFrame:
     return archives.mapInArrow(run, "version int, url string, record binary")
 
 
-def write_archives(pages: DataFrame, work: Workspace, page_id: str = "page_id", url: str = "url", html: str = "html") -> str:
-    """Write the pages' WARC archives; returns the folder."""
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html")).withColumn("sha", F.unhex(F.sha1(F.encode("html", "utf-8")))).withColumn("size", F.octet_length("html"))
-    first = work.write(rows.groupBy("sha").agg(F.min("page_id").alias("first"), F.max("size").alias("size"), F.count("*").alias("n")).where("n > 1").drop("n"), "first")
-    # read from a table and met on one more key than the grouping had: Spark may split a frequent payload
-    marked = rows.join(first, ["sha", "size"], "left").select("page_id", "url", "html", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers"))
+def _files(rows: DataFrame, path: str) -> DataFrame:
+    """Write each row of (data binary) as a file; an empty gzip member is the end that the text writer asks for."""
+    options = {"lineSep": _EMPTY_MEMBER.decode("latin-1"), "encoding": "ISO-8859-1", "maxRecordsPerFile": "1"}
+    rows.select(F.col("data").cast("string").alias("data")).write.options(**options).text(path)
+    return rows.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+
+
+def _member(data: bytes) -> bytes:
+    press = zlib.compressobj(3, zlib.DEFLATED, 31)
+    return press.compress(data) + press.flush()
+
+
+def _whole(content) -> bytes:
+    return gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer())).read() if content.is_valid else b""
+
+
+def _page(url: str) -> int | None:
+    name = re.search(r"#page=(-?[0-9]*)$", url)[1]
+    return int(name) if name else None
+
+
+def write_arc(pages: DataFrame, path: str) -> DataFrame:
+    """ARC files of (page_id, url, html, date), read back as binary rows; a URL ends in its page's number, odd pages are of version 1."""
+
+    def run(batches):
+        for part in arrowtext.joined(batches, "html", FILE_BYTES):
+            for version in (1, 2):
+                members = []
+                for own, link, html, date in zip(*(part.column(i).to_pylist() for i in range(4))):
+                    if ((own or 0) % 2 == 1) == (version == 1):
+                        link = link if link and link.isprintable() and " " not in link else "http://page.invalid/"
+                        body = html.encode()
+                        members.append(_member(arc_record(version, f"{link}#page={'' if own is None else own}", http_head(len(body)) + body, date=date)))
+                if members:
+                    yield pa.RecordBatch.from_arrays([pa.array([_member(arc_header(version)) + b"".join(members)], pa.binary())], ["data"])
+
+    return _files(pages.mapInArrow(run, "data binary"), path)
+
+
+def arc_records(archives: DataFrame) -> DataFrame:
+    """(page_id, url, ip, date, type, content, sha, size) of the records of ARC files; sha and size are the payload's."""
+
+    def run(batches):
+        for batch in batches:
+            for content in batch.column(0):
+                rows = []
+                for r in parse_arc(_whole(content)):
+                    payload = split_http(r["payload"])[1]
+                    rows.append({"page_id": _page(r["url"]), "url": r["url"], "ip": r["ip"], "date": r["date"], "type": r["type"], "content": r["payload"], "sha": hashlib.sha1(payload).digest(), "size": len(payload)})
+                yield pa.RecordBatch.from_pylist(rows, _RECORDS)
+
+    return archives.mapInArrow(run, "page_id long, url string, ip string, date string, type string, content binary, sha binary, size long")
+
+
+_RECORDS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string()), ("type", pa.string()), ("content", pa.binary()), ("sha", pa.binary()), ("size", pa.int64())])
+
+
+def write_archives(pages: DataFrame, work: Workspace, page_id: str = "page_id", url: str = "url", html: str = "html", date: str | None = None) -> str:
+    """Write the pages' ARC files and, converted, their WARC archives; returns the folder of these."""
+    given = F.col(date).cast("string") if date else F.lit(DATE)
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"), given.alias("date"))
+    records = arc_records(write_arc(rows, f"{work.path}/arc"))
+    keyed = records.select("sha", "size", F.struct("page_id", "url", "date").alias("own")).where("own.page_id is not null")
+    first = keyed.groupBy("sha", "size").agg(F.min("own").alias("first"), F.count("*").alias("n"))
+    alone = records.where("page_id is null").select("sha", "size").distinct().withColumn("more", F.lit(1))
+    first = work.write(first.join(alone, ["sha", "size"], "left").where("n > 1 or more is not null").select("sha", "size", "first"), "first")
+    # read from a table, so Spark may split a frequent payload
+    marked = records.join(first, ["sha", "size"], "left")
+    again = ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
+    marked = marked.select("url", "ip", "date", "type", "content", F.when(again, F.col("first.url")).alias("first_url"), F.when(again, F.col("first.date")).alias("first_date"))
 
     def run(batches):
-        for part in arrowtext.slices(batches, "html"):
-            ids, urls, texts, refers = (part.column(i).to_pylist() for i in range(4))
-            out = []
-            for own, link, text, other in zip(ids, urls, texts, refers):
-                version = 1 if (own or 0) % 2 else 2
-                link = link if link and link.isprintable() and " " not in link else f"urn:page:{own}"
-                archive = arc_header(version) + arc_record(version, link, text.encode())
-                extra = {"Lakegauge-Page-Id": "" if own is None else str(own)}
-                out += [to_warc(r, extra, None if other is None else str(other)) for r in parse_arc(archive)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-
-    path = f"{work.path}/archives"
-    records = marked.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
-    records.write.options(compression="gzip", lineSep="\r\n\r\n", maxRecordsPerFile=FILE_RECORDS).text(path)
-    return path
+        for part in arrowtext.joined(batches, "content", FILE_BYTES):
+            out = [_member(warc_record({"WARC-Type": "warcinfo", "WARC-Date": stamp(DATE), "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(_SPACE, 'lakegauge')}>", "Content-Type": "application/warc-fields"}, b"software: lakegauge\r\n") + b"\r\n\r\n")]
+            for url, ip, date, kind, content, first_url, first_date in zip(*(part.column(i).to_pylist() for i in range(7))):
+                record = {"url": url, "ip": ip, "date": date, "type": kind, "payload": content}
+                out.append(_member(to_warc(record, None if first_url is None else (first_url, first_date)) + b"\r\n\r\n"))
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["data"])
+
+    _files(marked.mapInArrow(run, "data binary"), f"{work.path}/archives")
+    return f"{work.path}/archives"
 
 
 def read_archives(spark, path: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each record in the archives, checked."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
     def run(batches):
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for fields, block in parse_warc(zlib.decompress(content.as_buffer(), 31)):
+                for fields, block in parse_warc(_whole(content)):
+                    if fields["WARC-Type"] == "warcinfo":
+                        continue
                     own, revisit = fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"] == "revisit"
-                    if fields["WARC-Block-Digest"] != f"sha1:{digest(block)}" or not revisit and digest(block) != own:
-                        raise ValueError(f"a record of page {fields['Lakegauge-Page-Id']} has another digest than it says")
-                    name = fields["Lakegauge-Page-Id"]
-                    rows.append({"page_id": int(name) if name else None, "payload_bytes": int(fields["Lakegauge-Payload-Length"]), "payload_digest": own, "record_type": fields["WARC-Type"], "refers_to": int(fields["Lakegauge-Refers-To-Page-Id"]) if revisit else None})
+                    head, payload = split_http(block)
+                    if fields["WARC-Block-Digest"] != f"sha1:{digest(block)}" or not revisit and digest(payload) != own:
+                        raise ValueError(f"the record of {fields['WARC-Target-URI']} has another digest than it says")
+                    size = int(re.search(rb"\r\nContent-Length: ([0-9]+)\r\n", head)[1]) if revisit else len(payload)
+                    rows.append({"page_id": _page(fields["WARC-Target-URI"]), "payload_bytes": size, "payload_digest": own, "record_type": fields["WARC-Type"], "refers_to": _page(fields["WARC-Refers-To-Target-URI"]) if revisit else None})
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]))
 
     return files.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")

@@ -1,8 +1,11 @@
 import base64
+import gzip
 import hashlib
+import zlib
 
+import duckdb
 import pytest
-from lakegauge.llm import arc_warc
+from lakegauge.llm import arc_warc, queries
 from lakegauge.llm.workspace import Workspace
 
 SF = "/root/testdata/sf0.001"
@@ -46,3 +49,36 @@ def test_versions_and_lengths(spark):
     for bad in (one[:-20], b"http://x/ 1 2\n", b"no line", two.replace(b" 2\nzz", b" x\nzz")):
         with pytest.raises(ValueError):
             list(arc_warc.parse_arc(bad))
+
+
+def test_archives_hold_a_member_for_each_record_and_revisits_refer(spark):
+    rows = [(3, "http://a/x", "same"), (1, "http://b/", "same"), (2, "http://c/", "other"), (None, "http://d/", "same")]
+    pages = spark.createDataFrame([(*r, "20200102030405") for r in rows], "page_id long, url string, html string, crawled string")
+    work = Workspace(spark, "warc")
+    path = arc_warc.write_archives(pages, work, date="crawled")
+    arcs = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{work.path}/arc").collect()
+    assert sum(len(list(arc_warc.parse_arc(gzip.decompress(bytes(r["content"]))))) for r in arcs) == 4
+    found = {}
+    for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect():
+        data = bytes(r["content"])
+        while data:
+            one = zlib.decompressobj(31)
+            text = one.decompress(data)
+            data = one.unused_data
+            for fields, block in arc_warc.parse_warc(text):
+                assert text.startswith(b"WARC/1.1") and text.endswith(b"\r\n\r\n") and text.count(b"WARC/1.1") == 1
+                if fields["WARC-Type"] != "warcinfo":
+                    found[fields["WARC-Target-URI"]] = fields, block
+    first, block = found["http://b/#page=1"]
+    assert first["WARC-Type"] == "response" and block.endswith(b"\r\n\r\nsame") and first["WARC-Date"] == "2020-01-02T03:04:05Z"
+    for name in ("http://a/x#page=3", "http://d/#page="):
+        fields, block = found[name]
+        assert (fields["WARC-Type"], fields["WARC-Refers-To"], fields["WARC-Refers-To-Target-URI"], fields["WARC-Refers-To-Date"]) == ("revisit", first["WARC-Record-ID"], "http://b/#page=1", first["WARC-Date"])
+        assert block.endswith(b"\r\n\r\n") and fields["WARC-Payload-Digest"] == first["WARC-Payload-Digest"]
+    assert found["http://c/#page=2"][0]["WARC-Type"] == "response"
+
+
+def test_query_equals_its_sql(spark):
+    duckdb.sql(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    want = duckdb.sql(queries.oracle_sql()["op9_arc_to_warc"])
+    assert sorted(map(str, (tuple(r) for r in queries.op9_arc_to_warc(spark, SF).select(*want.columns).collect()))) == sorted(map(str, want.fetchall()))
