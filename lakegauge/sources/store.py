@@ -1,17 +1,21 @@
-"""A versioned Parquet table: append, keyed merge, compaction, history and vacuum.
+"""A versioned Parquet table: append, keyed merge, update, delete, expiry, compaction, history and vacuum.
 
 A commit is a numbered JSON file under _log that lists the table's files of each touched
-partition; the file is made under another name and renamed, and a rename to a name that exists
-fails, so of two writers one has to read again. Readers list the files of the newest commit.
+partition. Every operation reads the newest commit once, works from that, and commits the number
+after it; the file is made under another name and then put in place only if no other is there, by a
+hard link on local disks and a rename elsewhere (on stores whose rename replaces, such as some
+object stores, writers need a lock of their own). So of two writers one gets Conflict and has to
+work again from the newest commit, as with_retry does. Readers list the files of the newest commit.
 Data go to shared storage through Spark's writers; only file names and counts pass the driver.
 """
 
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,24 +57,42 @@ class Store:
         out.write(bytearray(json.dumps(entry).encode()))
         out.close()
         target = self._at(f"_log/{version:012d}.json")
-        if self._fs.exists(target) or not self._fs.rename(made, target):
+        try:
+            if self._fs.getUri().getScheme() == "file":  # where a rename would replace another writer's file
+                local = lambda p: self.spark._jvm.java.io.File(p.toUri().getPath()).toPath()
+                self.spark._jvm.java.nio.file.Files.createLink(local(target), local(made))
+            elif self._fs.exists(target) or not self._fs.rename(made, target):
+                raise Conflict(f"version {version} exists")
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in str(e):
+                raise Conflict(f"version {version} exists") from e
+            raise
+        finally:
             self._fs.delete(made, False)
-            raise Conflict(f"version {version} exists")
+
+    def base(self) -> dict:
+        """The newest commit, from which an operation works."""
+        version = self.version()
+        return self._entry(version) if version >= 0 else {"version": -1, "files": [], "schema": ""}
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, the newest by default."""
         entry = self._entry(self.version() if version is None else version)
-        if not entry["files"]:
+        return self._of(entry["files"], entry)
+
+    def _of(self, files: list[str], entry: dict) -> DataFrame:
+        if not files:
             return self.spark.createDataFrame([], entry["schema"])
-        return self.spark.read.schema(entry["schema"]).option("basePath", f"{self.path}/data").parquet(*(f"{self.path}/data/{f}" for f in entry["files"]))
+        return self.spark.read.schema(entry["schema"]).option("basePath", f"{self.path}/data").parquet(*(f"{self.path}/data/{f}" for f in files))
 
-    def _write(self, df: DataFrame, cluster: Sequence[str] = ()) -> list[str]:
-        """Data files of df, each named from the data folder."""
+    def _write(self, df: DataFrame, cluster: Sequence[str] = (), drop: Sequence[str] = ()) -> list[str]:
+        """Data files of df, each named from the data folder, in order of cluster; a partition value with many rows is split."""
         name = uuid.uuid4().hex
-        if self.partition:
-            df = df.repartition(*self.partition) if not cluster else df.repartitionByRange(*self.partition, *cluster)
         if cluster:
-            df = df.sortWithinPartitions(*self.partition, *cluster)
+            df = df.repartitionByRange(*self.partition, *cluster).sortWithinPartitions(*self.partition, *cluster)
+        elif self.partition:
+            df = df.hint("rebalance", *map(F.col, self.partition))
+        df = df.drop(*drop)
         writer = df.write.options(compression="zstd", maxRecordsPerFile=self.max_records)
         (writer.partitionBy(*self.partition) if self.partition else writer).parquet(f"{self.path}/data/_new-{name}")
         out, files, root = [], self._fs.listFiles(self._at(f"data/_new-{name}"), True), f"data/_new-{name}/"
@@ -87,21 +109,33 @@ class Store:
         self._fs.delete(self._at(f"data/_new-{name}"), True)
         return out
 
-    def _add(self, operation: str, df: DataFrame, keep: list[str], cluster: Sequence[str] = (), **numbers) -> int:
-        version = self.version() + 1
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        files = self._write(df, cluster)
+    def _add(self, operation: str, df: DataFrame | None, keep: list[str], base: dict, cluster: Sequence[str] = (), drop: Sequence[str] = (), **numbers) -> int:
+        version, schema, files = base["version"] + 1, base["schema"], []
+        if df is not None:
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.drop(*drop).schema)
+            files = self._write(df, cluster, drop)
         self._commit(version, {"version": version, "operation": operation, "time": time.time(), "schema": schema, "files": sorted([*keep, *files]), "added": len(files), "numbers": numbers})
         return version
 
+    def _fit(self, df: DataFrame, base: dict) -> DataFrame:
+        """df with the table's columns first, cast to their types and null where df lacks them, and then its new ones."""
+        if not base["schema"]:
+            return df
+        like = self.spark.createDataFrame([], base["schema"])
+        known = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema]
+        return df.select(*known, *(c for c in df.columns if c not in like.columns))
+
     def create(self, df: DataFrame) -> int:
         """The first version."""
-        if self.exists():
+        base = self.base()
+        if base["version"] >= 0:
             raise Conflict("the table exists")
-        return self._add("create", df, [])
+        return self._add("create", df, [], base)
 
     def append(self, df: DataFrame) -> int:
-        return self._add("append", df, self._entry(self.version())["files"])
+        """Add rows; columns that only the table or only df has are null in the others' rows."""
+        base = self.base()
+        return self._add("append", self._fit(df, base), base["files"], base)
 
     def latest(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
         """One row of df for each key: the greatest by order, as one aggregate without a window."""
@@ -109,66 +143,107 @@ class Store:
         best = F.max_by(F.struct(*rest), F.struct(*order))
         return df.groupBy(*self.key).agg(best.alias("_r")).select(*(F.col(c) if c in self.key else F.col(f"_r.{c}").alias(c) for c in df.columns))
 
-    def _touched(self, source: DataFrame) -> list[str]:
+    def _touched(self, source: DataFrame, base: dict) -> list[str]:
         """Files of the partitions that source has rows of; all files of a table without partitions."""
-        files = self._entry(self.version())["files"]
         if not self.partition:
-            return files
+            return base["files"]
         values = source.select(*(F.col(c).cast("string").alias(c) for c in self.partition)).distinct().collect()  # one row a touched partition
         keys = {"/".join(f"{c}={self._name(r[c])}" for c in self.partition) for r in values}
-        return [f for f in files if f.rpartition("/")[0] in keys]
+        return [f for f in base["files"] if f.rpartition("/")[0] in keys]
 
     def _name(self, value: str | None) -> str:
         if value is None or value == "":
             return "__HIVE_DEFAULT_PARTITION__"
         return self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
-    def _of(self, files: list[str], like: DataFrame) -> DataFrame:
-        if not files:
-            return like.limit(0)
-        entry = self._entry(self.version())
-        return self.spark.read.schema(entry["schema"]).option("basePath", f"{self.path}/data").parquet(*(f"{self.path}/data/{f}" for f in files))
-
     def merge(self, source: DataFrame, order: Sequence[str], update: bool = True, newer_only: str | None = None) -> int:
         """Upsert the latest row of each key of source; touched partitions alone are rewritten.
 
-        update: matched rows are replaced, else they stay. newer_only: a column by which a matched
-        row is replaced only if the new value is not less.
+        update: matched rows are replaced (columns that source lacks keep their values), else they stay.
+        newer_only: a column by which a matched row is replaced only if the new value is not less.
+        The commit's numbers have the source's rows (one a key), how many were matched and inserted, and the ratios.
         """
+        base = self.base()
         given, source = source, self.latest(source, order)
-        if not self.exists():
-            return self.create(source)
-        touched = self._touched(given)  # of the rows as given: no key needs to be shuffled to see their partitions
-        target = self._of(touched, source)
+        if base["version"] < 0:
+            return self._add("create", source, [], base)
+        touched = self._touched(given, base)  # of the rows as given: no key needs to be shuffled to see their partitions
+        target = self._of(touched, base)
+        n = source.count()
+        matched = source.join(target.select(*self.key), self.key, "left_semi").count()
+        numbers = {"source_rows": n, "matched": matched, "inserted": n - matched, "match_ratio": matched / n if n else 0.0, "insert_ratio": (n - matched) / n if n else 0.0}
         if not update:
             fresh = source.join(target.select(*self.key), self.key, "left_anti")
-            return self._add("insert", fresh, self._entry(self.version())["files"])
+            return self._add("insert", self._fit(fresh, base), base["files"], base, **numbers)
+        if lacking := [c for c in target.columns if c not in source.columns]:
+            source = source.join(target.select(*self.key, *lacking), self.key, "left")
+        source = self._fit(source, base)
         if newer_only:
             both = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)), allowMissingColumns=True)
             merged = self.latest(both, [newer_only, "_new"]).drop("_new")
         else:
             merged = target.join(source.select(*self.key), self.key, "left_anti").unionByName(source, allowMissingColumns=True)
-        keep = set(self._entry(self.version())["files"]) - set(touched)
-        return self._add("merge", merged, sorted(keep))
-
-    def optimize(self, *cluster: str) -> int:
-        """Rewrite the table in fewer files, clustered by columns."""
-        return self._add("optimize", self.read(), [], cluster)
+        keep = set(base["files"]) - set(touched)
+        return self._add("merge", merged, sorted(keep), base, **numbers)
+
+    def _rewrite(self, operation: str, condition: Column, change: Callable[[DataFrame], DataFrame]) -> int:
+        """Write the partitions that have rows of the condition again, changed."""
+        base = self.base()
+        found = self._of(base["files"], base).where(condition)
+        touched = self._touched(found, base)
+        n = found.count()
+        if not n:
+            return base["version"]
+        made = change(self._of(touched, base))
+        return self._add(operation, made, sorted(set(base["files"]) - set(touched)), base, rows=n)
+
+    def update(self, condition: Column, values: dict[str, Column]) -> int:
+        """Set columns where the condition holds."""
+        return self._rewrite("update", condition, lambda df: df.withColumns({c: F.when(condition, v).otherwise(F.col(c)) for c, v in values.items()}))
+
+    def delete(self, condition: Column) -> int:
+        """Remove the rows for which the condition holds; those for which it is null stay."""
+        return self._rewrite("delete", condition, lambda df: df.where(~F.coalesce(condition, F.lit(False))))
+
+    def expire(self, partition: str, before: str) -> int:
+        """Drop whole partitions whose value, as text, is less than before; no data are read."""
+        base = self.base()
+        value = lambda f: next((x.partition("=")[2] for x in f.split("/") if x.startswith(f"{partition}=")), None)
+        gone = [f for f in base["files"] if (v := value(f)) is not None and v != "__HIVE_DEFAULT_PARTITION__" and v < before]
+        return self._add("expire", None, sorted(set(base["files"]) - set(gone)), base, files=len(gone)) if gone else base["version"]
+
+    def optimize(self, *cluster: str, least_files: int = 2) -> int:
+        """Rewrite partitions of at least so many files in fewer, or with cluster columns all of them in their order."""
+        base, folders = self.base(), {}
+        for f in base["files"]:
+            folders.setdefault(f.rpartition("/")[0], []).append(f)
+        files = [f for own in folders.values() if cluster or len(own) >= least_files for f in own]
+        if not files:
+            return base["version"]
+        return self._add("optimize", self._of(files, base), sorted(set(base["files"]) - set(files)), base, cluster)
 
     def zorder(self, *columns: str, bits: int = 8) -> int:
         """Rewrite clustered by interleaved bits of the columns' quantile ranks."""
-        df = self.read()
-        return self._add("zorder", df.withColumn("_z", z_value(df, columns, bits)).repartitionByRange(*self.partition, "_z").sortWithinPartitions(*self.partition, "_z").drop("_z"), [])
+        base = self.base()
+        df = self._of(base["files"], base)
+        return self._add("zorder", df.withColumn("_z", z_value(df, columns, bits)), [], base, ["_z"], ["_z"])
 
     def vacuum(self, keep_hours: float = 336.0) -> int:
-        """Delete data files of no version younger than so many hours, and not of the newest; returns how many."""
+        """Delete data files that no version younger than so many hours has, nor the newest, and that are as old themselves; returns how many.
+
+        Files of failed commits go too. A writer that takes longer than keep_hours would lose its files.
+        """
         versions = [self._entry(v) for v in self._versions()]
         oldest = time.time() - keep_hours * 3600
         live = {f for e in versions if e["time"] >= oldest or e is versions[-1] for f in e["files"]}
-        gone = {f for e in versions for f in e["files"]} - live
-        for f in gone:
-            self._fs.delete(self._at(f"data/{f}"), False)
-        return len(gone)
+        files, gone, root = self._fs.listFiles(self._at("data"), True), 0, self._fs.makeQualified(self._at("data")).toUri().getPath() + "/"
+        while files.hasNext():
+            status = files.next()
+            name = status.getPath().toUri().getPath().removeprefix(root)
+            if name.endswith(".parquet") and name not in live and status.getModificationTime() / 1000 <= oldest + (1 if not keep_hours else 0):
+                self._fs.delete(status.getPath(), False)
+                gone += 1
+        return gone
 
     def history(self, n: int = 20) -> DataFrame:
         """The newest n commits."""
@@ -181,6 +256,17 @@ class Store:
         return {"version": entry["version"], "files": len(entry["files"]), "bytes": size, "partition": self.partition}
 
 
+def process(store: Store, df: DataFrame, order: Sequence[str], optimize: bool = True, vacuum: bool = True) -> dict:
+    """Merge a frame into a table, maintain it, and tell what was done: rows in and in the table, matches, seconds."""
+    began = time.time()
+    version = with_retry(lambda: store.merge(df, order))
+    numbers = store._entry(version)["numbers"]
+    if optimize:
+        store.optimize()
+    removed = store.vacuum() if vacuum else 0
+    return {"version": version, "rows_in": df.count(), "rows_after": store.read().count(), "files_removed": removed, "seconds": time.time() - began} | numbers
+
+
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8):
     """Interleaved bits of each column's place among its approximate quantiles."""
     steps = (1 << bits) - 1
@@ -188,7 +274,7 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8):
     for c in columns:
         code = F.xxhash64(c) if df.schema[c].dataType.simpleString() == "string" else F.col(c).cast("double")
         cuts = df.select(F.percentile_approx(code, [i / steps for i in range(1, steps)], 1000)).collect()[0][0] or []
-        codes.append(F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda x, v=code: x <= v)))
+        codes.append(_count_up_to(sorted(set(cuts)), code))
     out = F.lit(0).cast("long")
     for b in range(bits):
         for i, code in enumerate(codes):
@@ -196,6 +282,11 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8):
     return out
 
 
+def _count_up_to(cuts: list, code: Column) -> Column:
+    """How many of the cuts are not above code."""
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x <= code)) if cuts else F.lit(0)
+
+
 def with_retry(step, tries: int = 3, wait: float = 1.0, transient=("FileNotFoundException", "does not exist", "version")):
     """Call step again after 1, 2, 4... waits if it fails by a missing file or another writer's commit; else raise at once."""
     for attempt in range(tries):

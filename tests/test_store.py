@@ -2,7 +2,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from lakegauge.sources import sinks, tables
-from lakegauge.sources.store import Conflict, Store, with_retry
+from lakegauge.sources.store import Conflict, Store, process, with_retry
+from pyspark.sql import functions as F
 
 KINDS = "k int, v int, p string"
 
@@ -91,3 +92,57 @@ def test_text_and_json_sinks(spark, tmp_path):
     stream = spark.readStream.schema("key string, value string").parquet(f"{tmp_path}/in")
     sinks.json_folder(stream, f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination()
     assert spark.read.json(f"{tmp_path}/out").count() == 2
+
+
+def test_a_writer_that_worked_from_an_older_commit_gets_conflict(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/t"
+    first, second = Store(spark, path, ["k"]), Store(spark, path, ["k"])
+    first.create(frame(spark, [(1, 0, "x")]))
+    write = Store._write
+
+    def late(self, *args, **more):
+        files = write(self, *args, **more)
+        if self is second:
+            monkeypatch.setattr(Store, "_write", write)
+            first.merge(frame(spark, [(1, 1, "a")]), ["v"])  # commits between second's reading and its commit
+        return files
+
+    monkeypatch.setattr(Store, "_write", late)
+    with pytest.raises(Conflict):
+        second.merge(frame(spark, [(1, 2, "b")]), ["v"])
+    assert [tuple(r) for r in first.read().collect()] == [(1, 1, "a")]
+    with_retry(lambda: second.merge(frame(spark, [(1, 2, "b")]), ["v"]))
+    assert [tuple(r) for r in first.read().collect()] == [(1, 2, "b")]
+    assert second.vacuum(0) > 0 and first.read().count() == 1
+    assert len([f for f in tmp_path.rglob("*.parquet")]) == first.detail()["files"]  # those of the failed commit are gone too
+
+
+def test_columns_stay_when_a_frame_lacks_them(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/t", ["k"])
+    store.create(frame(spark, [(1, 10, "x"), (2, 20, "y")]))
+    store.append(spark.createDataFrame([(3, "new")], "k int, more string"))
+    store.merge(spark.createDataFrame([(1, 11)], "k int, v int"), ["v"])
+    assert sorted((r["k"], r["v"] or 0, r["p"] or "", r["more"] or "") for r in store.read().collect()) == [(1, 11, "x", ""), (2, 20, "y", ""), (3, 0, "", "new")]
+
+
+def test_update_delete_expire_and_figures(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/t", ["k"], ["p"])
+    store.create(frame(spark, [(i, i, f"2026-01-0{i % 3 + 1}") for i in range(9)]))
+    others = {f for f in store.base()["files"] if "p=2026-01-01" not in f}
+    store.update(F.col("k") == 3, {"v": F.lit(300)})
+    assert others <= set(store.base()["files"])
+    store.delete(F.col("k").isin(0, 4))
+    assert sorted((r["k"], r["v"]) for r in store.read().collect()) == [(1, 1), (2, 2), (3, 300), (5, 5), (6, 6), (7, 7), (8, 8)]
+    store.expire("p", "2026-01-02")
+    assert sorted(r["k"] for r in store.read().collect()) == [1, 2, 5, 7, 8]
+    assert store.delete(F.col("k") == 99) == store.version()
+    done = process(store, frame(spark, [(1, 100, "2026-01-02"), (1, 50, "2026-01-02"), (50, 1, "2026-01-03")]), ["v"])
+    assert (done["rows_in"], done["source_rows"], done["matched"], done["inserted"], done["match_ratio"], done["rows_after"]) == (3, 2, 1, 1, 0.5, 6)
+
+
+def test_zorder_holds_within_partitions(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/t", ["k"], ["p"], max_records=25)
+    store.create(frame(spark, [(i, (i * 37) % 100, "ab"[i % 2]) for i in range(200)]))
+    store.zorder("v")
+    spans = store.read().groupBy(F.input_file_name()).agg(F.min("v").alias("a"), F.max("v").alias("b")).collect()
+    assert len(spans) >= 8 and all(r["b"] - r["a"] <= 40 for r in spans)
