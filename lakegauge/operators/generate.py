@@ -1,6 +1,8 @@
 """Deterministic telemetry: every value is an expression of its keys, so any partitioning makes the same rows."""
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import uniform
@@ -50,19 +52,15 @@ def readings(spark: SparkSession, n: int, hours: int, start: str = "2026-01-01",
 
 
 def autoregressive(df: DataFrame, by: str, order: str, noise: str, rho: float = 0.7, to: str = "x") -> DataFrame:
-    """x_t = rho * x_(t-1) + e_t along each group, by a fold over its ordered array."""
-    steps = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(noise).cast("double").alias("e"))))
-    kind = "array<struct<o:bigint,x:double>>"
-    before = lambda acc: F.coalesce(F.get(acc, F.size(acc) - 1)["x"], F.lit(0.0))
-    step = lambda acc, v: F.struct(v["o"].cast("bigint").alias("o"), (before(acc) * rho + v["e"]).alias("x"))
-    fold = F.aggregate("s", F.array().cast(kind), lambda acc, v: F.concat(acc, F.array(step(acc, v))))
-    return df.groupBy(by).agg(steps.alias("s")).select(by, F.inline(fold)).withColumnsRenamed({"o": order, "x": to})
+    """x_t = rho * x_(t-1) + e_t along each group. Terms whose weight is under 2^-60 do not change a double, so a row sees that many before it."""
+    back = min(4096, math.ceil(-60 * math.log(2) / math.log(abs(rho)))) if 0 < abs(rho) < 1 else 0
+    w = Window.partitionBy(by).orderBy(order).rowsBetween(-back, Window.currentRow)
+    seen = F.collect_list(F.coalesce(F.col(noise).cast("double"), F.lit(0.0))).over(w)
+    return df.select(by, order, F.aggregate(seen, F.lit(0.0), lambda x, e: x * rho + e).alias(to))
 
 
 def ramp(df: DataFrame, by: str, order: str, low: float, high: float, to: str = "ramp") -> DataFrame:
     """A straight line from low to high over each group's rows."""
-    from pyspark.sql import Window
-
     w, whole = Window.partitionBy(by).orderBy(order), Window.partitionBy(by)
     at = F.try_divide((F.row_number().over(w) - 1).cast("double"), F.count("*").over(whole) - 1)
     return df.withColumn(to, F.lit(low) + (high - low) * F.coalesce(at, F.lit(0.0)))

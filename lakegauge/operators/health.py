@@ -1,5 +1,6 @@
 """Features, preprocessing, anomaly scores and health of device telemetry."""
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, first_number, ratio
 from ..session import ship
+from ..sources.sinks import write_text
 
 MANDATORY = ("metric_time", "last_boot_time")
 
@@ -40,7 +42,7 @@ def features(df: DataFrame) -> DataFrame:
 
 @dataclass
 class Preprocessor:
-    """Medians, means and population deviations of numbers; modes and codes of categories. Each is one small row."""
+    """Medians, means and population deviations of numbers; modes and codes of categories. A column of more than most categories is no category and raises."""
 
     numbers: dict[str, tuple[float, float, float]]
     categories: dict[str, tuple[str | None, dict[str, int]]]
@@ -52,7 +54,9 @@ class Preprocessor:
         spread = df.agg(*(f(filled[c]).alias(f"{c}_{n}") for c in numbers for n, f in (("m", F.avg), ("s", F.stddev_pop)))).collect()[0] if numbers else {}
         kinds = {}
         for c in categories:
-            counts = df.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), c).limit(most).collect()
+            counts = df.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), c).limit(most + 1).collect()
+            if len(counts) > most:
+                raise ValueError(f"{c} has more than {most} categories")
             kinds[c] = (counts[0][0] if counts else None, {v: i for i, v in enumerate(sorted(r[0] for r in counts))})
         return cls({c: (medians[c], spread[f"{c}_m"], spread[f"{c}_s"] or 1.0) for c in numbers}, kinds)
 
@@ -73,16 +77,19 @@ def _average_path(n):
 
 
 class IsolationForest:
-    """Isolation trees (Liu, Ting, Zhou 2008) grown on the driver from bounded samples; scoring is distributed."""
+    """Isolation trees (Liu, Ting, Zhou 2008) grown on the driver from bounded samples; scoring is distributed.
 
-    def __init__(self, trees: int = 100, sample: int = 256, seed: int = 42):
-        self.trees, self.sample, self.seed, self.columns, self.nodes = trees, sample, seed, [], []
+    Each tree's sample is drawn with repetition from a pool of at most pool rows, so the driver holds no more.
+    """
+
+    def __init__(self, trees: int = 500, sample: int = 512, seed: int = 42, pool: int = 20_000):
+        self.trees, self.sample, self.seed, self.pool, self.columns, self.nodes = trees, sample, seed, pool, [], []
 
     def fit(self, df: DataFrame, columns: Sequence[str]) -> "IsolationForest":
-        """Each tree sees a sample of rows drawn from a pool of at most trees * sample, chosen by a hash of the row."""
+        """Each tree sees a sample of rows drawn from the pool, which a hash of the row chooses."""
         self.columns = list(columns)
         rows = df.select(*(F.col(c).cast("double") for c in columns)).dropna()
-        pool = rows.orderBy(F.xxhash64(F.lit(self.seed), *columns), *columns).limit(min(self.trees * self.sample, 20_000)).toPandas().to_numpy()
+        pool = rows.orderBy(F.xxhash64(F.lit(self.seed), *columns), *columns).limit(min(self.trees * self.sample, self.pool)).toPandas().to_numpy()
         rng = np.random.default_rng(self.seed)
         deepest = math.ceil(math.log2(max(2, self.sample)))
         self.nodes = []
@@ -132,6 +139,40 @@ class IsolationForest:
         return df.withColumn(to, scored(F.struct(*(F.col(c).cast("double").alias(c) for c in self.columns))))
 
 
+@dataclass
+class Artifacts:
+    """What serving needs: preprocessor, forest, and the training scores' threshold, least and most."""
+
+    preprocessor: Preprocessor
+    forest: IsolationForest
+    limits: dict[str, float]
+
+    def save(self, spark, path: str) -> None:
+        """As one JSON file on shared storage."""
+        forest = {k: getattr(self.forest, k) for k in ("trees", "sample", "seed", "pool", "columns", "norm")}
+        forest["nodes"] = [[x.tolist() for x in tree] for tree in self.forest.nodes]
+        write_text(spark, path, json.dumps({"numbers": self.preprocessor.numbers, "categories": self.preprocessor.categories, "forest": forest, "limits": self.limits}))
+
+    @classmethod
+    def load(cls, spark, path: str) -> "Artifacts":
+        """Raises if the file is missing or lacks a part."""
+        state = json.loads(spark.read.option("wholetext", "true").text(path).collect()[0][0])
+        if missing := {"numbers", "categories", "forest", "limits"} - set(state):
+            raise ValueError(f"artifacts lack {sorted(missing)}")
+        own = state["forest"]
+        forest = IsolationForest(own["trees"], own["sample"], own["seed"], own["pool"])
+        forest.columns, forest.norm, forest.nodes = own["columns"], own["norm"], [tuple(map(np.array, tree)) for tree in own["nodes"]]
+        return cls(Preprocessor({k: tuple(v) for k, v in state["numbers"].items()}, {k: (m, codes) for k, (m, codes) in state["categories"].items()}), forest, state["limits"])
+
+
+def classified(df: DataFrame, stored: dict[str, float] | None, score: str = "anomaly_score", share: float = 0.2) -> DataFrame:
+    """df with prediction by the stored threshold, or by the batch's own percentile if none is stored."""
+    limit = (stored or {}).get("threshold")
+    if limit is None:
+        limit = threshold(df, score, share)["threshold"]
+    return df.withColumn("prediction", prediction(F.col(score), F.lit(limit)))
+
+
 def threshold(df: DataFrame, score: str = "anomaly_score", share: float = 0.2) -> dict[str, float]:
     """The score's exact percentile, minimum and maximum."""
     return df.agg(F.percentile(score, share).alias("threshold"), F.min(score).alias("min_score"), F.max(score).alias("max_score")).collect()[0].asDict()

@@ -149,13 +149,42 @@ def refresh(states: DataFrame, touched: DataFrame, rows: DataFrame, dims: Sequen
 # loads --------------------------------------------------------------------------------------------
 
 
-def newer_than(df: DataFrame, marks: DataFrame, key: str, time: str, mark: str) -> DataFrame:
-    """Rows after their key's mark; keys without a mark load whole. The least mark is a literal, so partitions prune."""
+def cutoff(marks: DataFrame, mark: str) -> str | None:
+    """The day of the least mark that is not null, as partitions are named; None without marks. One row comes to the driver."""
+    return marks.agg(F.date_format(F.min(mark), "yyyy-MM-dd").alias("d")).collect()[0]["d"]
+
+
+def newer_than(df: DataFrame, marks: DataFrame, key: str, time: str, mark: str, partition: str | None = None) -> DataFrame:
+    """Rows after their key's mark; keys without a mark load whole.
+
+    With a partition column of days, those before the least mark's day are not read: a literal, so the
+    scan prunes. Keys without a mark then load from that day on, and backfill() has what lies before.
+    """
     epoch = F.lit("1970-01-01").cast("timestamp")
+    if partition and (day := cutoff(marks, mark)):
+        df = df.where(F.col(partition) >= F.lit(day).cast(df.schema[partition].dataType))
     joined = df.join(marks.select(key, F.col(mark).alias("_mark")), key, "left")
     return joined.where(F.col(time) > F.coalesce("_mark", epoch)).drop("_mark")
 
 
+def backfill(df: DataFrame, marks: DataFrame, key: str, mark: str, partition: str) -> DataFrame:
+    """Rows before the least mark's day of keys without a mark."""
+    day = cutoff(marks, mark)
+    if day is None:
+        return df.limit(0)
+    return df.where(F.col(partition) < F.lit(day).cast(df.schema[partition].dataType)).join(marks.where(F.col(mark).isNotNull()).select(key), key, "left_anti")
+
+
+def latest_hybrid(cache: DataFrame, live: DataFrame, key: str, time: str, n: int, order: Sequence[Column], per_day: int = 288) -> DataFrame:
+    """The latest n rows of each key: the cache's last n // per_day + 1 days, and live rows after the cache's newest."""
+    newest = cache.agg(F.max(time).alias("t")).collect()[0]["t"]  # one row
+    if newest is None:
+        return first_rows(live, n, [key], order)
+    days = n // per_day + 1
+    recent = cache.where(F.col(time) > F.lit(newest) - F.expr(f"INTERVAL {days} DAYS"))
+    return first_rows(recent.unionByName(live.where(F.col(time) > F.lit(newest)).select(*recent.columns)), n, [key], order)
+
+
 def merge_marks(old: DataFrame, batch: DataFrame, key: str, time: str) -> DataFrame:
     """Marks after a load: the last time of the batch where it has the key, and rows loaded summed."""
     new = batch.groupBy(key).agg(F.max(time).alias("_t"), F.count("*").alias("_n"))

@@ -12,8 +12,11 @@ from .registry import S, query, read, stamp
 @query("""SELECT CAST(user_id AS VARCHAR) AS device_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS metric_time, round(avg(sqrt(value)), 2) AS avg_metric_value, round(max(sqrt(value)), 2) AS max_metric_value, round(min(sqrt(value)), 2) AS min_metric_value,
 arg_min(event_type, ts) AS report_type, 'power_metrics' AS metric_id, NULL::VARCHAR AS cpu_inventory, NULL::DOUBLE AS amb_temp, epoch(CAST(CAST(ts AS DATE) AS TIMESTAMP)) + 60 AS "timeRangeEnd" FROM events GROUP BY user_id, CAST(ts AS DATE)""")
 def stream_refined_projection(spark, sf):
-    flat = read(spark, sf, "events").select(F.col("user_id").cast("string").alias("device_id"), F.col("ts").alias("event_time"), F.sqrt("value").alias("value"), F.col("event_type").alias("report_type"))
-    rows = telemetry.refine_daily(flat, F.lit("2026-01-01").cast("timestamp"))
+    path, schema = _as_files(spark, sf)
+    out = scratch(spark, "refined")
+    flat = jobs.files(spark, path, schema, per_trigger=2).select(F.col("user_id").cast("string").alias("device_id"), F.col("ts").alias("event_time"), F.sqrt("value").alias("value"), F.col("event_type").alias("report_type"))
+    jobs.complete(telemetry.refine_daily(flat, F.lit("2026-01-01").cast("timestamp")), out, scratch(spark, "checkpoint")).awaitTermination()
+    rows = spark.read.parquet(out)
     assert len(rows.columns) == 36
     return rows.select("device_id", "metric_time", "avg_metric_value", "max_metric_value", "min_metric_value", "report_type", "metric_id", "cpu_inventory", "amb_temp", "timeRangeEnd")
 
@@ -40,9 +43,9 @@ def dlq_counters(spark, sf):
     return telemetry.route(bad).groupBy("error_type", "route").agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id, 'failure' AS route FROM events WHERE event_id % 8 = 1")
+@query("SELECT event_id, 'failure' AS route FROM events WHERE event_id % 8 <> 0")
 def dlq_retry_cap(spark, sf):
-    return telemetry.route(_classified(spark, sf).where("event_id % 8 = 1").withColumn("attempts", F.lit(3))).select("event_id", "route")
+    return telemetry.route(_classified(spark, sf).where("error_type <> 'VALID'").withColumn("attempts", F.lit(3))).select("event_id", "route")
 
 
 @query("SELECT user_id % 50 AS device, min(event_type) AS event_type FROM events WHERE user_id % 50 NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey < 30) GROUP BY 1")
@@ -80,10 +83,12 @@ def oldest_watermarks(spark, sf):
     return marks.select("user_id", stamp("t").alias("last_time"), F.round(behind, 4).alias("hours_behind"))
 
 
-@query()
+@query("SELECT count(*) AS n_rows, 3 AS files, true AS sizes_hold FROM lineitem")
 def file_statistics(spark, sf):
-    df = spark.read.parquet(f"{sf}/lineitem.parquet")
-    return quality.file_statistics(df, F.lit(100))
+    path = scratch(spark, "files")
+    read(spark, sf, "lineitem").repartition(3).write.parquet(path)
+    found = quality.file_statistics(spark.read.parquet(path), F.lit(100))
+    return found.select("n_rows", F.col("files").cast("int").alias("files"), F.expr("bytes > 0 AND abs(saved_percent - (1 - bytes / (100D * n_rows)) * 100) < 0.01").alias("sizes_hold"))
 
 
 @query("SELECT run, CASE WHEN run = 'b' THEN 'Warning' ELSE 'Success' END AS status FROM (VALUES ('a'), ('b'), ('c')) v(run)")
@@ -96,13 +101,21 @@ def audit_log_update(spark, sf):
 
 @query(f"""SELECT strftime(w, {S}) AS window_start, event_type, count(*) AS n FROM (SELECT event_type, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS w FROM events) GROUP BY ALL""")
 def sliding_windows(spark, sf):
-    return jobs.by_window(read(spark, sf, "events"), "ts", "2 hours", ["event_type"], [F.count("*").alias("n")], late="1 day", slide="1 hour").select(stamp("window_start").alias("window_start"), "event_type", "n")
+    path, schema = _as_files(spark, sf)
+    out = scratch(spark, "windows")
+    windows = jobs.by_window(jobs.files(spark, path, schema, per_trigger=2), "ts", "2 hours", ["event_type"], [F.count("*").alias("n")], late="400 days", slide="1 hour")
+    jobs.complete(windows, out, scratch(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(out).select(stamp("window_start").alias("window_start"), "event_type", "n")
 
 
 @query(f"""SELECT user_id, strftime(min(ts), {S}) AS session_start, count(*) AS n FROM (SELECT user_id, ts, sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
 FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS b FROM events)) GROUP BY user_id, s""")
 def session_windows(spark, sf):
-    return jobs.sessions(read(spark, sf, "events"), "ts", "6 hours", ["user_id"], [F.count("*").alias("n")], late="1 day").select("user_id", stamp("session_start").alias("session_start"), "n")
+    path, schema = _as_files(spark, sf)
+    out = scratch(spark, "sessions")
+    found = jobs.sessions(jobs.files(spark, path, schema, per_trigger=2), "ts", "6 hours", ["user_id"], [F.count("*").alias("n")], late="400 days")
+    jobs.complete(found, out, scratch(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(out).select("user_id", stamp("session_start").alias("session_start"), "n")
 
 
 @query("SELECT CAST(count(*) AS BIGINT) AS row_count FROM events")
@@ -118,10 +131,13 @@ def stream_batch_metrics(spark, sf):
     return spark.read.parquet(out).agg(F.sum("row_count").alias("row_count"))
 
 
-@query(f"SELECT {_CLASS} AS error_type, count(*) AS n FROM events WHERE event_id % 8 NOT IN (1, 7) GROUP BY 1")
+@query(f"SELECT {_CLASS} AS error_type, count(*) AS n FROM events GROUP BY 1")
 def stream_classified(spark, sf):
-    rows = _classified(spark, sf).where("event_id % 8 NOT IN (1, 7)").select("value")
-    return jobs.parse(rows, _RECORD).groupBy("error_type").agg(F.count("*").alias("n"))
+    path, out = scratch(spark, "raw"), scratch(spark, "counts")
+    _classified(spark, sf).select("value").repartition(3).write.parquet(path)
+    counts = jobs.parse(jobs.files(spark, path, "value string", per_trigger=1), _RECORD).groupBy("error_type").agg(F.count("*").alias("n"))
+    jobs.complete(counts, out, scratch(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(out)
 
 
 @query("SELECT format('DEV-{:07d}', i) AS device_id, format('PC-{:03d}', i // 8) AS platform_customer_id, format('LOC-{:02d}', i % 20) AS location_id FROM (SELECT unnest(range(0, 24)) AS i)")

@@ -114,10 +114,10 @@ def hierarchy_severity(spark, sf):
 # joins
 
 
-@query("SELECT c.c_custkey, h.h AS hour, count(e.event_id) AS n FROM (SELECT c_custkey FROM customer WHERE c_custkey < 40) c CROSS JOIN (SELECT unnest(range(0, 24)) AS h) h LEFT JOIN events e ON e.user_id = c.c_custkey AND hour(e.ts) = h.h GROUP BY ALL")
+@query("SELECT c.c_custkey, h.h AS hour, count(e.event_id) AS n FROM (SELECT c_custkey FROM customer) c CROSS JOIN (SELECT unnest(range(0, 24)) AS h) h LEFT JOIN events e ON e.user_id = c.c_custkey AND hour(e.ts) = h.h GROUP BY ALL")
 def cross_time_grid(spark, sf):
     hours = spark.range(24).select(F.col("id").alias("hour"))
-    grid = read(spark, sf, "customer").where("c_custkey < 40").select("c_custkey").crossJoin(F.broadcast(hours))
+    grid = read(spark, sf, "customer").select("c_custkey").crossJoin(F.broadcast(hours))
     counts = read(spark, sf, "events").groupBy(F.col("user_id").alias("c_custkey"), F.hour("ts").cast("bigint").alias("hour")).agg(F.count("*").alias("n"))
     return grid.join(counts, ["c_custkey", "hour"], "left").na.fill(0, ["n"])
 
@@ -236,9 +236,11 @@ def data_range_summary(spark, sf):
     return read(spark, sf, "events").agg(F.count("*").alias("total_rows"), stamp(F.min("ts")).alias("earliest"), stamp(F.max("ts")).alias("latest"), F.count_distinct("user_id").alias("devices"), F.count_distinct("event_type").alias("kinds"))
 
 
-@query()
+@query("SELECT event_type, count(DISTINCT user_id) AS devices, true AS near FROM events GROUP BY 1")
 def approximate_distinct(spark, sf):
-    return read(spark, sf, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("devices"))
+    """Exact counts, and whether the sketch is within five of its standard errors."""
+    counts = read(spark, sf, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("n"), F.countDistinct("user_id").alias("devices"))
+    return counts.select("event_type", "devices", (F.abs(F.col("n") - F.col("devices")) <= 0.1 * F.col("devices")).alias("near"))
 
 
 @query("SELECT count(*) AS n_rows, round(avg(value), 6) AS mean_value, count(*) > 0 AND avg(value) <> 0 AS passed FROM events")
@@ -323,12 +325,12 @@ def linear_ramp(spark, sf):
     return generate.ramp(read(spark, sf, "events"), "user_id", "event_id", 5.0, 15.0).select("user_id", "event_id", F.round("ramp", 6).alias("ramp"))
 
 
-@query("""WITH RECURSIVE n AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events WHERE user_id < 30),
+@query("""WITH RECURSIVE n AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
 r AS (SELECT user_id, event_id, k, value AS x FROM n WHERE k = 1 UNION ALL SELECT n.user_id, n.event_id, n.k, 0.7::DOUBLE * r.x + n.value FROM r JOIN n ON n.user_id = r.user_id AND n.k = r.k + 1) SELECT user_id, event_id, round(x, 6) AS x FROM r""")
 def autoregressive_series(spark, sf):
     from ..operators import generate
 
-    return generate.autoregressive(read(spark, sf, "events").where("user_id < 30"), "user_id", "event_id", "value").select("user_id", "event_id", F.round("x", 6).alias("x"))
+    return generate.autoregressive(read(spark, sf, "events"), "user_id", "event_id", "value").select("user_id", "event_id", F.round("x", 6).alias("x"))
 
 
 @query("SELECT event_id, user_id, CASE WHEN lag(user_id) OVER (ORDER BY user_id, event_id) IS DISTINCT FROM user_id THEN 1 ELSE 0 END AS starts FROM events")

@@ -1,6 +1,7 @@
 """Writers: batch and partitioned files, hour caches, device silos, job state, batch metrics and train/test splits."""
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,14 +13,14 @@ def batch(df: DataFrame, path: str, mode: str = "overwrite", files: int | None =
 
 
 def partitioned(df: DataFrame, path: str, *by: str, mode: str = "append", max_records: int = 1_000_000) -> None:
-    """A folder for each value of by; one shuffle on by keeps the number of files small."""
-    df.repartition(*by).write.mode(mode).partitionBy(*by).option("maxRecordsPerFile", max_records).parquet(path)
+    """A folder for each value of by; one shuffle on by keeps the number of files small, and a value with many rows is split."""
+    df.hint("rebalance", *map(F.col, by)).write.mode(mode).partitionBy(*by).option("maxRecordsPerFile", max_records).parquet(path)
 
 
 def hour_cache(df: DataFrame, path: str, time: str = "metric_time") -> None:
     """Rows by date, hour, platform and application; only the hours in df are overwritten."""
     cols = {"date": F.date_format(time, "yyyy-MM-dd"), "hour": F.hour(time), "pcid": F.col("platform_customer_id"), "acid": F.col("application_customer_id")}
-    df.withColumns(cols).repartition("date", "hour", "pcid", "acid").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "hour", "pcid", "acid").parquet(path)
+    df.withColumns(cols).hint("rebalance", *map(F.col, cols)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "hour", "pcid", "acid").parquet(path)
 
 
 def silos(df: DataFrame, path: str, device: str = "device_id", per_silo: int = 7000) -> int:
@@ -30,6 +31,25 @@ def silos(df: DataFrame, path: str, device: str = "device_id", per_silo: int = 7
     return n
 
 
+def archive(df: DataFrame, paths: Sequence[str], device: str = "device_id", per_silo: int = 7000, days: int = 7, time: str = "metric_time") -> dict:
+    """The newest days in silos at each of several places, each with a marker written last that tells silos, rows and the last time."""
+    recent = expire(df, time, days).persist()
+    try:
+        figures = recent.agg(F.count("*").alias("rows"), F.date_format(F.max(time), "yyyy-MM-dd HH:mm:ss").alias("latest")).collect()[0].asDict()
+        for path in paths:
+            figures["silos"] = silos(recent, path, device, per_silo)
+            write_text(df.sparkSession, f"{path}/_SUCCESS.json", json.dumps(figures))
+    finally:
+        recent.unpersist()
+    return figures
+
+
+def archived(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
+    """The rows of an archive and its marker; without a marker it is not complete and cannot be read."""
+    marker = spark.read.option("wholetext", "true").text(f"{path}/_SUCCESS.json").collect()[0][0]
+    return spark.read.parquet(path), json.loads(marker)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)

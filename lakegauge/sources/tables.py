@@ -21,21 +21,39 @@ def time_range(df: DataFrame, time: str, start: str, end: str, closed: str = "le
     return df.where((t >= a) & (t < b) if closed == "left" else (t > a) & (t <= b))
 
 
+def parquet_files(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(time written, name) of the Parquet files under path, from the file listing alone; logs and hidden files left out."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, out = fs.listFiles(root, True) if fs.exists(root) else None, []
+    while found is not None and found.hasNext():
+        status = found.next()
+        name = status.getPath().toString()
+        inner = name.split(root.toUri().getPath(), 1)[-1].split("/")
+        if name.endswith(".parquet") and not any(x.startswith(("_", ".")) for x in inner):
+            out.append((status.getModificationTime(), name))
+    return sorted(out)
+
+
+def ready(spark: SparkSession, path: str) -> bool:
+    """Whether any Parquet file has arrived under path."""
+    return bool(parquet_files(spark, path))
+
+
 def newest_file(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Rows of the file written last under path (ties: the greater name)."""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    df = (reader.schema(schema) if schema else reader).parquet(path)
-    meta = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_written"))
-    last = meta.agg(F.max(F.struct("_written", "_file"))["_file"].alias("f")).collect()[0]["f"]
-    return meta.where(F.col("_file") == last).drop("_file", "_written")
+    """Rows of the file written last under path (ties: the greater name). Other files are listed, not read."""
+    files = parquet_files(spark, path)
+    if not files:
+        raise FileNotFoundError(f"no Parquet file under {path}")
+    return (spark.read.schema(schema) if schema else spark.read).parquet(files[-1][1])
 
 
 def with_column_only(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """All files under path merged, without the rows of files that lack a column's values altogether."""
-    df = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path)
-    named = df.withColumn("_file", F.col("_metadata.file_path"))
-    holding = named.groupBy("_file").agg(F.count(column).alias("n")).where("n > 0").select("_file")
-    return named.join(F.broadcast(holding.limit(1_000_000)), "_file", "left_semi").drop("_file")
+    """All files under path merged, without those whose schema lacks a column; schemas come from the files' footers."""
+    holding = [name for _, name in parquet_files(spark, path) if column in spark.read.parquet(name).columns]
+    if not holding:
+        raise FileNotFoundError(f"no file under {path} has {column}")
+    return spark.read.option("mergeSchema", "true").parquet(*holding)
 
 
 def first_readable(spark: SparkSession, *paths: str) -> DataFrame:
@@ -77,6 +95,20 @@ def sensor_number(text: str | Column) -> Column:
     return F.regexp_extract(field, r"^(-?[0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
 
 
+def query_frame(spark: SparkSession, sql: str) -> DataFrame:
+    """The result of any query, with columns that are no number, time or truth value as text (JSON if nested)."""
+    df = spark.sql(sql)
+    plain = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
+    nested = lambda kind: kind.startswith(("array", "struct", "map"))
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    return df.select(*(F.col(f"`{c}`") if k in plain or k.startswith("decimal") else (F.to_json(f"`{c}`") if nested(k) else F.col(f"`{c}`").cast("string")).alias(c) for c, k in kinds.items()))
+
+
+def shown_in(time: str | Column, zone: str = "Asia/Kolkata") -> Column:
+    """A UTC time as the clock of a zone shows it."""
+    return F.from_utc_timestamp(time, zone)
+
+
 def metrics_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines with a declared schema."""
     return spark.read.schema(schema).json(path)

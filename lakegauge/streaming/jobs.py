@@ -19,6 +19,11 @@ def files(spark: SparkSession, path: str, schema: str, kind: str = "parquet", pe
     return reader.load(path)
 
 
+def enveloped(stream: DataFrame) -> DataFrame:
+    """value as text, with topic, partition, offset and the time it was stored, as a broker's source has them."""
+    return stream.select(F.col("value").cast("string").alias("value"), "topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("long").alias("offset"), F.col("timestamp").alias("stored_at"))
+
+
 def parse(stream: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """raw, parsed and error_type of JSON records. What is no JSON object is INVALID_SCHEMA and keeps its text in raw; a field of another type than declared is null."""
     rows = stream.withColumn("raw", F.col(value).cast("string"))
@@ -42,14 +47,14 @@ def _names(aggregates: Sequence[Column]) -> list[str]:
     return [a._jc.toString().rpartition(" AS ")[2].strip("`") if hasattr(a, "_jc") else a.name for a in aggregates]
 
 
-def into_store(stream: DataFrame, store: Store, order: Sequence[str], checkpoint: str, compact_every: int = 5, cluster: Sequence[str] = ()):
+def into_store(stream: DataFrame, store: Store, order: Sequence[str], checkpoint: str, compact_every: int = 5, cluster: Sequence[str] = (), newer_only: str | None = None):
     """Merge each micro-batch into a table; a failure raises, so the batch is run again. Keyed merges make a repeat harmless."""
 
     def step(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
         try:
             if not df.isEmpty():
-                store.merge(df, order)
+                store.merge(df, order, newer_only=newer_only)
                 if compact_every and (batch_id + 1) % compact_every == 0:
                     store.optimize(*cluster)
         finally:
@@ -58,6 +63,12 @@ def into_store(stream: DataFrame, store: Store, order: Sequence[str], checkpoint
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).start()
 
 
+def complete(stream: DataFrame, path: str, checkpoint: str):
+    """The whole result of an aggregate at path after each micro-batch, which a repeat overwrites."""
+    step = lambda df, _: df.write.mode("overwrite").parquet(path)
+    return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start()
+
+
 def split_sinks(parsed: DataFrame, good: str, bad: str, checkpoint: str):
     """Write valid and other records of each micro-batch in one pass, in a folder of the batch's number that a repeat overwrites."""
 

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pandas as pd
 import pytest
-from lakegauge.plans import operations, pipelines, registry, relational  # noqa: F401
+from lakegauge.plans import maintenance, operations, pipelines, registry, relational  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
