@@ -18,7 +18,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder on storage that all executors share: the checkpoint folder, else a temporary one of this session."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 

@@ -46,8 +46,17 @@ def archive(df: DataFrame, paths: Sequence[str], device: str = "device_id", per_
 
 def archived(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
     """The rows of an archive and its marker; without a marker it is not complete and cannot be read."""
-    marker = spark.read.option("wholetext", "true").text(f"{path}/_SUCCESS.json").collect()[0][0]
-    return spark.read.parquet(path), json.loads(marker)
+    return spark.read.parquet(path), json.loads(read_text(spark, f"{path}/_SUCCESS.json"))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text; Spark's readers pass over names that begin with an underscore."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
