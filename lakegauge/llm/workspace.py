@@ -27,11 +27,13 @@ def prepare(spark: SparkSession) -> None:
 
 
 def base(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset, as in tests, a temporary one that is kept for the session."""
+    """The folder in spark.checkpoint.dir; where it is unset, a temporary one that is kept for the session, on a local master only."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lakegauge-"))
     return context.getCheckpointDir().rstrip("/")
 
