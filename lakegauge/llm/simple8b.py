@@ -104,6 +104,16 @@ def decode(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return out
 
 
+def decode_range(words: np.ndarray, group_words: np.ndarray, escapes: np.ndarray, first: int, last: int) -> np.ndarray:
+    """Values first to last - 1 of a block, from the words of the groups that hold them alone."""
+    if last <= first:
+        return np.zeros(0, U)
+    group, beyond = first // GROUP, -(-last // GROUP)
+    stop = group_words[beyond] if beyond < len(group_words) else len(words)
+    own = decode(words[group_words[group] : stop], escapes)
+    return own[first - group * GROUP : last - group * GROUP]
+
+
 BLOCKS = "shard int, block long, ids_before long, doc_ids array<long>, doc_ends array<long>, words binary, group_words array<long>, escapes array<decimal(20,0)>, n_ids long"
 
 
@@ -139,6 +149,23 @@ def write_ids(spark: SparkSession, docs: DataFrame, model_file: str, end: int, d
 _BLOCK_SCHEMA = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("ids_before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_ends", pa.list_(pa.int64())), ("words", pa.binary()), ("group_words", pa.list_(pa.int64())), ("escapes", pa.list_(pa.decimal128(20, 0))), ("n_ids", pa.int64())])
 
 
+def read_documents(blocks: DataFrame, doc_ids: list[int]) -> DataFrame:
+    """(doc_id, ids) of some documents; only blocks that have them are read, and only their groups decoded."""
+    wanted = set(doc_ids)
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, escapes = np.frombuffer(row["words"], "<u8"), np.array([int(x) for x in row["escapes"]], U)
+                start = [0, *row["doc_ends"]]
+                names = [(i, d) for i, d in enumerate(row["doc_ids"]) if d in wanted]
+                ids = [decode_range(words, row["group_words"], escapes, start[i], start[i + 1]).astype(np.int64) for i, _ in names]
+                yield pa.RecordBatch.from_arrays([pa.array([d for _, d in names], pa.int64()), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    having = F.arrays_overlap("doc_ids", F.array(*(F.lit(d).cast("long") for d in sorted(wanted))))
+    return blocks.where(having if wanted else F.lit(False)).select("doc_ids", "doc_ends", "words", "group_words", "escapes").mapInArrow(run, "doc_id long, ids array<long>")
+
+
 def read_ids(blocks: DataFrame, digest: bool = False) -> DataFrame:
     """(doc_id, start, ids) of each document of the blocks, or (doc_id, start, n_tokens, ids_crc32) with digest.
 

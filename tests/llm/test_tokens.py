@@ -158,3 +158,16 @@ def test_pieces_that_share_a_hash_keep_their_own_ids(monkeypatch):
         ids, count = weak.encode(pa.array(texts))
         stop = np.cumsum(count)
         assert [ids[a:b].tolist() for a, b in zip(stop - count, stop)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_some_documents_are_read_from_their_groups_alone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    _, blocks = simple8b.write_ids(spark, docs, JSON, end=2)
+    every = {r["doc_id"]: r["ids"] for r in simple8b.read_ids(blocks).collect()}
+    some = sorted(every)[::7]
+    assert {r["doc_id"]: r["ids"] for r in simple8b.read_documents(blocks, some).collect()} == {d: every[d] for d in some}
+    assert simple8b.read_documents(blocks, []).collect() == []
+    values = np.arange(3000, dtype=np.uint64) * np.uint64(7919)
+    words, groups, escapes = simple8b.encode(values)
+    for a, b in ((0, 0), (0, 1), (511, 513), (512, 1024), (5, 3000)):
+        assert (simple8b.decode_range(words, groups, escapes, a, b) == values[a:b]).all()
