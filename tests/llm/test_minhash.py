@@ -83,3 +83,18 @@ def test_sketches_fill_and_estimate():
     bins = minhash_fss.sketches(np.concatenate(sets), np.repeat([0, 1, 2], [len(s) for s in sets]), 3, 2000)
     assert (bins != np.uint64(2**64 - 1)).all()
     assert abs((bins[0] == bins[1]).mean() - 0.9) < 0.03
+
+
+def test_a_template_that_many_share_makes_few_pairs(spark):
+    """600 texts of one template and a tenth of their own are below the threshold, all in one bucket's reach, and are not compared pair by pair."""
+    rng = random.Random(9)
+    template = [f"t{i}" for i in range(270)]
+    rows = [(i, " ".join(template + [f"u{i}x{k}" for k in range(60)])) for i in range(600)]
+    rows += [(1000 + i, " ".join(template + [f"v{i // 2}x{k}" for k in range(60)] + [f"w{rng.random()}"] * (i % 2))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = minhash_fss.full_sets(docs, "doc_id", "text").withColumn("label", minhash_fss.F.col("node"))
+    pairs = {(r["a"], r["b"]) for r in minhash_fss.prefix_pairs(sets, 85).collect()}
+    assert {(1000 + 2 * i, 1001 + 2 * i) for i in range(10)} <= pairs and len(pairs) < 100
+    component, size = brute(rows)
+    found = {r["doc_id"]: r["component_id"] for r in minhash_fss.near_duplicates(docs).collect()}
+    assert found == component
