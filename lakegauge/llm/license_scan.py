@@ -6,9 +6,9 @@ name, is the line's licence; the best line's is the file's own. A file whose fir
 terms is a licence line declares its own for its directory (of several the least path counts). A file
 without a licence of its own has that of the nearest directory above it with a licence file.
 
-Only the template terms' counts come to the driver. No weight is under 1, so a line is scored only
-if it reaches the threshold with 1 for each of its terms that are in no template; then those terms'
-counts are joined.
+Only the template terms' counts and the greatest other count come to the driver. No other term
+weighs less than that of the greatest count, so a line is scored only if it reaches the threshold
+with that weight for each of its terms that are in no template; then those terms' counts are joined.
 
 Defined results: null or empty text has no lines; a null path has no directory; rows that share a
 path are one file each and inherit alike; extra columns pass through, but for ones named as those made here; equal scores take the least name.
@@ -47,7 +47,7 @@ def terms_of(text: str) -> list[str]:
 def lines(files: DataFrame, path: str, text: str) -> DataFrame:
     """(_path, _row, place, terms) of every line with terms."""
     line = F.posexplode(F.split(text, r"\r\n|\n|\r")).alias("place", "line")
-    terms = F.array_remove(F.array_distinct(F.split(F.translate("line", _UPPER, _LOWER), "[^a-z0-9]+")), "")
+    terms = F.array_distinct(F.regexp_extract_all(F.translate("line", _UPPER, _LOWER), F.lit("[a-z0-9]+"), F.lit(0)))
     return files.select(F.col(path).alias("_path"), "_row", line).select("_path", "_row", "place", terms.alias("terms")).where(F.size("terms") > 0)
 
 
@@ -71,8 +71,12 @@ def own_licences(found: DataFrame, work: Workspace, templates: dict[str, str] =
 
     known = F.array(*map(F.lit, vocabulary))
     sized = found.withColumn("_in", F.array_intersect("terms", known)).withColumn("_out", F.array_except("terms", known))
-    sized = sized.where(F.size("_in") > 0)
-    near = work.write(scored(sized, F.size("_out").cast("double")).select("_path", "_row", "place", "_in", "_out").dropDuplicates(["_path", "_row", "place"]), "near")
+    # cosine t with a template needs that much of a line's squares to be the template's, so of its known terms
+    most = counts.where(~F.col("term").isin("", *vocabulary)).agg(F.max("count")).collect()[0][0] or 0
+    least = (math.log((1 + n) / (1 + most)) + 1) ** 2 if n else 1.0  # no term outside weighs less
+    outside = F.size("_out") * F.lit(least)
+    sized = sized.where((F.size("_in") > 0) & (squares("_in") * (1 - threshold**2) * (1 + 1e-5) >= outside * threshold**2))
+    near = work.write(scored(sized, outside).select("_path", "_row", "place", "_in", "_out").dropDuplicates(["_path", "_row", "place"]), "near")
     wanted = small(near.select(F.explode("_out").alias("term")).distinct())
     square = F.pow(F.log(F.lit(1.0 + n) / (1 + F.col("count"))) + 1, F.lit(2))
     weighed = small(work.write(counts.join(wanted, "term", "left_semi").select("term", square.alias("square")), "weights"))
