@@ -210,17 +210,21 @@ def store_history(spark, sf):
 
 @query("SELECT file_date, 20 * 2016 AS rows_in, CAST(20 * (2016 + 288 * (day(file_date::DATE) - 1)) AS INTEGER) AS rows_after FROM (VALUES ('2026-01-01'), ('2026-01-02'), ('2026-01-03')) v(file_date)")
 def rolling_window_merge(spark, sf):
+    return spark.createDataFrame(merge_days(spark, 20, 3), "file_date string, rows_in int, rows_after int")
+
+
+def merge_days(spark, devices: int, days: int) -> list[tuple[str, int, int]]:
+    """Daily files of a week each, generated and merged into one table: file, its rows, and rows of the table after it."""
     store = Store(spark, scratch(spark, "store"), schemas.LAKE_KEY, ["partition_date"])
     progress = sinks.Progress(spark, scratch(spark, "progress") + "/state.json")
     rows = []
-    for day in ("2026-01-01", "2026-01-02", "2026-01-03"):
+    for day, batch in generate.daily_files(spark, devices, "2026-01-01", days).items():
         if day not in progress.load()["completed"]:
-            batch = generate.daily_file(spark, 20, day)
             store.merge(batch, ["file_date"])
             progress.complete(day, n := batch.count())
             rows.append((day, n, store.read().count()))
-    assert rows[-1][2] == quality.expected_unique(20, 3)
-    return spark.createDataFrame(rows, "file_date string, rows_in int, rows_after int")
+    assert rows[-1][2] == quality.expected_unique(devices, days)
+    return rows
 
 
 # streams

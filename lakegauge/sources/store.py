@@ -167,6 +167,13 @@ class Store:
         given, source = source, self.latest(source, order)
         if base["version"] < 0:
             return self._add("create", source, [], base)
+        source = source.persist()  # counted, matched and written
+        try:
+            return self._merged(base, given, source, update, newer_only)
+        finally:
+            source.unpersist()
+
+    def _merged(self, base: dict, given: DataFrame, source: DataFrame, update: bool, newer_only: str | None) -> int:
         touched = self._touched(given, base)  # of the rows as given: no key needs to be shuffled to see their partitions
         target = self._of(touched, base)
         n = source.count()
