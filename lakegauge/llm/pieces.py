@@ -21,7 +21,7 @@ U = np.uint64
 PATTERN = public_tokenizers.PATTERN
 
 #: Pieces that a worker remembers, some 60 bytes each; others are encoded in every slice where they occur.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 
 
 @cache
