@@ -26,7 +26,7 @@ WINDOW = 13
 SAMPLE = 8
 #: A pass over the documents searches the phrases of items with at most so many bytes of text.
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 
 class WaveletMatrix:
