@@ -162,7 +162,7 @@ def joined(batches, text: str, limit: int):
 class Words:
     """start, end: byte positions; hash: 64 bits each; doc: row; first, count: by row."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, lower: bool = True, hashed: bool = True):
         self.rows = len(offsets) - 1
         n = len(data)
         self.data = LOWER[data] if lower else data
@@ -175,7 +175,7 @@ class Words:
         self.first = np.searchsorted(self.start, offsets[:-1])
         self.count = np.diff(self.first, append=len(self.start))
         self.doc = np.repeat(np.arange(self.rows), self.count)
-        self.hash = span_hashes(self.data, self.start, self.end)[0] if n else np.zeros(0, U)
+        self.hash = span_hashes(self.data, self.start, self.end)[0] if n and hashed else np.zeros(0, U)
 
 
 def fold(hashes: np.ndarray, width: int, seed: int) -> np.ndarray:
