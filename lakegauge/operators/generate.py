@@ -1,12 +1,10 @@
-"""Deterministic telemetry: every value is an expression of its keys, so any partitioning makes the same rows."""
+"""Daily files for the bench of merges: every value is an expression of its keys, so any partitioning makes the same rows."""
 
-import math
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import uniform
-
 SLOTS, WEEK = 288, 2016
 
 
@@ -40,214 +38,7 @@ def daily_file(spark: SparkSession, n: int, day: str) -> DataFrame:
     )
 
 
-def readings(spark: SparkSession, n: int, hours: int, start: str = "2026-01-01", critical: float = 0.02, warning: float = 0.08) -> DataFrame:
-    """Hourly readings with role bases and seeded critical and warning draws."""
-    grid = devices(spark, n).crossJoin(F.broadcast(spark.range(hours).withColumnRenamed("id", "h")))
-    at = F.lit(start).cast("timestamp") + F.make_interval(hours=F.col("h"))
-    draw, noise = uniform(1, "device_id", "h"), uniform(2, "device_id", "h")
-    base = F.when(F.col("tags") == "database", 260.0).when(F.col("tags") == "compute", 320.0).when(F.col("tags") == "storage", 180.0).otherwise(210.0)
-    level = F.when(draw < critical, "critical").when(draw < critical + warning, "warning").otherwise("normal")
-    value = base * F.when(draw < critical, 1.9).when(draw < critical + warning, 1.35).otherwise(1.0) + 20 * noise
-    return grid.select("device_id", "platform_customer_id", "application_customer_id", "tags", at.alias("metric_time"), F.round(value, 3).alias("avg_watts"), level.alias("level"))
-
-
-def autoregressive(df: DataFrame, by: str, order: str, noise: str, rho: float = 0.7, to: str = "x") -> DataFrame:
-    """x_t = rho * x_(t-1) + e_t along each group. Terms whose weight is under 2^-60 do not change a double, so a row sees that many before it."""
-    back = min(4096, math.ceil(-60 * math.log(2) / math.log(abs(rho)))) if 0 < abs(rho) < 1 else 0
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(-back, Window.currentRow)
-    seen = F.collect_list(F.coalesce(F.col(noise).cast("double"), F.lit(0.0))).over(w)
-    return df.select(by, order, F.aggregate(seen, F.lit(0.0), lambda x, e: x * rho + e).alias(to))
-
-
-def ramp(df: DataFrame, by: str, order: str, low: float, high: float, to: str = "ramp") -> DataFrame:
-    """A straight line from low to high over each group's rows."""
-    w, whole = Window.partitionBy(by).orderBy(order), Window.partitionBy(by)
-    at = F.try_divide((F.row_number().over(w) - 1).cast("double"), F.count("*").over(whole) - 1)
-    return df.withColumn(to, F.lit(low) + (high - low) * F.coalesce(at, F.lit(0.0)))
-
-
-def registry(spark: SparkSession, platforms: int, applications: int, per_application: int) -> DataFrame:
-    """Devices of every application of every platform, numbered throughout."""
-    p, a, d = (spark.range(n).withColumnRenamed("id", c) for n, c in ((platforms, "p"), (applications, "a"), (per_application, "d")))
-    grid = d.crossJoin(F.broadcast(p)).crossJoin(F.broadcast(a))
-    number = (F.col("p") * applications + F.col("a")) * per_application + F.col("d")
-    return grid.select(F.format_string("DEV-%07d", number).alias("device_id"), F.format_string("PC-%03d", "p").alias("platform_customer_id"), F.format_string("AC-%03d-%02d", "p", "a").alias("application_customer_id"), F.format_string("LOC-%02d", number % 20).alias("location_id"))
-
-
-def role_load(role, hour):
-    """The share of full load of a role at an hour of the day."""
-    office, night = hour.between(8, 18), hour.between(0, 5)
-    return F.when(role == "database", F.when(office, 0.75).otherwise(0.45)).when(role == "compute", F.when(night, 0.85).otherwise(0.6)).when(role == "storage", F.lit(0.35)).otherwise(F.when(office, 0.65).otherwise(0.25))
-
-
-def ml_telemetry(spark: SparkSession, n: int, hours: int, start: str = "2026-01-01", anomalies: float = 0.05) -> DataFrame:
-    """Hourly rows in which load drives power, power temperature, and temperature the fans; anomalies break the chain."""
-    at = F.lit(start).cast("timestamp") + F.make_interval(hours=F.col("h"))
-    grid = devices(spark, n).crossJoin(F.broadcast(spark.range(hours).withColumnRenamed("id", "h"))).withColumn("metric_time", at)
-    noise = lambda i: uniform(i, "device_id", "h") - 0.5
-    odd = uniform(9, "device_id", "h") < anomalies
-    cpu = F.greatest(F.lit(0.0), F.least(F.lit(100.0), role_load(F.col("tags"), F.hour("metric_time")) * 100 + 12 * noise(1)))
-    watts = 120 + 2.2 * F.col("cpu_utilization") + 10 * noise(2) + F.when(F.col("is_anomaly"), 180).otherwise(0)
-    heat = 22 + F.col("avg_metric_value") / 8 + 2 * noise(3)
-    fan = 1500 + 45 * (F.col("cpu_temperature") - 30) + 100 * noise(4) - F.when(F.col("is_anomaly"), 600).otherwise(0)
-    rows = grid.withColumn("is_anomaly", odd).withColumn("cpu_utilization", F.round(cpu, 3)).withColumn("avg_metric_value", F.round(watts, 3)).withColumn("cpu_temperature", F.round(heat, 3)).withColumn("fan_speed_rpm", F.round(fan, 1))
-    return rows.withColumns({
-        "max_metric_value": F.col("avg_metric_value") * 1.15, "min_metric_value": F.col("avg_metric_value") * 0.85, "amb_temp": F.round(22 + 3 * noise(5), 2), "memory_utilization": F.round(40 + 0.4 * F.col("cpu_utilization") + 8 * noise(6), 3),
-        "disk_utilization": F.round(30 + 30 * uniform(7, "device_id"), 3), "socket_count": F.lit(2) + F.pmod("device_number", F.lit(3)), "last_boot_time": F.lit(start).cast("timestamp") - F.make_interval(days=(1 + F.pmod("device_number", F.lit(90))).cast("int")),
-        "last_maintenance_date": F.lit(start).cast("timestamp") - F.make_interval(days=(10 + F.pmod("device_number", F.lit(200))).cast("int")),
-    }).drop("h", "device_number")
-
-
-def nested_records(spark: SparkSession, n: int, readings_each: int = 12) -> DataFrame:
-    """JSON records of devices with their readings, some with faults, as a stream source would hold them."""
-    reading = F.transform(F.sequence(F.lit(0), F.lit(readings_each - 1)), lambda i: F.struct((F.lit(100.0) + i).alias("Average"), F.concat(F.lit("2026-01-01T00:"), F.lpad((i * 5).cast("string"), 2, "0"), F.lit(":00Z")).alias("Time")))
-    sockets = F.when(F.col("device_number") % 10 == 3, F.lit("bad")).otherwise((F.lit(1) + F.pmod("device_number", F.lit(4))).cast("string"))
-    body = F.struct(F.when(F.col("device_number") % 10 != 7, F.col("device_id")).alias("device_id"), F.struct(reading.alias("PowerDetail")).alias("data"), F.struct(sockets.alias("socket_count")).alias("inventory_data"))
-    return devices(spark, n).select("device_number", F.to_json(body).alias("value"))
-
-
-def inventory(text):
-    """Hardware of 'key: value' lines as (model, cores, memory); null where a line is missing."""
-    find = lambda key: F.nullif(F.trim(F.regexp_extract(text, rf"(?m)^\s*{key}\s*:\s*(.*)$", 1)), F.lit(""))
-    return F.struct(find("Model").alias("model"), F.regexp_extract(find("Cores"), r"(\d+)", 1).try_cast("int").alias("cores"), F.regexp_extract(find("Memory"), r"(\d+)", 1).try_cast("int").alias("memory_gb"))
-
-
-# servers by role ----------------------------------------------------------------------------------
-
-#: Usual CPU percent of a role, and hours (from, before) with another.
-ROLE_CPU = {
-    "UI": (15.0, (9, 21, 55.0)), "Database": (45.0, None), "Spark": (15.0, (0, 5, 82.0)), "Kafka": (45.0, None), "Redis": (22.0, None),
-    "ClickHouse": (55.0, None), "AI": (82.0, None), "Monitoring": (12.0, None), "Backup": (10.0, (1, 4, 40.0)),
-}
-#: Base and share of CPU percent for memory, disk and network of a role.
-ROLE_COVARIATES = {
-    "UI": (60.0, 0.0, 0.0, 0.3, -40.0, 3.5), "Database": (75.0, 0.0, -20.0, 1.6, -200.0, 10.0), "Spark": (45.0, 0.1, -10.0, 0.8, 0.0, 2.0), "Kafka": (60.0, 0.0, 20.0, 0.0, -400.0, 26.0),
-    "Redis": (80.0, 0.0, 5.0, 0.0, 100.0, 0.0), "ClickHouse": (65.0, 0.0, -25.0, 1.6, -580.0, 18.0), "AI": (70.0, 0.0, 10.0, 0.2, 100.0, 5.0), "Monitoring": (30.0, 0.0, 0.0, 0.5, -5.0, 3.0), "Backup": (20.0, 0.0, 0.0, 1.9, -150.0, 20.0),
-}
-#: City, state, and least and most ambient temperature of a site.
-SITES = {
-    "Bangalore_DC": ("Bangalore", "Karnataka", 20, 28), "Hyderabad_DC": ("Hyderabad", "Telangana", 22, 32), "Chennai_DC": ("Chennai", "Tamil Nadu", 25, 35),
-    "Mumbai_DC": ("Mumbai", "Maharashtra", 22, 32), "Delhi_DC": ("New Delhi", "Delhi", 24, 36),
-}
-ANOMALIES = ("thermal_failure", "memory_leak", "crypto_miner", "network_exfil", "disk_failure", "psu_fault", "sensor_failure", "runaway_process", "thread_deadlock")
-
-
-def _of(values, pick):
-    """One of some values by a column that is uniform over [0, 1)."""
-    return F.element_at(F.array(*map(F.lit, values)), (F.floor(pick * len(values)) + 1).cast("int"))
-
-
-def _map(values: dict):
-    return F.create_map(*(F.lit(x) for kv in values.items() for x in kv))
-
-
-def server_inventory(spark: SparkSession, n: int, seed: int = 42, today: str = "2026-01-01") -> DataFrame:
-    """n servers with role, site, hardware and dates, all drawn from seed and number."""
-    draw = lambda k: uniform(seed * 100 + k, "id")
-    site, vendor = _of(list(SITES), draw(1)), _of(("Intel", "AMD"), draw(2))
-    day = F.lit(today).cast("date")
-    rows = spark.range(n).withColumns({"location_name": site, "processor_vendor": vendor, "memory_capacity_gb": _of((64, 128, 256, 512), draw(3))})
-    model = F.when(F.col("processor_vendor") == "Intel", _of(("Intel Xeon Gold 6230", "Intel Xeon Platinum 8280", "Intel Xeon Silver 4214"), draw(4))).otherwise(_of(("AMD EPYC 7742", "AMD EPYC 7502", "AMD EPYC 7302"), draw(4)))
-    return rows.select(
-        F.format_string("srv-%06d", "id").alias("device_id"), F.concat(F.lit("host-"), F.lower(F.substring("location_name", 1, 3)), F.format_string("-%04d", "id")).alias("server_name"),
-        F.format_string("ACID-%03d", F.floor(draw(5) * 100).cast("int")).alias("application_customer_id"), F.format_string("PCID-%02d", F.floor(draw(6) * 20).cast("int")).alias("platform_customer_id"),
-        "location_name", _map({k: v[0] for k, v in SITES.items()})[F.col("location_name")].alias("location_city"), _map({k: v[1] for k, v in SITES.items()})[F.col("location_name")].alias("location_state"), F.lit("India").alias("location_country"),
-        _of(list(ROLE_CPU), draw(7)).alias("tags"), _of((1, 2), draw(8)).alias("socket_count"), "processor_vendor", _of(("Gen10", "Gen11", "Gen12"), draw(9)).alias("server_generation"), model.alias("cpu_inventory"),
-        F.concat(F.col("memory_capacity_gb").cast("string"), F.lit("GB DDR4 ECC")).alias("memory_inventory"), "memory_capacity_gb", (1 + F.floor(draw(10) * 5)).cast("int").alias("pcie_devices_count"),
-        F.date_sub(day, (180 + F.floor(draw(11) * 185)).cast("int")).cast("timestamp").alias("last_maintenance_date"), F.date_sub(day, (30 + F.floor(draw(12) * 150)).cast("int")).cast("timestamp").alias("last_boot_time"),
-    )
-
-
-def role_cpu(role, hour):
-    """Usual CPU percent of a role at an hour of the day."""
-    value = F.lit(None).cast("double")
-    for name, (usual, other) in ROLE_CPU.items():
-        at = F.when((hour >= other[0]) & (hour < other[1]), F.lit(other[2])).otherwise(usual) if other else F.lit(usual)
-        value = F.when(role == name, at).otherwise(value)
-    return value
-
-
-def role_telemetry(servers: DataFrame, days: int, seed: int = 42, start: str = "2026-01-01", share: float = 0.04) -> DataFrame:
-    """Hourly rows in which role and hour set the CPU, that memory, disk, network and power, power and site the temperature, and that the fans.
-
-    Noise is autoregressive along each server. In the last fifth of the hours a share of the servers has
-    an event of 4 to 9 hours of one kind of ANOMALIES, which breaks the chain in its own way.
-    """
-    spark, hours = servers.sparkSession, days * 24
-    rows = servers.crossJoin(F.broadcast(spark.range(hours).withColumnRenamed("id", "h"))).withColumn("metric_time", F.lit(start).cast("timestamp") + F.make_interval(hours=F.col("h")))
-    hour, whole = F.pmod("h", F.lit(24)), Window.partitionBy("device_id").orderBy("h")
-
-    def noise(k: int, rho: float, sigma: float):
-        a, b = uniform(seed * 1000 + 2 * k, "device_id", "h"), uniform(seed * 1000 + 2 * k + 1, "device_id", "h")
-        shock = F.sqrt(-2 * F.log(F.greatest(a, F.lit(1e-12)))) * F.cos(b * (2 * math.pi)) * sigma
-        back = math.ceil(-40 * math.log(2) / math.log(rho))
-        return F.aggregate(F.collect_list(shock).over(whole.rowsBetween(-back, 0)), F.lit(0.0), lambda x, e: x * rho + e)
-
-    clip = lambda x, low, high: F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), x))
-    part = lambda i: _map({k: v[i] for k, v in ROLE_COVARIATES.items()})[F.col("tags")]
-    rows = rows.withColumn("cpu", role_cpu(F.col("tags"), hour) + noise(1, 0.85, 3.0))
-    rows = rows.withColumns({"mem": part(0) + F.col("cpu") * part(1) + noise(2, 0.9, 1.0), "disk": part(2) + F.col("cpu") * part(3) + noise(3, 0.8, 2.0), "net": part(4) + F.col("cpu") * part(5) + noise(4, 0.8, 10.0), "gpu": F.when(F.col("tags") == "AI", F.col("cpu") * 2.1 - 100 + noise(5, 0.8, 5.0)).otherwise(0.0)})
-    rows = rows.withColumns({"cpu": clip(F.col("cpu"), 5, 95), "mem": clip(F.col("mem"), 10, 95), "disk": clip(F.col("disk"), 0, 95), "net": clip(F.col("net"), 0, 10000), "gpu": clip(F.col("gpu"), 0, 95)})
-    low, high = (_map({k: float(v[i]) for k, v in SITES.items()})[F.col("location_name")] for i in (2, 3))
-    age = F.when(F.col("server_generation") == "Gen10", 40.0).when(F.col("server_generation") == "Gen11", 15.0).otherwise(0.0)
-    rows = rows.withColumns({"amb_temp": clip((low + high) / 2 + F.sin((hour - 8) * (math.pi / 12)) * (high - low) / 2 + noise(6, 0.9, 0.5), 15, 45), "base": 80 + F.col("socket_count") * 30 + F.col("memory_capacity_gb") * 0.2 + age})
-    rows = rows.withColumn("watts", clip(F.col("base") + F.col("cpu") * 3.5 + F.col("gpu") * 2.5 + noise(7, 0.85, 4.0), 120, 800))
-    rows = rows.withColumn("heat", clip(20 + F.col("watts") * 0.08 + (F.col("amb_temp") - 20) + noise(8, 0.85, 1.0), 35, 95))
-    rows = rows.withColumn("fan", clip(F.col("heat") * 100 - 1000 + noise(9, 0.6, 150.0), 1500, 12000))
-
-    first = math.floor(hours * 0.8)
-    event = lambda k: uniform(seed * 2000 + k, "device_id")
-    length = 4 + F.floor(event(1) * 6)
-    begin = first + F.floor(event(2) * max(1, hours - first - 12))
-    inside = (event(3) < share) & (F.col("h") >= begin) & (F.col("h") < begin + length)
-    kind = F.when((F.col("tags") == "AI") & (event(5) < 0.1), "gpu_overload").otherwise(_of(ANOMALIES, event(4)))
-    done = (F.col("h") - begin) / (length - 1)  # from 0 to 1 over the event
-    rows = rows.withColumns({"anomaly": F.when(inside, kind), "done": done})
-    is_ = lambda *names: F.coalesce(F.col("anomaly").isin(*names), F.lit(False))
-    ramp = lambda c, to: F.col(c) + (F.lit(float(to)) - F.col(c)) * F.col("done")
-    u = uniform(seed * 3000, "device_id", "h")
-    changed = {
-        "cpu": F.when(is_("crypto_miner"), 96 + 4 * u).when(is_("sensor_failure"), 98.0).when(is_("runaway_process"), ramp("cpu", 99)).when(is_("thread_deadlock"), 2 + 2 * u).otherwise(F.col("cpu")),
-        "mem": F.when(is_("memory_leak"), ramp("mem", 100)).otherwise(F.col("mem")),
-        "disk": F.when(is_("disk_failure"), ramp("disk", 99.9)).when(is_("network_exfil") & F.col("tags").isin("Database", "ClickHouse"), 85 + 10 * u).otherwise(F.col("disk")),
-        "net": F.when(is_("network_exfil"), 6000 + 4000 * u).when(is_("thread_deadlock"), 0.0).otherwise(F.col("net")),
-        "gpu": F.when(is_("gpu_overload"), 99.0).otherwise(F.col("gpu")),
-        "watts": F.when(is_("crypto_miner"), (F.col("base") + 350 + F.when(F.col("tags") == "AI", 250).otherwise(0)) * (1.1 + 0.2 * u)).when(is_("psu_fault"), F.col("watts") + 300 + 200 * u).when(is_("sensor_failure"), 600.0).when(is_("gpu_overload"), F.col("watts") + 250).otherwise(F.col("watts")),
-        "heat": F.when(is_("thermal_failure"), F.col("heat") + 5 + 35 * F.col("done")).when(is_("crypto_miner"), F.col("heat") + 5 + 15 * F.col("done")).when(is_("sensor_failure"), 38.0).otherwise(F.col("heat")),
-        "fan": F.when(is_("thermal_failure"), 1000 * event(6)).when(is_("crypto_miner"), F.col("fan") + 1000 + 3000 * F.col("done")).when(is_("sensor_failure"), 3000.0).otherwise(F.col("fan")),
-    }
-    rows = rows.withColumns(changed)
-    spread = uniform(seed * 4000, "device_id", "h")
-    names = {"cpu": "cpu_utilization", "mem": "memory_utilization", "disk": "disk_utilization", "net": "network_mbps", "gpu": "gpu_utilization", "watts": "avg_metric_value", "heat": "cpu_temperature", "fan": "fan_speed_rpm"}
-    rows = rows.withColumns({"max_metric_value": F.col("watts") * (1.02 + 0.03 * spread), "min_metric_value": F.col("watts") * (0.95 + 0.03 * spread), "is_anomaly": F.col("anomaly").isNotNull().cast("int")})
-    return rows.withColumnsRenamed(names).drop("h", "base", "done")
-
-
-def inventory_arrays(device):
-    """Hardware of a device from its name: counts, and arrays of processors and memory modules. The models and sizes are fixed values."""
-    code = F.aggregate(F.transform(F.split(device, ""), F.ascii), F.lit(0), lambda a, x: a + x)
-    model = lambda k: _pick(("Intel Xeon Gold 6338", "Intel Xeon Silver 4314", "AMD EPYC 7543", "Intel Xeon Platinum 8380", "AMD EPYC 7763"), k)
-    processors, modules = 2 + F.pmod(code, F.lit(3)), 4 + F.pmod(code, F.lit(5))
-    cpu = F.transform(F.sequence(F.lit(0), processors - 1), lambda i: F.struct(model(code + i).alias("model"), (2400 + i * 200).cast("bigint").alias("speed"), (16 + i * 8).cast("bigint").alias("total_cores")))
-    memory = F.transform(F.sequence(F.lit(0), modules - 1), lambda i: F.struct((32768 * (F.pmod(i, F.lit(3)) + 1)).cast("bigint").alias("memory_size"), (3200 + i * 200).cast("bigint").alias("operating_freq"), _pick(("DDR4", "DDR5"), code + i).alias("memory_device_type")))
-    return F.struct(processors.cast("bigint").alias("cpu_count"), processors.cast("bigint").alias("socket_count"), cpu.alias("cpu_inventory"), memory.alias("memory_inventory"))
-
-
-def _pick(values, number):
-    return F.element_at(F.array(*map(F.lit, values)), (F.pmod(number, F.lit(len(values))) + 1).cast("int"))
-
-
-def loader_rows(spark: SparkSession, day: str, n: int = 50, hours: int = 24, metrics=("power", "temperature", "cpu")) -> DataFrame:
-    """Refined rows of n devices, every hour and each metric, in the layout that a warehouse loads."""
-    grid = devices(spark, n).crossJoin(F.broadcast(spark.range(hours).withColumnRenamed("id", "h"))).crossJoin(F.broadcast(spark.createDataFrame([(m,) for m in metrics], "report_type string")))
-    value = 100 + 50 * uniform(11, "device_id", "h", "report_type")
-    at = F.lit(day).cast("timestamp") + F.make_interval(hours=F.col("h"))
-    return grid.select("device_id", "platform_customer_id", "application_customer_id", "report_type", at.alias("metric_time"), F.lit(day).alias("partition_date"), F.round(value, 3).alias("avg_metric_value"), F.round(value * 1.2, 3).alias("max_metric_value"), F.round(value * 0.8, 3).alias("min_metric_value"))
-
-
 def daily_files(spark: SparkSession, n: int, first: str, days: int) -> dict[str, DataFrame]:
     """The files of several days in a row, each of which overlaps the one before by six days."""
-    from datetime import date, timedelta
-
     start = date.fromisoformat(first)
     return {str(start + timedelta(days=k)): daily_file(spark, n, str(start + timedelta(days=k))) for k in range(days)}

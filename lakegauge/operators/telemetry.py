@@ -50,18 +50,6 @@ def hydrate(df: DataFrame, registry: DataFrame, key: str, defaults: dict[str, st
 RECOVERABLE = ("INVALID_SCHEMA", "INVALID_SOCKET_COUNT")
 
 
-def error_type(parsed: str, device: str = "device_id", detail: str = "data.PowerDetail", sockets: str = "inventory_data.socket_count") -> Column:
-    """The first fault of a parsed record, or VALID."""
-    c = lambda name: F.col(f"{parsed}.{name}")
-    return (
-        F.when(F.col(parsed).isNull(), "INVALID_SCHEMA")
-        .when(c(device).isNull(), "MISSING_DEVICE_ID")
-        .when(c(detail).isNull(), "MISSING_POWERDETAIL")
-        .when(c(sockets).cast("int").isNull(), "INVALID_SOCKET_COUNT")
-        .otherwise("VALID")
-    )
-
-
 def envelope(df: DataFrame, raw: str, error: str, at: Column) -> DataFrame:
     """Records for the dead-letter sink as JSON in value; the raw text is kept whole."""
     fields = F.struct(
@@ -82,7 +70,7 @@ def route(df: DataFrame, raw: str = "raw", error: str = "error_type", attempts:
     sockets, text = repaired_sockets(F.col(raw)), F.get_json_object(F.col(raw), "$.created_at")
     fixed = F.when(F.col(error) == "INVALID_SOCKET_COUNT", sockets.isNotNull()).otherwise(F.lit(True))
     timed = text.isNull() | scalar.parse_time(text).isNotNull()
-    good = F.col(error).isin(*RECOVERABLE) & F.col(raw).isNotNull() & fixed & timed & (F.col(attempts) < most)
+    good = F.col(error).isin(*RECOVERABLE) & (F.trim(F.col(raw)) != "") & fixed & timed & (F.col(attempts) < most)
     return df.withColumns({"sockets": sockets, "time": scalar.parse_time(text), "recovered": F.coalesce(good, F.lit(False))}).withColumn("route", F.when(F.col("recovered"), "retry").otherwise("failure"))
 
 
@@ -94,6 +82,8 @@ def recovery_metadata(df: DataFrame, at: Column) -> Column:
 
 #: The identity columns of a report, in the order of the refined row.
 DIMENSIONS = ("device_id", "report_id", "application_customer_id", "platform_customer_id", "status", "report_type", "error_reason", "model", "tags", "location_state", "location_country", "processor_vendor", "server_generation", "location_id", "location_name", "location_city", "server_name")
+#: Factors of the refined row, and seconds that its range spans.
+CO2_FACTOR, ENERGY_COST_FACTOR, RANGE_SECONDS = 0.5, 1.2, 60
 
 
 def refine(golden: DataFrame, inserted: Column) -> DataFrame:
@@ -113,7 +103,7 @@ def refine(golden: DataFrame, inserted: Column) -> DataFrame:
     return grouped.select(
         *DIMENSIONS, F.col("avg_metric_value").alias("MetricValue"), F.lit("power_metric").alias("metric_id"), "cpu_inventory", "memory_inventory", F.lit(0).alias("pcie_devices_count"), "socket_count",
         "avg_metric_value", "max_metric_value", "min_metric_value", "avg_cpu_watts", "max_cpu_watts", "avg_gpu_watts", "avg_peak_power", "max_peak_power", text.alias("metric_time"),
-        scalar.epoch(F.col("at")).alias("datetime"), (scalar.epoch(F.col("at")) + 60).alias("timeRangeEnd"), "amb_temp", scalar.epoch(inserted).alias("Insertiontime"), F.lit(0.5).alias("co2_factor"), F.lit(1.2).alias("energy_cost_factor"),
+        scalar.epoch(F.col("at")).alias("datetime"), (scalar.epoch(F.col("at")) + RANGE_SECONDS).alias("timeRangeEnd"), "amb_temp", scalar.epoch(inserted).alias("Insertiontime"), F.lit(CO2_FACTOR).alias("co2_factor"), F.lit(ENERGY_COST_FACTOR).alias("energy_cost_factor"),
         text.alias("max_metric_time"), day.alias("location_date"), day.alias("inventory_date"),
     )
 
@@ -235,7 +225,7 @@ def refine_daily(flat: DataFrame, inserted: Column, device: str = "device_id", t
     return grouped.select(
         device, *identity, F.col("avg").alias("MetricValue"), F.lit("power_metrics").alias("metric_id"), null("string").alias("cpu_inventory"), null("string").alias("memory_inventory"), null("int").alias("pcie_devices_count"),
         (F.col("socket_count").cast("int") if "socket_count" in grouped.columns else null("int")).alias("socket_count"), F.round("avg", 2).alias("avg_metric_value"), F.round("max", 2).alias("max_metric_value"), F.round("min", 2).alias("min_metric_value"),
-        date.alias("metric_time"), at.alias("datetime"), (at + 60).alias("timeRangeEnd"), null("double").alias("amb_temp"), scalar.epoch(inserted).alias("Insertiontime"), F.lit(0.5).alias("co2_factor"), F.lit(1.2).alias("energy_cost_factor"),
+        date.alias("metric_time"), at.alias("datetime"), (at + RANGE_SECONDS).alias("timeRangeEnd"), null("double").alias("amb_temp"), scalar.epoch(inserted).alias("Insertiontime"), F.lit(CO2_FACTOR).alias("co2_factor"), F.lit(ENERGY_COST_FACTOR).alias("energy_cost_factor"),
         date.alias("max_metric_time"), date.alias("location_date"), date.alias("inventory_date"),
     )
 

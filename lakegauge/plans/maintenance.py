@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import generate, health, quality, telemetry
+from ..operators import health, telemetry
 from ..sources import sinks, tables
 from ..sources.store import Store, process
 from ..streaming import jobs
-from .pipelines import _CLASS, _RAW, _RECORD, scratch
+from ..session import scratch
+from .pipelines import _CLASS, _RAW, _RECORD
 from .registry import S, query, read, stamp
 
 
@@ -37,12 +38,14 @@ def delete_session_cascade(spark, sf):
     return said.read().join(sessions.read(), "conv_id", "left_semi").select("role", "text")
 
 
-@query("SELECT run, CASE WHEN run = 'b' THEN 'Warning' ELSE 'Success' END AS status FROM (VALUES ('a'), ('b'), ('c')) v(run)")
+@query("SELECT strftime(ts, '%Y-%m-%d') AS run, count(*) AS n_rows, CASE WHEN count(*) FILTER (WHERE event_type = 'error') > 0 THEN 'Warning' ELSE 'Success' END AS status FROM events GROUP BY 1")
 def audit_status_update(spark, sf):
+    """A run for each day, recorded as a success; runs with errors are updated by their id."""
+    events = _by_day(spark, sf).withColumnRenamed("day", "run")
     store = Store(spark, scratch(spark, "audit"), ["run"])
-    store.create(spark.createDataFrame([(r, "Success") for r in "abc"], "run string, status string"))
-    store.update(F.col("run") == "b", {"status": F.lit("Warning")})
-    return store.read()
+    store.create(events.groupBy("run").agg(F.count("*").alias("n_rows"), F.lit("Success").alias("status"), F.count_if(F.col("event_type") == "error").alias("errors")))
+    store.update(F.col("errors") > 0, {"status": F.lit("Warning")})
+    return store.read().drop("errors")
 
 
 @query("""WITH a AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 3 = 0), b AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 3 = 1)
@@ -192,46 +195,3 @@ def stream_daily_windows(spark, sf):
     days = jobs.by_window(jobs.files(spark, path, "ts timestamp, user_id bigint, value double", per_trigger=1), "ts", "1 day", ["user_id"], [F.avg("value").alias("mean_value"), F.count("*").alias("n")], late="40 days")
     jobs.into_store(days, store, ["n"], scratch(spark, "checkpoint"), compact_every=0).awaitTermination()
     return store.read().select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "user_id", F.round("mean_value", 6).alias("mean_value"))
-
-
-# generators
-
-
-@query("SELECT 9 AS roles, 5 AS sites, 300 AS servers, 300 * 5 * 24 AS n_rows, true AS in_range, true AS chain_holds, true AS events_late, true AS repeats")
-def role_telemetry_figures(spark, sf):
-    """Figures of generated servers: all roles and sites, values in their ranges, power follows CPU, events in the last fifth only, and the same again when partitioned otherwise."""
-    servers = generate.server_inventory(spark, 300)
-    rows = generate.role_telemetry(servers, 5)
-    again = generate.role_telemetry(servers.repartition(5), 5).selectExpr("sum(round(avg_metric_value, 6))").collect()[0][0]
-    calm = F.col("is_anomaly") == 0
-    found = rows.agg(
-        F.countDistinct("tags").cast("int").alias("roles"), F.countDistinct("location_name").cast("int").alias("sites"), F.countDistinct("device_id").cast("int").alias("servers"), F.count("*").cast("int").alias("n_rows"),
-        F.bool_and(~calm | (F.col("cpu_utilization").between(5, 95) & F.col("avg_metric_value").between(120, 800) & F.col("cpu_temperature").between(35, 95) & F.col("fan_speed_rpm").between(1500, 12000))).alias("in_range"),
-        (F.corr(F.when(calm, F.col("cpu_utilization")), F.when(calm, F.col("avg_metric_value"))) > 0.7).alias("chain_holds"),
-        ((F.min(F.when(~calm, F.col("metric_time"))) >= F.lit("2026-01-05").cast("timestamp")) & (F.sum("is_anomaly") > 0)).alias("events_late"), F.sum(F.round("avg_metric_value", 6)).alias("total"),
-    )
-    return found.withColumn("repeats", F.abs(F.col("total") - F.lit(again)) < 1e-3).drop("total")
-
-
-@query("""WITH d AS (SELECT s_name, list_sum(list_transform(string_split(s_name, ''), lambda x: unicode(x))) AS code FROM supplier), m AS (SELECT ['Intel Xeon Gold 6338', 'Intel Xeon Silver 4314', 'AMD EPYC 7543', 'Intel Xeon Platinum 8380', 'AMD EPYC 7763'] AS models)
-SELECT s_name, CAST(2 + code % 3 AS BIGINT) AS cpu_count, CAST(4 + code % 5 AS BIGINT) AS modules, models[CAST(code % 5 + 1 AS INTEGER)] AS first_model, CAST(2400 + 200 * (1 + code % 3) AS BIGINT) AS top_speed, CASE WHEN (code + 1) % 2 = 0 THEN 'DDR4' ELSE 'DDR5' END AS second_kind FROM d, m""")
-def inventory_nested(spark, sf):
-    made = read(spark, sf, "supplier").select("s_name", generate.inventory_arrays(F.col("s_name")).alias("i"))
-    return made.select("s_name", "i.cpu_count", F.size("i.memory_inventory").cast("bigint").alias("modules"), F.col("i.cpu_inventory")[0]["model"].alias("first_model"), F.array_max("i.cpu_inventory.speed").alias("top_speed"), F.col("i.memory_inventory")[1]["memory_device_type"].alias("second_kind"))
-
-
-@query("SELECT unnest(['power', 'temperature', 'cpu']) AS report_type, 1200 AS n, 50 AS devices")
-def loader_frame(spark, sf):
-    return generate.loader_rows(spark, "2026-01-01").groupBy("report_type").agg(F.count("*").cast("int").alias("n"), F.countDistinct("device_id").cast("int").alias("devices"))
-
-
-@query("SELECT unnest(['2026-01-01', '2026-01-02', '2026-01-03']) AS file_date, unnest([20160, 20160, 20160]) AS n, unnest([20160, 2880, 2880]) AS fresh")
-def daily_files_overlap(spark, sf):
-    """Files of three days: rows of each, and those that no file before has."""
-    files = generate.daily_files(spark, 10, "2026-01-01", 3)
-    every = [df.select("device_id", "metric_time", "file_date") for df in files.values()]
-    rows = every[0].unionByName(every[1]).unionByName(every[2])
-    first = rows.groupBy("device_id", "metric_time").agg(F.min("file_date").alias("file_date"))
-    assert first.count() == quality.expected_unique(10, 3)
-    fresh = first.groupBy("file_date").agg(F.count("*").cast("int").alias("fresh"))
-    return rows.groupBy("file_date").agg(F.count("*").cast("int").alias("n")).join(fresh, "file_date")

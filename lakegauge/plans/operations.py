@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import generate, health, quality, telemetry
-from ..sources import sinks
+from ..operators import health, quality, telemetry
+from ..session import scratch
+from ..sources import sinks, tables
 from ..streaming import jobs
-from .pipelines import _CLASS, _RECORD, _as_files, _classified, scratch
+from .pipelines import _CLASS, _RECORD, _as_files, _classified
 from .registry import S, query, read, stamp
 
 
@@ -37,7 +38,7 @@ def hydrated_messages(spark, sf):
     return made.select("key", back.alias("v")).select("key", "v.device", "v.segment", F.size("v.PowerDetail").cast("bigint").alias("n"), F.col("v.Maximum").alias("top"))
 
 
-@query(f"SELECT {_CLASS} AS error_type, CASE WHEN event_id % 8 IN (1, 4, 5) THEN 'retry' ELSE 'failure' END AS route, count(*) AS n FROM events WHERE event_id % 8 <> 0 GROUP BY ALL")
+@query(f"SELECT {_CLASS} AS error_type, CASE WHEN event_id % 8 = 1 THEN 'retry' ELSE 'failure' END AS route, count(*) AS n FROM events WHERE event_id % 8 <> 0 GROUP BY ALL")
 def dlq_counters(spark, sf):
     bad = _classified(spark, sf).where("error_type <> 'VALID'").withColumn("attempts", F.lit(0))
     return telemetry.route(bad).groupBy("error_type", "route").agg(F.count("*").alias("n"))
@@ -91,14 +92,6 @@ def file_statistics(spark, sf):
     return found.select("n_rows", F.col("files").cast("int").alias("files"), F.expr("bytes > 0 AND abs(saved_percent - (1 - bytes / (100D * n_rows)) * 100) < 0.01").alias("sizes_hold"))
 
 
-@query("SELECT run, CASE WHEN run = 'b' THEN 'Warning' ELSE 'Success' END AS status FROM (VALUES ('a'), ('b'), ('c')) v(run)")
-def audit_log_update(spark, sf):
-    path = scratch(spark, "audit")
-    for run in "abc":
-        sinks.metrics(spark, path, [(run, "Success")], "run string, status string")
-    return spark.read.parquet(path).select("run", F.when(F.col("run") == "b", "Warning").otherwise(F.col("status")).alias("status"))
-
-
 @query(f"""SELECT strftime(w, {S}) AS window_start, event_type, count(*) AS n FROM (SELECT event_type, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS w FROM events) GROUP BY ALL""")
 def sliding_windows(spark, sf):
     path, schema = _as_files(spark, sf)
@@ -140,41 +133,27 @@ def stream_classified(spark, sf):
     return spark.read.parquet(out)
 
 
-@query("SELECT format('DEV-{:07d}', i) AS device_id, format('PC-{:03d}', i // 8) AS platform_customer_id, format('LOC-{:02d}', i % 20) AS location_id FROM (SELECT unnest(range(0, 24)) AS i)")
-def registry_generator(spark, sf):
-    return generate.registry(spark, 3, 2, 4).select("device_id", "platform_customer_id", "location_id")
-
-
-@query("SELECT CASE WHEN i % 10 = 7 THEN 'MISSING_DEVICE_ID' WHEN i % 10 = 3 THEN 'INVALID_SOCKET_COUNT' ELSE 'VALID' END AS class, count(*) AS n FROM (SELECT unnest(range(0, 200)) AS i) GROUP BY 1")
-def nested_record_generator(spark, sf):
-    made = generate.nested_records(spark, 200).withColumn("parsed", F.from_json("value", "device_id string, data struct<PowerDetail:array<struct<Average:double>>>, inventory_data struct<socket_count:string>"))
-    socket = F.try_to_number(F.col("parsed.inventory_data.socket_count"), F.lit("999"))
-    ok = F.when(F.col("parsed.device_id").isNull(), "MISSING_DEVICE_ID").when(socket.isNull(), "INVALID_SOCKET_COUNT").otherwise("VALID")
-    return made.groupBy(ok.alias("class")).agg(F.count("*").alias("n"))
-
-
 @query("SELECT p_partkey, p_type AS model, CAST(p_size AS INTEGER) AS cores, NULL::INTEGER AS memory_gb FROM part")
 def inventory_text(spark, sf):
     text = F.concat(F.lit("Model: "), "p_type", F.lit("\nCores : "), "p_size", F.lit(" cores\nOther: 1"))
-    return read(spark, sf, "part").select("p_partkey", generate.inventory(text).alias("i")).select("p_partkey", "i.*")
+    return read(spark, sf, "part").select("p_partkey", tables.inventory(text).alias("i")).select("p_partkey", "i.*")
 
 
 @query()
 def inference_cycle(spark, sf):
-    """Features, forest, threshold, prediction, health and status of generated telemetry."""
-    rows = health.features(generate.ml_telemetry(spark, 40, 24))
-    numbers = ["avg_metric_value", "cpu_temperature", "fan_speed_rpm", "cpu_utilization", "temperature_delta", "fan_temp_ratio"]
-    ready = health.Preprocessor.fit(rows, numbers, ["tags", "model"]).transform(rows)
-    scored = health.IsolationForest(trees=60).fit(ready, [f"x_{c}" for c in (*numbers, "tags", "model")]).score(ready)
-    scored = scored.select("device_id", "metric_time", "hour_of_day", "avg_metric_value", "is_anomaly", "anomaly_score")
+    """Features, forest, threshold, prediction, health and status of readings, scores stored in between."""
+    value, day = F.col("value"), F.date_trunc("day", "ts")
+    readings = read(spark, sf, "events").select(
+        "event_id", F.col("user_id").cast("string").alias("device_id"), F.col("event_type").alias("tags"), F.col("ts").alias("metric_time"), F.date_sub(day.cast("date"), 30).cast("timestamp").alias("last_boot_time"), F.lit(2).alias("socket_count"),
+        value.alias("avg_metric_value"), (value * 1.2).alias("max_metric_value"), (value * 0.8).alias("min_metric_value"), (value / 2 + 20).alias("cpu_temperature"), F.lit(22.0).alias("amb_temp"), (value * 30).alias("fan_speed_rpm"),
+        value.alias("cpu_utilization"), (100 - value).alias("memory_utilization"), F.lit(40.0).alias("disk_utilization"),
+    )
+    rows, numbers = health.features(readings), ["avg_metric_value", "uptime_hours", "fan_temp_ratio", "cpu_memory_ratio"]
+    ready = health.Preprocessor.fit(rows, numbers, ["tags"]).transform(rows)
+    scored = health.IsolationForest(trees=60).fit(ready, [f"x_{c}" for c in (*numbers, "tags")]).score(ready).select("event_id", "device_id", "hour_of_day", "avg_metric_value", "anomaly_score")
     path = scratch(spark, "scores")
     sinks.batch(scored, path)
     scored = spark.read.parquet(path)
     limits = health.threshold(scored)
     done = health.health(scored, low=limits["min_score"], high=limits["max_score"])
     return done.withColumn("prediction", health.prediction(F.col("anomaly_score"), F.lit(limits["threshold"]))).drop("ahc", "dhc", "tcc")
-
-
-@query("SELECT tags, count(*) AS n FROM (SELECT CASE (i // 4) % 4 WHEN 0 THEN 'web' WHEN 1 THEN 'database' WHEN 2 THEN 'compute' ELSE 'storage' END AS tags FROM (SELECT unnest(range(0, 40)) AS i), (SELECT unnest(range(0, 24)) AS h)) GROUP BY 1")
-def ml_telemetry_roles(spark, sf):
-    return generate.ml_telemetry(spark, 40, 24).groupBy("tags").agg(F.count("*").alias("n"))

@@ -1,32 +1,18 @@
 """Rollups, nested reports, classification and repair, stores, streams, generators and health over the test tables."""
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import scalar
-from ..operators import generate, health, quality, telemetry
+from ..operators import generate, health, quality, records, telemetry
+from ..session import scratch
 from ..sources import sinks
 from ..sources.store import Store
 from ..streaming import jobs
 from .registry import S, query, read, stamp
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder on storage that all executors share: the checkpoint folder, else a temporary one of this session."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lakegauge-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # rollups
 
 _HOURLY = f"SELECT user_id, strftime(date_trunc('hour', ts), {S}) AS bucket, round(avg(value), 6) AS avg_value, max(value) AS max_value, min(value) AS min_value, count(*) AS record_count FROM events GROUP BY user_id, date_trunc('hour', ts)"
@@ -136,15 +122,12 @@ WHEN 5 THEN ''
 WHEN 6 THEN '{"device_id":"d","inventory_data":{"socket_count":2}}'
 ELSE '{"device_id":"d","created_at":"never","data":{"PowerDetail":[]},"inventory_data":{"socket_count":"x"}}' END"""
 _RECORD = "device_id string, created_at string, data struct<PowerDetail:array<struct<Average:double>>>, inventory_data struct<socket_count:bigint>"
-_CLASS = "CASE CAST(event_id % 8 AS INTEGER) WHEN 0 THEN 'VALID' WHEN 1 THEN 'INVALID_SOCKET_COUNT' WHEN 2 THEN 'MISSING_DEVICE_ID' WHEN 3 THEN 'INVALID_SOCKET_COUNT' WHEN 4 THEN 'INVALID_SCHEMA' WHEN 5 THEN 'INVALID_SCHEMA' WHEN 6 THEN 'MISSING_POWERDETAIL' ELSE 'INVALID_SOCKET_COUNT' END"
+_CLASS = "CASE CAST(event_id % 8 AS INTEGER) WHEN 0 THEN 'VALID' WHEN 1 THEN 'INVALID_SOCKET_COUNT' WHEN 2 THEN 'MISSING_DEVICE_ID' WHEN 3 THEN 'INVALID_SOCKET_COUNT' WHEN 4 THEN 'MISSING_DEVICE_ID' WHEN 5 THEN 'INVALID_SCHEMA' WHEN 6 THEN 'MISSING_POWERDETAIL' ELSE 'INVALID_SOCKET_COUNT' END"
 
 
 def _classified(spark, sf) -> DataFrame:
     rows = read(spark, sf, "events").select("event_id", F.expr(_RAW).alias("value"))
-    # numeric text is no number for the schema, and a number elsewhere is not broken JSON
-    parsed = F.from_json("value", _RECORD)
-    whole = F.when(F.expr("try_parse_json(value) IS NOT NULL AND value <> ''"), parsed)
-    return rows.withColumn("parsed", whole).withColumn("raw", F.col("value")).withColumn("error_type", telemetry.error_type("parsed"))
+    return records.classified(rows, _RECORD)
 
 
 @query(f"SELECT event_id, {_CLASS} AS error_type FROM events")
@@ -152,13 +135,26 @@ def classify_records(spark, sf):
     return _classified(spark, sf).select("event_id", "error_type")
 
 
+@query("SELECT event_id, CAST(j - 1 AS INTEGER) AS \"position\", CASE event_id % 8 WHEN 0 THEN 1.5 WHEN 3 THEN 2.0 END AS \"Average\" FROM (SELECT event_id, unnest(range(1, CASE WHEN event_id % 8 IN (0, 3) THEN 2 ELSE 1 END)) AS j FROM events)")
+def variant_readings(spark, sf):
+    """Entries of the records' details, by path, whatever else a record lacks."""
+    return records.readings(_classified(spark, sf), "event_id")
+
+
+@query(f"""SELECT {_CLASS} AS error_type, count(*) AS n, CASE {_CLASS} WHEN 'VALID' THEN 'BIGINT' WHEN 'INVALID_SOCKET_COUNT' THEN 'STRING' WHEN 'MISSING_DEVICE_ID' THEN 'BIGINT' ELSE 'BIGINT' END AS sockets FROM events WHERE event_id % 8 NOT IN (4, 5) GROUP BY ALL""")
+def variant_drift(spark, sf):
+    """The merged shape of each class's records: the type that the socket count has in it."""
+    found = records.drift(_classified(spark, sf), "error_type")
+    return found.select("error_type", "n", F.regexp_extract("shape", "socket_count: (\\w+)", 1).alias("sockets"))
+
+
 @query(f"SELECT {_CLASS} = 'VALID' AS valid, count(*) AS n FROM events GROUP BY 1")
 def valid_invalid_split(spark, sf):
     return _classified(spark, sf).groupBy((F.col("error_type") == "VALID").alias("valid")).agg(F.count("*").alias("n"))
 
 
-@query(f"""SELECT event_id, {_CLASS} AS error_type, {_CLASS} = 'INVALID_SOCKET_COUNT' AND event_id % 8 = 1 OR event_id % 8 IN (4, 5) AS recovered,
-CASE WHEN event_id % 8 IN (1, 4, 5) THEN 'retry' ELSE 'failure' END AS route, CASE WHEN event_id % 8 IN (1, 2) THEN 4 WHEN event_id % 8 = 6 THEN 2 END AS sockets FROM events WHERE event_id % 8 <> 0""")
+@query(f"""SELECT event_id, {_CLASS} AS error_type, {_CLASS} = 'INVALID_SOCKET_COUNT' AND event_id % 8 = 1 AS recovered,
+CASE WHEN event_id % 8 = 1 THEN 'retry' ELSE 'failure' END AS route, CASE WHEN event_id % 8 IN (1, 2) THEN 4 WHEN event_id % 8 = 6 THEN 2 END AS sockets FROM events WHERE event_id % 8 <> 0""")
 def dlq_repair_route(spark, sf):
     bad = _classified(spark, sf).where("error_type <> 'VALID'").withColumn("attempts", F.lit(0))
     return telemetry.route(bad).select("event_id", "error_type", "recovered", "route", "sockets")
@@ -208,9 +204,34 @@ def store_history(spark, sf):
     return store.history().select(F.col("version").cast("int").alias("version"), "operation", F.expr("n_added > 0").alias("added"))
 
 
-@query("SELECT file_date, 20 * 2016 AS rows_in, CAST(20 * (2016 + 288 * (day(file_date::DATE) - 1)) AS INTEGER) AS rows_after FROM (VALUES ('2026-01-01'), ('2026-01-02'), ('2026-01-03')) v(file_date)")
+@query("""WITH e AS (SELECT user_id, event_type, CAST(date_trunc('hour', ts) AS VARCHAR) AS h, CAST(floor(4 * (epoch(ts) - lo) / (hi - lo + 1)) AS INTEGER) AS q FROM events, (SELECT min(epoch(ts)) AS lo, max(epoch(ts)) AS hi FROM events)),
+f AS (SELECT unnest([1, 2, 3]) AS file)
+SELECT file, CAST((SELECT count(*) FROM e WHERE q IN (file - 1, file)) AS BIGINT) AS rows_in, CAST((SELECT count(*) FROM (SELECT DISTINCT user_id, event_type, h FROM e WHERE q <= file)) AS BIGINT) AS rows_after FROM f""")
 def rolling_window_merge(spark, sf):
-    return spark.createDataFrame(merge_days(spark, 20, 3), "file_date string, rows_in int, rows_after int")
+    """Files that each overlap the one before by half, merged in turn: rows of a file and of the table after it. Finished files are not merged again."""
+    events = read(spark, sf, "events")
+    limits = events.agg(F.min(F.unix_micros("ts")).alias("lo"), F.max(F.unix_micros("ts")).alias("hi"))
+    quarter = F.floor(4 * (F.unix_micros("ts") - F.col("lo")) / (F.col("hi") - F.col("lo") + 1_000_000)).cast("int")
+    rows = events.crossJoin(F.broadcast(limits)).select("user_id", "event_type", F.date_trunc("hour", "ts").cast("string").alias("h"), F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id", quarter.alias("q"))
+    store = Store(spark, scratch(spark, "store"), ["user_id", "event_type", "h", "day"], ["day"])
+    progress, found = sinks.Progress(spark, scratch(spark, "progress") + "/state.json"), []
+    for file in (1, 2, 3, 2):
+        if str(file) not in progress.load()["completed"]:
+            numbers = store.numbers(store.merge(rows.where(F.col("q").isin(file - 1, file)).drop("q"), ["event_id"]))
+            progress.complete(str(file), numbers["rows_in"])
+            found.append((file, numbers["rows_in"], store.read().count()))
+    return spark.createDataFrame(found, "file int, rows_in long, rows_after long")
+
+
+@query("SELECT user_id AS k, arg_max(event_type, event_id) AS place, max(event_id) AS event_id FROM events GROUP BY user_id")
+def store_key_moves(spark, sf):
+    """Devices that move from one partition to another stay one row each."""
+    rows = read(spark, sf, "events").select(F.col("user_id").alias("k"), F.col("event_type").alias("place"), "event_id")
+    store = Store(spark, scratch(spark, "store"), ["k"], ["place"])
+    store.merge(rows.where("event_id % 3 = 0"), ["event_id"], newer_only="event_id")
+    store.merge(rows.where("event_id % 3 = 1"), ["event_id"], newer_only="event_id")
+    store.merge(rows.where("event_id % 3 = 2"), ["event_id"], newer_only="event_id")
+    return store.read()
 
 
 def merge_days(spark, devices: int, days: int) -> list[tuple[str, int, int]]:
@@ -220,8 +241,8 @@ def merge_days(spark, devices: int, days: int) -> list[tuple[str, int, int]]:
     rows = []
     for day, batch in generate.daily_files(spark, devices, "2026-01-01", days).items():
         if day not in progress.load()["completed"]:
-            store.merge(batch, ["file_date"])
-            progress.complete(day, n := batch.count())
+            n = store.numbers(store.merge(batch, ["file_date"]))["rows_in"]
+            progress.complete(day, n)
             rows.append((day, n, store.read().count()))
     assert rows[-1][2] == quality.expected_unique(devices, days)
     return rows
@@ -320,27 +341,3 @@ def score_threshold(spark, sf):
 def isolation_forest_scores(spark, sf):
     df = read(spark, sf, "events").select("event_id", "value", F.hour("ts").cast("double").alias("hour"))
     return health.IsolationForest().fit(df, ["value", "hour"]).score(df)
-
-
-# generators
-
-
-@query("SELECT i AS slot_index, round(220 + 45 * sin(i / 14.0::DOUBLE) + 0.85::DOUBLE * (i % 17), 6) AS base_value FROM (SELECT unnest(range(0, 288)) AS i)")
-def slot_profile(spark, sf):
-    return generate.profile(spark).withColumn("base_value", F.round("base_value", 6))
-
-
-@query(f"""WITH t AS (SELECT unnest(range(0, 2016)) AS k), d AS (SELECT unnest(range(0, 6)) AS n), r AS (SELECT n, TIMESTAMP '2026-01-08' - INTERVAL (5 * (k + 1)) MINUTE AS m FROM t, d)
-SELECT format('SRV-{{:06d}}', n) AS device_id, strftime(m, {S}) AS at, strftime(m, '%Y-%m-%d') AS partition_date, round(220 + 45 * sin(s / 14.0::DOUBLE) + 0.85::DOUBLE * (s % 17) + 1.7::DOUBLE * (n % 23) + 0.6::DOUBLE * (dayofyear(m) % 9), 4) AS "MetricValue" FROM (SELECT *, (hour(m) * 60 + minute(m)) // 5 AS s FROM r)""")
-def daily_file_generator(spark, sf):
-    return generate.daily_file(spark, 6, "2026-01-07").select("device_id", stamp("metric_time").alias("at"), "partition_date", "MetricValue")
-
-
-@query("SELECT 1200 AS n_rows, 50 AS devices, true AS shares_hold, true AS values_hold, true AS repeats")
-def seeded_readings(spark, sf):
-    """Figures of seeded rows: all there, levels in about their shares, values by role and level, and the same again when partitioned otherwise."""
-    rows = generate.readings(spark, 50, 24)
-    base = F.expr("CASE tags WHEN 'database' THEN 260 WHEN 'compute' THEN 320 WHEN 'storage' THEN 180 ELSE 210 END * CASE level WHEN 'critical' THEN 1.9 WHEN 'warning' THEN 1.35 ELSE 1 END")
-    again = rows.repartition(7).exceptAll(generate.readings(spark, 50, 24)).count() == 0
-    share = lambda level, low, high: F.avg((F.col("level") == level).cast("double")).between(low, high)
-    return rows.agg(F.count("*").cast("int").alias("n_rows"), F.countDistinct("device_id").cast("int").alias("devices"), (share("critical", 0.005, 0.04) & share("warning", 0.05, 0.12)).alias("shares_hold"), F.bool_and(F.col("avg_watts").between(base - 0.001, base + 20.001)).alias("values_hold"), F.lit(again).alias("repeats"))

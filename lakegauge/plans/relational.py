@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from ..operators import quality, telemetry
+from ..operators import quality, series, telemetry
 from ..sources import sinks, tables
 from .registry import S, query, read, stamp
 
@@ -320,17 +320,24 @@ def first_n_per_device(spark, sf):
 
 @query("SELECT user_id, event_id, round(5.0::DOUBLE + 10 * coalesce((row_number() OVER w - 1)::DOUBLE / nullif(count(*) OVER (PARTITION BY user_id) - 1, 0), 0), 6) AS ramp FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)")
 def linear_ramp(spark, sf):
-    from ..operators import generate
-
-    return generate.ramp(read(spark, sf, "events"), "user_id", "event_id", 5.0, 15.0).select("user_id", "event_id", F.round("ramp", 6).alias("ramp"))
+    return series.ramp(read(spark, sf, "events"), "user_id", "event_id", 5.0, 15.0).select("user_id", "event_id", F.round("ramp", 6).alias("ramp"))
 
 
 @query("""WITH RECURSIVE n AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
 r AS (SELECT user_id, event_id, k, value AS x FROM n WHERE k = 1 UNION ALL SELECT n.user_id, n.event_id, n.k, 0.7::DOUBLE * r.x + n.value FROM r JOIN n ON n.user_id = r.user_id AND n.k = r.k + 1) SELECT user_id, event_id, round(x, 6) AS x FROM r""")
 def autoregressive_series(spark, sf):
-    from ..operators import generate
+    return series.autoregressive(read(spark, sf, "events"), "user_id", "event_id", "value").select("user_id", "event_id", F.round("x", 6).alias("x"))
+
+
+@query("SELECT user_id, event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY event_id), 6) AS x FROM events")
+def random_walk_series(spark, sf):
+    return series.autoregressive(read(spark, sf, "events"), "user_id", "event_id", "value", rho=1.0).select("user_id", "event_id", F.round("x", 6).alias("x"))
+
 
-    return generate.autoregressive(read(spark, sf, "events"), "user_id", "event_id", "value").select("user_id", "event_id", F.round("x", 6).alias("x"))
+@query("SELECT event_type, event_id, round(sum(value) OVER (PARTITION BY event_type ORDER BY event_id), 4) AS x FROM events")
+def long_walk_series(spark, sf):
+    """A few long groups, each over many partitions."""
+    return series.autoregressive(read(spark, sf, "events"), "event_type", "event_id", "value", rho=1.0).select("event_type", "event_id", F.round("x", 4).alias("x"))
 
 
 @query("SELECT event_id, user_id, CASE WHEN lag(user_id) OVER (ORDER BY user_id, event_id) IS DISTINCT FROM user_id THEN 1 ELSE 0 END AS starts FROM events")

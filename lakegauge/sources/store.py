@@ -47,6 +47,17 @@ class Store:
         text = self.spark.read.option("wholetext", "true").text(f"{self.path}/_log/{version:012d}.json").collect()[0][0]
         return json.loads(text)
 
+    def _entries(self, versions: Sequence[int]) -> list[dict]:
+        """Commits in order, read by one job."""
+        if not versions:
+            return []
+        paths = [f"{self.path}/_log/{v:012d}.json" for v in versions]
+        return sorted((json.loads(r[0]) for r in self.spark.read.option("wholetext", "true").text(paths).collect()), key=lambda e: e["version"])
+
+    def numbers(self, version: int) -> dict:
+        """What the commit of a version tells of its operation."""
+        return self._entry(version)["numbers"]
+
     def version(self) -> int:
         """The newest version; -1 if there is none."""
         return max(self._versions(), default=-1)
@@ -137,11 +148,12 @@ class Store:
         base = self.base()
         return self._add("append", self._fit(df, base), base["files"], base)
 
-    def latest(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
-        """One row of df for each key: the greatest by order, as one aggregate without a window."""
+    def latest(self, df: DataFrame, order: Sequence[str], counted: str | None = None) -> DataFrame:
+        """One row of df for each key: the greatest by order, as one aggregate without a window; counted: a column of how many there were."""
         rest = [c for c in df.columns if c not in self.key]
-        best = F.max_by(F.struct(*rest), F.struct(*order))
-        return df.groupBy(*self.key).agg(best.alias("_r")).select(*(F.col(c) if c in self.key else F.col(f"_r.{c}").alias(c) for c in df.columns))
+        best = F.max_by(F.struct(*rest), F.struct(*order)) if rest else F.lit(None)
+        made = df.groupBy(*self.key).agg(best.alias("_r"), F.count("*").alias("_n"))
+        return made.select(*(F.col(c) if c in self.key else F.col(f"_r.{c}").alias(c) for c in df.columns), *([F.col("_n").alias(counted)] if counted else []))
 
     def _touched(self, source: DataFrame, base: dict) -> list[str]:
         """Files of the partitions that source has rows of; all files of a table without partitions."""
@@ -159,26 +171,32 @@ class Store:
     def merge(self, source: DataFrame, order: Sequence[str], update: bool = True, newer_only: str | None = None) -> int:
         """Upsert the latest row of each key of source; touched partitions alone are rewritten.
 
+        Where the key has all partition columns a matched row lies in the partition of its source row.
+        Else the keys are looked for in all partitions, by a scan of key and partition columns only, and
+        a row whose partition has changed moves there. The table has one row a key either way.
         update: matched rows are replaced (columns that source lacks keep their values), else they stay.
         newer_only: a column by which a matched row is replaced only if the new value is not less.
         The commit's numbers have the source's rows (one a key), how many were matched and inserted, and the ratios.
         """
         base = self.base()
-        given, source = source, self.latest(source, order)
-        if base["version"] < 0:
-            return self._add("create", source, [], base)
-        source = source.persist()  # counted, matched and written
+        given, source = source, self.latest(source, order, "_rows").persist()  # counted, matched and written
         try:
-            return self._merged(base, given, source, update, newer_only)
+            n, rows_in = source.agg(F.count("*"), F.coalesce(F.sum("_rows"), F.lit(0))).collect()[0]
+            source = source.drop("_rows")
+            if base["version"] < 0:
+                return self._add("create", source, [], base, rows_in=rows_in, source_rows=n, matched=0, inserted=n, match_ratio=0.0, insert_ratio=1.0 if n else 0.0)
+            return self._merged(base, given, source, update, newer_only, n, rows_in)
         finally:
             source.unpersist()
 
-    def _merged(self, base: dict, given: DataFrame, source: DataFrame, update: bool, newer_only: str | None) -> int:
-        touched = self._touched(given, base)  # of the rows as given: no key needs to be shuffled to see their partitions
+    def _merged(self, base: dict, given: DataFrame, source: DataFrame, update: bool, newer_only: str | None, n: int, rows_in: int) -> int:
+        touched = self._touched(given, base) if set(self.partition) <= set(given.columns) else []  # of the rows as given: no key needs to be shuffled to see their partitions
+        if not set(self.partition) <= set(self.key):
+            known = self._of(base["files"], base).select(*dict.fromkeys([*self.key, *self.partition]))
+            touched = sorted({*touched, *self._touched(known.join(source.select(*self.key), self.key, "left_semi"), base)})
         target = self._of(touched, base)
-        n = source.count()
         matched = source.join(target.select(*self.key), self.key, "left_semi").count()
-        numbers = {"source_rows": n, "matched": matched, "inserted": n - matched, "match_ratio": matched / n if n else 0.0, "insert_ratio": (n - matched) / n if n else 0.0}
+        numbers = {"rows_in": rows_in, "source_rows": n, "matched": matched, "inserted": n - matched, "match_ratio": matched / n if n else 0.0, "insert_ratio": (n - matched) / n if n else 0.0}
         if not update:
             fresh = source.join(target.select(*self.key), self.key, "left_anti")
             return self._add("insert", self._fit(fresh, base), base["files"], base, **numbers)
@@ -240,7 +258,7 @@ class Store:
 
         Files of failed commits go too. A writer that takes longer than keep_hours would lose its files.
         """
-        versions = [self._entry(v) for v in self._versions()]
+        versions = self._entries(self._versions())
         oldest = time.time() - keep_hours * 3600
         live = {f for e in versions if e["time"] >= oldest or e is versions[-1] for f in e["files"]}
         files, gone, root = self._fs.listFiles(self._at("data"), True), 0, self._fs.makeQualified(self._at("data")).toUri().getPath() + "/"
@@ -254,7 +272,7 @@ class Store:
 
     def history(self, n: int = 20) -> DataFrame:
         """The newest n commits."""
-        rows = [(e["version"], e["operation"], e["time"], len(e["files"]), e["added"]) for e in (self._entry(v) for v in self._versions()[-n:])]
+        rows = [(e["version"], e["operation"], e["time"], len(e["files"]), e["added"]) for e in self._entries(self._versions()[-n:])]
         return self.spark.createDataFrame(rows[::-1], "version bigint, operation string, time double, n_files bigint, n_added bigint")
 
     def detail(self) -> dict:
@@ -267,11 +285,11 @@ def process(store: Store, df: DataFrame, order: Sequence[str], optimize: bool =
     """Merge a frame into a table, maintain it, and tell what was done: rows in and in the table, matches, seconds."""
     began = time.time()
     version = with_retry(lambda: store.merge(df, order))
-    numbers = store._entry(version)["numbers"]
+    numbers = store.numbers(version)
     if optimize:
         store.optimize()
     removed = store.vacuum() if vacuum else 0
-    return {"version": version, "rows_in": df.count(), "rows_after": store.read().count(), "files_removed": removed, "seconds": time.time() - began} | numbers
+    return {"version": version, "rows_after": store.read().count(), "files_removed": removed, "seconds": time.time() - began} | numbers
 
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8):
@@ -294,12 +312,12 @@ def _count_up_to(cuts: list, code: Column) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x <= code)) if cuts else F.lit(0)
 
 
-def with_retry(step, tries: int = 3, wait: float = 1.0, transient=("FileNotFoundException", "does not exist", "version")):
+def with_retry(step, tries: int = 3, wait: float = 1.0, transient=("FileNotFoundException", "does not exist")):
     """Call step again after 1, 2, 4... waits if it fails by a missing file or another writer's commit; else raise at once."""
     for attempt in range(tries):
         try:
             return step()
         except Exception as e:
-            if attempt + 1 == tries or not any(t in str(e) for t in transient):
+            if attempt + 1 == tries or not (isinstance(e, Conflict) or any(t in str(e) for t in transient)):
                 raise
             time.sleep(wait * 2**attempt)

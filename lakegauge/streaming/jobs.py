@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.telemetry import error_type, one_per_key
+from ..operators import records
+from ..operators.telemetry import one_per_key
 from ..sources.store import Store
 
 
@@ -25,11 +26,8 @@ def enveloped(stream: DataFrame) -> DataFrame:
 
 
 def parse(stream: DataFrame, schema: str, value: str = "value") -> DataFrame:
-    """raw, parsed and error_type of JSON records. What is no JSON object is INVALID_SCHEMA and keeps its text in raw; a field of another type than declared is null."""
-    rows = stream.withColumn("raw", F.col(value).cast("string"))
-    sound = F.try_parse_json("raw").isNotNull() & F.ltrim("raw").startswith("{")
-    rows = rows.withColumn("parsed", F.when(sound, F.from_json("raw", schema)))
-    return rows.withColumn("error_type", error_type("parsed"))
+    """raw, record, error_type and parsed of JSON records, by the rule that batches have."""
+    return records.classified(stream, schema, value)
 
 
 def by_window(stream: DataFrame, time: str, size: str, keys: Sequence[str], aggregates: Sequence[Column], late: str, slide: str | None = None) -> DataFrame:

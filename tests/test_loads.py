@@ -1,7 +1,10 @@
+import math
+
 import pytest
-from lakegauge.operators import generate, health, telemetry
+from lakegauge.operators import health, series, telemetry
 from lakegauge.plans import maintenance
 from lakegauge.sources import sinks, tables
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 
@@ -52,11 +55,36 @@ def test_artifacts_and_categories(spark, tmp_path):
         health.Artifacts.load(spark, f"file://{tmp_path}/a.json")
 
 
-def test_series_over_a_long_group(spark):
-    df = spark.range(3000).selectExpr("id % 2 as g", "id as o", "cast(id % 7 as double) as e")
-    found = {r["o"]: r["x"] for r in generate.autoregressive(df, "g", "o", "e", rho=0.9).collect()}
-    want = {0: 0.0, 1: 0.0}
-    for i in range(3000):
-        x = want[i % 2] * 0.9 + i % 7
-        want[i % 2] = x
-        assert found[i] == pytest.approx(x, rel=1e-12, abs=1e-12)
+def recursion(rows, rho):
+    """x of (group, order, e) rows by a plain loop."""
+    found, last = {}, {}
+    for g, o, e in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        last[g] = last.get(g, 0.0) * rho + (e or 0.0)
+        found[g, o] = last[g]
+    return found
+
+
+@pytest.mark.parametrize("rho", [0.9, 0.7, 0.9995, 1.0, 0.0, -0.5, -1.0, -1.2, 1.01])
+def test_recursion_over_groups_and_partitions(spark, rho):
+    rows = [(0, i, float(i % 7)) for i in range(9000)] + [(1, i, None if i % 3 else 1.0) for i in range(500)] + [(None, i, 1.0) for i in range(5)] + [(i, 0, 2.0) for i in range(2, 60)]
+    df = spark.createDataFrame(rows, "g int, o int, e double").repartition(6)
+    want = recursion(rows, rho)
+    found = {(r["g"], r["o"]): r["x"] for r in series.autoregressive(df, "g", "o", "e", rho).collect()}
+    assert found.keys() == want.keys()
+    for k, x in want.items():
+        assert found[k] == (x if math.isinf(x) else pytest.approx(x, rel=1e-9, abs=1e-9)), (k, found[k], x)
+
+
+def test_recursion_over_a_million_rows_of_a_group(spark):
+    df = spark.range(1_000_000).selectExpr("0 as g", "id as o", "1D as e").repartition(8)
+    for rho, last in ((1.0, 1_000_000.0), (0.9995, 2000.0)):
+        made = series.autoregressive(df, "g", "o", "e", rho)
+        assert made.agg(F.max("x")).collect()[0][0] == pytest.approx(last, rel=1e-9)
+        assert "Window" not in made._jdf.queryExecution().executedPlan().toString()
+    assert series.autoregressive(df.limit(0), "g", "o", "e").collect() == []
+
+
+def test_only_files_with_a_column_are_read(spark, tmp_path):
+    for i in range(7):
+        spark.range(3).selectExpr("id", *(["id as wanted"] if i % 2 else [])).coalesce(1).write.parquet(f"{tmp_path}/d/{i}")
+    assert tables.with_column_only(spark, f"{tmp_path}/d", "wanted").count() == 9

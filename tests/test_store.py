@@ -146,3 +146,29 @@ def test_zorder_holds_within_partitions(spark, tmp_path):
     store.zorder("v")
     spans = store.read().groupBy(F.input_file_name()).agg(F.min("v").alias("a"), F.max("v").alias("b")).collect()
     assert len(spans) >= 8 and all(r["b"] - r["a"] <= 40 for r in spans)
+
+
+def test_a_key_that_moves_to_another_partition_stays_one_row(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/t", ["k"], ["p"])
+    store.create(frame(spark, [(1, 1, "a"), (2, 2, "a"), (3, 3, "b"), (4, 4, None)]))
+    untouched = {f for f in store.base()["files"] if "p=b" in f}
+    store.merge(frame(spark, [(1, 10, "z"), (4, 40, "a")]), ["v"])
+    assert sorted((r["k"], r["v"], r["p"]) for r in store.read().collect()) == [(1, 10, "z"), (2, 2, "a"), (3, 3, "b"), (4, 40, "a")]
+    assert untouched <= set(store.base()["files"])
+    store.merge(frame(spark, [(3, 9, "a"), (5, 5, "b")]), ["v"], update=False)
+    assert sorted((r["k"], r["v"], r["p"]) for r in store.read().where("k >= 3").collect()) == [(3, 3, "b"), (4, 40, "a"), (5, 5, "b")]
+    version = store.merge(frame(spark, [(1, 9, "y"), (2, 90, "y")]), ["v"], newer_only="v")
+    assert {r["k"]: (r["v"], r["p"]) for r in store.read().where("k < 3").collect()} == {1: (10, "z"), 2: (90, "y")}
+    assert store.numbers(version)["matched"] == 2
+
+
+def test_a_text_that_names_a_version_is_no_reason_to_try_again():
+    seen = []
+
+    def step():
+        seen.append(1)
+        raise ValueError("unknown version of the schema")
+
+    with pytest.raises(ValueError):
+        with_retry(step, wait=0.001)
+    assert len(seen) == 1

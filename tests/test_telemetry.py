@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from lakegauge import schemas
 from lakegauge.functions import scalar
-from lakegauge.operators import generate, health, quality, telemetry
+from lakegauge.operators import generate, health, quality, records, telemetry
 from lakegauge.streaming import jobs
 from pyspark.sql import functions as F
 
@@ -12,14 +12,40 @@ CASES = {
     '{"device_id":null,"data":{"PowerDetail":[]},"inventory_data":{"socket_count":4}}': "MISSING_DEVICE_ID",
     '{"device_id":"a","data":{"PowerDetail":[]}}': "INVALID_SOCKET_COUNT",
     '{"device_id":"a","inventory_data":{"socket_count":4}}': "MISSING_POWERDETAIL",
+    '{"device_id":"a","data":{"PowerDetail":[{"Average":"x"}]},"inventory_data":{"socket_count":4}}': "VALID",
+    '{"device_id":"a","data":{"PowerDetail":[]},"inventory_data":{"socket_count":4.5}}': "INVALID_SOCKET_COUNT",
+    '{"device_id":"a","data":{"PowerDetail":[]},"inventory_data":{"socket_count":9999999999}}': "INVALID_SOCKET_COUNT",
+    "{oops": "MISSING_DEVICE_ID",
+    "[1]": "MISSING_DEVICE_ID",
+    "7": "MISSING_DEVICE_ID",
+    '[{"device_id":"a","data":{"PowerDetail":[]},"inventory_data":{"socket_count":4}}]': "MISSING_DEVICE_ID",
     "": "INVALID_SCHEMA",
+    "  ": "INVALID_SCHEMA",
 }
 
 
 def test_classes_of_golden_records(spark):
     df = spark.createDataFrame([*CASES.items(), (None, "INVALID_SCHEMA")], "value string, want string")
-    rows = df.withColumn("parsed", F.from_json("value", schemas.GOLDEN)).withColumn("got", telemetry.error_type("parsed")).collect()
-    assert [r["got"] for r in rows] == [r["want"] for r in rows]
+    rows = records.classified(df, schemas.GOLDEN).collect()
+    assert [r["error_type"] for r in rows] == [r["want"] for r in rows]
+    assert all((r["parsed"] is not None) == (r["want"] == "VALID") for r in rows)
+
+
+def test_batches_and_streams_have_one_rule(spark, tmp_path):
+    df = spark.createDataFrame([*CASES.items(), (None, "INVALID_SCHEMA")], "value string, want string")
+    df.repartition(2).write.parquet(f"{tmp_path}/in")
+    stream = jobs.parse(jobs.files(spark, f"{tmp_path}/in", "value string, want string", per_trigger=1), schemas.GOLDEN)
+    stream.select("want", "error_type").writeStream.format("memory").queryName("classes").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    found = spark.table("classes").collect()
+    assert len(found) == len(CASES) + 1 and all(r["want"] == r["error_type"] for r in found)
+
+
+def test_readings_and_drift_of_records(spark):
+    texts = ['{"device_id":1,"data":{"PowerDetail":[{"Average":1.5},{"Average":"x"},{},7,{"Average":2,"new":[1]}]},"inventory_data":{"socket_count":4}}', "{oops", None, '{"device_id":"b","data":{"PowerDetail":[]},"inventory_data":{"socket_count":"4"}}']
+    rows = records.classified(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert [r["Average"] for r in records.readings(rows).orderBy("position").collect()] == [1.5, None, None, None, 2.0]
+    shapes = {r["error_type"]: (r["n"], r["shape"]) for r in records.drift(rows, "error_type").collect()}
+    assert set(shapes) == {"VALID", "INVALID_SOCKET_COUNT"} and "socket_count: STRING" in shapes["INVALID_SOCKET_COUNT"][1] and "ARRAY<VARIANT>" in shapes["VALID"][1]
 
 
 def test_repair_needs_every_step(spark):
@@ -97,8 +123,8 @@ def test_quality_of_empty_tables(spark):
 
 
 def test_generators_do_not_depend_on_partitions(spark):
-    a = generate.readings(spark, 30, 10)
-    assert a.exceptAll(generate.readings(spark, 30, 10).repartition(7)).count() == 0
+    a = generate.daily_file(spark, 3, "2026-01-02")
+    assert a.exceptAll(generate.daily_file(spark, 3, "2026-01-02").repartition(7)).count() == 0
     assert generate.daily_file(spark, 3, "2026-01-02").select("device_id", "metric_time").distinct().count() == 3 * 2016
 
 
@@ -108,5 +134,5 @@ def test_stream_parse_tells_wrong_types_from_broken_json(spark):
     rows = spark.range(16).selectExpr("id AS event_id", "id AS user_id").withColumn("value", F.expr(pipelines._RAW)).withColumn("want", F.expr(pipelines._CLASS))
     found = jobs.parse(rows, pipelines._RECORD).collect()
     assert len(found) == 16 and all(r["error_type"] == r["want"] for r in found)
-    odd = spark.createDataFrame([("5",), ('"x"',), ("[]",), (None,), (" ",)], "value string")
-    assert {r["error_type"] for r in jobs.parse(odd, pipelines._RECORD).collect()} == {"INVALID_SCHEMA"}
+    odd = spark.createDataFrame([("5",), ('"x"',), ("[]",)], "value string")
+    assert {r["error_type"] for r in jobs.parse(odd, pipelines._RECORD).collect()} == {"MISSING_DEVICE_ID"}
