@@ -36,7 +36,7 @@ from .workspace import Workspace, partitions, prepare, small
 
 LEAST, GARBLED, TIMES = 7, 31, 10
 #: Text that is taken apart at a time, and words that a task counts together.
-TOGETHER, COUNTED = 2 << 20, 1 << 20
+TOGETHER, COUNTED = 1 << 20, 1 << 19
 #: Words of a shard, and scans of one segment, beyond which a segment is dealt over a grid.
 SHARD_WORDS, SHARD_SCANS = 20_000, 100_000
 #: Rests of more characters are compared directly.
@@ -201,8 +201,8 @@ def _segments(words: DataFrame) -> DataFrame:
     return found.select("word", "n", F.col("s.suffix").alias("suffix"), F.col("s.length").alias("length"), F.col("s.scan").alias("scan"), F.xxhash64("s.suffix", segment).alias("segment"))
 
 
-def neighbours(words: DataFrame, shard_words: int = SHARD_WORDS, shard_scans: int = SHARD_SCANS) -> DataFrame:
-    """(word, n_near, best_n, best) of the words of a table (word, n) that have near words."""
+def _scanned(words: DataFrame, shard_words: int = SHARD_WORDS, shard_scans: int = SHARD_SCANS) -> DataFrame:
+    """(word, n_near, best_n, best) of the words of a table (word, n) that have near words, a row for each shard that has some."""
     spark = words.sparkSession
     total = words.count()
     shards = max(partitions(spark), -(-2 * total // shard_words))
@@ -253,9 +253,19 @@ def neighbours(words: DataFrame, shard_words: int = SHARD_WORDS, shard_scans: in
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*held)], _FOUND)
 
     met = placed.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "scan", "word").select("shard", "scan", "word", "suffix", "length", "n")
-    found = met.mapInArrow(run, "word string, n_near long, best_n long, best string")
-    best = F.min(F.struct((-F.col("best_n")).alias("less"), F.col("best").alias("word")))
-    return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b")).select("word", "n_near", (-F.col("b.less")).alias("best_n"), F.col("b.word").alias("best"))
+    return met.mapInArrow(run, "word string, n_near long, best_n long, best string")
+
+
+def _summed(found: DataFrame, *more) -> DataFrame:
+    """A row for each word: near words of all shards, and the best; one shuffle and one sort."""
+    best = F.min(F.when(F.col("best").isNotNull(), F.struct((-F.col("best_n")).alias("less"), F.col("best").alias("word"))))
+    made = found.repartition("word").groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b"), *more)
+    return made.withColumns({"best_n": -F.col("b.less"), "best": F.col("b.word")}).drop("b")
+
+
+def neighbours(words: DataFrame, **limits) -> DataFrame:
+    """(word, n_near, best_n, best) of the words of a table (word, n) that have near words."""
+    return _summed(_scanned(words, **limits))
 
 
 _FOUND = ["word", "n_near", "best_n", "best"]
@@ -279,8 +289,7 @@ def variants(docs: DataFrame, times: int = TIMES, **options) -> DataFrame:
     prepare(docs.sparkSession)
     work = Workspace(docs.sparkSession, "spelling")
     words = work.write(word_counts(docs, **options), "words")
-    near = neighbours(words).withColumn("n", F.lit(None).cast("long"))
-    every = words.unionByName(near, allowMissingColumns=True).groupBy("word").agg(*(F.max(c).alias(c) for c in ("n", "n_near", "best_n", "best")))
+    every = _summed(_scanned(words).unionByName(words, allowMissingColumns=True), F.max("n").alias("n"))
     has = F.col("best_n") >= F.col("n") * times
     every = work.write(every.select("word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(has, F.col("best")).alias("form"), F.when(has, F.col("best_n")).alias("form_n")), "near")
     found = roots(every.where("form is not null").select("word", "form"), work).select("word", "root")
