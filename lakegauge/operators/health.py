@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import clip, first_number, ratio
 from ..session import ship
 from ..sources.sinks import write_text
+from .order_stats import quantiles
 
 MANDATORY = ("metric_time", "last_boot_time")
 
@@ -49,7 +50,7 @@ class Preprocessor:
 
     @classmethod
     def fit(cls, df: DataFrame, numbers: Sequence[str], categories: Sequence[str], most: int = 10_000) -> "Preprocessor":
-        medians = df.agg(*(F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in numbers)).collect()[0].asDict() if numbers else {}
+        medians = {c: m for c, (m,) in quantiles(df, {c: F.col(c) for c in numbers}, (0.5,)).items()} if numbers else {}
         filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in numbers}
         spread = df.agg(*(f(filled[c]).alias(f"{c}_{n}") for c in numbers for n, f in (("m", F.avg), ("s", F.stddev_pop)))).collect()[0] if numbers else {}
         kinds = {}
@@ -175,7 +176,8 @@ def classified(df: DataFrame, stored: dict[str, float] | None, score: str = "ano
 
 def threshold(df: DataFrame, score: str = "anomaly_score", share: float = 0.2) -> dict[str, float]:
     """The score's exact percentile, minimum and maximum."""
-    return df.agg(F.percentile(score, share).alias("threshold"), F.min(score).alias("min_score"), F.max(score).alias("max_score")).collect()[0].asDict()
+    limits = df.agg(F.min(score).alias("min_score"), F.max(score).alias("max_score")).collect()[0].asDict()
+    return {"threshold": quantiles(df, {"score": F.col(score)}, (share,))["score"][0]} | limits
 
 
 def prediction(score: Column, limit: Column) -> Column:

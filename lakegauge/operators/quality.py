@@ -5,10 +5,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frequent import top_keys
+from .order_stats import quantiles
+
 
 def duplicates(df: DataFrame, key: Sequence[str], n: int = 20) -> DataFrame:
     """The n keys with most rows, of those with several."""
-    return df.groupBy(*key).agg(F.count("*").alias("dup_count")).where("dup_count > 1").orderBy(F.desc("dup_count"), *key).limit(n)
+    return top_keys(df, key, n, least=2).withColumnRenamed("n_rows", "dup_count")
 
 
 def empties(df: DataFrame, texts: Sequence[str], times: Sequence[str] = ()) -> DataFrame:
@@ -28,9 +31,11 @@ def guard(df: DataFrame, value: str) -> DataFrame:
 
 
 def latencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Minimum, maximum, mean and exact interpolated percentiles of each column, in one pass."""
-    figures = {"min": F.min, "max": F.max, "mean": F.avg, "p50": lambda c: F.percentile(c, 0.5), "p95": lambda c: F.percentile(c, 0.95), "p99": lambda c: F.percentile(c, 0.99)}
-    return df.agg(*(f(c).alias(f"{c}_{n}") for c in columns for n, f in figures.items()))
+    """Minimum, maximum, mean and exact interpolated percentiles of each column."""
+    found = quantiles(df, {c: F.col(c) for c in columns}, (0.5, 0.95, 0.99))
+    plain = {"min": F.min, "max": F.max, "mean": F.avg}
+    parts = df.agg(*(f(c).alias(f"{c}_{n}") for c in columns for n, f in plain.items()))
+    return parts.select("*", *(F.lit(v).cast("double").alias(f"{c}_{n}") for c in columns for n, v in zip(("p50", "p95", "p99"), found[c])))
 
 
 def throughput(rows: Column, seconds: Column) -> Column:
@@ -40,14 +45,15 @@ def throughput(rows: Column, seconds: Column) -> Column:
 
 def breakdown(df: DataFrame, parts: dict[str, Column], total: Column) -> DataFrame:
     """component, mean_time, p95_time and percent of all time."""
-    entry = F.array(*(F.struct(F.lit(n).alias("component"), c.cast("double").alias("t")) for n, c in parts.items()))
+    p95 = quantiles(df, parts, (0.95,))
+    entry = F.array(*(F.struct(F.lit(n).alias("component"), c.cast("double").alias("t"), F.lit(p95[n][0]).cast("double").alias("p95")) for n, c in parts.items()))
     rows = df.select(total.cast("double").alias("whole"), F.inline(entry))
-    return rows.groupBy("component").agg(F.avg("t").alias("mean_time"), F.percentile("t", 0.95).alias("p95_time"), (F.try_divide(F.sum("t"), F.sum("whole")) * 100).alias("percent"))
+    return rows.groupBy("component").agg(F.avg("t").alias("mean_time"), F.any_value("p95").alias("p95_time"), (F.try_divide(F.sum("t"), F.sum("whole")) * 100).alias("percent"))
 
 
 def outliers(df: DataFrame, column: str, share: float = 0.99) -> DataFrame:
-    """Rows above the exact percentile; its one row is broadcast."""
-    return df.crossJoin(F.broadcast(df.agg(F.percentile(column, share).alias("_p")))).where(F.col(column) > F.col("_p")).drop("_p")
+    """Rows above the exact percentile, which is a literal of the scan's filter."""
+    return df.where(F.col(column) > F.lit(quantiles(df, {column: F.col(column)}, (share,))[column][0]))
 
 
 def confusion(df: DataFrame, truth: Column, guess: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import scalar
-from ..operators import generate, health, quality, records, telemetry
+from ..operators import frequent, generate, health, quality, records, sketches, telemetry
 from ..session import scratch
 from ..sources import sinks
 from ..sources.store import Store
@@ -110,6 +110,47 @@ def hybrid_range_export(spark, sf):
     return cached.unionByName(recent.select("event_id", "user_id", "metric_time")).select("event_id", "user_id", stamp("metric_time").alias("at"))
 
 
+@query("SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, count(DISTINCT user_id) AS devices, true AS same, true AS near, true AS rank_near FROM events GROUP BY ALL")
+def sketch_days_from_hours(spark, sf):
+    """Days' distinct devices and median from hours' stored sketches: the distinct estimate is that of the rows themselves, and both are within their errors."""
+    by, events, path = ["event_type"], read(spark, sf, "events"), scratch(spark, "sketches")
+    hour, day = F.date_trunc("hour", "ts"), lambda c: F.date_format(c, "yyyy-MM-dd")
+    sinks.batch(sketches.registers(events, by, hour, "user_id"), f"{path}/distinct")
+    sinks.batch(sketches.ranks(events, by, hour, "value"), f"{path}/ranks")
+    of_hours = sketches.distinct_estimates(sketches.merged_registers(spark.read.parquet(f"{path}/distinct"), by, day("bucket")), by)
+    of_rows = sketches.distinct_estimates(sketches.registers(events, by, day("ts"), "user_id"), by).withColumnRenamed("distinct", "from_rows")
+    medians = sketches.merged_ranks(spark.read.parquet(f"{path}/ranks"), by, day("bucket")).select(*by, "bucket", "n", sketches.rank_quantile(0.5).alias("median"))
+    both = of_hours.join(of_rows, [*by, "bucket"]).join(medians, [*by, "bucket"])
+    exact = events.withColumn("bucket", day("ts")).join(medians.drop("n"), [*by, "bucket"]).groupBy(*by, "bucket").agg(F.countDistinct("user_id").alias("devices"), F.avg((F.col("value") <= F.col("median")).cast("double")).alias("rank"))
+    error = 5 * 1.04 / 2 ** (sketches.REGISTER_BITS / 2)
+    return both.join(exact, [*by, "bucket"]).select(
+        "event_type", F.col("bucket").alias("day"), "n", "devices", (F.col("distinct") == F.col("from_rows")).alias("same"), (F.abs(F.col("distinct") - F.col("devices")) <= 1 + error * F.col("devices")).alias("near"),
+        (F.abs(F.col("rank") - 0.5) <= 5 / sketches.RANK_K + 1 / F.col("n")).alias("rank_near"),
+    )
+
+
+@query("""WITH r AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, value - 20 AS v FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY event_type, day ORDER BY v) - 1 AS rank, count(*) OVER (PARTITION BY event_type, day) AS n FROM r)
+SELECT event_type, day, CAST(n AS BIGINT) AS n, CAST(sign(v) AS INTEGER) AS sign, CAST(CASE WHEN v = 0 THEN 0 ELSE ceil(ln(abs(v)) / ln(1.02::DOUBLE)) END AS INTEGER) AS power FROM k WHERE rank = floor(0.9::DOUBLE * (n - 1))""")
+def cell_quantile_days(spark, sf):
+    """Days' ninetieth percentile from hours' stored cells: the very cell that holds it."""
+    path, events = scratch(spark, "cells"), read(spark, sf, "events").withColumn("v", F.col("value") - 20)
+    sinks.batch(sketches.cells(events, ["event_type"], F.date_trunc("hour", "ts"), "v"), path)
+    days = sketches.merged_cells(spark.read.parquet(path), ["event_type"], F.date_format("bucket", "yyyy-MM-dd"))
+    return sketches.cell_quantiles(days, ["event_type"], 0.9).select("event_type", F.col("bucket").alias("day"), "n", "sign", "power")
+
+
+@query("SELECT l_partkey, count(*) AS n_rows FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+def frequent_parts(spark, sf):
+    """No part stands out here, so the summaries prove nothing and all are counted."""
+    return frequent.top_keys(read(spark, sf, "lineitem"), ["l_partkey"], 20)
+
+
+@query("SELECT word, count(*) AS n_rows FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+def frequent_words(spark, sf):
+    """A few words stand out, and only likely ones are counted."""
+    return frequent.top_keys(read(spark, sf, "documents").select(F.explode(F.split("text", " ")).alias("word")), ["word"], 20)
+
+
 # classification and repair
 
 _RAW = """CASE CAST(event_id % 8 AS INTEGER)

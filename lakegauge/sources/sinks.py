@@ -24,10 +24,9 @@ def hour_cache(df: DataFrame, path: str, time: str = "metric_time") -> None:
 
 
 def silos(df: DataFrame, path: str, device: str = "device_id", per_silo: int = 7000) -> int:
-    """A folder for each per_silo devices or so, by a hash of the device; returns the number of silos and writes it to _SUCCESS.json."""
+    """A folder for each per_silo devices or so, by a hash of the device; a silo of many rows has several files. Returns the number of silos."""
     n = max(1, -(-df.select(device).distinct().count() // per_silo))
-    df.withColumn("silo", F.pmod(F.xxhash64(device), F.lit(n))).repartition("silo").write.mode("overwrite").partitionBy("silo").parquet(path)
-    write_text(df.sparkSession, f"{path}/_SUCCESS.json", json.dumps({"silos": n}))
+    df.withColumn("silo", F.pmod(F.xxhash64(device), F.lit(n))).hint("rebalance", F.col("silo")).write.mode("overwrite").partitionBy("silo").parquet(path)
     return n
 
 
