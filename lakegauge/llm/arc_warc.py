@@ -9,13 +9,16 @@ with an HTTP response's head is a response whose payload comes after the head, o
 
 write_archives writes ARC files of the pages, reads them, and converts their records: of equal
 payloads the one with the smallest page_id is a response, all others are revisits that keep the HTTP
-head alone and refer to the response by record id, URI and date. Archives are files of about
-FILE_BYTES with a gzip member for each record, written by Spark to the shared folder and read back
-as binary files. Pages have no time of their own; DATE stands for it unless a column is named.
+head alone and refer to the response by record id, URI and date. A page's number is a field of the HTTP
+head in ARC files, and a field of its own, WARC-Page-Id, in WARC records, so target URIs are the
+pages' own. Archives are files of about file_bytes of content with a gzip member for each record,
+written by Spark to the shared folder and read back as binary files. Pages have no time of their own;
+DATE stands for it unless a column is named.
 
 Defined results: null html is an empty payload; a null page_id comes after all others, and equal
 payloads with null page_ids alone are all responses; rows that repeat the smallest page_id are
-responses too; a null or unprintable URL becomes a page.invalid one; extra columns are not written;
+responses too; white space and unprintable characters of a URL are
+percent-encoded, and a null or empty one is http://page.invalid/; extra columns are not written;
 truncated or malformed ARC input raises.
 """
 
@@ -26,6 +29,7 @@ import io
 import re
 import uuid
 import zlib
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,10 +38,12 @@ from pyspark.sql import functions as F
 from . import arrowtext
 from .workspace import Workspace, prepare
 
-FILE_BYTES = 4 << 20
+#: Content of an archive; a task holds some three times that.
+FILE_BYTES = 16 << 20
 DATE = "20260101000000"
 _FIELDS = {1: ("url", "ip", "date", "type", "length"), 2: ("url", "ip", "date", "type", "result", "checksum", "location", "offset", "file", "length")}
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the namespace of URLs
+_PAGE = "X-Page-Id"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _EMPTY_MEMBER = zlib.compressobj(1, zlib.DEFLATED, 31).flush()
 
@@ -84,8 +90,20 @@ def parse_arc(data: bytes):
             yield record | {"version": version, "payload": payload}
 
 
-def http_head(size: int, kind: str = "text/html; charset=utf-8") -> bytes:
-    return f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\nContent-Length: {size}\r\n\r\n".encode()
+def http_head(size: int, kind: str = "text/html; charset=utf-8", page: int | None = None) -> bytes:
+    number = "" if page is None else f"{_PAGE}: {page}\r\n"
+    return f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\n{number}Content-Length: {size}\r\n\r\n".encode()
+
+
+def page_of(head: bytes) -> int | None:
+    """The page's number in an HTTP head."""
+    found = re.search(rb"\r\n" + _PAGE.encode() + rb": (-?[0-9]+)\r\n", head)
+    return int(found[1]) if found else None
+
+
+def encoded(url: str | None) -> str:
+    """The URL without white space and unprintable characters, which are percent-encoded."""
+    return "".join(quote(c) if c.isspace() or not c.isprintable() else c for c in url) if url else "http://page.invalid/"
 
 
 def split_http(content: bytes) -> tuple[bytes, bytes]:
@@ -94,8 +112,8 @@ def split_http(content: bytes) -> tuple[bytes, bytes]:
     return (content[:end], content[end:]) if end >= 4 else (b"", content)
 
 
-def record_id(url: str, date: str, payload_digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{url} {date} {payload_digest}')}>"
+def record_id(url: str, date: str, payload_digest: str, page: int | None = None) -> str:
+    return f"<urn:uuid:{uuid.uuid5(_SPACE, ' '.join([url, date, payload_digest, *([] if page is None else [str(page)])]))}>"
 
 
 def stamp(date: str) -> str:
@@ -109,20 +127,22 @@ def warc_record(fields: dict[str, str], block: bytes) -> bytes:
     return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n").encode() + block
 
 
-def to_warc(record: dict, first: tuple[str, str] | None = None) -> bytes:
-    """The WARC record of an ARC record, without the blank lines behind it; with first, URL and date of the response of the same payload, a revisit of that."""
+def to_warc(record: dict, first: tuple[str, str, int] | None = None) -> bytes:
+    """The WARC record of an ARC record, without the blank lines behind it; with first, URL, date and page of the response of the same payload, a revisit of that."""
     head, payload = split_http(record["payload"])
-    own = digest(payload)
+    own, page = digest(payload), page_of(head)
     fields = {
         "WARC-Type": "revisit" if first else "response" if head else "resource",
-        "WARC-Record-ID": record_id(record["url"], record["date"], own),
+        "WARC-Record-ID": record_id(record["url"], record["date"], own, page),
         "WARC-Date": stamp(record["date"]),
         "WARC-Target-URI": record["url"],
         "WARC-IP-Address": record["ip"],
         "WARC-Payload-Digest": f"sha1:{own}",
     }
+    if page is not None:
+        fields["WARC-Page-Id"] = str(page)
     if first:
-        fields |= {"WARC-Profile": _REVISIT, "WARC-Refers-To": record_id(*first, own), "WARC-Refers-To-Target-URI": first[0], "WARC-Refers-To-Date": stamp(first[1])}
+        fields |= {"WARC-Profile": _REVISIT, "WARC-Refers-To": record_id(first[0], first[1], own, first[2]), "WARC-Refers-To-Target-URI": first[0], "WARC-Refers-To-Date": stamp(first[1]), "WARC-Refers-To-Page-Id": str(first[2])}
     return warc_record(fields | {"Content-Type": "application/http; msgtype=response" if head else record["type"]}, head if first else record["payload"])
 
 
@@ -174,23 +194,17 @@ def _whole(content) -> bytes:
     return gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer())).read() if content.is_valid else b""
 
 
-def _page(url: str) -> int | None:
-    name = re.search(r"#page=(-?[0-9]*)$", url)[1]
-    return int(name) if name else None
-
-
-def write_arc(pages: DataFrame, path: str) -> DataFrame:
-    """ARC files of (page_id, url, html, date), read back as binary rows; a URL ends in its page's number, odd pages are of version 1."""
+def write_arc(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """ARC files of (page_id, url, html, date), read back as binary rows; odd pages are of version 1."""
 
     def run(batches):
-        for part in arrowtext.joined(batches, "html", FILE_BYTES):
+        for part in arrowtext.joined(batches, "html", file_bytes):
             for version in (1, 2):
                 members = []
                 for own, link, html, date in zip(*(part.column(i).to_pylist() for i in range(4))):
                     if ((own or 0) % 2 == 1) == (version == 1):
-                        link = link if link and link.isprintable() and " " not in link else "http://page.invalid/"
                         body = html.encode()
-                        members.append(_member(arc_record(version, f"{link}#page={'' if own is None else own}", http_head(len(body)) + body, date=date)))
+                        members.append(_member(arc_record(version, encoded(link), http_head(len(body), page=own) + body, date=date)))
                 if members:
                     yield pa.RecordBatch.from_arrays([pa.array([_member(arc_header(version)) + b"".join(members)], pa.binary())], ["data"])
 
@@ -205,8 +219,8 @@ def arc_records(archives: DataFrame) -> DataFrame:
             for content in batch.column(0):
                 rows = []
                 for r in parse_arc(_whole(content)):
-                    payload = split_http(r["payload"])[1]
-                    rows.append({"page_id": _page(r["url"]), "url": r["url"], "ip": r["ip"], "date": r["date"], "type": r["type"], "content": r["payload"], "sha": hashlib.sha1(payload).digest(), "size": len(payload)})
+                    head, payload = split_http(r["payload"])
+                    rows.append({"page_id": page_of(head), "url": r["url"], "ip": r["ip"], "date": r["date"], "type": r["type"], "content": r["payload"], "sha": hashlib.sha1(payload).digest(), "size": len(payload)})
                 yield pa.RecordBatch.from_pylist(rows, _RECORDS)
 
     return archives.mapInArrow(run, "page_id long, url string, ip string, date string, type string, content binary, sha binary, size long")
@@ -215,26 +229,25 @@ def arc_records(archives: DataFrame) -> DataFrame:
 _RECORDS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string()), ("type", pa.string()), ("content", pa.binary()), ("sha", pa.binary()), ("size", pa.int64())])
 
 
-def write_archives(pages: DataFrame, work: Workspace, page_id: str = "page_id", url: str = "url", html: str = "html", date: str | None = None) -> str:
+def write_archives(pages: DataFrame, work: Workspace, page_id: str = "page_id", url: str = "url", html: str = "html", date: str | None = None, file_bytes: int = FILE_BYTES) -> str:
     """Write the pages' ARC files and, converted, their WARC archives; returns the folder of these."""
     given = F.col(date).cast("string") if date else F.lit(DATE)
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"), given.alias("date"))
-    records = arc_records(write_arc(rows, f"{work.path}/arc"))
-    keyed = records.select("sha", "size", F.struct("page_id", "url", "date").alias("own")).where("own.page_id is not null")
-    first = keyed.groupBy("sha", "size").agg(F.min("own").alias("first"), F.count("*").alias("n"))
-    alone = records.where("page_id is null").select("sha", "size").distinct().withColumn("more", F.lit(1))
-    first = work.write(first.join(alone, ["sha", "size"], "left").where("n > 1 or more is not null").select("sha", "size", "first"), "first")
+    records = arc_records(write_arc(rows, f"{work.path}/arc", file_bytes))
+    least = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url", "date")))
+    first = records.groupBy("sha", "size").agg(least.alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
+    first = work.write(first.select("sha", "size", "first"), "first")
     # read from a table, so Spark may split a frequent payload
     marked = records.join(first, ["sha", "size"], "left")
     again = ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
-    marked = marked.select("url", "ip", "date", "type", "content", F.when(again, F.col("first.url")).alias("first_url"), F.when(again, F.col("first.date")).alias("first_date"))
+    marked = marked.select("url", "ip", "date", "type", "content", F.when(again, F.col("first.url")).alias("first_url"), F.when(again, F.col("first.date")).alias("first_date"), F.when(again, F.col("first.page_id")).alias("first_page"))
 
     def run(batches):
-        for part in arrowtext.joined(batches, "content", FILE_BYTES):
+        for part in arrowtext.joined(batches, "content", file_bytes):
             out = [_member(warc_record({"WARC-Type": "warcinfo", "WARC-Date": stamp(DATE), "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(_SPACE, 'lakegauge')}>", "Content-Type": "application/warc-fields"}, b"software: lakegauge\r\n") + b"\r\n\r\n")]
-            for url, ip, date, kind, content, first_url, first_date in zip(*(part.column(i).to_pylist() for i in range(7))):
+            for url, ip, date, kind, content, first_url, first_date, first_page in zip(*(part.column(i).to_pylist() for i in range(8))):
                 record = {"url": url, "ip": ip, "date": date, "type": kind, "payload": content}
-                out.append(_member(to_warc(record, None if first_url is None else (first_url, first_date)) + b"\r\n\r\n"))
+                out.append(_member(to_warc(record, None if first_url is None else (first_url, first_date, first_page)) + b"\r\n\r\n"))
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["data"])
 
     _files(marked.mapInArrow(run, "data binary"), f"{work.path}/archives")
@@ -257,7 +270,8 @@ def read_archives(spark, path: str) -> DataFrame:
                     if fields["WARC-Block-Digest"] != f"sha1:{digest(block)}" or not revisit and digest(payload) != own:
                         raise ValueError(f"the record of {fields['WARC-Target-URI']} has another digest than it says")
                     size = int(re.search(rb"\r\nContent-Length: ([0-9]+)\r\n", head)[1]) if revisit else len(payload)
-                    rows.append({"page_id": _page(fields["WARC-Target-URI"]), "payload_bytes": size, "payload_digest": own, "record_type": fields["WARC-Type"], "refers_to": _page(fields["WARC-Refers-To-Target-URI"]) if revisit else None})
+                    number = lambda name: int(fields[name]) if name in fields else None  # noqa: B023, E731
+                    rows.append({"page_id": number("WARC-Page-Id"), "payload_bytes": size, "payload_digest": own, "record_type": fields["WARC-Type"], "refers_to": number("WARC-Refers-To-Page-Id")})
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]))
 
     return files.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")

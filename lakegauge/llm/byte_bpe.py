@@ -8,7 +8,8 @@ counts that character whole. Decoding looks ids up in the byte table and joins b
 characters that tokens split come back whole.
 
 Defined results: null text is empty and has no ids; ids that the table lacks raise; bytes that
-are not UTF-8 decode to U+FFFD in decoded text; repeated rows and
+are not UTF-8 decode to U+FFFD in decoded text; texts of any length are taken whole, one that is
+longer than a slice in a slice of its own; an empty table gives an empty one; repeated rows and
 extra columns are kept as they are, but for columns named as those made here.
 """
 

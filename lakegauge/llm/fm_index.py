@@ -10,7 +10,8 @@ a sampled suffix position, and the spans of words found are merged in the docume
 Words are compared by 64-bit hashes, and phrases by 128 bits over those. Defined results: null or
 empty text has no words; an item of fewer words than the window is one phrase, one without words
 has none; items with equal phrases all count; a null item_id is named None; rows that repeat are
-judged each; extra columns pass through, but for ones named as those made here.
+judged each; a text that is longer than a shard is one shard; without items, or without
+documents, nothing is hit; extra columns pass through, but for ones named as those made here.
 """
 
 import numpy as np

@@ -1,18 +1,17 @@
 """Substring dedup by sliding sentence spans.
 
-From every sentence of a document a run of at least RUN consecutive sentences, as many as it takes
-to reach MIN_WORDS words, is hashed (128 bits over its words, letters lower-cased). A run that is
-not the first of its hash, first by doc_id and then place, covers its sentences, and covered
-sentences are removed. A sentence ends after . ! or ? before white space, at a line break, and at
-the end. Stock phrases of fewer words stay. Runs inside one document repeat as those of several do.
-
-With every_run the runs as short that END at each sentence are hashed too, and a sentence of ALONE
-words or more is a run by itself. Then each sentence of a repeated passage with RUN sentences and
-MIN_WORDS words is covered, by the run from its beginning if fewer words lie before, or else by
-that which ends at the sentence; without it, the last sentences of a passage stay.
+Runs of at least RUN consecutive sentences, as many as it takes to reach MIN_WORDS words, are hashed
+(128 bits over their words, letters lower-cased): the shortest from every sentence of a document and
+the shortest that ends at every sentence. So is a whole document of RUN sentences or more, however few
+words it has, and a sentence of ALONE words or more is a run by itself. A run that is not the first of
+its hash, first by doc_id and then place, covers its sentences, and covered sentences are removed: of
+a repeated passage with RUN sentences and MIN_WORDS words each sentence is covered, by the run from its
+beginning if fewer words lie before, or else by that which ends at the sentence. A sentence ends
+after . ! or ? before white space, at a line break, and at the end. Shorter passages stay, as stock
+phrases, unless they are whole documents. Runs inside one document repeat as those of several do.
 
 Defined results: null text stays null, text without repeats stays as it is; a document of one
-sentence with enough words is one run; rows that share a doc_id and text are ordered by nothing
+sentence with MIN_WORDS words is one run, one of fewer words stays; rows that share a doc_id and text are ordered by nothing
 but their equal text, so each keeps what the first keeps; removed sentences go with the white
 space behind them; rows with null doc_id come after all others; extra columns pass through, but for ones named as
 those made here.
@@ -53,8 +52,8 @@ class Sentences:
         self.rank = np.arange(len(self.word)) - np.searchsorted(self.doc, self.doc)
         self.per_doc = np.bincount(self.doc, minlength=words.rows)
 
-    def runs(self, every: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """First sentence, last-plus-one sentence and two hashes of every run with enough words."""
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First sentence, last-plus-one sentence and two hashes of every run."""
         n = len(self.word)
         a = np.arange(n)
         edges = np.append(self.word, len(self.words.hash))
@@ -62,22 +61,24 @@ class Sentences:
         b = np.maximum(a + least, np.searchsorted(edges, edges[:-1] + MIN_WORDS))
         keep = b <= a - self.rank + self.per_doc[self.doc]
         a, b = a[keep], b[keep]
-        if every and n:
+        if n:
             last = np.arange(1, n + 1)
             begin = np.minimum(last - least, np.searchsorted(edges, edges[1:] - MIN_WORDS, "right") - 1)
             inside = begin >= last - 1 - self.rank
             alone = np.flatnonzero(self.size >= ALONE)
-            pairs = np.concatenate([a * (n + 1) + b, begin[inside] * (n + 1) + last[inside], alone * (n + 1) + alone + 1])
+            heads = np.flatnonzero((self.rank == 0) & (self.per_doc[self.doc] >= RUN))
+            whole = heads + self.per_doc[self.doc[heads]]
+            pairs = np.concatenate([a * (n + 1) + b, begin[inside] * (n + 1) + last[inside], alone * (n + 1) + alone + 1, heads * (n + 1) + whole])
             a, b = np.divmod(np.unique(pairs), n + 1)
         one, two = arrowtext.run_hashes(self.words.hash, edges[a], edges[b], 2)
         return a, b, one, two
 
 
-def _runs(docs: DataFrame, every: bool) -> DataFrame:
+def _runs(docs: DataFrame) -> DataFrame:
     def run(batches):
         for part in arrowtext.slices(batches, "text"):
             s = Sentences(*arrowtext.column(part.column(1)))
-            a, b, one, two = s.runs(every)
+            a, b, one, two = s.runs()
             ids = part.column(0).take(pa.array(s.doc[a]))
             digest = part.column(2).take(pa.array(s.doc[a]))
             yield pa.RecordBatch.from_arrays([ids, digest, pa.array(s.rank[a].astype(np.int32)), pa.array((b - a).astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], ["doc", "digest", "place", "length", "one", "two"])
@@ -85,12 +86,12 @@ def _runs(docs: DataFrame, every: bool) -> DataFrame:
     return docs.mapInArrow(run, "doc long, digest long, place int, length int, one long, two long")
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", every_run: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with text cut, n_sentences, n_removed and removed_bytes."""
     work = Workspace(docs.sparkSession, "sentences")
     docs = without(docs, "n_sentences", "n_removed", "removed_bytes", "_doc", "_digest", "_cuts")
     named = docs.select(F.coalesce(F.col(doc_id), F.lit(2**63 - 1)).alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("digest"))
-    runs = _runs(named, every_run)
+    runs = _runs(named)
     first = F.min(F.struct("doc", "digest", "place"))
     firsts = runs.groupBy("one", "two").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1")
     repeated = work.write(firsts.select("one", "two", "first"), "repeated")

@@ -21,17 +21,34 @@ def sentences(text):
     return out
 
 
+def shortest(own):
+    """The shortest runs from and up to each sentence that are long enough, sentences of over 50 words, and the whole."""
+    least, n, found = min(RUN, len(own)), len(own), set()
+    size = [len(s[1]) for s in own]
+    for a in range(n):
+        b, words = a, 0
+        while b < n and (words < MIN_WORDS or b - a < least):
+            words += size[b]
+            b += 1
+        if words >= MIN_WORDS and b - a >= least:
+            found.add((a, b))
+        b, words = a, 0  # backwards, up to sentence a
+        while b >= 0 and (words < MIN_WORDS or a + 1 - (b + 1) < least):
+            words += size[b]
+            b -= 1
+        if words >= MIN_WORDS and a - b >= least:
+            found.add((b + 1, a + 1))
+        if size[a] > 50:
+            found.add((a, a + 1))
+    return found | ({(0, n)} if n >= RUN else set())
+
+
 def brute(rows):
     runs, found = {}, {}
     for i, text in rows:
         own = sentences(text or "")
-        for a in range(len(own)):
-            b, n = a, 0
-            while b < len(own) and (n < MIN_WORDS or b - a < min(RUN, len(own))):
-                n += len(own[b][1])
-                b += 1
-            if n >= MIN_WORDS and b - a >= min(RUN, len(own)):
-                runs.setdefault(tuple(w for s in own[a:b] for w in s[1]), []).append((i, a, b))
+        for a, b in shortest(own):
+            runs.setdefault(tuple(w for s in own[a:b] for w in s[1]), []).append((i, a, b))
     gone = {i: set() for i, _ in rows}
     for places in runs.values():
         for i, a, b in sorted(places)[1:]:
@@ -86,14 +103,14 @@ def test_language_of_odd_rows(spark):
 
 
 def every(rows):
-    """Texts without each sentence that lies in a run of RUN sentences and MIN_WORDS words or more, or is of over 50 words, that stands earlier too; all runs are tried."""
+    """Texts without each sentence that lies in a run of RUN sentences and MIN_WORDS words or more, or is of over 50 words, or in a whole document of RUN sentences, that stands earlier too; all runs are tried."""
     runs, found = {}, {}
     for i, text in rows:
         own = sentences(text)
         for a in range(len(own)):
             for b in range(a + 1, len(own) + 1):
                 words = tuple(w for s in own[a:b] for w in s[1])
-                if len(words) > 50 or len(words) >= MIN_WORDS and b - a >= min(RUN, len(own)):
+                if len(words) > 50 or len(words) >= MIN_WORDS and b - a >= min(RUN, len(own)) or b - a == len(own) >= RUN:
                     runs.setdefault(words, []).append((i, a, b))
     gone = {i: set() for i, _ in rows}
     for places in runs.values():
@@ -117,10 +134,17 @@ def test_every_run_of_a_passage_is_found(spark):
         rows.append((i, " ".join(parts)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = every(rows)
-    got = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeats(docs, every_run=True).collect()}
+    got = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeats(docs).collect()}
     assert got == want
-    assert got != {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeats(docs).collect()}
-    assert sentence_spans.remove_repeats(docs.limit(0), every_run=True).collect() == []
+    assert sentence_spans.remove_repeats(docs.limit(0)).collect() == []
+
+
+def test_short_documents_that_are_copies(spark):
+    short = "It was so. It is. It will be."
+    rows = [(1, short), (2, short.upper()), (3, "Before it. " + short + " After."), (4, "One alone."), (5, "One alone."), (6, short + " More.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeats(docs).collect()}
+    assert got == {**dict(rows), 2: ""}
 
 
 def test_more_languages_than_landmarks_and_long_texts(spark):

@@ -70,3 +70,13 @@ def test_language_stage_goes_by_its_model(spark):
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert set(stage(spark, unlabelled, "language")) == {r[0] for r in docs.collect()}
     assert stage(spark, docs.where("doc_id is null"), "language") == {}
+
+
+def test_a_language_may_be_labelled_as_unknown(spark):
+    words = {"und": "the of and to in with for that", "fr": "le la les des une dans pour que"}
+    rows = [(i, " ".join(words[lang].split()[(i + k) % 8] for k in range(30)), lang, "s", 9) for i, lang in ((i, "fr" if i % 2 else "und") for i in range(40))]
+    docs = spark.createDataFrame([*rows, (100, "12 -- !", "und", "s", 9), (101, None, "und", "s", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = stage(spark, docs, "language")
+    assert set(kept) == set(range(40)) and kept[0]["lang"] == "und"
+    alone = stage(spark, docs.where("lang = 'und'"), "language")
+    assert set(alone) == set(range(0, 40, 2))

@@ -35,10 +35,26 @@ def test_pages(spark):
 
 def test_odd_pages(spark):
     body = "x\r\n\r\nWARC/1.1\r\n\r\nüñ😀\n\n"
-    compare(spark, [(1, "http://a/", body), (2, None, body), (3, "http://b/ c", None), (4, "u", ""), (5, "u", "y" * 300000), (None, "u", body), (None, "u", "z"), (None, "u", "z"), (1, "http://a/", body), (9, "u\n", "\r\n\r\n")])
+    compare(spark, [(1, "http://a/", body), (2, None, body), (3, "http://b/ c", None), (4, "u", ""), (5, "u", "y" * 300000), (None, "u", body), (None, "u", "z"), (None, "u", "z"), (1, "http://a/", body), (9, "u\n", "\r\n\r\n"), (10, "u", "HTTP/1.1 200 OK\r\nX-Page-Id: 77\r\n\r\n"), (-4, "u", "n")])
     compare(spark, [])
 
 
+def test_urls_are_the_pages_own():
+    assert arc_warc.encoded("http://a/b c\n?q=ü%20") == "http://a/b%20c%0A?q=ü%20"
+    assert arc_warc.encoded(None) == arc_warc.encoded("") == "http://page.invalid/"
+
+
+def test_files_of_a_given_size(spark):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"{i} " * 5000) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    sizes = []
+    for size in (1 << 15, 1 << 24):
+        work = Workspace(spark, "warc")
+        path = arc_warc.write_archives(pages, work, file_bytes=size)
+        assert arc_warc.read_archives(spark, path).count() == 40
+        sizes.append(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{work.path}/arc").count())
+    assert sizes[1] == 2 < 10 < sizes[0]
+
+
 def test_versions_and_lengths(spark):
     one = arc_warc.arc_header(1) + arc_warc.arc_record(1, "http://x/", b"a\n\nfiledesc://no 1 2 3 4\n", "text/plain", "1.2.3.4", "19990203040506")
     two = arc_warc.arc_header(2) + arc_warc.arc_record(2, "http://y/", b"") + arc_warc.arc_record(2, "http://z/", b"zz")
@@ -69,13 +85,14 @@ def test_archives_hold_a_member_for_each_record_and_revisits_refer(spark):
                 assert text.startswith(b"WARC/1.1") and text.endswith(b"\r\n\r\n") and text.count(b"WARC/1.1") == 1
                 if fields["WARC-Type"] != "warcinfo":
                     found[fields["WARC-Target-URI"]] = fields, block
-    first, block = found["http://b/#page=1"]
+    first, block = found["http://b/"]
     assert first["WARC-Type"] == "response" and block.endswith(b"\r\n\r\nsame") and first["WARC-Date"] == "2020-01-02T03:04:05Z"
-    for name in ("http://a/x#page=3", "http://d/#page="):
+    for name, page in (("http://a/x", "3"), ("http://d/", None)):
         fields, block = found[name]
-        assert (fields["WARC-Type"], fields["WARC-Refers-To"], fields["WARC-Refers-To-Target-URI"], fields["WARC-Refers-To-Date"]) == ("revisit", first["WARC-Record-ID"], "http://b/#page=1", first["WARC-Date"])
+        assert (fields["WARC-Type"], fields["WARC-Refers-To"], fields["WARC-Refers-To-Target-URI"], fields["WARC-Refers-To-Date"]) == ("revisit", first["WARC-Record-ID"], "http://b/", first["WARC-Date"])
+        assert fields.get("WARC-Page-Id") == page and fields["WARC-Refers-To-Page-Id"] == "1"
         assert block.endswith(b"\r\n\r\n") and fields["WARC-Payload-Digest"] == first["WARC-Payload-Digest"]
-    assert found["http://c/#page=2"][0]["WARC-Type"] == "response"
+    assert found["http://c/"][0]["WARC-Type"] == "response"
 
 
 def test_query_equals_its_sql(spark):
