@@ -20,13 +20,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters go, and those in which no learned language stands out; a missing lang is filled by the prediction.
 
     With one learned language there is nothing to tell apart, and without labelled rows no model: then
-    documents with letters stay as they are. Null and empty texts go; rows that repeat are judged alike.
+    documents with letters stay as they are. A label may have any name, that of unknown language too. Null
+    and empty texts go; rows that repeat are judged alike.
     """
     prepare(spark)
     model = language_id.fit(docs.where(~language_id.held_out()))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = language_id.predict(docs, model).where(F.col("lang_pred") != language_id.UNKNOWN)
+    found = language_id.predict(docs, model).where(F.col("score") > 0)  # 0 stands for texts without letters alone
     if len(model.languages) > 1:
         found = found.where(F.col("score") >= STANDS_OUT / len(model.languages))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
@@ -46,7 +47,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts stay, as nothing is cut from them; of rows that share doc_id and text each keeps what the first keeps.
     """
-    found = sentence_spans.remove_repeats(docs, every_run=True)
+    found = sentence_spans.remove_repeats(docs)
     left = found.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\s]"))
     cut = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", cut).select(*docs.columns)
@@ -59,7 +60,11 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of each document's ids and of the text they decode to; null text is empty."""
+    """Token counts and digests of each document's ids and of the text they decode to.
+
+    Null text is empty and has no ids; texts of any length are taken whole; rows that repeat have a row each;
+    an empty table gives an empty one; other columns of docs are not returned, so none can clash.
+    """
     pairs = byte_bpe.BytePairs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return pairs.round_trip(docs.select("doc_id", "text"))
 
