@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..operators import health, telemetry
-from ..sources import sinks, tables
+from ..sources import segments, sinks, tables
 from ..sources.store import Store, process
-from ..streaming import jobs
+from ..streaming import days, jobs
 from ..session import scratch
 from .pipelines import _CLASS, _RAW, _RECORD
 from .registry import S, query, read, stamp
@@ -195,3 +195,78 @@ def stream_daily_windows(spark, sf):
     days = jobs.by_window(jobs.files(spark, path, "ts timestamp, user_id bigint, value double", per_trigger=1), "ts", "1 day", ["user_id"], [F.avg("value").alias("mean_value"), F.count("*").alias("n")], late="40 days")
     jobs.into_store(days, store, ["n"], scratch(spark, "checkpoint"), compact_every=0).awaitTermination()
     return store.read().select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "user_id", F.round("mean_value", 6).alias("mean_value"))
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS device, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 6) AS total, min(value) AS least, max(value) AS most FROM events GROUP BY ALL")
+def stream_days_once(spark, sf):
+    """Each device's day as one row, written when the watermark has passed its end; a restart repeats nothing."""
+    folder, events = scratch(spark, "days"), read(spark, sf, "events").select("user_id", "ts", "value")
+    events.repartitionByRange(3, "ts").write.parquet(f"{folder}/in")
+    _closing(events).write.mode("append").parquet(f"{folder}/in")
+    for _ in range(2):
+        stream = jobs.files(spark, f"{folder}/in", "user_id bigint, ts timestamp, value double", per_trigger=2)
+        days.write_days(stream, f"{folder}/days", f"{folder}/late", f"{folder}/checkpoint", device="user_id", late="40 days").awaitTermination()
+    assert spark.read.parquet(f"{folder}/late").isEmpty()
+    return spark.read.parquet(f"{folder}/days").select("device", F.date_format("day", "yyyy-MM-dd").alias("day"), "n", F.round("total", 6).alias("total"), "least", "most")
+
+
+def _closing(events):
+    """A row that no device has, so late that all days before it are over."""
+    return events.agg(F.lit(-1).cast("long").alias("user_id"), (F.max("ts") + F.expr("INTERVAL 400 DAYS")).alias("ts"), F.lit(0.0).alias("value")).coalesce(1)
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS device, count(*) AS n_rows, round(sum(value), 6) AS total, count(DISTINCT CAST(ts AS DATE)) AS days, true AS once FROM events GROUP BY user_id")
+def stream_late_rows(spark, sf):
+    """Rows that come after their day was written go to a table of their own: with the days' rows they are the input, and no day is written twice."""
+    folder, events = scratch(spark, "late"), read(spark, sf, "events").select("user_id", "ts", "value")
+    held = F.pmod(F.xxhash64("ts", "user_id"), F.lit(20)) == 0
+    events.where(~held).repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(f"{folder}/in")
+    events.where(held).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    _closing(events).write.mode("append").parquet(f"{folder}/in")
+    for _ in range(2):
+        stream = jobs.files(spark, f"{folder}/in", "user_id bigint, ts timestamp, value double", per_trigger=1)
+        days.write_days(stream, f"{folder}/days", f"{folder}/rows", f"{folder}/checkpoint", device="user_id", late="1 hour").awaitTermination()
+    whole = spark.read.parquet(f"{folder}/days").select("device", "day", "n", "total", F.lit(1).alias("written"))
+    late = spark.read.parquet(f"{folder}/rows").select("device", "day", F.lit(1).cast("long").alias("n"), F.col("value").alias("total"), F.lit(0).alias("written"))
+    per_day = whole.unionByName(late).groupBy("device", "day").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("written").alias("written"))
+    return per_day.groupBy("device").agg(F.sum("n").alias("n_rows"), F.round(F.sum("total"), 6).alias("total"), F.count("*").alias("days"), (F.max("written") <= 1).alias("once"))
+
+
+def _logged(spark, sf, folder):
+    """Events as records of a topic, each in its device's partition, written twice by the same query."""
+    rows = read(spark, sf, "events").select(F.col("user_id").cast("string").alias("key"), F.when(F.col("event_id") % 11 == 0, F.unhex(F.lit("ff"))).otherwise(F.col("event_id").cast("string").cast("binary")).alias("value"), F.col("ts").cast("timestamp").alias("timestamp"), (F.col("user_id") % 3).cast("int").alias("partition"))
+    rows.repartition(4).write.parquet(f"{folder}/in")
+    for _ in range(2):
+        stream = jobs.files(spark, f"{folder}/in", "key string, value binary, timestamp timestamp, partition int", per_trigger=2)
+        segments.write(stream, f"{folder}/log", "readings", f"{folder}/written", batch=1000).awaitTermination()
+    return f"{folder}/log"
+
+
+@query("SELECT CAST(user_id % 3 AS INTEGER) AS \"partition\", 'readings' AS topic, 0 AS first_offset, count(*) - 1 AS last_offset, count(DISTINCT event_id) AS n, CAST(sum(event_id) AS BIGINT) AS total FROM events WHERE event_id % 11 <> 0 GROUP BY 1")
+def stream_segments(spark, sf):
+    """A topic read by offsets of its own, 3,000 records a trigger at most, and once more from the checkpoint."""
+    folder = scratch(spark, "segments")
+    log, sizes = _logged(spark, sf, folder), []
+
+    def step(df, batch_id):
+        df = df.persist()
+        sizes.append(df.count())
+        df.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+        df.unpersist()
+
+    for _ in range(2):
+        records = segments.stream(spark, log, "readings", checkpoint=f"{folder}/read", starting="earliest")
+        segments.drained(records.writeStream.foreachBatch(step).option("checkpointLocation", f"{folder}/read").trigger(processingTime="0 seconds").start(), log, "readings")
+    assert max(sizes) <= 3000
+    rows = spark.read.parquet(f"{folder}/out")
+    return rows.groupBy("topic", "partition").agg(F.min("offset").cast("int").alias("first_offset"), F.max("offset").alias("last_offset"), F.countDistinct("value").alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
+
+
+@query("SELECT 'dead' AS place, count(*) AS n, count(*) FILTER (WHERE event_id % 11 = 0) AS odd FROM events WHERE event_id % 11 = 0 UNION ALL SELECT 'log', count(*), 0 FROM events WHERE event_id % 11 <> 0")
+def segment_dead_letters(spark, sf):
+    """Rows that are no text go to the topic's dead letters one by one, and the rest of their batch to the topic."""
+    folder = scratch(spark, "segments")
+    log = _logged(spark, sf, folder)
+    count = lambda pattern, place, odd: spark.read.schema("value string").json(f"{log}/readings/{pattern}").agg(F.lit(place).alias("place"), F.count("*").alias("n"), F.count_if(odd).alias("odd"))
+    dead = spark.read.schema("key string, value string").option("recursiveFileLookup", "true").json([f"{log}/readings/_dead/{f}" for f in segments.dead(log, "readings")])
+    return dead.agg(F.lit("dead").alias("place"), F.count("*").alias("n"), F.count_if(F.hex(F.unbase64("value")) == "FF").alias("odd")).unionByName(count("[0-9]*", "log", F.col("value").isNull()))
