@@ -77,54 +77,96 @@ def _average_path(n):
         return np.where(n > 2, 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n, np.where(n == 2, 1.0, 0.0))
 
 
+def grow(x: np.ndarray, rng: np.random.Generator, deepest: int) -> list[tuple[int, float, int, int, float]]:
+    """A tree's nodes: feature (-1: leaf), cut, children and a leaf's path length. Cuts are uniform over a feature that varies."""
+    tree: list[tuple[int, float, int, int, float]] = []
+
+    def node(own: np.ndarray, depth: int) -> int:
+        at = len(tree)
+        tree.append((-1, 0.0, at, at, depth + float(_average_path(len(own)))))
+        spread = np.flatnonzero(own.max(axis=0) > own.min(axis=0)) if len(own) > 1 else []
+        if depth < deepest and len(spread):
+            f = int(rng.choice(spread))
+            cut = rng.uniform(own[:, f].min(), own[:, f].max())
+            left = own[:, f] < cut
+            tree[at] = (f, cut, node(own[left], depth + 1), node(own[~left], depth + 1), 0.0)
+        return at
+
+    node(x, 0)
+    return tree
+
+
 class IsolationForest:
-    """Isolation trees (Liu, Ting, Zhou 2008) grown on the driver from bounded samples; scoring is distributed.
+    """Isolation trees (Liu, Ting, Zhou 2008), each grown in a task from a sample of its own of all rows; scoring is distributed.
 
-    Each tree's sample is drawn with repetition from a pool of at most pool rows, so the driver holds no more.
+    Every row has as many tickets as the trees need, and a ticket names one tree. What decides is a hash of
+    the row's key (all its features by default: equal rows are one then), so any partitioning grows the same trees.
     """
 
-    def __init__(self, trees: int = 500, sample: int = 512, seed: int = 42, pool: int = 20_000):
-        self.trees, self.sample, self.seed, self.pool, self.columns, self.nodes = trees, sample, seed, pool, [], []
+    #: Tickets for each row that a tree takes.
+    SPARE = 1.5
+    #: Rows that walk through all trees together.
+    ROWS = 256
+
+    def __init__(self, trees: int = 500, sample: int = 512, seed: int = 42):
+        self.trees, self.sample, self.seed, self.columns, self.nodes, self.norm = trees, sample, seed, [], [], 1.0
 
-    def fit(self, df: DataFrame, columns: Sequence[str]) -> "IsolationForest":
-        """Each tree sees a sample of rows drawn from the pool, which a hash of the row chooses."""
+    def fit(self, df: DataFrame, columns: Sequence[str], key: Sequence[str] = ()) -> "IsolationForest":
+        """Rows with a null feature take no part. Only the trees come to the driver, some 2 * sample nodes each."""
         self.columns = list(columns)
-        rows = df.select(*(F.col(c).cast("double") for c in columns)).dropna()
-        pool = rows.orderBy(F.xxhash64(F.lit(self.seed), *columns), *columns).limit(min(self.trees * self.sample, self.pool)).toPandas().to_numpy()
-        rng = np.random.default_rng(self.seed)
-        deepest = math.ceil(math.log2(max(2, self.sample)))
-        self.nodes = []
-        for _ in range(self.trees):
-            own = pool[rng.integers(0, len(pool), min(self.sample, len(pool)))] if len(pool) else pool
-            tree: list[tuple[int, float, int, int, float]] = []
-
-            def grow(x: np.ndarray, depth: int) -> int:
-                at = len(tree)
-                tree.append((-1, 0.0, 0, 0, depth + float(_average_path(len(x)))))
-                spread = np.flatnonzero(x.max(axis=0) > x.min(axis=0)) if len(x) > 1 else []
-                if depth < deepest and len(spread):
-                    f = int(rng.choice(spread))
-                    cut = rng.uniform(x[:, f].min(), x[:, f].max())
-                    left = x[:, f] < cut
-                    tree[at] = (f, cut, grow(x[left], depth + 1), grow(x[~left], depth + 1), 0.0)
-                return at
-
-            grow(own, 0)
-            self.nodes.append(tuple(np.array(v) for v in zip(*tree)))
-        self.norm = float(_average_path(min(self.sample, max(2, len(pool)))))
+        names = [f"f{i}" for i in range(len(columns))]
+        rows = df.select(*(F.col(c).cast("double").alias(n) for c, n in zip(columns, names)), *(F.col(c).alias(f"k{i}") for i, c in enumerate(key))).dropna(subset=names)
+        own = [f"k{i}" for i in range(len(key))] or names
+        rows = rows if key else rows.dropDuplicates(names)
+        total = rows.count()
+        wanted = self.SPARE * self.trees * self.sample
+        tickets = max(1, math.ceil(wanted / max(1, total)))
+        share = min(1.0, wanted / max(1, total * tickets))
+        ticket = F.explode(F.sequence(F.lit(0), F.lit(tickets - 1)))
+        drawn = rows.select("*", ticket.alias("ticket")).withColumn("h", F.xxhash64(F.lit(self.seed), "ticket", *own))
+        drawn = drawn.where(F.shiftrightunsigned("h", 34) < math.ceil(share * (1 << 30))).withColumn("tree", F.pmod(F.xxhash64("h", F.lit(1)), F.lit(self.trees)).cast("int"))
+        size, seed, deepest = self.sample, self.seed, math.ceil(math.log2(max(2, self.sample)))
+        ship(df.sparkSession)
+
+        def one(group: pd.DataFrame) -> pd.DataFrame:
+            chosen = group.sort_values(["h", *names]).head(size)
+            tree = int(group["tree"].iloc[0])
+            nodes = grow(chosen[names].to_numpy(float), np.random.default_rng([seed, tree]), deepest)
+            return pd.DataFrame([(tree, len(chosen), *map(list, zip(*nodes)))], columns=["tree", "n", "feature", "cut", "left", "right", "depth"])
+
+        made = drawn.groupBy("tree").applyInPandas(one, "tree int, n int, feature array<int>, cut array<double>, left array<int>, right array<int>, depth array<double>")
+        grown = made.orderBy("tree").collect()
+        self.nodes = [tuple(np.array(r[c], k) for c, k in (("feature", int), ("cut", float), ("left", int), ("right", int), ("depth", float))) for r in grown]
+        self.norm = float(_average_path(min(self.sample, max(2, max((r["n"] for r in grown), default=2)))))
         return self
 
+    def _flat(self) -> tuple[np.ndarray, ...]:
+        """All trees as one: roots, features, cuts, the two children side by side (a leaf's are itself), depths and levels."""
+        size = np.array([len(t[0]) for t in self.nodes])
+        first = np.cumsum(size) - size
+        shift = np.repeat(first, size)
+        feature, cut, left, right, depth = (np.concatenate(x) for x in zip(*self.nodes))
+        children = np.stack([left + shift, right + shift], axis=1).ravel()
+        levels, at = 0, first
+        while (feature[at] >= 0).any():  # the deepest tree
+            at = np.unique(children.reshape(-1, 2)[at][feature[at] >= 0])
+            levels += 1
+        return first, np.maximum(feature, 0), np.where(feature < 0, -np.inf, cut), children, depth, levels
+
     def depths(self, x: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(x))
-        for feature, cut, left, right, depth in self.nodes:
-            at = np.zeros(len(x), int)
-            live = np.flatnonzero(feature[at] >= 0)
-            while len(live):
-                node = at[live]
-                at[live] = np.where(x[live, feature[node]] < cut[node], left[node], right[node])
-                live = live[feature[at[live]] >= 0]
-            total += depth[at]
-        return total / max(1, len(self.nodes))
+        """Mean path length of each row; rows walk through all trees at once, a level a step."""
+        if not self.nodes:
+            return np.zeros(len(x))
+        roots, feature, cut, children, depth, levels = self._flat()
+        out = np.empty(len(x))
+        for lo in range(0, len(x), self.ROWS):
+            rows = x[lo : lo + self.ROWS]
+            index = np.arange(len(rows))[:, None]
+            at = np.repeat(roots[None], len(rows), axis=0)
+            for _ in range(levels):
+                at = children[2 * at + (rows[index, feature[at]] >= cut[at])]
+            out[lo : lo + len(rows)] = depth[at].mean(axis=1)
+        return out
 
     def score(self, df: DataFrame, to: str = "anomaly_score") -> DataFrame:
         """df with 0.5 - 2^(-depth / mean depth): below 0 is unlike the sample; null features give null."""
@@ -150,7 +192,7 @@ class Artifacts:
 
     def save(self, spark, path: str) -> None:
         """As one JSON file on shared storage."""
-        forest = {k: getattr(self.forest, k) for k in ("trees", "sample", "seed", "pool", "columns", "norm")}
+        forest = {k: getattr(self.forest, k) for k in ("trees", "sample", "seed", "columns", "norm")}
         forest["nodes"] = [[x.tolist() for x in tree] for tree in self.forest.nodes]
         write_text(spark, path, json.dumps({"numbers": self.preprocessor.numbers, "categories": self.preprocessor.categories, "forest": forest, "limits": self.limits}))
 
@@ -161,7 +203,7 @@ class Artifacts:
         if missing := {"numbers", "categories", "forest", "limits"} - set(state):
             raise ValueError(f"artifacts lack {sorted(missing)}")
         own = state["forest"]
-        forest = IsolationForest(own["trees"], own["sample"], own["seed"], own["pool"])
+        forest = IsolationForest(own["trees"], own["sample"], own["seed"])
         forest.columns, forest.norm, forest.nodes = own["columns"], own["norm"], [tuple(map(np.array, tree)) for tree in own["nodes"]]
         return cls(Preprocessor({k: tuple(v) for k, v in state["numbers"].items()}, {k: (m, codes) for k, (m, codes) in state["categories"].items()}), forest, state["limits"])
 

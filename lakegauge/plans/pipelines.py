@@ -381,4 +381,4 @@ def score_threshold(spark, sf):
 @query()
 def isolation_forest_scores(spark, sf):
     df = read(spark, sf, "events").select("event_id", "value", F.hour("ts").cast("double").alias("hour"))
-    return health.IsolationForest().fit(df, ["value", "hour"]).score(df)
+    return health.IsolationForest().fit(df, ["value", "hour"], ["event_id"]).score(df)

@@ -1,5 +1,8 @@
 """Scans: typed and inferred Parquet, ranges, newest files, hour caches, registries and sensor text."""
 
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,14 +51,40 @@ def newest_file(spark: SparkSession, path: str, schema: str | None = None) -> Da
     return (spark.read.schema(schema) if schema else spark.read).parquet(files[-1][1])
 
 
-def with_column_only(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """All files under path merged, without those whose schema lacks a column; schemas come from the files' footers."""
-    holding = [name for _, name in parquet_files(spark, path) if column in spark.read.parquet(name).columns]
+def with_column_only(spark: SparkSession, path: str, column: str, at_a_time: int = 16) -> DataFrame:
+    """All files under path merged, without those whose schema lacks a column; footers alone are read, many at a time and without a job each."""
+    names = [name for _, name in parquet_files(spark, path)]
+    hadoop = spark._jsc.hadoopConfiguration()
+    footers = spark._jvm.org.apache.parquet.hadoop.ParquetFileReader
+
+    def has(name: str) -> bool:
+        target = spark._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(spark._jvm.org.apache.hadoop.fs.Path(name), hadoop)
+        reader = footers.open(target)
+        try:
+            return reader.getFooter().getFileMetaData().getSchema().containsField(column)
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(at_a_time) as pool:
+        holding = [name for name, there in zip(names, pool.map(has, names)) if there]
     if not holding:
         raise FileNotFoundError(f"no file under {path} has {column}")
     return spark.read.option("mergeSchema", "true").parquet(*holding)
 
 
+def cursor(df: DataFrame, *order: str, rows: int = 10_000) -> Iterator[list]:
+    """Rows in order, so many at a time: a range shuffle sorts them, and the driver holds one partition's at most, asked for as they are read."""
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    held = []
+    for row in parts.toLocalIterator():
+        held.append(row)
+        if len(held) == rows:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def first_readable(spark: SparkSession, *paths: str) -> DataFrame:
     """The first of several places that reads as Parquet."""
     error: Exception | None = None

@@ -88,3 +88,12 @@ def test_only_files_with_a_column_are_read(spark, tmp_path):
     for i in range(7):
         spark.range(3).selectExpr("id", *(["id as wanted"] if i % 2 else [])).coalesce(1).write.parquet(f"{tmp_path}/d/{i}")
     assert tables.with_column_only(spark, f"{tmp_path}/d", "wanted").count() == 9
+
+
+def test_a_cursor_gives_rows_in_order_with_few_held(spark):
+    df = spark.range(5000).selectExpr("id * 7919 % 5003 as k", "id % 3 as g").repartition(6)
+    batches = list(tables.cursor(df, "g", "k", rows=700))
+    rows = [tuple(r) for b in batches for r in b]
+    assert [len(b) for b in batches] == [700] * 7 + [100]
+    assert [(g, k) for k, g in rows] == sorted((i % 3, i * 7919 % 5003) for i in range(5000))
+    assert next(tables.cursor(df, "k", rows=3))[0]["k"] == 0 and list(tables.cursor(df.limit(0), "k")) == []

@@ -101,6 +101,32 @@ def test_forest_ranks_outliers_low(spark):
     assert again == scores[1000]
 
 
+def walked(tree, row):
+    """The path length of one row in one tree, step by step."""
+    feature, cut, left, right, depth = tree
+    at = 0
+    while feature[at] >= 0:
+        at = left[at] if row[feature[at]] < cut[at] else right[at]
+    return depth[at]
+
+
+def test_forest_is_the_same_for_any_partitions_and_scores_as_plain_trees(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(size=(3000, 2)))]
+    df = spark.createDataFrame(rows, "id int, a double, b double")
+    one = health.IsolationForest(trees=40, sample=64).fit(df, ["a", "b"], ["id"])
+    two = health.IsolationForest(trees=40, sample=64).fit(df.repartition(13), ["a", "b"], ["id"])
+    assert len(one.nodes) == 40 and all((x == y).all() for a, b in zip(one.nodes, two.nodes) for x, y in zip(a, b))
+    x = rng.normal(size=(500, 2)) * 3
+    want = [np.mean([walked(t, r) for t in one.nodes]) for r in x]
+    assert np.abs(one.depths(x) - want).max() < 1e-12
+    # a tree sees rows of the whole table, and no two trees the same ones
+    cuts = {float(t[1][0]) for t in one.nodes}
+    assert len(cuts) > 35
+    empty = health.IsolationForest(trees=5).fit(df.limit(0), ["a", "b"])
+    assert empty.nodes == [] and empty.score(df).count() == 3000
+
+
 def test_health_guards(spark):
     one = spark.createDataFrame([("d", 1, 5.0, 0.1), ("e", 2, 5.0, 0.1)], "device_id string, hour_of_day int, avg_metric_value double, anomaly_score double")
     r = health.health(one).collect()[0]
