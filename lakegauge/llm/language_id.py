@@ -7,8 +7,9 @@ space; in it a ridge regression for each language against the rest is solved in
 fitting and scoring multiply batches of presence vectors by one matrix.
 
 Fitting uses a bounded sample of the labelled training rows, at most PER_LANGUAGE for each
-language, chosen by a hash of the text alone; every language and texts of every length take part,
-and a task fits the model from sums over the sample's batches. Scoring covers every whole text.
+language, chosen by a hash of the text alone; every language and texts of every length take part.
+Tasks make the sample's presence vectors, of BUCKETS bits each, and one task fits the model from sums over
+these, so what meets there does not grow with the texts. Scoring covers every whole text.
 
 Defined results: null text and text without letters is UNKNOWN with score 0; without any labelled
 rows that have letters there is no model and all texts are UNKNOWN; equal texts have equal results
@@ -78,12 +79,15 @@ class Model:
 
 
 def _unit(array) -> np.ndarray:
-    raw = presence(*arrowtext.column(array))
+    return _normed(presence(*arrowtext.column(array)))
+
+
+def _normed(raw: np.ndarray) -> np.ndarray:
     return raw / np.sqrt(np.maximum(raw.sum(axis=1, keepdims=True), 1))
 
 
 def solve(parts) -> Model | None:
-    """The model of (texts, labels) parts; the texts of the first labels of each language, as many as LEAST or its share, must come first."""
+    """The model of (unit vectors, labels, whether they are landmarks) parts; the vectors of the first labels of each language, as many as LEAST or its share, must come first."""
     landmarks, project, sums, counts = [], None, {}, {}
 
     def add(unit, labels):
@@ -95,12 +99,7 @@ def solve(parts) -> Model | None:
             sums[name], counts[name] = (gram + own.T @ own, total + own.sum(axis=0)), counts.get(name, 0) + len(own)
 
     held = []
-    for texts, labels, landmark in parts:
-        letters = _has_letter(texts.to_pylist())
-        if not letters.any():
-            continue
-        rows = np.flatnonzero(letters)
-        unit, labels = _unit(texts.take(pa.array(rows))), [labels[r] for r in rows]
+    for unit, labels, landmark in parts:
         if project is None and landmark:
             landmarks.append(unit)
             held.append((unit, labels))
@@ -149,22 +148,31 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model |
     sample = rows.join(small(chosen), ["lang", "place"]).groupBy("lang", "place", "rank").agg(F.min("text").alias("text"))
     sample = work.write(sample.select("lang", "text", "rank", (F.col("rank") <= first).alias("landmark")), "sample")
 
+    def vectors(batches):
+        for whole in arrowtext.slices(batches, "text"):
+            for lo in range(0, whole.num_rows, BATCH):
+                part = whole.slice(lo, BATCH)
+                part = part.filter(pa.array(_has_letter(part.column(1).to_pylist())))
+                if part.num_rows:
+                    bits = np.packbits(presence(*arrowtext.column(part.column(1))).astype(bool), axis=1)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([b.tobytes() for b in bits], pa.binary()), *(part.column(i) for i in (2, 3))], ["lang", "bits", "rank", "landmark"])
+
     def run(batches):
         def parts():
-            for batch in batches:
-                for whole in arrowtext.slices([batch], "text"):
-                    for lo in range(0, whole.num_rows, BATCH):
-                        part = whole.slice(lo, BATCH)
-                        marks = part.column(2).to_pylist()
-                        cut = sum(marks)  # landmarks come first
-                        for x in (part.slice(0, cut), part.slice(cut)):
-                            if x.num_rows:
-                                yield x.column(1), x.column(0).to_pylist(), x.column(2)[0].as_py()
+            for whole in batches:
+                for lo in range(0, whole.num_rows, BATCH):
+                    part = whole.slice(lo, BATCH)
+                    cut = sum(part.column(2).to_pylist())  # landmarks come first
+                    for x in (part.slice(0, cut), part.slice(cut)):
+                        if x.num_rows:
+                            raw = np.stack([np.unpackbits(np.frombuffer(b, np.uint8)) for b in x.column(1).to_pylist()]).astype(np.float32)
+                            yield _normed(raw), x.column(0).to_pylist(), x.column(2)[0].as_py()
 
         if model := solve(parts()):
             yield pa.RecordBatch.from_pylist([{"languages": model.languages, "weights": model.weights.tobytes(), "bias": model.bias.tobytes()}], _SOLVED)
 
-    ordered = sample.repartition(1).sortWithinPartitions(F.desc("landmark"), "lang", "rank").select("lang", "text", "landmark")
+    seen = sample.select("lang", "text", "rank", "landmark").mapInArrow(vectors, "lang string, bits binary, rank int, landmark boolean")
+    ordered = seen.repartition(1).sortWithinPartitions(F.desc("landmark"), "lang", "rank").select("lang", "bits", "landmark")  # BUCKETS bits a row
     found = ordered.mapInArrow(run, "languages array<string>, weights binary, bias binary").collect()  # one row: BUCKETS numbers a language
     if not found:
         return None
