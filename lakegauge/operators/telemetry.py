@@ -245,6 +245,16 @@ def messages(readings: DataFrame, registry: DataFrame, n: int, key: str, order:
     return whole.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(key, *defaults, "Average", "Minimum", "Maximum", "PowerDetail")).alias("value"))
 
 
+def hierarchy_export(readings: DataFrame, registry: DataFrame, key: str, time: str, start: str, end: str, attributes: dict[str, str], **hierarchy: str) -> DataFrame:
+    """Readings of [start, end) of the devices of a hierarchy (column=value of the registry), with their attributes or defaults; a hierarchy without devices has none."""
+    own = registry
+    for c, v in hierarchy.items():
+        own = own.where(F.col(c) == F.lit(v))
+    own = own.select(key, *hierarchy, *(F.coalesce(F.col(c), F.lit(d)).alias(c) for c, d in attributes.items()))
+    rows = readings.where((F.col(time) >= F.lit(start).cast("timestamp")) & (F.col(time) < F.lit(end).cast("timestamp")))
+    return rows.join(own, key)
+
+
 def points(hours: int) -> int:
     """Readings of so many hours."""
     return hours * 12

@@ -157,3 +157,23 @@ def inference_cycle(spark, sf):
     limits = health.threshold(scored)
     done = health.health(scored, low=limits["min_score"], high=limits["max_score"])
     return done.withColumn("prediction", health.prediction(F.col("anomaly_score"), F.lit(limits["threshold"]))).drop("ahc", "dhc", "tcc")
+
+
+def _exported(spark, sf, platform: str):
+    registry = read(spark, sf, "customer").join(F.broadcast(read(spark, sf, "nation")), F.col("n_nationkey") == F.col("c_nationkey"))
+    registry = registry.select(F.col("c_custkey").alias("user_id"), F.when(F.col("c_custkey") % 9 == 4, "P0").otherwise(F.concat(F.lit("P"), F.col("c_custkey") % 4 + 1)).alias("platform"), F.expr("CASE WHEN c_custkey % 5 <> 0 THEN n_name END").alias("place"))
+    readings = read(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    return telemetry.hierarchy_export(readings, registry, "user_id", "ts", "2024-01-03", "2024-01-20", {"place": "unknown"}, platform=platform)
+
+
+@query("""SELECT event_id, user_id, 'P2' AS platform, CASE WHEN c_custkey % 5 <> 0 THEN n_name ELSE 'unknown' END AS place, value FROM events JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
+WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-20' AND c_custkey % 9 <> 4 AND c_custkey % 4 = 1""")
+def hierarchy_export(spark, sf):
+    """A platform's readings of a range, with the registry's attributes."""
+    return _exported(spark, sf, "P2").drop("ts")
+
+
+@query("SELECT count(*) AS n FROM customer WHERE false")
+def empty_hierarchy_export(spark, sf):
+    """A platform without devices has no readings, and no error."""
+    return _exported(spark, sf, "P9").agg(F.count("*").alias("n"))
