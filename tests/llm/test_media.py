@@ -1,8 +1,11 @@
 import hashlib
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from lakegauge.llm import media_chunks
 
 SF = "/root/testdata/sf0.001"
@@ -35,6 +38,20 @@ def test_cuts_are_those_of_the_definition():
     assert media_chunks.cut(np.frombuffer(b"".join(texts), np.uint8), offsets) == [plain_cut(t) for t in texts]
 
 
+def plain_form(chunks):
+    """CDC1, the number of chunks, size and SHA-256 of each, and the chunks, by the definition."""
+    listed = b"".join(len(c).to_bytes(4, "little") + hashlib.sha256(c).digest() for c in chunks)
+    return b"CDC1" + len(chunks).to_bytes(4, "little") + listed + b"".join(chunks)
+
+
+def plain_features(payload, chunks):
+    """Numbers of a payload's samples, one by one."""
+    n, mean = len(payload), sum(payload) / len(payload)
+    shares = [k / n for k in Counter(payload).values()]
+    turns = sum((a >= 128) != (b >= 128) for a, b in zip(payload, payload[1:]))
+    return {"chunks": chunks, "mean": mean, "std": math.sqrt(sum((x - mean) ** 2 for x in payload) / n), "entropy": -sum(p * math.log2(p) for p in shares), "turns": turns}
+
+
 def compare(spark, rows):
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, sha string")
     found = media_chunks.of_documents(docs).collect()
@@ -48,10 +65,11 @@ def compare(spark, rows):
         payload = raw + b"\0" * (-len(raw) % 64 or (64 if not raw else 0))
         r = by_sha[hashlib.sha256(payload).hexdigest()]
         chunks = [payload[a:b] for a, b in zip([0, *plain_cut(payload)], plain_cut(payload))]
-        form = media_chunks.media(b"", chunks)
+        form = plain_form(chunks)
         assert (r["payload_bytes"], r["tail_crc32"]) == (len(payload), zlib.crc32(payload[-64:]))
         assert (r["media_bytes"], r["media_sha256"]) == (len(form), hashlib.sha256(form).hexdigest())
-        assert r["feature"] == media_chunks.features(payload, len(chunks))
+        numbers = {k: float(v) for k, v in (x.split("=") for x in r["feature"].split(";"))}
+        assert numbers == pytest.approx(plain_features(payload, len(chunks)), abs=2e-6)
     assert sorted((r["doc_id"] or -1, r["n_bytes"], r["payload_sha256"]) for r in found) == sorted((i or -1, len((t or "").encode()), hashlib.sha256((t or "").encode() + b"\0" * (-len((t or "").encode()) % 64 or (0 if t else 64))).hexdigest()) for i, t in rows)
 
 
