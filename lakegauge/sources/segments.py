@@ -3,8 +3,11 @@
 A segment is a file of JSON lines, <topic>/<partition>/<first offset>-<records>.json, with a key, a
 value and a time in each line; it never changes. The reader keeps offsets of its own: the next one of
 each partition. A trigger takes at most so many records, dealt over the partitions, and each range of
-offsets is read by tasks, so a batch that failed is read again with the same records. The folder must
-be one that the driver's and the tasks' Python can open (a mounted share on a cluster).
+offsets is read by tasks, so a batch that failed is read again with the same records. What waits at a
+start may be taken in so many triggers at most instead, as a trigger has a cost of its own and a long log
+would have too many of them. The driver lists the segments, once a trigger, and a range has the names of
+its own. The folder must be one that the driver's and the tasks' Python can open (a mounted share on a
+cluster).
 
 The writer has two phases. Tasks stage files of batches of rows under a name of their own; when all tasks are
 done the driver gives the batch's records their offsets and puts the files in place. A batch number that was
@@ -21,6 +24,7 @@ import shutil
 import time
 import uuid
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from datetime import UTC, datetime
 from pathlib import Path
@@ -33,6 +37,8 @@ from ..session import ship
 SCHEMA = "topic string, partition int, offset long, key string, value string, timestamp timestamp"
 #: Rows that a task encodes and stages together.
 BATCH = 10_000
+#: Records that a task reads at most.
+READ = 100_000
 
 
 def _folder(path: str) -> Path:
@@ -60,17 +66,17 @@ def dead(path: str, topic: str) -> list[str]:
 
 
 class Range(InputPartition):
-    """Records of a partition from one offset up to another."""
+    """Records of a partition from one offset up to another, and the segments that hold them."""
 
-    def __init__(self, topic: str, partition: int, first: int, last: int):
-        self.topic, self.partition, self.first, self.last = topic, partition, first, last
+    def __init__(self, topic: str, partition: int, first: int, last: int, segments: list[tuple[int, int]]):
+        self.topic, self.partition, self.first, self.last, self.segments = topic, partition, first, last, segments
 
 
 class Reader(DataSourceStreamReader):
     def __init__(self, options: dict):
         self.path, self.topics = options["path"], options["topics"].split(",")
         self.limit, self.tasks = int(options.get("maxoffsetspertrigger", 3000)), int(options.get("minpartitions", 12))
-        self.latest, self.checkpoint = options.get("startingoffsets", "latest") == "latest", options.get("checkpoint")
+        self.latest, self.checkpoint, self.backlog = options.get("startingoffsets", "latest") == "latest", options.get("checkpoint"), int(options.get("backlogtriggers", 0))
         self.at: dict | None = None
 
     def _ends(self) -> dict:
@@ -88,10 +94,14 @@ class Reader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         """At most the limit's number of records more than before, in even shares that partitions with fewer leave to the others."""
-        if self.at is None:
+        there, begins = self._ends(), self.at is None
+        if begins:
             self.at = self._resumed()
-        there, now, left = self._ends(), {t: dict(self.at.get(t, {})) for t in self.topics}, self.limit
+        now = {t: dict(self.at.get(t, {})) for t in self.topics}
         open_ = sorted((n - now[t].get(p, 0), t, p) for t, own in there.items() for p, n in own.items())
+        if begins and self.backlog:
+            self.limit = max(self.limit, -(-sum(max(0, n) for n, _, _ in open_) // self.backlog))
+        left = self.limit
         for i, (waiting, t, p) in enumerate(open_):
             take = min(max(0, waiting), left // (len(open_) - i))
             now[t][p], left = now[t].get(p, 0) + take, left - take
@@ -101,14 +111,16 @@ class Reader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[Range]:
         whole = [(t, int(p), start.get(t, {}).get(p, 0), n) for t, own in end.items() for p, n in own.items()]
         total = sum(b - a for _, _, a, b in whole)
-        size = max(1, -(-total // self.tasks))
-        return [Range(t, p, lo, min(lo + size, b)) for t, p, a, b in whole for lo in range(a, b, size)]
+        size, there = min(READ, max(1, -(-total // self.tasks))), {t: listed(self.path, t) for t in end}
+
+        def held(own: list[tuple[int, int]], lo: int, hi: int) -> list[tuple[int, int]]:
+            return own[max(0, bisect_right(own, lo, key=lambda x: x[0]) - 1) : bisect_left(own, hi, key=lambda x: x[0])]
+
+        return [Range(t, p, lo, hi, held(there[t].get(p, []), lo, hi)) for t, p, a, b in whole for lo in range(a, b, size) for hi in (min(lo + size, b),)]
 
     def read(self, partition: Range) -> Iterator[tuple]:
         folder = _folder(self.path) / partition.topic / str(partition.partition)
-        for first, n in listed(self.path, partition.topic)[partition.partition]:
-            if first >= partition.last or first + n <= partition.first:
-                continue
+        for first, n in partition.segments:
             with (folder / f"{first:020d}-{n}.json").open() as lines:
                 for offset, line in enumerate(lines, first):
                     if partition.first <= offset < partition.last:
@@ -158,7 +170,12 @@ class Writer(DataSourceStreamWriter):
         context = TaskContext.get()
         folder = self.root / "_staged" / f"{self.name}-{context.partitionId() if context else 0}-{uuid.uuid4().hex}"
         folder.mkdir(parents=True)
-        files, dead, held = [], [], []
+        files, dead, held, open_ = [], [], [], {}
+
+        def put(p: int, lines: list[str]) -> None:
+            name = f"{len(files):08d}.json"
+            (folder / name).write_text("\n".join(lines) + "\n")
+            files.append((p, name, len(lines)))
 
         def stage(rows):
             try:
@@ -171,13 +188,11 @@ class Writer(DataSourceStreamWriter):
                     except (ValueError, AttributeError, TypeError) as e:
                         value = r["value"]
                         dead.append(json.dumps({"key": r["key"], "value": base64.b64encode(bytes(value)).decode() if isinstance(value, (bytes, bytearray)) else value, "error": str(e)}))
-            by_part: dict[int, list[str]] = {}
-            for p, line in lines:
-                by_part.setdefault(p, []).append(line)
-            for p, own in sorted(by_part.items()):
-                name = f"{len(files):08d}.json"
-                (folder / name).write_text("\n".join(own) + "\n")
-                files.append((p, name, len(own)))
+            for p, line in lines:  # a partition's file is full with a batch's number of records, whatever batches they came in
+                own = open_.setdefault(p, [])
+                own.append(line)
+                if len(own) == self.batch:
+                    put(p, open_.pop(p))
 
         for row in iterator:
             held.append(row.asDict())
@@ -186,6 +201,8 @@ class Writer(DataSourceStreamWriter):
                 held = []
         if held:
             stage(held)
+        for p, own in sorted(open_.items()):
+            put(p, own)
         if dead:
             (folder / "dead").write_text("\n".join(dead) + "\n")
         return Staged(str(folder), files, "dead" if dead else None)
@@ -233,7 +250,7 @@ class Writer(DataSourceStreamWriter):
 
 
 class Segments(DataSource):
-    """format("segments"): options path, topics, startingOffsets, maxOffsetsPerTrigger, minPartitions and checkpoint to read; path, topic, partitions, writer and batch to write."""
+    """format("segments"): options path, topics, startingOffsets, maxOffsetsPerTrigger, backlogTriggers, minPartitions and checkpoint to read; path, topic, partitions, writer and batch to write."""
 
     @classmethod
     def name(cls) -> str:
@@ -249,11 +266,14 @@ class Segments(DataSource):
         return Writer({k.lower(): v for k, v in self.options.items()})
 
 
-def stream(spark: SparkSession, path: str, *topics: str, checkpoint: str, per_trigger: int = 3000, partitions: int = 12, starting: str = "latest") -> DataFrame:
-    """A stream of the topics' records; checkpoint is the folder of the query that reads it, by which a restart knows where it was."""
+def stream(spark: SparkSession, path: str, *topics: str, checkpoint: str, per_trigger: int = 3000, partitions: int = 12, starting: str = "latest", backlog: int = 0) -> DataFrame:
+    """A stream of the topics' records; checkpoint is the folder of the query that reads it, by which a restart knows where it was.
+
+    backlog: what waits at a start is taken in so many triggers at most, of more than per_trigger records if need be; 0: per_trigger always holds.
+    """
     ship(spark)
     spark.dataSource.register(Segments)
-    options = {"path": path, "topics": ",".join(topics), "checkpoint": checkpoint, "maxOffsetsPerTrigger": str(per_trigger), "minPartitions": str(partitions), "startingOffsets": starting}
+    options = {"path": path, "topics": ",".join(topics), "checkpoint": checkpoint, "maxOffsetsPerTrigger": str(per_trigger), "minPartitions": str(partitions), "startingOffsets": starting, "backlogTriggers": str(backlog)}
     return spark.readStream.format("segments").options(**options).load()
 
 

@@ -84,6 +84,21 @@ def test_a_stream_from_the_latest_offset_sees_new_records_alone(spark, tmp_path)
     assert sum(p.last - p.first for p in parts) == 24 and max(p.last - p.first for p in parts) <= 2
 
 
+def test_what_waits_at_a_start_takes_so_many_triggers_and_a_range_knows_its_segments(tmp_path, monkeypatch):
+    writer = segments.Writer({"path": str(tmp_path), "topic": "t", "partitions": "3", "batch": "100"})
+    writer.commit([writer.write(FakeRow(key=str(i), value=str(i), timestamp=None) for i in range(2000))], 0)
+    assert sum(len(own) for own in segments.listed(str(tmp_path), "t").values()) <= 2000 / 100 + 3
+    reader, now, triggers, seen = segments.Reader({"path": str(tmp_path), "topics": "t", "startingoffsets": "earliest", "maxoffsetspertrigger": "10", "backlogtriggers": "4"}), {"t": {}}, 0, []
+    while (then := reader.latestOffset()) != now:
+        ranges = reader.partitions(now, then)
+        with monkeypatch.context() as m:
+            m.setattr(segments, "listed", None)  # tasks list nothing
+            got = [r[4] for p in ranges for r in reader.read(p)]
+        assert len(got) <= 500 and all(p.segments for p in ranges)
+        seen, now, triggers = seen + got, then, triggers + 1
+    assert triggers <= 5 and sorted(map(int, seen)) == list(range(2000))
+
+
 
 class FakeRow(dict):
     asDict = dict.copy
