@@ -34,6 +34,27 @@ def test_days_are_written_once_and_late_rows_kept(spark, tmp_path):
     assert run(spark, tmp_path) == want
 
 
+def test_devices_of_a_day_share_state_calls_and_timers(spark, tmp_path, monkeypatch):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    class Counted(days._Days):
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            (calls / str(key)).touch()
+            yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+
+    monkeypatch.setattr(days, "_Days", Counted)
+    monkeypatch.setattr(days, "GROUPS", 4)
+    put(spark, f"{tmp_path}/in", [(f"d{i}", f"2026-01-01 0{i % 9}:00:00", float(i)) for i in range(300)])
+    put(spark, f"{tmp_path}/in", [("z", "2026-01-05 01:00:00", 5.0)])
+    put(spark, f"{tmp_path}/in", [("d7", "2026-01-01 05:00:00", 7.0), ("new", "2026-01-01 06:00:00", None)])
+    whole, late = run(spark, tmp_path)
+    # d7's day is open until the batch's timers fire; a device without a row of the day is late beside it
+    assert sorted(whole) == sorted((f"d{i}", date(2026, 1, 1), 1 + (i == 7), i * (1.0 + (i == 7)), float(i), float(i)) for i in range(300))
+    assert late == [("new", datetime(2026, 1, 1, 6), None)]
+    assert 1 <= len(list(calls.iterdir())) <= 4
+
+
 def fill(spark, folder, n=2500, **options):
     rows = spark.range(n).selectExpr("cast(id % 5 as string) as key", "cast(id as string) as value", "timestamp_seconds(id) as timestamp")
     rows.repartition(2).write.parquet(f"{folder}/in")
