@@ -68,8 +68,14 @@ def expected_unique(devices: int, days: int, first: int = 2016, daily: int = 288
     return devices * (first + (days - 1) * daily) if days > 0 else 0
 
 
-def file_statistics(df: DataFrame, raw_bytes: Column) -> DataFrame:
-    """Files, rows and bytes of a Parquet frame, and what percentage its files save against raw_bytes a row."""
-    meta = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), raw_bytes.alias("raw"))
-    files = meta.groupBy("file").agg(F.max("size").alias("size"), F.count("*").alias("n"), F.sum("raw").alias("raw"))
+def file_statistics(df: DataFrame, raw_bytes: Column, file: Column | None = None) -> DataFrame:
+    """Files, rows and bytes of a Parquet frame, and what percentage its files save against raw_bytes a row.
+
+    file: the name of the file that a row's part belongs to, for files that are folders of parts as Spark
+    writes them; each part is a file by default.
+    """
+    part = F.col("_metadata.file_path")
+    meta = df.select((part if file is None else file).alias("file"), part.alias("part"), F.col("_metadata.file_size").alias("size"), raw_bytes.alias("raw"))
+    parts = meta.groupBy("file", "part").agg(F.max("size").alias("size"), F.count("*").alias("n"), F.sum("raw").alias("raw"))
+    files = parts.groupBy("file").agg(F.sum("size").alias("size"), F.sum("n").alias("n"), F.sum("raw").alias("raw"))
     return files.agg(F.count("*").alias("files"), F.sum("n").alias("n_rows"), F.sum("size").alias("bytes"), F.round((1 - F.try_divide(F.sum("size").cast("double"), F.sum("raw"))) * 100, 2).alias("saved_percent"))

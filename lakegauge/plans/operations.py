@@ -6,7 +6,7 @@ from ..operators import health, quality, telemetry
 from ..session import scratch
 from ..sources import sinks, tables
 from ..streaming import jobs
-from .pipelines import _CLASS, _RECORD, _as_files, _classified
+from .pipelines import _CLASS, _RECORD, _as_files, _classified, landed
 from .registry import S, query, read, stamp
 
 
@@ -86,9 +86,10 @@ def oldest_watermarks(spark, sf):
 
 @query("SELECT count(*) AS n_rows, 3 AS files, true AS sizes_hold FROM lineitem")
 def file_statistics(spark, sf):
+    """Three files of all rows, each a folder of as many parts as its rows need, so that no task gathers a third of the table."""
     path = scratch(spark, "files")
-    read(spark, sf, "lineitem").repartition(3).write.parquet(path)
-    found = quality.file_statistics(spark.read.parquet(path), F.lit(100))
+    landed(read(spark, sf, "lineitem"), path, 3, folder="file")
+    found = quality.file_statistics(spark.read.parquet(path), F.lit(100), F.regexp_extract("_metadata.file_path", "^(.*/file=[0-9]+)/", 1))
     return found.select("n_rows", F.col("files").cast("int").alias("files"), F.expr("bytes > 0 AND abs(saved_percent - (1 - bytes / (100D * n_rows)) * 100) < 0.01").alias("sizes_hold"))
 
 

@@ -3,6 +3,7 @@ import pytest
 from lakegauge import schemas
 from lakegauge.functions import scalar
 from lakegauge.operators import generate, health, quality, records, telemetry
+from lakegauge.plans import operations, pipelines
 from lakegauge.streaming import jobs
 from pyspark.sql import functions as F
 
@@ -162,3 +163,20 @@ def test_stream_parse_tells_wrong_types_from_broken_json(spark):
     assert len(found) == 16 and all(r["error_type"] == r["want"] for r in found)
     odd = spark.createDataFrame([("5",), ('"x"',), ("[]",)], "value string")
     assert {r["error_type"] for r in jobs.parse(odd, pipelines._RECORD).collect()} == {"MISSING_DEVICE_ID"}
+
+
+def test_files_are_folders_of_parts_that_no_task_gathers(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 1200, 1, 4)
+    rows.withColumn("file", F.col("id") % 3).write.partitionBy("file").parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    sizes = [f.stat().st_size for f in tmp_path.glob("t/file=*/*.parquet")]
+    one = quality.file_statistics(df, F.lit(100), F.regexp_extract("_metadata.file_path", "^(.*/file=[0-9]+)/", 1)).collect()[0]
+    assert (one["files"], one["n_rows"], one["bytes"]) == (3, 1200, sum(sizes)) and len(sizes) == 12
+    assert quality.file_statistics(df, F.lit(100)).collect()[0]["files"] == 12
+    (tmp_path / "sf").mkdir()
+    monkeypatch.setattr(pipelines, "FILE_ROWS", 100)
+    spark.range(0, 1200, 1, 4).write.parquet(f"{tmp_path}/sf/lineitem.parquet")
+    found = operations.file_statistics(spark, f"{tmp_path}/sf")
+    assert tuple(found.collect()[0]) == (1200, 3, True)
+    parts = found.inputFiles()
+    assert len(parts) == 12 and all(spark.read.parquet(p).count() <= 150 for p in parts)
