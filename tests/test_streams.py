@@ -2,6 +2,7 @@ import json
 from datetime import date, datetime
 
 import pytest
+from lakegauge.plans import maintenance
 from lakegauge.sources import segments
 from lakegauge.streaming import days, jobs
 from pyspark.sql import functions as F
@@ -55,6 +56,22 @@ def test_devices_of_a_day_share_state_calls_and_timers(spark, tmp_path, monkeypa
     assert 1 <= len(list(calls.iterdir())) <= 4
 
 
+def test_a_compacted_table_has_few_files_at_any_size(spark, tmp_path, monkeypatch):
+    made = []
+
+    class Seen(maintenance.Store):
+        def __init__(self, *a, **k):
+            super().__init__(*a, **k)
+            made.append(self)
+
+    monkeypatch.setattr(maintenance, "Store", Seen)
+    spark.range(40_000).selectExpr("id as event_id", "id as user_id", "cast(id % 2 as string) as event_type").write.parquet(f"{tmp_path}/events.parquet")
+    found = maintenance.stream_compaction(spark, str(tmp_path))
+    assert found.count() == 40_000 and found.where("compacted").count() == 40_000
+    files = made[0].detail()["files"]
+    assert 100 <= files <= 300  # a thousand of 40 rows before
+
+
 def fill(spark, folder, n=2500, **options):
     rows = spark.range(n).selectExpr("cast(id % 5 as string) as key", "cast(id as string) as value", "timestamp_seconds(id) as timestamp")
     rows.repartition(2).write.parquet(f"{folder}/in")
