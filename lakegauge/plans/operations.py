@@ -13,9 +13,9 @@ from .registry import S, query, read, stamp
 @query("""SELECT CAST(user_id AS VARCHAR) AS device_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS metric_time, round(avg(sqrt(value)), 2) AS avg_metric_value, round(max(sqrt(value)), 2) AS max_metric_value, round(min(sqrt(value)), 2) AS min_metric_value,
 arg_min(event_type, ts) AS report_type, 'power_metrics' AS metric_id, NULL::VARCHAR AS cpu_inventory, NULL::DOUBLE AS amb_temp, epoch(CAST(CAST(ts AS DATE) AS TIMESTAMP)) + 60 AS "timeRangeEnd" FROM events GROUP BY user_id, CAST(ts AS DATE)""")
 def stream_refined_projection(spark, sf):
-    path, schema = _as_files(spark, sf)
+    path, schema, each = _as_files(spark, sf)
     out = scratch(spark, "refined")
-    flat = jobs.files(spark, path, schema, per_trigger=2).select(F.col("user_id").cast("string").alias("device_id"), F.col("ts").alias("event_time"), F.sqrt("value").alias("value"), F.col("event_type").alias("report_type"))
+    flat = jobs.files(spark, path, schema, per_trigger=2 * each).select(F.col("user_id").cast("string").alias("device_id"), F.col("ts").alias("event_time"), F.sqrt("value").alias("value"), F.col("event_type").alias("report_type"))
     jobs.complete(telemetry.refine_daily(flat, F.lit("2026-01-01").cast("timestamp")), out, scratch(spark, "checkpoint")).awaitTermination()
     rows = spark.read.parquet(out)
     assert len(rows.columns) == 36
@@ -95,9 +95,9 @@ def file_statistics(spark, sf):
 
 @query(f"""SELECT strftime(w, {S}) AS window_start, event_type, count(*) AS n FROM (SELECT event_type, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS w FROM events) GROUP BY ALL""")
 def sliding_windows(spark, sf):
-    path, schema = _as_files(spark, sf)
+    path, schema, each = _as_files(spark, sf)
     out = scratch(spark, "windows")
-    windows = jobs.by_window(jobs.files(spark, path, schema, per_trigger=2), "ts", "2 hours", ["event_type"], [F.count("*").alias("n")], late="400 days", slide="1 hour")
+    windows = jobs.by_window(jobs.files(spark, path, schema, per_trigger=2 * each), "ts", "2 hours", ["event_type"], [F.count("*").alias("n")], late="400 days", slide="1 hour")
     jobs.complete(windows, out, scratch(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(out).select(stamp("window_start").alias("window_start"), "event_type", "n")
 
@@ -105,9 +105,9 @@ def sliding_windows(spark, sf):
 @query(f"""SELECT user_id, strftime(min(ts), {S}) AS session_start, count(*) AS n FROM (SELECT user_id, ts, sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
 FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS b FROM events)) GROUP BY user_id, s""")
 def session_windows(spark, sf):
-    path, schema = _as_files(spark, sf)
+    path, schema, each = _as_files(spark, sf)
     out = scratch(spark, "sessions")
-    found = jobs.sessions(jobs.files(spark, path, schema, per_trigger=2), "ts", "6 hours", ["user_id"], [F.count("*").alias("n")], late="400 days")
+    found = jobs.sessions(jobs.files(spark, path, schema, per_trigger=2 * each), "ts", "6 hours", ["user_id"], [F.count("*").alias("n")], late="400 days")
     jobs.complete(found, out, scratch(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(out).select("user_id", stamp("session_start").alias("session_start"), "n")
 
@@ -115,21 +115,21 @@ def session_windows(spark, sf):
 @query("SELECT CAST(count(*) AS BIGINT) AS row_count FROM events")
 def stream_batch_metrics(spark, sf):
     """Every micro-batch leaves a row of metrics in a folder of its number."""
-    path, schema = _as_files(spark, sf)
+    path, schema, each = _as_files(spark, sf)
     out = scratch(spark, "metrics")
 
     def step(df, batch_id):
         df.agg(F.lit(batch_id).alias("batch_id"), F.count("*").alias("row_count")).write.mode("overwrite").parquet(f"{out}/n={batch_id}")
 
-    jobs.files(spark, path, schema, per_trigger=1).writeStream.foreachBatch(step).option("checkpointLocation", scratch(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    jobs.files(spark, path, schema, per_trigger=each).writeStream.foreachBatch(step).option("checkpointLocation", scratch(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).agg(F.sum("row_count").alias("row_count"))
 
 
 @query(f"SELECT {_CLASS} AS error_type, count(*) AS n FROM events GROUP BY 1")
 def stream_classified(spark, sf):
     path, out = scratch(spark, "raw"), scratch(spark, "counts")
-    _classified(spark, sf).select("value").repartition(3).write.parquet(path)
-    counts = jobs.parse(jobs.files(spark, path, "value string", per_trigger=1), _RECORD).groupBy("error_type").agg(F.count("*").alias("n"))
+    each = landed(_classified(spark, sf).select("value"), path, 3)
+    counts = jobs.parse(jobs.files(spark, path, "value string", per_trigger=each), _RECORD).groupBy("error_type").agg(F.count("*").alias("n"))
     jobs.complete(counts, out, scratch(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(out)
 

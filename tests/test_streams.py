@@ -2,7 +2,7 @@ import json
 from datetime import date, datetime
 
 import pytest
-from lakegauge.plans import maintenance
+from lakegauge.plans import maintenance, pipelines
 from lakegauge.sources import segments
 from lakegauge.streaming import days, jobs
 from pyspark.sql import functions as F
@@ -72,6 +72,22 @@ def test_a_compacted_table_has_few_files_at_any_size(spark, tmp_path, monkeypatc
     assert 100 <= files <= 300  # a thousand of 40 rows before
 
 
+def test_files_of_a_delivery_grow_in_number_and_not_in_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipelines, "FILE_ROWS", 100)
+    for kind, order in (("parquet", ()), ("json", ("id",))):
+        each = pipelines.landed(spark.range(1000), f"{tmp_path}/{kind}", 2, *order, kind=kind)
+        held = spark.read.schema("id long").format(kind).load(f"{tmp_path}/{kind}")
+        sizes = [r["count"] for r in held.groupBy(F.input_file_name()).count().collect()]
+        assert each == 5 and len(sizes) == 10 and sum(sizes) == 1000 and max(sizes) <= 150
+    (tmp_path / "sf").mkdir()
+    spark.range(1000).selectExpr("id as event_id", "id % 9 as user_id").write.parquet(f"{tmp_path}/sf/events.parquet")
+    sizes, landed = [], pipelines.landed
+    monkeypatch.setattr(pipelines, "FILES", 4)
+    monkeypatch.setattr(pipelines, "landed", lambda rows, path, *a, **k: (landed(rows, path, *a, **k), sizes.extend(r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()))[0])
+    found = pipelines.stream_split_sinks(spark, f"{tmp_path}/sf")
+    assert sorted(map(tuple, found.collect())) == [("bad", 875), ("good", 125)] and len(sizes) == 10 and max(sizes) <= 150
+
+
 def fill(spark, folder, n=2500, **options):
     rows = spark.range(n).selectExpr("cast(id % 5 as string) as key", "cast(id as string) as value", "timestamp_seconds(id) as timestamp")
     rows.repartition(2).write.parquet(f"{folder}/in")
