@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from lakegauge.operators import frequent, quality, sketches
+from lakegauge.plans import registry, relational  # noqa: F401
 from pyspark.sql import functions as F
 
 
@@ -79,3 +80,13 @@ def test_distinct_estimates_are_within_five_errors(spark, n):
     df = spark.range(2 * n).selectExpr(f"id % greatest(1, {n}) as v", "0 as g").unionByName(spark.createDataFrame([(None, 0)], "v long, g int"))
     found = sketches.distinct_estimates(sketches.registers(df, ["g"], F.lit(1), "v"), ["g"]).collect()
     assert [abs(r["distinct"] - n) <= 0.08 * n + 1 for r in found] == [True] * (n > 0)
+
+
+def test_one_sketch_a_group_and_not_one_a_device(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("cast(id % 2 as string) as event_type", "if(id % 7 = 0, null, id div 2) as user_id")
+    rows.unionByName(rows.limit(10)).write.parquet(f"{tmp_path}/events.parquet")
+    found = registry.QUERIES["approximate_distinct"](spark, str(tmp_path))
+    assert sorted((r["event_type"], r["devices"], r["near"]) for r in found.collect()) == [(str(k), sum(i % 7 > 0 for i in range(k, 20_000, 2)), True) for k in range(2)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    sketched = [line for line in plan.splitlines() if "approx_count_distinct" in line]
+    assert sketched and not any("user_id" in line.split("keys=[")[1].split("]")[0] for line in sketched)
