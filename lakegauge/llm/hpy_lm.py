@@ -1,9 +1,10 @@
 """A hierarchical Pitman-Yor language model of words, learned from all training texts.
 
 A word is drawn in the restaurant of the word before it, whose parent is that of the shorter, empty
-context: the root. Every word with a share of at least 1 / OWN_SHARE of the training tokens has a
-restaurant of its own, and so has the start of a text; after rarer words the root itself is asked. The
-root's base is uniform over the V training words and one for all others.
+context: the root. Every word has a restaurant, and so has the start of a text. Those of words with a
+share of at least 1 / OWN_SHARE of the training tokens send their tables to the root. Those of rarer
+words have the root's averaged probability as their base; each of their customers is one of the root's.
+The root's base is uniform over the V training words and one for all others.
 
 Seating is sampled by blocked Gibbs sweeps. All customers of a word leave a restaurant and are seated
 again one by one, at its tables or at new ones, given the tables of all others; the new seating is
@@ -13,9 +14,11 @@ customer of the parent. Words are seated side by side in tasks, so the other wor
 the pass before. The averaged predictive probability of SAMPLES seatings, after SETTLE sweeps, scores
 a text. Discounts come from the counts of ones and twos.
 
-Words are known by 63 bits of a hash. Counting, seating and rare words go by shuffles on the word;
-broadcast are the words with restaurants of their own, at most OWN_SHARE, and the scores of the most
-frequent words, HEAD_SCORES numbers at most. Draws depend on word, restaurant and sweep alone, so no
+Words are known by 63 bits of a hash. Counting, seating and rare words go by shuffles on the word, the
+restaurants of rare words by one on the restaurant, none of which has more than a share of 1 / OWN_SHARE
+of the tokens: blocks of what follows rare words, in training and in a scored text, meet in buckets.
+Broadcast are the words with a share of 1 / OWN_SHARE, at most so many, the scores of the most frequent
+words, HEAD_SCORES numbers at most, and the probabilities of COMMON words in the root. Draws depend on word, restaurant and sweep alone, so no
 partitioning or lost executor changes them.
 
 Defined results: null text is empty and has the end token only; a null doc_id is not held out;
@@ -37,6 +40,8 @@ from .workspace import Workspace, ddl, partitions
 OWN_SHARE = 2048
 HEAD_WORDS = 1 << 16
 HEAD_SCORES = 1 << 23
+#: Words whose probability in the root is broadcast; others ask for it by the word.
+COMMON = 1 << 20
 SAMPLES, SETTLE, PASSES = 3, 1, 2
 STRENGTH = 1.0
 END = int(mix(np.array([0xE0D], U))[0] >> U(1))
@@ -44,6 +49,10 @@ END = int(mix(np.array([0xE0D], U))[0] >> U(1))
 TOGETHER_ROWS = 48
 #: Tokens that a task counts together before it passes the counts on.
 TOGETHER = 4_000_000
+#: Rows of a chunk of scored texts, at most; numbers of rows in it have 16 bits.
+CHUNK_ROWS = 60_000
+#: Keys of buckets lie below those of words and texts.
+BUCKETS = -(1 << 62)
 
 
 def tokens(column, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -424,19 +433,120 @@ def _summed(model: DataFrame, own: np.ndarray) -> Totals:
     return Totals(found.collect(), own)  # a row for each restaurant, OWN_SHARE + 5 at most
 
 
+class Common:
+    """The most frequent words in order, the log10 of their base, and their probability in the root."""
+
+    def __init__(self, word: np.ndarray, plain: np.ndarray, p0: np.ndarray):
+        self.word, self.plain, self.p0 = word, plain, p0
+        self.bits = max(8, int(len(self.word) * 2).bit_length())
+        self.slot = np.searchsorted(self.word >> (63 - self.bits), np.arange((1 << self.bits) + 1)).astype(np.int32)
+        self.deepest = int(np.diff(self.slot).max(initial=0))
+
+    def __reduce__(self):
+        return Common, (self.word, self.plain, self.p0)
+
+    def find(self, word: np.ndarray) -> np.ndarray:
+        """Numbers of words here, -1 for others."""
+        out = np.full(len(word), -1, np.int32)
+        if not len(self.word):
+            return out
+        at, left = self.slot[word >> (63 - self.bits)], np.arange(len(word))
+        for _ in range(self.deepest):
+            there = self.word[np.minimum(at, len(self.word) - 1)]
+            hit = there == word[left]
+            out[left[hit]] = at[hit]
+            on = there < word[left]
+            on &= at + 1 < len(self.word)
+            left, at = left[on], at[on] + 1
+            if not len(left):
+                break
+        return out
+
+
 class Model:
-    """The table of words and the totals; head: the most frequent words' rows."""
+    """The table of words and the totals; head: the most frequent words' rows; rare: restaurants of rare words, a row for each bucket."""
 
     def __init__(self, work: Workspace, table: DataFrame, totals: Totals, tokens: int):
         self.work, self.table, self.totals, self.tokens = work, table, totals, tokens
         most = min(HEAD_WORDS, HEAD_SCORES // (totals.root + 1))
         level = F.floor(F.log2("count") * 8)
-        seen, self.least = 0, None
+        seen, self.least, self.least_common = 0, None, None
         for r in table.groupBy(level.alias("level")).agg(F.count("*").alias("n"), F.min("count").alias("least")).orderBy(F.desc("level")).collect():  # a row for each eighth of a power of two
             seen += r["n"]
-            if seen > most:
-                break
-            self.least = r["least"]
+            if seen <= most:
+                self.least = r["least"]
+            if seen <= max(most, COMMON):
+                self.least_common = r["least"]
+        self.buckets = 4 * partitions(work.spark)
+        self.common = work.spark.sparkContext.broadcast(self._common())  # COMMON words at most
+
+    def in_root(self) -> DataFrame:
+        """(word, count, p0): every word's averaged probability in the root."""
+        totals = self.totals
+
+        def run(batches):
+            for batch in batches:
+                p0 = probability(batch, np.arange(batch.num_rows), np.full(batch.num_rows, totals.root), totals)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p0)], ["word", "count", "p0"])
+
+        return self.table.mapInArrow(run, "word long, count long, p0 double")
+
+    def _common(self) -> Common:
+        if self.least_common is None:
+            return Common(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+        found = self.in_root().where(F.col("count") >= self.least_common).orderBy("word").toArrow()  # COMMON rows at most
+        plain = np.log10((found.column(1).to_numpy() + 1) / (self.tokens + self.totals.words + 1))
+        return Common(found.column(0).to_numpy(), plain, found.column(2).to_numpy())
+
+    def learn_rare(self, texts: DataFrame) -> None:
+        """Counts what follows each rare word in texts, whose column is text."""
+        own, common, buckets = self.totals.own, self.common, self.buckets
+
+        def run(batches):
+            held, size = [], 0
+            for part in arrowtext.slices(batches, "text"):
+                word, place, _ = tokens(part.column(0), own)
+                after = np.flatnonzero(place == 1 + len(own))
+                held.append((word[after - 1], word[after]))
+                size += len(after)
+                if size >= TOGETHER // 2:
+                    yield packed(*(np.concatenate(x) for x in zip(*held)), None, 0, common.value, buckets)
+                    held, size = [], 0
+            if size:
+                yield packed(*(np.concatenate(x) for x in zip(*held)), None, 0, common.value, buckets)
+
+        def count(key, table):
+            u, ui, code, x = unpacked(table, len(common.value.word))
+            width = len(common.value.word) + len(x)
+            pair, n = np.unique(ui * width + code, return_counts=True)
+            code, size = pair % width, np.bincount(pair // width, minlength=len(u))
+            far = code >= len(common.value.word)
+            blob = lambda a, kind: pa.array([a.astype(kind).tobytes()], pa.binary())
+            return pa.Table.from_arrays([
+                pa.array([key[0].as_py()]), blob(u, np.int64), blob(size, np.uint32), blob(np.where(far, -1, code), np.int32), blob(x[code[far] - len(common.value.word)], np.int64), blob(n, np.uint32),
+                pa.array([int((n == 1).sum())]), pa.array([int((n == 2).sum())]),
+            ], ["word", "u", "size", "w", "x", "n", "ones", "twos"])
+
+        blocks = texts.mapInArrow(run, _BLOCK)
+        counted = blocks.groupBy("word").applyInArrow(count, "word long, u binary, size binary, w binary, x binary, n binary, ones long, twos long")
+        self.rare = self.work.write(counted, "rare", codec="lz4_raw")
+        ones, twos = self.rare.agg(F.coalesce(F.sum("ones"), F.lit(0)), F.coalesce(F.sum("twos"), F.lit(0))).collect()[0]
+        self.rare_discount = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones + twos else 0.5
+
+    def asked_root(self) -> DataFrame:
+        """(word, w, p0): what each bucket needs to know of words that are not common; word is the bucket's."""
+
+        def run(batches):
+            for batch in batches:
+                for key, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    far = np.unique(np.frombuffer(x, np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(far), key)), pa.array(far)], ["bucket", "word"])
+
+        far = self.rare.select("word", "x").mapInArrow(run, "bucket long, word long")
+        known = self.in_root()
+        if self.least_common is not None:
+            known = known.where(F.col("count") < self.least_common)
+        return far.join(known, "word").select(F.col("bucket").alias("word"), F.col("word").alias("w"), "p0")
 
     def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The frequent words in order, the log10 of their base, and of their probability in each restaurant; made in tasks."""
@@ -480,6 +590,120 @@ def probability(rows, index: np.ndarray, place: np.ndarray, totals: Totals) -> n
     return found.mean(axis=0)
 
 
+_BLOCK = "word long, chunk long, u binary, size binary, w binary, x binary, row binary"
+
+
+def packed(u: np.ndarray, word: np.ndarray, row: np.ndarray | None, chunk: int, common: Common, buckets: int) -> pa.RecordBatch:
+    """Words after rare words u, as blocks for the buckets of u: each u and how many follow it, their numbers among common words, -1 for others, and those words."""
+    order = np.argsort(u)
+    u, word = u[order], word[order]
+    code = common.find(word)
+    bucket = ((u >> 31) * buckets) >> 32
+    first = np.flatnonzero(np.diff(u, prepend=-1))
+    size = np.diff(first, append=len(u)).astype(np.uint32)
+    begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+    end = np.append(begin[1:], len(u))
+    far = np.flatnonzero(code < 0)
+    cut = lambda a, lo, hi: pa.array([a[i:j].tobytes() for i, j in zip(lo.tolist(), hi.tolist())], pa.binary())
+    us, xs = ((np.searchsorted(a, begin), np.searchsorted(a, end)) for a in (first, far))
+    rows = cut(row[order].astype(np.uint16), begin, end) if row is not None else pa.nulls(len(begin), pa.binary())
+    columns = [pa.array(BUCKETS - bucket[begin]), pa.array(np.full(len(begin), chunk)), cut(u[first], *us), cut(size, *us), cut(code, begin, end), cut(word[far], *xs), rows]
+    return pa.RecordBatch.from_arrays(columns, ["word", "chunk", "u", "size", "w", "x", "row"])
+
+
+def _joined(column, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def unpacked(blocks, common: int, u: np.ndarray | None = None, x: np.ndarray | None = None):
+    """Restaurants in order, the number of each word's restaurant, each word's number, and the words that are not common, whose numbers follow the common ones.
+
+    With u and x given, numbers are among these; restaurants not there have number -1, words the last number.
+    """
+    column = lambda c, kind: _joined(blocks.column(blocks.schema.get_field_index(c)), kind)
+    names, size, code, far = column("u", np.int64), column("size", np.uint32), column("w", np.int32).astype(np.int64), column("x", np.int64)
+    if u is None:
+        u, ui = np.unique(names, return_inverse=True)
+        x, xi = np.unique(far, return_inverse=True)
+    else:
+        ui, xi = ((np.minimum(np.searchsorted(a, b), max(len(a) - 1, 0)), a, b) for a, b in ((u, names), (x, far)))
+        ui, xi = (np.where(a[i] == b, i, miss) if len(a) else np.full(len(b), miss) for (i, a, b), miss in ((ui, -1), (xi, len(x))))
+    code[code < 0] = common + xi
+    return u, np.repeat(ui, size), code, x
+
+
+def restaurants(ui: np.ndarray, customers: np.ndarray, n: np.ndarray, word: np.ndarray, u: np.ndarray, p0: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """The parent's weight in each restaurant, and what its own tables give each word; both averaged over seatings.
+
+    ui: the restaurant of each pair of restaurant and word, u its hash, n the pair's customers, p0 the word's probability in the root.
+    """
+    more = np.flatnonzero(n > 1)
+    single = np.bincount(ui[n == 1], minlength=len(customers))
+    given = Parent(*np.zeros((2, len(more)), np.int64), 0.0, np.zeros(len(more)), p0[more])
+    t, now, total = np.ones(len(more), np.int64), None, np.zeros(len(more))
+    for sweep in range(SETTLE + SAMPLES):
+        seats = single + np.bincount(ui[more], t, len(customers))
+        now = sweep_once(now, n[more], given, seats[ui[more]] - t, discount, word[more], u[more], sweep)
+        t = now.tables()
+        if sweep >= SETTLE:
+            total += t / SAMPLES
+    tables = np.ones(len(n))
+    tables[more] = total
+    back = (STRENGTH + discount * np.bincount(ui, tables, len(customers))) / (STRENGTH + customers)
+    return back, (n - discount * tables) / (STRENGTH + customers[ui])
+
+
+class Bucket:
+    """The restaurants of rare words in a bucket: rows of the model's rare table, and (w, p0) of the words that are not common."""
+
+    def __init__(self, rare, w: np.ndarray, p0: np.ndarray, common: Common, discount: float):
+        self.common = common
+        self.u, ui, code, self.x = unpacked(rare, len(common.word))
+        self.width = len(common.word) + len(self.x) + 1
+        n = _joined(rare.column(rare.schema.get_field_index("n")), np.uint32).astype(np.int64)
+        customers = np.bincount(ui, n, len(self.u))
+        order = np.argsort(w)
+        names, of_root = np.concatenate([common.word, self.x]), np.concatenate([common.p0, p0[order][np.searchsorted(w[order], self.x)]])
+        self.back, own = restaurants(ui, customers, n, names[code], self.u[ui], of_root[code], discount)
+        self.key, value = ui * self.width + code, np.log10(self.back[ui] + own / of_root[code])
+        order = np.argsort(self.key)
+        self.key, self.value = self.key[order], value[order]
+        self.log_back = np.append(np.log10(self.back), 0.0)  # an empty restaurant asks the root, and is the last
+
+    def asked(self, blocks) -> np.ndarray:
+        """log10 of the words' probability after their rare words over that in the root."""
+        _, ui, code, _ = unpacked(blocks, len(self.common.word), self.u, self.x)
+        out, key = self.log_back[ui], ui * self.width + code
+        if len(self.key):
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            hit = np.flatnonzero(self.key[at] == key)
+            out[hit] = self.value[at[hit]]
+        return out
+
+
+class Sums:
+    """known, base and score to be added to the rows of chunks of texts."""
+
+    def __init__(self):
+        self.chunks, self.size = {}, 0
+
+    def add(self, chunk: int, row: np.ndarray, *values) -> None:
+        have, need = self.chunks.get(chunk), int(row.max()) + 1
+        if have is None or have.shape[1] < need:
+            self.size += need - (0 if have is None else have.shape[1])
+            self.chunks[chunk] = have = np.zeros((3, need)) if have is None else np.pad(have, ((0, 0), (0, need - have.shape[1])))
+        for i, v in enumerate(values):
+            if v is not None:
+                have[i, :need] += np.bincount(row, v, need)
+
+    def flush(self, schema):
+        """A row for each chunk."""
+        blob = lambda i, kind: pa.array([x[i].astype(kind).tobytes() for x in self.chunks.values()], pa.binary())
+        n, made = len(self.chunks), {"_chunk": pa.array(list(self.chunks), pa.int64()), "_knowns": blob(0, np.int32), "_bases": blob(1, np.float64), "_scores": blob(2, np.float32)}
+        self.__init__()
+        return pa.RecordBatch.from_arrays([made[f.name] if f.name in made else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+
 def train(texts: DataFrame, text: str = "text") -> Model:
     """A model of all rows of texts."""
     work, n = Workspace(texts.sparkSession, "language-model"), partitions(texts.sparkSession)
@@ -499,56 +723,105 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     model = work.write(_seated(words, totals, own), "model")
     final = _summed(model, own)
     final.discounts = totals.discounts
-    return Model(work, model.where("word is not null").drop("place", "sums", "table_sums"), final, int(tokens_))
+    learned = Model(work, model.where("word is not null").drop("place", "sums", "table_sums"), final, int(tokens_))
+    learned.learn_rare(texts)
+    return learned
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """keep, n_tokens, n_known, train_tokens, base_score and score of each row of docs."""
-    spark, totals, n_tokens = docs.sparkSession, model.totals, model.tokens
+    spark, totals, n_tokens, discount = docs.sparkSession, model.totals, model.tokens, model.rare_discount
     head = spark.sparkContext.broadcast((*model.scores(), totals))  # HEAD_SCORES numbers at most
+    common, buckets = model.common, model.buckets
     inner = [f"_kept_{i}" for i in range(len(keep))]
     docs = docs.select(F.col(text).alias("_text"), *(F.col(f"`{k}`").alias(i) for k, i in zip(keep, inner)))
     own_ddl = "".join(f"{x}, " for x in [ddl(docs.select(*inner))] if inner)
-    asked = f"word long, _row long, _place int, _n long, _doc struct<{own_ddl.replace('` ', '`:')}tokens:long,known:long,base:double,score:double>"
+    doc_ddl = f"struct<{own_ddl.replace('` ', '`:')}tokens:long,known:long,base:double,score:double>"
+    asked = f"word long, _row long, _place int, _n long, _doc {doc_ddl}, _block struct<chunk:long,u:binary,size:binary,w:binary,x:binary,row:binary>"
 
     def run(batches):
         from pyspark import TaskContext
 
-        word_of, plain, scores, own = *head.value[:3], head.value[3].own
-        bits = max(8, int(len(word_of) * 4).bit_length())
-        slot = np.searchsorted(word_of >> (63 - bits), np.arange((1 << bits) + 1))
-        deepest = int(np.diff(slot).max(initial=0))
-        number = TaskContext.get().partitionId() << 40
+        word_of, _, scores, own = *head.value[:3], head.value[3].own
+        root, everyday = 1 + len(own), common.value
+        dense = np.full(len(everyday.word) + 1, -1)
+        dense[everyday.find(word_of)] = np.arange(len(word_of))
+        dense[-1] = -1
+        plain, in_root = np.append(everyday.plain, 0.0), np.append(np.log10(everyday.p0), 0.0)
+        chunk, rows, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
+
+        def blocks():
+            made = packed(*(np.concatenate(x) for x in zip(*held)), chunk, everyday, buckets)
+            block = pa.StructArray.from_arrays(made.columns[1:], made.schema.names[1:])
+            return made.column(0), block
+
+        doc_type = block_type = None
         for part in arrowtext.slices(batches, "_text"):
             word, place, row = tokens(part.column(0), own)
-            at_head = np.full(len(word), -1)
-            if len(word_of):
-                first = slot[word >> (63 - bits)]
-                for k in range(deepest):
-                    at = np.minimum(first + k, len(word_of) - 1)
-                    hit = word_of[at] == word
-                    at_head[hit] = at[hit]
-            rows, frequent = part.num_rows, at_head >= 0
-            known = np.bincount(row[frequent], minlength=rows)
-            base = np.bincount(row[frequent], plain[at_head[frequent]] if len(plain) else None, rows).astype(np.float64)
-            found = np.bincount(row[frequent], scores[at_head[frequent], place[frequent]] if len(plain) else None, rows).astype(np.float64)
-            ids = number + np.arange(rows)
-            number += rows
+            if rows and rows + part.num_rows > CHUNK_ROWS or size >= TOGETHER // 2:
+                if size:
+                    key, block = blocks()
+                    yield pa.RecordBatch.from_arrays([key, *(pa.nulls(len(key), t) for t in (pa.int64(), pa.int32(), pa.int64(), doc_type)), block], _ASKED)
+                chunk, rows, held, size = chunk + 1, 0, [], 0
+            code = everyday.find(word)
+            at_head = dense[code]
+            is_head, after = at_head >= 0, np.flatnonzero(place == root)
+            answered = is_head.copy()
+            answered[after] = code[after] >= 0
+            count = part.num_rows
+            known = np.bincount(row[answered], minlength=count)
+            base = np.bincount(row, np.where(answered, plain[code], 0.0), count)
+            values = np.zeros(len(word))
+            at = np.flatnonzero(is_head & (place != root))
+            if len(at):
+                values[at] = scores[at_head[at], place[at]]
+            values[after] = in_root[code[after]]
+            found = np.bincount(row, values, count)
+            if len(after):
+                held.append((word[after - 1], word[after], rows + row[after]))
+                size += len(after)
+            ids = (chunk << 16) + rows + np.arange(count)
+            rows += count
             kept = [part.column(1 + i) for i in range(len(inner))]
-            doc = pa.StructArray.from_arrays([*kept, pa.array(np.bincount(row, minlength=rows)), pa.array(known), pa.array(base), pa.array(found)], [*inner, "tokens", "known", "base", "score"])
-            yield pa.RecordBatch.from_arrays([pa.array(-1 - ids), pa.array(ids), pa.array(np.zeros(rows, np.int32)), pa.array(np.zeros(rows, np.int64)), doc], _ASKED)
-            rare = np.flatnonzero(~frequent)
+            doc = pa.StructArray.from_arrays([*kept, pa.array(np.bincount(row, minlength=count)), pa.array(known), pa.array(base), pa.array(found)], [*inner, "tokens", "known", "base", "score"])
+            doc_type, block_type = doc.type, _BLOCK_TYPE
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - ids), pa.array(ids), pa.array(np.zeros(count, np.int32)), pa.array(np.zeros(count, np.int64)), doc, pa.nulls(count, block_type)], _ASKED)
+            rare = np.flatnonzero(~answered)
             order = rare[np.lexsort((place[rare], word[rare], row[rare]))]
             same = (row[order[1:]] == row[order[:-1]]) & (word[order[1:]] == word[order[:-1]]) & (place[order[1:]] == place[order[:-1]])
             begin = np.flatnonzero(np.concatenate([[True], ~same])) if len(order) else order
             n = np.diff(begin, append=len(order))
             at = order[begin]
-            yield pa.RecordBatch.from_arrays([pa.array(word[at]), pa.array(ids[row[at]]), pa.array(place[at].astype(np.int32)), pa.array(n.astype(np.int64)), pa.nulls(len(at), doc.type)], _ASKED)
+            yield pa.RecordBatch.from_arrays([pa.array(word[at]), pa.array(ids[row[at]]), pa.array(place[at].astype(np.int32)), pa.array(n.astype(np.int64)), pa.nulls(len(at), doc.type), pa.nulls(len(at), block_type)], _ASKED)
+        if size:
+            key, block = blocks()
+            yield pa.RecordBatch.from_arrays([key, *(pa.nulls(len(key), t) for t in (pa.int64(), pa.int32(), pa.int64(), doc_type)), block], _ASKED)
 
     def finish(batches):
-        totals, last = head.value[3], None
+        totals, last, sums = head.value[3], None, Sums()
         rest = math.log10(n_tokens + totals.words + 1)
-        for batch in _gathered(batches):
+        schema = None
+
+        def meet(parts):
+            """Blocks of a bucket: the model's, what the root says of words, and what is asked."""
+            whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+            column = lambda c: whole.column(whole.schema.get_field_index(c))
+            rare, block = column("_rare"), column("_block")
+            is_rare, is_block = (x.is_valid().to_numpy(zero_copy_only=False) for x in (rare, block))
+            of_root = ~(is_rare | is_block)
+            pick = lambda x, mask: pa.RecordBatch.from_struct_array(x.filter(pa.array(mask)))
+            of = Bucket(pick(rare, is_rare), column("_w").filter(pa.array(of_root)).to_numpy(), column("_p0").filter(pa.array(of_root)).to_numpy(), common.value, discount)
+            asks = pick(block, is_block)
+            for lo in range(0, asks.num_rows, 32):
+                some = asks.slice(lo, 32)
+                found, at = of.asked(some), 0
+                for chunk, row in zip(some.column(0).to_pylist(), some.column(some.schema.get_field_index("row")).to_pylist()):
+                    row = np.frombuffer(row, np.uint16)
+                    sums.add(chunk, row, None, None, found[at : at + len(row)])
+                    at += len(row)
+
+        def words(batch):
+            nonlocal last
             kind = batch.column(batch.schema.get_field_index("_model"))
             there = kind.is_valid().to_numpy(zero_copy_only=False)
             models = batch.filter(pa.array(there)).select(["word", "_model"])
@@ -565,35 +838,96 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
             ours = at >= 0
             ours[ours] = word_of[at[ours]] == word[ours]
             index = np.where(ours, at, len(word_of))
-            place, n = batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy(zero_copy_only=False)
             ask = np.flatnonzero(~there)
-            index, place, n = index[ask], place[ask].astype(np.int64), n[ask].astype(np.int64)
+            column = lambda c: batch.column(batch.schema.get_field_index(c))
+            docs_ = column("_doc").is_valid().to_numpy(zero_copy_only=False)
+            if docs_.any():
+                mine = batch.filter(pa.array(docs_))
+                row, doc = mine.column(1).to_numpy(), mine.column(mine.schema.get_field_index("_doc"))
+                made = {"_chunk": pa.array(row >> 16), "_at": pa.array((row & 65535).astype(np.int32)), "_doc": doc}
+                yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made else pa.nulls(len(row), f.type) for f in schema], schema=schema)
+            ask = ask[~docs_[ask]]
+            if not len(ask):
+                return
+            row, place, n = (column(c).to_numpy(zero_copy_only=False)[ask].astype(np.int64) for c in ("_row", "_place", "_n"))
+            index = index[ask]
             count = np.nan_to_num(fields[0].to_numpy(zero_copy_only=False).astype(np.float64))[index]
-            p = probability(model_rows, index, place, totals)
-            asking = batch.take(pa.array(ask))
-            doc = asking.column(4)
-            mine = {f.name: x for f, x in zip(doc.type, doc.flatten())}
-            sure = lambda c: np.nan_to_num(mine[c].to_numpy(zero_copy_only=False).astype(np.float64))  # noqa: B023, E731
-            columns = [*(mine[i] for i in inner), asking.column(1), pa.array(sure("tokens").astype(np.int64)), pa.array(sure("known").astype(np.int64) + np.where(count > 0, n, 0))]
-            columns += [pa.array(sure("base") + n * (np.log10(count + 1) - rest)), pa.array(sure("score") + n * np.log10(p).astype(np.float32))]
-            yield pa.RecordBatch.from_arrays(columns, [*inner, "_row", "_tokens", "_known", "_base", "_score"])
+            values = np.where(count > 0, n, 0), n * (np.log10(count + 1) - rest), n * np.log10(probability(model_rows, index, place, totals))
+            order = np.argsort(row, kind="stable")
+            row = row[order]
+            begin = np.flatnonzero(np.diff(row >> 16, prepend=-1))
+            for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(row)).tolist()):
+                sums.add(int(row[lo] >> 16), row[lo:hi] & 65535, *(v[order[lo:hi]] for v in values))
+
+        held, bucket = [], None
+
+        def split(batches):
+            """Batches of words; those of buckets come before them and are met at once."""
+            nonlocal held, bucket
+            for batch in batches:
+                key = batch.column(0).to_numpy()
+                first = int(np.searchsorted(key, BUCKETS, side="right"))
+                cuts = [0, *(np.flatnonzero(np.diff(key[:first])) + 1).tolist(), first] if first else [0]
+                for lo, hi in zip(cuts, cuts[1:]):
+                    if held and key[lo] != bucket:
+                        meet(held)
+                        held = []
+                    held.append(batch.slice(lo, hi - lo)), (bucket := int(key[lo]))
+                if first < batch.num_rows:
+                    if held:
+                        meet(held)
+                        held = []
+                    yield batch.slice(first)
+            if held:
+                meet(held)
+
+        def seen(batches):
+            nonlocal schema
+            for batch in batches:
+                if schema is None:
+                    schema = pa.schema([("_chunk", pa.int64()), ("_at", pa.int32()), ("_doc", batch.schema.field("_doc").type), *((c, pa.binary()) for c in ("_knowns", "_bases", "_scores"))])
+                yield batch
+
+        for batch in _gathered(split(seen(batches))):
+            yield from words(batch)
+            if sums.size > TOGETHER:
+                yield sums.flush(schema)
+        if sums.chunks:
+            yield sums.flush(schema)
+
+    def whole(table):
+        """The rows of a chunk, with all that was found of them."""
+        is_doc = table.column("_at").combine_chunks().is_valid()
+        own, more = table.filter(is_doc), table.filter(pa.array(~is_doc.to_numpy(zero_copy_only=False)))
+        at, doc = own.column("_at").to_numpy(), pa.RecordBatch.from_struct_array(own.column("_doc").combine_chunks())
+        added = np.zeros((3, int(at.max(initial=0)) + 1))
+        for i, (c, kind) in enumerate((("_knowns", np.int32), ("_bases", np.float64), ("_scores", np.float32))):
+            for blob in more.column(c).to_pylist():
+                x = np.frombuffer(blob, kind)
+                added[i, : len(x)] += x
+        n, known, base, found = (doc.column(len(inner) + i).to_numpy() for i in range(4))
+        columns = [*doc.columns[: len(inner)], pa.array(n), pa.array(known + np.rint(added[0, at]).astype(np.int64)), pa.array(base + added[1, at]), pa.array(found + added[2, at])]
+        return pa.Table.from_arrays(columns, [*inner, "n_tokens", "n_known", "base_score", "score"])
 
     parts = docs.mapInArrow(run, asked)
     shape = F.struct("count", "places", "counts", "tables", "root_customers", "root_tables")
     known_ = model.table.select("word", shape.alias("_model"))
-    both = parts.withColumn("_model", F.lit(None).cast(known_.schema["_model"].dataType)).unionByName(known_, allowMissingColumns=True)
-    # words' rows and what is asked of them meet by the word; no row of a word is copied
+    rare = model.rare.select("word", F.struct("u", "size", "w", "x", "n").alias("_rare"))
+    of_root = model.asked_root().select("word", F.col("w").alias("_w"), F.col("p0").alias("_p0"))
+    both = parts
+    for other in (known_, rare, of_root):
+        both = both.unionByName(other, allowMissingColumns=True)
+    # words' rows and what is asked of them meet by the word, blocks by the bucket; no row of a word is copied
     met = both.repartition(partitions(spark), "word").sortWithinPartitions("word", F.col("_model").isNull())
-    done = met.mapInArrow(finish, f"{own_ddl}_row long, _tokens long, _known long, _base double, _score double")
-    summed = done.groupBy("_row").agg(
-        *(F.any_value(i, F.lit(True)).alias(i) for i in inner),
-        F.sum("_tokens").alias("n_tokens"), F.sum("_known").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), F.sum("_base").alias("base_score"), F.sum("_score").alias("score"),
-    )
+    done = met.mapInArrow(finish, f"_chunk long, _at int, _doc {doc_ddl}, _knowns binary, _bases binary, _scores binary")
+    summed = done.groupBy("_chunk").applyInArrow(whole, f"{own_ddl}n_tokens long, n_known long, base_score double, score double")
+    summed = summed.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
     made = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     return summed.select(*(F.col(i).alias(k) for i, k in zip(inner, keep) if k.lower() not in made), *made)
 
 
-_ASKED = ["word", "_row", "_place", "_n", "_doc"]
+_ASKED = ["word", "_row", "_place", "_n", "_doc", "_block"]
+_BLOCK_TYPE = pa.struct([("chunk", pa.int64()), *((c, pa.binary()) for c in ("u", "size", "w", "x", "row"))])
 
 
 def held_out(doc_id: str = "doc_id"):

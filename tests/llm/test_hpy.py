@@ -212,3 +212,84 @@ def test_columns_that_are_kept_may_have_any_name(spark):
 def test_words_of_two_letters_stay_apart(spark):
     word = "".join("ab"[i.bit_count() & 1] for i in range(2048))
     check(spark, [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word)])
+
+
+def plain_restaurants(pairs, p0, discount, sweeps=3000, settle=500, seed=5):
+    """Restaurants over a fixed base, one customer at a time: (context, word) -> averaged probability."""
+    rng, out = random.Random(seed), {}
+    for u in sorted({u for u, _ in pairs}):
+        seats, everyone = {w: [] for w in p0}, [w for (v, w), n in pairs.items() if v == u for _ in range(n)]
+        tables, total = 0, dict.fromkeys(p0, 0.0)
+        for sweep in range(sweeps):
+            for w in everyone:
+                if sweep:
+                    k = rng.choices(range(len(seats[w])), seats[w])[0]
+                    seats[w][k] -= 1
+                    if not seats[w][k]:
+                        seats[w].pop(k)
+                        tables -= 1
+                weights = [x - discount for x in seats[w]] + [(hpy_lm.STRENGTH + discount * tables) * p0[w]]
+                k = rng.choices(range(len(weights)), weights)[0]
+                if k < len(seats[w]):
+                    seats[w][k] += 1
+                else:
+                    seats[w].append(1)
+                    tables += 1
+            if sweep >= settle:
+                for w, p in p0.items():
+                    own = sum(seats[w]) - discount * len(seats[w]) + (hpy_lm.STRENGTH + discount * tables) * p
+                    total[w] += own / (hpy_lm.STRENGTH + len(everyone)) / (sweeps - settle)
+        out |= {(u, w): p for w, p in total.items()}
+    return out
+
+
+@pytest.mark.parametrize("common", [1 << 20, 6])
+def test_rare_words_have_restaurants(spark, monkeypatch, common):
+    rng = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = []
+    for _ in range(80):
+        own = [rng.choice(vocabulary)]
+        for _ in range(12):
+            own.append(vocabulary[(vocabulary.index(own[-1]) * 7 + 3) % 40] if rng.random() < 0.6 else rng.choice(vocabulary[:20]))
+        texts.append(" ".join(own))
+    for name, value in (("OWN_SHARE", 28), ("SAMPLES", 40), ("SETTLE", 8), ("HEAD_WORDS", 3), ("COMMON", common), ("CHUNK_ROWS", 30)):
+        monkeypatch.setattr(hpy_lm, name, value)
+    model = hpy_lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert (len(model.common.value.word) < 10) == (common == 6)
+    hashed = {w: int(hpy_lm.tokens(pa.array([w]), np.zeros(0, np.int64))[0][0]) for w in [*vocabulary, "new"]}
+    rare = {w for w in vocabulary if hashed[w] not in set(model.totals.own.tolist())}
+    assert 25 < len(rare) < 40
+    p0 = {r["word"]: r["p0"] for r in model.in_root().collect()}
+    p0 = {w: p0[hashed[w]] for w in vocabulary} | {None: p0[hpy_lm.END]}
+    counts = Counter((u, w) for t in texts for u, w in zip(words(t), words(t)[1:]) if u in rare)
+    want = plain_restaurants(counts, p0, model.rare_discount)
+    # the end after w is in the scores of both "u w" and "w"
+    asked = [(u, w) for u in sorted(rare)[:8] for w in [*vocabulary[::3], "new"]]
+    rows = [(i, f"{u} {w}") for i, (u, w) in enumerate(asked)] + [(1000 + i, w) for i, w in enumerate([*vocabulary, "new"])]
+    found = {r["doc_id"]: r["score"] for r in hpy_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), model, ["doc_id"]).collect()}
+    one = {t: found[i] for i, t in rows if i >= 1000}
+    words_, batch = table_of(model)
+
+    def known(w, place):
+        rows, at = (batch, np.searchsorted(words_, [hashed[w]])) if w != "new" else (unseen(batch), np.zeros(1, int))
+        return hpy_lm.probability(rows, at, np.array([place]), model.totals)[0]
+
+    away, moved = [], []
+    for i, (u, w) in enumerate(asked):
+        got = 10 ** (found[i] - one[w]) * known(w, 0) / known(u, 0)
+        if w == "new":
+            assert got == pytest.approx(1 - sum(want[u, x] for x in p0), rel=0.1) and got < known("new", model.totals.root)
+        else:
+            away.append(abs(got - want[u, w]))
+            moved.append(abs(p0[w] - want[u, w]))
+    assert max(away) < 0.02 and np.mean(away) < 0.003 and np.mean(moved) > 3 * np.mean(away) and max(moved) > 0.2
+
+
+def test_a_restaurant_sums_to_one_and_empty_ones_ask_the_root():
+    rng = np.random.default_rng(4)
+    ui, n, p0 = np.repeat(np.arange(50), 20), rng.integers(1, 9, 1000), np.tile(rng.dirichlet(np.ones(20)), 50)
+    customers = np.bincount(ui, n)
+    back, own = hpy_lm.restaurants(ui, customers, n, np.tile(np.arange(20), 50), ui, p0, 0.7)
+    assert np.bincount(ui, own + back[ui] * p0) == pytest.approx(np.ones(50), abs=1e-12)
+    assert (back > 0).all() and (back < 1).all()
