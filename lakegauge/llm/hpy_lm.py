@@ -51,8 +51,8 @@ TOGETHER_ROWS = 48
 TOGETHER = 4_000_000
 #: Rows of a chunk of scored texts, at most; numbers of rows in it have 16 bits.
 CHUNK_ROWS = 60_000
-#: Keys of buckets lie below those of words and texts.
-BUCKETS = -(1 << 62)
+#: Keys of buckets of rare words' restaurants, and of words; those of texts are above both.
+BUCKETS, WORDS = -(1 << 62), -(1 << 61)
 
 
 def tokens(column, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,9 +109,10 @@ def _uniform(word: np.ndarray, place: np.ndarray, sweep: int, step) -> np.ndarra
 
 def lgamma(x: np.ndarray) -> np.ndarray:
     """ln of the gamma function of positive numbers, by Stirling's series eight places further on."""
-    product = x.copy()
-    for i in range(1, 8):
-        product = product * (x + i)
+    ends = x * (x + 7)  # eight factors, taken in pairs from both ends
+    product = ends * (ends + 6)
+    product *= ends + 10
+    product *= ends + 12
     y = x + 8
     small = 1 / y
     square = small * small
@@ -126,7 +127,8 @@ def _rise(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     if few.size:
         product, at, left = low[few].copy(), low[few], step[few]
         for i in range(1, int(left.max())):
-            product *= np.where(left > i, at + i, 1.0)
+            on = np.flatnonzero(left > i)
+            product[on] *= at[on] + i
         out[few] = np.log(product)
     many = np.flatnonzero(step > 8)
     if many.size:
@@ -477,7 +479,7 @@ class Model:
                 self.least = r["least"]
             if seen <= max(most, COMMON):
                 self.least_common = r["least"]
-        self.buckets = 4 * partitions(work.spark)
+        self.buckets = 8 * partitions(work.spark)
         self.common = work.spark.sparkContext.broadcast(self._common())  # COMMON words at most
 
     def in_root(self) -> DataFrame:
@@ -507,13 +509,14 @@ class Model:
             for part in arrowtext.slices(batches, "text"):
                 word, place, _ = tokens(part.column(0), own)
                 after = np.flatnonzero(place == 1 + len(own))
-                held.append((word[after - 1], word[after]))
+                code = common.value.find(word[after])
+                held.append((word[after - 1], code, word[after][code < 0]))
                 size += len(after)
                 if size >= TOGETHER // 2:
-                    yield packed(*(np.concatenate(x) for x in zip(*held)), None, 0, common.value, buckets)
+                    yield packed(*(np.concatenate(x) for x in zip(*held)), None, 0, buckets, BUCKETS)
                     held, size = [], 0
             if size:
-                yield packed(*(np.concatenate(x) for x in zip(*held)), None, 0, common.value, buckets)
+                yield packed(*(np.concatenate(x) for x in zip(*held)), None, 0, buckets, BUCKETS)
 
         def count(key, table):
             u, ui, code, x = unpacked(table, len(common.value.word))
@@ -590,24 +593,30 @@ def probability(rows, index: np.ndarray, place: np.ndarray, totals: Totals) -> n
     return found.mean(axis=0)
 
 
+def bucket_of(word, buckets: int):
+    """The bucket of words, rising with them."""
+    return ((word >> 31) * buckets) >> 32
+
+
 _BLOCK = "word long, chunk long, u binary, size binary, w binary, x binary, row binary"
 
 
-def packed(u: np.ndarray, word: np.ndarray, row: np.ndarray | None, chunk: int, common: Common, buckets: int) -> pa.RecordBatch:
-    """Words after rare words u, as blocks for the buckets of u: each u and how many follow it, their numbers among common words, -1 for others, and those words."""
+def packed(u: np.ndarray, code: np.ndarray, x: np.ndarray, row: np.ndarray | None, chunk: int, buckets: int, base: int) -> pa.RecordBatch:
+    """What goes with words u as blocks for the buckets of u: each u and how often it is there, the numbers with it, and for numbers of -1 a word of x each."""
     order = np.argsort(u)
-    u, word = u[order], word[order]
-    code = common.find(word)
-    bucket = ((u >> 31) * buckets) >> 32
+    at_x = (np.cumsum(code < 0) - 1)[order]
+    u, code = u[order], code[order].astype(np.int32)
+    bucket = bucket_of(u, buckets)
+    far = np.flatnonzero(code < 0)
+    x = x[at_x[far]]
     first = np.flatnonzero(np.diff(u, prepend=-1))
     size = np.diff(first, append=len(u)).astype(np.uint32)
     begin = np.flatnonzero(np.diff(bucket, prepend=-1))
     end = np.append(begin[1:], len(u))
-    far = np.flatnonzero(code < 0)
     cut = lambda a, lo, hi: pa.array([a[i:j].tobytes() for i, j in zip(lo.tolist(), hi.tolist())], pa.binary())
     us, xs = ((np.searchsorted(a, begin), np.searchsorted(a, end)) for a in (first, far))
     rows = cut(row[order].astype(np.uint16), begin, end) if row is not None else pa.nulls(len(begin), pa.binary())
-    columns = [pa.array(BUCKETS - bucket[begin]), pa.array(np.full(len(begin), chunk)), cut(u[first], *us), cut(size, *us), cut(code, begin, end), cut(word[far], *xs), rows]
+    columns = [pa.array(base - bucket[begin]), pa.array(np.full(len(begin), chunk)), cut(u[first], *us), cut(size, *us), cut(code, begin, end), cut(x, *xs), rows]
     return pa.RecordBatch.from_arrays(columns, ["word", "chunk", "u", "size", "w", "x", "row"])
 
 
@@ -737,7 +746,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     docs = docs.select(F.col(text).alias("_text"), *(F.col(f"`{k}`").alias(i) for k, i in zip(keep, inner)))
     own_ddl = "".join(f"{x}, " for x in [ddl(docs.select(*inner))] if inner)
     doc_ddl = f"struct<{own_ddl.replace('` ', '`:')}tokens:long,known:long,base:double,score:double>"
-    asked = f"word long, _row long, _place int, _n long, _doc {doc_ddl}, _block struct<chunk:long,u:binary,size:binary,w:binary,x:binary,row:binary>"
+    asked = f"word long, _row long, _doc {doc_ddl}, _block struct<chunk:long,u:binary,size:binary,w:binary,x:binary,row:binary>"
 
     def run(batches):
         from pyspark import TaskContext
@@ -748,21 +757,23 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
         dense[everyday.find(word_of)] = np.arange(len(word_of))
         dense[-1] = -1
         plain, in_root = np.append(everyday.plain, 0.0), np.append(np.log10(everyday.p0), 0.0)
-        chunk, rows, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
+        chunk, rows, size = TaskContext.get().partitionId() << 24, 0, 0
+        held = {BUCKETS: [], WORDS: []}
+        doc_type = None
 
         def blocks():
-            made = packed(*(np.concatenate(x) for x in zip(*held)), chunk, everyday, buckets)
-            block = pa.StructArray.from_arrays(made.columns[1:], made.schema.names[1:])
-            return made.column(0), block
+            for base, parts in held.items():
+                if parts:
+                    made = packed(*(np.concatenate(x) for x in zip(*parts)), chunk, buckets, base)
+                    block = pa.StructArray.from_arrays(made.columns[1:], made.schema.names[1:])
+                    yield pa.RecordBatch.from_arrays([made.column(0), pa.nulls(len(block), pa.int64()), pa.nulls(len(block), doc_type), block], _ASKED)
 
-        doc_type = block_type = None
         for part in arrowtext.slices(batches, "_text"):
             word, place, row = tokens(part.column(0), own)
             if rows and rows + part.num_rows > CHUNK_ROWS or size >= TOGETHER // 2:
-                if size:
-                    key, block = blocks()
-                    yield pa.RecordBatch.from_arrays([key, *(pa.nulls(len(key), t) for t in (pa.int64(), pa.int32(), pa.int64(), doc_type)), block], _ASKED)
-                chunk, rows, held, size = chunk + 1, 0, [], 0
+                yield from blocks()
+                chunk, rows, size = chunk + 1, 0, 0
+                held = {BUCKETS: [], WORDS: []}
             code = everyday.find(word)
             at_head = dense[code]
             is_head, after = at_head >= 0, np.flatnonzero(place == root)
@@ -777,121 +788,83 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
                 values[at] = scores[at_head[at], place[at]]
             values[after] = in_root[code[after]]
             found = np.bincount(row, values, count)
+            at = (rows + row).astype(np.uint16)
             if len(after):
-                held.append((word[after - 1], word[after], rows + row[after]))
-                size += len(after)
+                held[BUCKETS].append((word[after - 1], code[after], word[after][code[after] < 0], at[after]))
+            if len(rare := np.flatnonzero(~answered)):
+                held[WORDS].append((word[rare], place[rare], word[:0], at[rare]))
+            size += len(after) + len(rare)
             ids = (chunk << 16) + rows + np.arange(count)
             rows += count
             kept = [part.column(1 + i) for i in range(len(inner))]
             doc = pa.StructArray.from_arrays([*kept, pa.array(np.bincount(row, minlength=count)), pa.array(known), pa.array(base), pa.array(found)], [*inner, "tokens", "known", "base", "score"])
-            doc_type, block_type = doc.type, _BLOCK_TYPE
-            yield pa.RecordBatch.from_arrays([pa.array(-1 - ids), pa.array(ids), pa.array(np.zeros(count, np.int32)), pa.array(np.zeros(count, np.int64)), doc, pa.nulls(count, block_type)], _ASKED)
-            rare = np.flatnonzero(~answered)
-            order = rare[np.lexsort((place[rare], word[rare], row[rare]))]
-            same = (row[order[1:]] == row[order[:-1]]) & (word[order[1:]] == word[order[:-1]]) & (place[order[1:]] == place[order[:-1]])
-            begin = np.flatnonzero(np.concatenate([[True], ~same])) if len(order) else order
-            n = np.diff(begin, append=len(order))
-            at = order[begin]
-            yield pa.RecordBatch.from_arrays([pa.array(word[at]), pa.array(ids[row[at]]), pa.array(place[at].astype(np.int32)), pa.array(n.astype(np.int64)), pa.nulls(len(at), doc.type), pa.nulls(len(at), block_type)], _ASKED)
-        if size:
-            key, block = blocks()
-            yield pa.RecordBatch.from_arrays([key, *(pa.nulls(len(key), t) for t in (pa.int64(), pa.int32(), pa.int64(), doc_type)), block], _ASKED)
+            doc_type = doc.type
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - ids), pa.array(ids), doc, pa.nulls(count, _BLOCK_TYPE)], _ASKED)
+        yield from blocks()
 
     def finish(batches):
-        totals, last, sums = head.value[3], None, Sums()
+        totals, sums = head.value[3], Sums()
         rest = math.log10(n_tokens + totals.words + 1)
-        schema = None
 
-        def meet(parts):
-            """Blocks of a bucket: the model's, what the root says of words, and what is asked."""
+        def add(asks, *values):
+            at = 0
+            for chunk, row in zip(asks.column(0).to_pylist(), asks.column(asks.schema.get_field_index("row")).to_pylist()):
+                row = np.frombuffer(row, np.uint16)
+                sums.add(chunk, row, *(v if v is None else v[at : at + len(row)] for v in values))
+                at += len(row)
+
+        def meet(key, parts):
+            """What is asked of a bucket meets what it has of the model."""
             whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
             column = lambda c: whole.column(whole.schema.get_field_index(c))
-            rare, block = column("_rare"), column("_block")
-            is_rare, is_block = (x.is_valid().to_numpy(zero_copy_only=False) for x in (rare, block))
-            of_root = ~(is_rare | is_block)
-            pick = lambda x, mask: pa.RecordBatch.from_struct_array(x.filter(pa.array(mask)))
-            of = Bucket(pick(rare, is_rare), column("_w").filter(pa.array(of_root)).to_numpy(), column("_p0").filter(pa.array(of_root)).to_numpy(), common.value, discount)
-            asks = pick(block, is_block)
-            for lo in range(0, asks.num_rows, 32):
-                some = asks.slice(lo, 32)
-                found, at = of.asked(some), 0
-                for chunk, row in zip(some.column(0).to_pylist(), some.column(some.schema.get_field_index("row")).to_pylist()):
-                    row = np.frombuffer(row, np.uint16)
-                    sums.add(chunk, row, None, None, found[at : at + len(row)])
-                    at += len(row)
-
-        def words(batch):
-            nonlocal last
-            kind = batch.column(batch.schema.get_field_index("_model"))
-            there = kind.is_valid().to_numpy(zero_copy_only=False)
-            models = batch.filter(pa.array(there)).select(["word", "_model"])
-            if last is not None:
-                models = pa.Table.from_batches([last, models]).combine_chunks().to_batches()[0]
-            last = models.slice(models.num_rows - 1) if models.num_rows else None
-            word_of = models.column(0).to_numpy()
-            fields = models.column(1).flatten()
-            fields = [pa.concat_arrays([f, pa.nulls(1, f.type)]) for f in fields]  # the last is a word never seen
-            model_rows = pa.RecordBatch.from_arrays(fields, [f.name for f in kind.type])
-            word = batch.column(0).to_numpy()
-            # a word's row of the model comes before what is asked of it
-            at = len(word_of) - int(there.sum()) + np.cumsum(there) - 1
-            ours = at >= 0
-            ours[ours] = word_of[at[ours]] == word[ours]
-            index = np.where(ours, at, len(word_of))
-            ask = np.flatnonzero(~there)
-            column = lambda c: batch.column(batch.schema.get_field_index(c))
-            docs_ = column("_doc").is_valid().to_numpy(zero_copy_only=False)
-            if docs_.any():
-                mine = batch.filter(pa.array(docs_))
-                row, doc = mine.column(1).to_numpy(), mine.column(mine.schema.get_field_index("_doc"))
-                made = {"_chunk": pa.array(row >> 16), "_at": pa.array((row & 65535).astype(np.int32)), "_doc": doc}
-                yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made else pa.nulls(len(row), f.type) for f in schema], schema=schema)
-            ask = ask[~docs_[ask]]
-            if not len(ask):
+            there = lambda c: column(c).is_valid().to_numpy(zero_copy_only=False)
+            pick = lambda c: pa.RecordBatch.from_struct_array(column(c).filter(pa.array(there(c))))
+            asks = pick("_block")
+            if not asks.num_rows:
                 return
-            row, place, n = (column(c).to_numpy(zero_copy_only=False)[ask].astype(np.int64) for c in ("_row", "_place", "_n"))
-            index = index[ask]
-            count = np.nan_to_num(fields[0].to_numpy(zero_copy_only=False).astype(np.float64))[index]
-            values = np.where(count > 0, n, 0), n * (np.log10(count + 1) - rest), n * np.log10(probability(model_rows, index, place, totals))
-            order = np.argsort(row, kind="stable")
-            row = row[order]
-            begin = np.flatnonzero(np.diff(row >> 16, prepend=-1))
-            for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(row)).tolist()):
-                sums.add(int(row[lo] >> 16), row[lo:hi] & 65535, *(v[order[lo:hi]] for v in values))
-
-        held, bucket = [], None
-
-        def split(batches):
-            """Batches of words; those of buckets come before them and are met at once."""
-            nonlocal held, bucket
-            for batch in batches:
-                key = batch.column(0).to_numpy()
-                first = int(np.searchsorted(key, BUCKETS, side="right"))
-                cuts = [0, *(np.flatnonzero(np.diff(key[:first])) + 1).tolist(), first] if first else [0]
-                for lo, hi in zip(cuts, cuts[1:]):
-                    if held and key[lo] != bucket:
-                        meet(held)
-                        held = []
-                    held.append(batch.slice(lo, hi - lo)), (bucket := int(key[lo]))
-                if first < batch.num_rows:
-                    if held:
-                        meet(held)
-                        held = []
-                    yield batch.slice(first)
-            if held:
-                meet(held)
-
-        def seen(batches):
-            nonlocal schema
-            for batch in batches:
-                if schema is None:
-                    schema = pa.schema([("_chunk", pa.int64()), ("_at", pa.int32()), ("_doc", batch.schema.field("_doc").type), *((c, pa.binary()) for c in ("_knowns", "_bases", "_scores"))])
-                yield batch
-
-        for batch in _gathered(split(seen(batches))):
-            yield from words(batch)
-            if sums.size > TOGETHER:
-                yield sums.flush(schema)
+            if key <= BUCKETS:
+                of_root = pick("_root")
+                of = Bucket(pick("_rare"), of_root.column(0).to_numpy(), of_root.column(1).to_numpy(), common.value, discount)
+                for lo in range(0, asks.num_rows, 32):
+                    some = asks.slice(lo, 32)
+                    add(some, None, None, of.asked(some))
+                return
+            model_rows = pick("_model")
+            names = model_rows.column(0).to_numpy()
+            order = np.argsort(names)
+            names, order = names[order], np.append(order, len(order))
+            fields = [pa.concat_arrays([f, pa.nulls(1, f.type)]) for f in model_rows.columns[1:]]  # the last is a word never seen
+            model_rows = pa.RecordBatch.from_arrays(fields, model_rows.schema.names[1:])
+            counts = np.nan_to_num(fields[0].to_numpy(zero_copy_only=False).astype(np.float64))
+            for lo in range(0, asks.num_rows, 256):
+                some = asks.slice(lo, 256)
+                _, at, place, _ = unpacked(some, 0, names, names[:0])
+                index = order[at]
+                count = counts[index]
+                add(some, count > 0, np.log10(count + 1) - rest, np.log10(probability(model_rows, index, place, totals)))
+
+        held, bucket, schema = [], None, None
+        for batch in batches:
+            if schema is None:
+                schema = pa.schema([("_chunk", pa.int64()), ("_at", pa.int32()), ("_doc", batch.schema.field("_doc").type), *((c, pa.binary()) for c in ("_knowns", "_bases", "_scores"))])
+            key = batch.column(0).to_numpy()
+            first = int(np.searchsorted(key, WORDS, side="right"))
+            cuts = [0, *(np.flatnonzero(np.diff(key[:first])) + 1).tolist(), first] if first else []
+            for lo, hi in zip(cuts, cuts[1:]):
+                if held and key[lo] != bucket:
+                    meet(bucket, held)
+                    held = []
+                    if sums.size > TOGETHER:
+                        yield sums.flush(schema)
+                held.append(batch.slice(lo, hi - lo))
+                bucket = int(key[lo])
+            if first < batch.num_rows:
+                docs_ = batch.slice(first)
+                row = docs_.column(1).to_numpy()
+                made = [pa.array(row >> 16), pa.array((row & 65535).astype(np.int32)), docs_.column(docs_.schema.get_field_index("_doc"))]
+                yield pa.RecordBatch.from_arrays([*made, *(pa.nulls(len(row), pa.binary()) for _ in range(3))], schema=schema)
+        if held:
+            meet(bucket, held)
         if sums.chunks:
             yield sums.flush(schema)
 
@@ -910,15 +883,16 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
         return pa.Table.from_arrays(columns, [*inner, "n_tokens", "n_known", "base_score", "score"])
 
     parts = docs.mapInArrow(run, asked)
-    shape = F.struct("count", "places", "counts", "tables", "root_customers", "root_tables")
-    known_ = model.table.select("word", shape.alias("_model"))
+    known_ = model.table if model.least is None else model.table.where(F.col("count") < model.least)
+    bucket = F.lit(WORDS) - F.shiftright(F.shiftright("word", 31) * F.lit(buckets).cast("long"), 32)  # bucket_of
+    known_ = known_.select(bucket.alias("key"), F.struct("word", "count", "places", "counts", "tables", "root_customers", "root_tables").alias("_model"))
     rare = model.rare.select("word", F.struct("u", "size", "w", "x", "n").alias("_rare"))
-    of_root = model.asked_root().select("word", F.col("w").alias("_w"), F.col("p0").alias("_p0"))
+    of_root = model.asked_root().select("word", F.struct("w", "p0").alias("_root"))
     both = parts
-    for other in (known_, rare, of_root):
+    for other in (known_.withColumnRenamed("key", "word"), rare, of_root):
         both = both.unionByName(other, allowMissingColumns=True)
-    # words' rows and what is asked of them meet by the word, blocks by the bucket; no row of a word is copied
-    met = both.repartition(partitions(spark), "word").sortWithinPartitions("word", F.col("_model").isNull())
+    # the model's rows and what is asked of them meet by the bucket; no row of the model is copied
+    met = both.repartition(partitions(spark), "word").sortWithinPartitions("word")
     done = met.mapInArrow(finish, f"_chunk long, _at int, _doc {doc_ddl}, _knowns binary, _bases binary, _scores binary")
     summed = done.groupBy("_chunk").applyInArrow(whole, f"{own_ddl}n_tokens long, n_known long, base_score double, score double")
     summed = summed.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
@@ -926,7 +900,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     return summed.select(*(F.col(i).alias(k) for i, k in zip(inner, keep) if k.lower() not in made), *made)
 
 
-_ASKED = ["word", "_row", "_place", "_n", "_doc", "_block"]
+_ASKED = ["word", "_row", "_doc", "_block"]
 _BLOCK_TYPE = pa.struct([("chunk", pa.int64()), *((c, pa.binary()) for c in ("u", "size", "w", "x", "row"))])
 
 
