@@ -233,7 +233,8 @@ def seat(n: np.ndarray, parent: Parent, others: np.ndarray, discount: float, wor
                 rows.append(np.full(len(opened), i)), at.append(np.array(opened, np.int64))
             break
         low = m - discount * t
-        new = _new(discount, parent[left], others[left], t) * np.exp(_tilt(n[left], m, t, discount, parent[left], others[left]))
+        above, beside = parent[left], others[left]
+        new = _new(discount, above, beside, t) * np.exp(_tilt(n[left], m, t, discount, above, beside))
         limit = np.log(_uniform(word[left], place[left], sweep, step))
         start = lgamma(low + new) - lgamma(low)
         least, most = np.zeros(len(left), np.int64), np.minimum(n[left] - m, m)  # the opener comes after least and not after most
@@ -304,8 +305,13 @@ def sweep_once(now: Seating | None, n: np.ndarray, parent: Parent, others: np.nd
         before = Seating(now.n[many], *_within(now, many, len(n)))
         if (before.n != made.n).any():
             before = before.with_customers(made.n, *given, 1000 + sweep)
-        ratio = made.weight(discount, parent[many], others[many]) - before.weight(discount, parent[many], others[many])
-        made = before.chosen(made, np.log(_uniform(word[many], place[many], 2000 + sweep, 0)) < ratio)
+        # where both are the same, as most are, there is nothing to choose
+        width = int(made.n.max()) + 1
+        other = np.unique(np.setxor1d(made.row * width + made.at, before.row * width + before.at, assume_unique=True) // width)
+        rows, weigh = many[other], lambda x: Seating(x.n[other], *_within(x, other, len(many))).weight(discount, parent[rows], others[rows])
+        take = np.zeros(len(many), bool)
+        take[other] = np.log(_uniform(word[rows], place[rows], 2000 + sweep, 0)) < weigh(made) - weigh(before)
+        made = before.chosen(made, take)
     return Seating(n, np.concatenate([opens, many[made.row]]), np.concatenate([np.full(len(opens), 2), made.at]))
 
 
