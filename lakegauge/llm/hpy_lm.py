@@ -18,8 +18,9 @@ Words are known by 63 bits of a hash. Counting, seating and rare words go by shu
 restaurants of rare words by one on the restaurant, none of which has more than a share of 1 / OWN_SHARE
 of the tokens: blocks of what follows rare words, in training and in a scored text, meet in buckets.
 Broadcast are the words with a share of 1 / OWN_SHARE, at most so many, the scores of the most frequent
-words, HEAD_SCORES numbers at most, and the probabilities of COMMON words in the root. Draws depend on word, restaurant and sweep alone, so no
-partitioning or lost executor changes them.
+words in the restaurants where they were seen, HEAD_SCORES numbers at most, and the probabilities of
+COMMON words in the root. Tasks pack both for the driver, which gets a few rows of bytes. Draws depend
+on word, restaurant and sweep alone, so no partitioning or lost executor changes them.
 
 Defined results: null text is empty and has the end token only; a null doc_id is not held out;
 rows that repeat count and are scored each; without training text every probability is 1; of equally
@@ -27,6 +28,7 @@ frequent words either all or none are broadcast; kept columns may have any name
 """
 
 import math
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -102,8 +104,13 @@ def _counted(texts: DataFrame, own: np.ndarray | None) -> DataFrame:
     return texts.mapInArrow(run, "word long, place int, n long")
 
 
+@cache
+def _key(seed: int) -> U:
+    return keys(seed, 1)[0]
+
+
 def _uniform(word: np.ndarray, place: np.ndarray, sweep: int, step) -> np.ndarray:
-    x = mix(word.astype(U) ^ keys(31 + sweep, 1)[0] ^ mix((place + 1).astype(U) * keys(30, 1)[0] + np.asarray(step).astype(U)))
+    x = mix(word.astype(U) ^ _key(31 + sweep) ^ mix((place + 1).astype(U) * _key(30) + np.asarray(step).astype(U)))
     return ((x >> U(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
@@ -384,7 +391,7 @@ def _seated(words: DataFrame, before: Totals | None, own: np.ndarray, brief: boo
     def run(batches):
         customers, tables = np.zeros((2, SAMPLES, root + 1))
         total, ones = 0, np.zeros((2, 2))
-        for batch in _gathered(batches):
+        for batch in _gathered(batches, 40_000):
             rows, lists = batch.num_rows, batch.column(1)
             name = batch.column(0).to_numpy()
             owner = np.repeat(np.arange(rows), np.diff(lists.offsets.to_numpy()))
@@ -442,16 +449,16 @@ def _summed(model: DataFrame, own: np.ndarray) -> Totals:
 
 
 class Common:
-    """The most frequent words in order, the log10 of their base, and their probability in the root."""
+    """The most frequent words in order, how often each is there, and their probability in the root."""
 
-    def __init__(self, word: np.ndarray, plain: np.ndarray, p0: np.ndarray):
-        self.word, self.plain, self.p0 = word, plain, p0
+    def __init__(self, word: np.ndarray, count: np.ndarray, p0: np.ndarray):
+        self.word, self.count, self.p0 = word, count, p0
         self.bits = max(8, int(len(self.word) * 2).bit_length())
         self.slot = np.searchsorted(self.word >> (63 - self.bits), np.arange((1 << self.bits) + 1)).astype(np.int32)
         self.deepest = int(np.diff(self.slot).max(initial=0))
 
     def __reduce__(self):
-        return Common, (self.word, self.plain, self.p0)
+        return Common, (self.word, self.count, self.p0)
 
     def find(self, word: np.ndarray) -> np.ndarray:
         """Numbers of words here, -1 for others."""
@@ -471,6 +478,67 @@ class Common:
         return out
 
 
+class Scores:
+    """log10 of the averaged probability of words in restaurants: a number for each word and restaurant that has it, by a bit that says so; others ask the root.
+
+    seen: bits of word * restaurants + restaurant, value: in their order, p0: by sample and word, back: by sample and restaurant.
+    """
+
+    def __init__(self, seen: np.ndarray, value: np.ndarray, p0: np.ndarray, back: np.ndarray):
+        self.seen, self.value, self.p0, self.back = seen, value, p0, back
+        each = np.bitwise_count(seen)
+        self.before = np.cumsum(each, dtype=np.int64) - each
+
+    def __reduce__(self):
+        return Scores, (self.seen, self.value, self.p0, self.back)
+
+    @staticmethod
+    def of(owner: np.ndarray, place: np.ndarray, value: np.ndarray, p0: np.ndarray, back: np.ndarray) -> "Scores":
+        """owner, place: each word's number and restaurant where it was seen, in any order."""
+        width = back.shape[1]
+        cell = owner * width + place
+        there = np.zeros(-(-p0.shape[1] * width // 64) * 64, bool)
+        there[cell] = True
+        return Scores(np.packbits(there, bitorder="little").view("<u8"), value[np.argsort(cell)], p0, back)
+
+    def __call__(self, word: np.ndarray, place: np.ndarray) -> np.ndarray:
+        cell = word * self.back.shape[1] + place
+        bits, at = self.seen[cell >> 6], (cell & 63).astype(U)
+        rank = self.before[cell >> 6] + np.bitwise_count(bits & ((U(1) << at) - U(1)))
+        hit = (bits >> at & U(1)).astype(bool)
+        out = np.empty(len(cell), np.float32)
+        out[hit] = self.value[rank[hit]]
+        word, place = word[~hit], place[~hit]
+        out[~hit] = np.log10((self.p0[:, word] * self.back[:, place]).mean(axis=0))
+        return out
+
+
+#: Columns of rows of the model as bytes; size: each word's number of places.
+_PACKED = ["word", "count", "size", "places", "counts", "tables", "root_customers", "root_tables"]
+
+
+def _unpacked_rows(packed, kind) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+    """Words, their counts and their rows for probability(), each with one more for a word never seen at the end but for the words."""
+    column = lambda c, k: _joined(packed.column(packed.schema.get_field_index(c)), k)
+    words, size = column("word", np.int64), np.append(column("size", np.uint16), 0).astype(np.int64)
+    count, n = np.append(column("count", kind), 0).astype(np.int64), len(words)
+    tables, root = column("tables", kind), {c: column(c, kind) for c in ("root_customers", "root_tables")}
+    of_root = np.append(np.full(n, len(root["root_tables"]) // max(n, 1)), 0)
+    made = {"count": pa.array(count, mask=np.arange(n + 1) == n), "places": _lists(column("places", np.uint16), size), "counts": _lists(column("counts", kind), size)}
+    made |= {"tables": _lists(tables, size * (of_root[0] if n else 0))} | {c: _lists(x, of_root) for c, x in root.items()}
+    return words, count, pa.RecordBatch.from_pydict(made)
+
+
+def _packed_rows(columns, schema: str):
+    """One row of bytes for some thousand rows of a model: columns gives each batch's arrays."""
+
+    def run(batches):
+        for batch in _gathered(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in columns(batch)], schema.split())
+
+    return run, ", ".join(f"{c} binary" for c in schema.split())
+
+
 class Model:
     """The table of words and the totals; head: the most frequent words' rows; rare: restaurants of rare words, a row for each bucket."""
 
@@ -479,7 +547,9 @@ class Model:
         most = min(HEAD_WORDS, HEAD_SCORES // (totals.root + 1))
         level = F.floor(F.log2("count") * 8)
         seen, self.least, self.least_common = 0, None, None
-        for r in table.groupBy(level.alias("level")).agg(F.count("*").alias("n"), F.min("count").alias("least")).orderBy(F.desc("level")).collect():  # a row for each eighth of a power of two
+        levels = table.groupBy(level.alias("level")).agg(F.count("*").alias("n"), F.min("count").alias("least"), F.max("count").alias("most")).collect()  # a row for each eighth of a power of two
+        self.count_kind = np.min_scalar_type(max([1, *(r["most"] for r in levels)]))
+        for r in sorted(levels, key=lambda r: -r["level"]):
             seen += r["n"]
             if seen <= most:
                 self.least = r["least"]
@@ -488,23 +558,53 @@ class Model:
         self.buckets = 8 * partitions(work.spark)
         self.common = work.spark.sparkContext.broadcast(self._common())  # COMMON words at most
 
-    def in_root(self) -> DataFrame:
-        """(word, count, p0): every word's averaged probability in the root."""
+    def _root_rows(self, which=None) -> DataFrame:
+        table = self.table if which is None else self.table.where(which)
+        return table.select("word", "count", "root_customers", "root_tables")
+
+    def in_root(self, which=None) -> DataFrame:
+        """(word, count, p0): every word's averaged probability in the root; which: a condition on the table's rows."""
         totals = self.totals
 
         def run(batches):
             for batch in batches:
-                p0 = probability(batch, np.arange(batch.num_rows), np.full(batch.num_rows, totals.root), totals)
+                p0 = in_root(batch, totals).mean(axis=0)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p0)], ["word", "count", "p0"])
 
-        return self.table.mapInArrow(run, "word long, count long, p0 double")
+        return self._root_rows(which).mapInArrow(run, "word long, count long, p0 double")
 
     def _common(self) -> Common:
         if self.least_common is None:
-            return Common(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
-        found = self.in_root().where(F.col("count") >= self.least_common).orderBy("word").toArrow()  # COMMON rows at most
-        plain = np.log10((found.column(1).to_numpy() + 1) / (self.tokens + self.totals.words + 1))
-        return Common(found.column(0).to_numpy(), plain, found.column(2).to_numpy())
+            return Common(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        totals, kind = self.totals, self.count_kind
+        pack, schema = _packed_rows(lambda x: (x.column(0).to_numpy(), x.column(1).to_numpy().astype(kind), in_root(x, totals).mean(axis=0)), "word count p0")
+        found = self._root_rows(F.col("count") >= self.least_common).mapInArrow(pack, schema).toArrow()  # COMMON words at most
+        word, count, p0 = (_joined(found.column(i), k) for i, k in enumerate((np.int64, kind, np.float64)))
+        order = np.argsort(word)
+        return Common(word[order], count[order], p0[order])
+
+    def rare_rows(self) -> DataFrame:
+        """(word, _model): the rows of words outside the head as bytes, several rows for each bucket of words; word is the bucket's key."""
+        buckets, kind, samples = self.buckets, self.count_kind, len(self.totals.customers)
+
+        def run(batches):
+            for batch in _gathered(batches, 40_000):
+                batch = batch.take(pa.array(np.argsort(batch.column(0).to_numpy())))
+                column = lambda c: batch.column(batch.schema.get_field_index(c))
+                flat = lambda c, k: column(c).flatten().to_numpy().astype(k)
+                size = np.diff(column("places").offsets.to_numpy())
+                bucket = bucket_of(column("word").to_numpy(), buckets)
+                begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+                by_row = np.append(begin, len(bucket))
+                by_place = np.concatenate([[0], np.cumsum(size)])[by_row]
+                cut = lambda a, at: pa.array([a[i:j].tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
+                made = [cut(column("word").to_numpy(), by_row), cut(column("count").to_numpy().astype(kind), by_row), cut(size.astype(np.uint16), by_row)]
+                made += [cut(flat("places", np.uint16), by_place), cut(flat("counts", kind), by_place), cut(flat("tables", kind), by_place * samples)]
+                made += [cut(flat(c, kind), by_row * samples) for c in ("root_customers", "root_tables")]
+                yield pa.RecordBatch.from_arrays([pa.array(WORDS - bucket[begin]), pa.StructArray.from_arrays(made, _PACKED)], ["word", "_model"])
+
+        table = self.table if self.least is None else self.table.where(F.col("count") < self.least)
+        return table.mapInArrow(run, f"word long, _model struct<{', '.join(f'{c}:binary' for c in _PACKED)}>")
 
     def learn_rare(self, texts: DataFrame) -> None:
         """Counts what follows each rare word in texts, whose column is text."""
@@ -552,27 +652,38 @@ class Model:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(far), key)), pa.array(far)], ["bucket", "word"])
 
         far = self.rare.select("word", "x").mapInArrow(run, "bucket long, word long")
-        known = self.in_root()
-        if self.least_common is not None:
-            known = known.where(F.col("count") < self.least_common)
+        known = self.in_root(None if self.least_common is None else F.col("count") < self.least_common)
         return far.join(known, "word").select(F.col("bucket").alias("word"), F.col("word").alias("w"), "p0")
 
-    def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The frequent words in order, the log10 of their base, and of their probability in each restaurant; made in tasks."""
-        totals, width = self.totals, self.totals.root + 1
-
-        def run(batches):
-            for batch in batches:
-                for lo in range(0, batch.num_rows, 500):
-                    part = batch.slice(lo, 500)
-                    found = probability(part, np.repeat(np.arange(part.num_rows), width), np.tile(np.arange(width), part.num_rows), totals)
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x.astype(np.float32).tobytes() for x in np.log10(found).reshape(-1, width)], pa.binary())], ["word", "count", "scores"])
-
+    def scores(self) -> tuple[np.ndarray, Scores]:
+        """The frequent words in order, and their scores in each restaurant; made in tasks."""
+        totals, back = self.totals, self.totals.back()[:, :-1]
         if self.least is None:
-            return np.zeros(0, np.int64), np.zeros(0), np.zeros((0, width), np.float32)
-        found = self.table.where(F.col("count") >= self.least).mapInArrow(run, "word long, count long, scores binary").orderBy("word").toArrow()  # HEAD_SCORES numbers at most
-        plain = np.log10((found.column(1).to_numpy() + 1) / (self.tokens + totals.words + 1))
-        return found.column(0).to_numpy(), plain, np.frombuffer(b"".join(found.column(2).to_pylist()), np.float32).reshape(-1, width)
+            return np.zeros(0, np.int64), Scores(np.zeros(0, U), np.zeros(0, np.float32), np.zeros((len(back), 0)), back)
+
+        def columns(rows):
+            lists = rows.column(rows.schema.get_field_index("places"))
+            size, place = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+            found = probability(rows, np.repeat(np.arange(rows.num_rows), size), place, totals)
+            return rows.column(0).to_numpy(), size.astype(np.uint16), place.astype(np.uint16), np.log10(found).astype(np.float32), in_root(rows, totals).T.ravel()
+
+        pack, schema = _packed_rows(columns, "word size place value p0")
+        found = self.table.where(F.col("count") >= self.least).mapInArrow(pack, schema).toArrow()  # HEAD_SCORES numbers at most
+        word, size, place, value, p0 = (_joined(found.column(i), k) for i, k in enumerate((np.int64, np.uint16, np.uint16, np.float32, np.float64)))
+        order = np.argsort(word)
+        number = np.empty(len(word), np.int64)
+        number[order] = np.arange(len(word))
+        return word[order], Scores.of(np.repeat(number, size), place, value, np.ascontiguousarray(p0.reshape(len(word), -1)[order].T), back)
+
+
+def in_root(rows, totals: Totals) -> np.ndarray:
+    """The probability in the root of rows of the model (null counts: never seen), by sample and row."""
+    scale, root = totals.scale()[:, [totals.root]], totals.root
+    out = np.repeat((totals.back()[:, root] * totals.uniform)[:, None], rows.num_rows, axis=1)
+    seen = np.flatnonzero(rows.column(rows.schema.get_field_index("count")).is_valid().to_numpy(zero_copy_only=False))
+    customers, tables = (rows.column(rows.schema.get_field_index(c)).flatten().to_numpy(zero_copy_only=False).astype(np.float64) for c in ("root_customers", "root_tables"))
+    out[:, seen] += np.maximum(customers - totals.discounts[1] * tables, 0).reshape(-1, len(scale)).T * scale
+    return out
 
 
 def probability(rows, index: np.ndarray, place: np.ndarray, totals: Totals) -> np.ndarray:
@@ -580,12 +691,9 @@ def probability(rows, index: np.ndarray, place: np.ndarray, totals: Totals) -> n
     lists = {f: rows.column(i) for i, f in enumerate(rows.schema.names)}
     flat = lambda c: lists[c].flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     size = lambda c: np.diff(lists[c].offsets.to_numpy()) * lists[c].is_valid().to_numpy(zero_copy_only=False)
-    d, d0 = totals.discounts
+    d = totals.discounts[0]
     scale, back, root, n = totals.scale(), totals.back(), totals.root, rows.num_rows
-    samples = len(scale)
-    seen = np.flatnonzero(lists["count"].is_valid().to_numpy(zero_copy_only=False))
-    p0 = np.repeat((back[:, root] * totals.uniform)[:, None], n, axis=1)
-    p0[:, seen] += np.maximum(flat("root_customers") - d0 * flat("root_tables"), 0).reshape(-1, samples).T * scale[:, [root]]
+    samples, p0 = len(scale), in_root(rows, totals)
     of_leaf, l_place = np.repeat(np.arange(n), size("places")), flat("places").astype(np.int64)
     in_leaf = (flat("counts")[:, None] - d * flat("tables").reshape(-1, samples)).T * scale[:, l_place]
     found = p0[:, index]
@@ -747,7 +855,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     """keep, n_tokens, n_known, train_tokens, base_score and score of each row of docs."""
     spark, totals, n_tokens, discount = docs.sparkSession, model.totals, model.tokens, model.rare_discount
     head = spark.sparkContext.broadcast((*model.scores(), totals))  # HEAD_SCORES numbers at most
-    common, buckets = model.common, model.buckets
+    common, buckets, kind = model.common, model.buckets, model.count_kind
     inner = [f"_kept_{i}" for i in range(len(keep))]
     docs = docs.select(F.col(text).alias("_text"), *(F.col(f"`{k}`").alias(i) for k, i in zip(keep, inner)))
     own_ddl = "".join(f"{x}, " for x in [ddl(docs.select(*inner))] if inner)
@@ -757,12 +865,13 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     def run(batches):
         from pyspark import TaskContext
 
-        word_of, _, scores, own = *head.value[:3], head.value[3].own
+        word_of, scores, totals = head.value
+        own = totals.own
         root, everyday = 1 + len(own), common.value
         dense = np.full(len(everyday.word) + 1, -1)
         dense[everyday.find(word_of)] = np.arange(len(word_of))
         dense[-1] = -1
-        plain, in_root = np.append(everyday.plain, 0.0), np.append(np.log10(everyday.p0), 0.0)
+        plain, of_root = (np.append(x, 0.0) for x in (np.log10((everyday.count + 1.0) / (n_tokens + totals.words + 1)), np.log10(everyday.p0)))
         chunk, rows, size = TaskContext.get().partitionId() << 24, 0, 0
         held = {BUCKETS: [], WORDS: []}
         doc_type = None
@@ -791,8 +900,8 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
             values = np.zeros(len(word))
             at = np.flatnonzero(is_head & (place != root))
             if len(at):
-                values[at] = scores[at_head[at], place[at]]
-            values[after] = in_root[code[after]]
+                values[at] = scores(at_head[at], place[at])
+            values[after] = of_root[code[after]]
             found = np.bincount(row, values, count)
             at = (rows + row).astype(np.uint16)
             if len(after):
@@ -809,7 +918,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
         yield from blocks()
 
     def finish(batches):
-        totals, sums = head.value[3], Sums()
+        totals, sums = head.value[2], Sums()
         rest = math.log10(n_tokens + totals.words + 1)
 
         def add(asks, *values):
@@ -835,13 +944,9 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
                     some = asks.slice(lo, 32)
                     add(some, None, None, of.asked(some))
                 return
-            model_rows = pick("_model")
-            names = model_rows.column(0).to_numpy()
+            names, counts, model_rows = _unpacked_rows(pick("_model"), kind)  # the last is a word never seen
             order = np.argsort(names)
             names, order = names[order], np.append(order, len(order))
-            fields = [pa.concat_arrays([f, pa.nulls(1, f.type)]) for f in model_rows.columns[1:]]  # the last is a word never seen
-            model_rows = pa.RecordBatch.from_arrays(fields, model_rows.schema.names[1:])
-            counts = np.nan_to_num(fields[0].to_numpy(zero_copy_only=False).astype(np.float64))
             for lo in range(0, asks.num_rows, 256):
                 some = asks.slice(lo, 256)
                 _, at, place, _ = unpacked(some, 0, names, names[:0])
@@ -889,15 +994,12 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
         return pa.Table.from_arrays(columns, [*inner, "n_tokens", "n_known", "base_score", "score"])
 
     parts = docs.mapInArrow(run, asked)
-    known_ = model.table if model.least is None else model.table.where(F.col("count") < model.least)
-    bucket = F.lit(WORDS) - F.shiftright(F.shiftright("word", 31) * F.lit(buckets).cast("long"), 32)  # bucket_of
-    known_ = known_.select(bucket.alias("key"), F.struct("word", "count", "places", "counts", "tables", "root_customers", "root_tables").alias("_model"))
     rare = model.rare.select("word", F.struct("u", "size", "w", "x", "n").alias("_rare"))
     of_root = model.asked_root().select("word", F.struct("w", "p0").alias("_root"))
     both = parts
-    for other in (known_.withColumnRenamed("key", "word"), rare, of_root):
+    for other in (model.rare_rows(), rare, of_root):
         both = both.unionByName(other, allowMissingColumns=True)
-    # the model's rows and what is asked of them meet by the bucket; no row of the model is copied
+    # the model's rows and what is asked of them meet by the bucket, as bytes; no row of the model is copied
     met = both.repartition(partitions(spark), "word").sortWithinPartitions("word")
     done = met.mapInArrow(finish, f"_chunk long, _at int, _doc {doc_ddl}, _knowns binary, _bases binary, _scores binary")
     summed = done.groupBy("_chunk").applyInArrow(whole, f"{own_ddl}n_tokens long, n_known long, base_score double, score double")

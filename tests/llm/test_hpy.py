@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 import re
 import zlib
@@ -71,6 +72,40 @@ def test_frequent_and_rare_words_score_alike(spark, monkeypatch):
         assert a["score"] == pytest.approx(b["score"], rel=1e-5)
 
 
+def test_the_driver_gets_few_bytes_and_all_scores(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    model = hpy_lm.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    head, scores = model.scores()
+    words, batch = table_of(model)
+    width = model.totals.root
+    # a number for each restaurant that has the word, not for all of them
+    assert len(pickle.dumps(scores)) < len(head) * width  # 4 times that as a whole array
+    number, place = np.repeat(np.arange(len(head)), width), np.tile(np.arange(width), len(head))
+    want = hpy_lm.probability(batch, np.searchsorted(words, head)[number], place, model.totals)
+    assert np.allclose(scores(number, place), np.log10(want), rtol=1e-6, atol=0)
+    common = model.common.value
+    assert len(pickle.dumps(common)) <= 20 * len(common.word) + 1000  # 24 before
+    p0 = {r["word"]: (r["count"], r["p0"]) for r in model.in_root().collect()}
+    assert all(p0[w] == (c, p) for w, c, p in zip(common.word.tolist(), common.count.tolist(), common.p0.tolist()))
+
+
+def test_rows_of_the_model_move_as_bytes(spark):
+    texts = [f"{'the ' * (i % 4)}a{i % 90} b{i % 7} c{i}" for i in range(400)]
+    model = hpy_lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    model.least = None  # all words go
+    packed = model.rare_rows().toArrow().combine_chunks()
+    words, batch = table_of(model)
+    assert packed.num_rows <= model.buckets * model.table.rdd.getNumPartitions() < len(words)
+    found, count, rows = hpy_lm._unpacked_rows(pa.RecordBatch.from_struct_array(packed.column("_model").combine_chunks()), model.count_kind)
+    assert sorted(found) == words.tolist() and count[-1] == 0
+    at = np.argsort(found)
+    for place in range(model.totals.root + 1):
+        each = np.full(len(words) + 1, place)
+        got = hpy_lm.probability(rows, np.append(at, len(words)), each, model.totals)
+        assert (got[:-1] == hpy_lm.probability(batch, np.arange(len(words)), each[:-1], model.totals)).all()
+        assert got[-1] == hpy_lm.probability(unseen(batch), np.zeros(1, int), each[:1], model.totals)[0]
+
+
 def parent(base):
     zero = np.zeros(len(base), np.int64)
     return hpy_lm.Parent(zero, zero, 0.0, 0.0 * base, base)
