@@ -481,7 +481,7 @@ class Common:
 class Scores:
     """log10 of the averaged probability of words in restaurants: a number for each word and restaurant that has it, by a bit that says so; others ask the root.
 
-    seen: bits of word * restaurants + restaurant, value: in their order, p0: by sample and word, back: by sample and restaurant.
+    seen: words of 64 bits, so many for each word as hold its restaurants, value: in their order, p0: by sample and word, back: by sample and restaurant.
     """
 
     def __init__(self, seen: np.ndarray, value: np.ndarray, p0: np.ndarray, back: np.ndarray):
@@ -492,17 +492,8 @@ class Scores:
     def __reduce__(self):
         return Scores, (self.seen, self.value, self.p0, self.back)
 
-    @staticmethod
-    def of(owner: np.ndarray, place: np.ndarray, value: np.ndarray, p0: np.ndarray, back: np.ndarray) -> "Scores":
-        """owner, place: each word's number and restaurant where it was seen, in any order."""
-        width = back.shape[1]
-        cell = owner * width + place
-        there = np.zeros(-(-p0.shape[1] * width // 64) * 64, bool)
-        there[cell] = True
-        return Scores(np.packbits(there, bitorder="little").view("<u8"), value[np.argsort(cell)], p0, back)
-
     def __call__(self, word: np.ndarray, place: np.ndarray) -> np.ndarray:
-        cell = word * self.back.shape[1] + place
+        cell = word * (len(self.seen) // self.p0.shape[1] * 64) + place
         bits, at = self.seen[cell >> 6], (cell & 63).astype(U)
         rank = self.before[cell >> 6] + np.bitwise_count(bits & ((U(1) << at) - U(1)))
         hit = (bits >> at & U(1)).astype(bool)
@@ -664,16 +655,21 @@ class Model:
         def columns(rows):
             lists = rows.column(rows.schema.get_field_index("places"))
             size, place = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
-            found = probability(rows, np.repeat(np.arange(rows.num_rows), size), place, totals)
-            return rows.column(0).to_numpy(), size.astype(np.uint16), place.astype(np.uint16), np.log10(found).astype(np.float32), in_root(rows, totals).T.ravel()
-
-        pack, schema = _packed_rows(columns, "word size place value p0")
+            owner = np.repeat(np.arange(rows.num_rows), size)
+            there = np.zeros((rows.num_rows, wide * 64), bool)
+            there[owner, place] = True
+            found = probability(rows, owner, place, totals)  # a word's places rise
+            return rows.column(0).to_numpy(), np.packbits(there, axis=1, bitorder="little"), np.log10(found).astype(np.float32), np.ascontiguousarray(in_root(rows, totals).T)
+
+        wide = -(-totals.root // 64)
+        pack, schema = _packed_rows(columns, "word seen value p0")
         found = self.table.where(F.col("count") >= self.least).mapInArrow(pack, schema).toArrow()  # HEAD_SCORES numbers at most
-        word, size, place, value, p0 = (_joined(found.column(i), k) for i, k in enumerate((np.int64, np.uint16, np.uint16, np.float32, np.float64)))
-        order = np.argsort(word)
-        number = np.empty(len(word), np.int64)
-        number[order] = np.arange(len(word))
-        return word[order], Scores.of(np.repeat(number, size), place, value, np.ascontiguousarray(p0.reshape(len(word), -1)[order].T), back)
+        word, seen, value, p0 = (_joined(found.column(i), k) for i, k in enumerate((np.int64, U, np.float32, np.float64)))
+        order, seen = np.argsort(word), seen.reshape(-1, wide)
+        size = np.bitwise_count(seen).sum(axis=1, dtype=np.int64)
+        start, size = (np.cumsum(size) - size)[order], size[order]
+        value = value[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(len(value))]
+        return word[order], Scores(seen[order].ravel(), value, np.ascontiguousarray(p0.reshape(len(word), -1)[order].T), back)
 
 
 def in_root(rows, totals: Totals) -> np.ndarray:
